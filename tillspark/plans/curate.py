@@ -96,3 +96,10 @@ def curation_counters(raw: DataFrame, malformed: DataFrame | None = None) -> Dat
         ),
         "final_curated_records",
     )
+
+
+def line_counts(raw: DataFrame) -> DataFrame:
+    """One row: well-formed lines and those rejected. One scan, no shuffle of lines."""
+    return typed_sales(raw).agg(
+        F.count("*").alias("parsed_records"), F.count_if(~is_usable()).alias("rejected_records")
+    )
