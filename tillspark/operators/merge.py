@@ -51,24 +51,29 @@ def upsert(
     )
 
 
+def touched_partitions(
+    existing: DataFrame, incoming: DataFrame, partitions: Sequence[str]
+) -> DataFrame:
+    """The partitions of ``existing`` that ``incoming`` has rows for.
+
+    The list goes through the driver as a plain filter, so the other folders are never
+    listed for reading. It is bounded by the table's own folder list, which the driver
+    holds anyway; a join filter would only prune where the batch itself has a predicate.
+    """
+    place = F.concat_ws("/", *partitions)
+    touched = [row[0] for row in incoming.select(place).distinct().collect()]
+    return existing.where(place.isin(touched) if touched else F.lit(False))
+
+
 def new_rows(
-    existing: DataFrame,
-    incoming: DataFrame,
-    keys: Sequence[str],
-    *,
-    order: Sequence[str] = (),
-    partitions: Sequence[str] = (),
+    existing: DataFrame, incoming: DataFrame, keys: Sequence[str], *, order: Sequence[str] = ()
 ) -> DataFrame:
     """Rows of ``incoming`` to append so that every key is stored once, first come.
 
-    Only the key columns of ``existing`` are read. Where ``partitions`` (columns the key
-    determines) are given, only the partitions the batch touches are read at all.
+    Only the key columns of ``existing`` are read.
     """
-    stored = existing
-    if partitions:
-        touched = incoming.select(*partitions).distinct()
-        stored = stored.join(touched, list(partitions), "left_semi")
-    return first_per_key(incoming, keys, order).join(stored.select(*keys), list(keys), "left_anti")
+    stored = existing.select(*keys)
+    return first_per_key(incoming, keys, order).join(stored, list(keys), "left_anti")
 
 
 def insert_ignore(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tillspark import constants as K
 from tillspark.functions.money import percent
+from tillspark.functions.once import with_columns_once
 from tillspark.functions.text import is_blank
 
 
@@ -136,16 +137,19 @@ class Checked:
 
     def valid(self) -> DataFrame:
         """Rows that broke no rule, in the input's own schema."""
-        return self.rows.where("quarantine_reason = ''").select(*self.columns)
+        return self.rows.where(~self._rejected()).select(*self.columns)
 
     def quarantined(self) -> DataFrame:
         """Rejected rows with all their reasons."""
-        return self.rows.where("quarantine_reason <> ''").select(*self.columns, "quarantine_reason")
+        return self.rows.where(self._rejected()).select(*self.columns, "quarantine_reason")
+
+    def _rejected(self) -> Column:
+        return F.greatest(*[F.col(f"_broken.{r.name}") for r in self.rules])
 
     def _failures(self) -> DataFrame:
         return self.rows.agg(
             F.count("*").alias("total"),
-            F.count_if(F.col("quarantine_reason") != "").alias("rejected"),
+            F.count_if(self._rejected()).alias("rejected"),
             *[F.count_if(F.col(f"_broken.{r.name}")).alias(r.name) for r in self.rules],
         )
 
@@ -200,10 +204,10 @@ def check_order_lines(
     if with_products:
         flagged = _with_known_flag(flagged, "product_id", products, "product_id")
     rules = order_line_rules(with_customers, with_products)
-    broken = F.struct(*[r.broken.alias(r.name) for r in rules]).alias("_broken")
+    broken = F.struct(*[r.broken.alias(r.name) for r in rules])
     reasons = F.concat_ws("; ", *[F.when(F.col(f"_broken.{r.name}"), r.reason) for r in rules])
-    rows = flagged.select(*columns, broken).withColumn("quarantine_reason", reasons)
-    return Checked(rows, rules, columns)
+    rows = with_columns_once(flagged, _broken=broken).withColumn("quarantine_reason", reasons)
+    return Checked(rows.select(*columns, "_broken", "quarantine_reason"), rules, columns)
 
 
 def enforce_gate(report: DataFrame, max_quarantine_pct: float) -> None:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tillspark import constants as K
 from tillspark.functions.money import line_amount
+from tillspark.functions.once import with_columns_once
 from tillspark.functions.parsing import nullable_id, parse_timestamp
 from tillspark.functions.sales import cancellation_flag
 from tillspark.functions.text import blank_to
@@ -16,12 +17,13 @@ from tillspark.schemas import FACT_SALES_COLUMNS
 
 def typed_sales(raw: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Clean and type every raw line; nothing is filtered yet."""
-    return raw.select(
+    parsed = with_columns_once(raw, _parsed_date=parse_timestamp(F.col("InvoiceDate")))
+    return parsed.select(
         F.trim("InvoiceNo").alias("invoice_no"),
         F.upper(F.trim("StockCode")).alias("stock_code"),
         blank_to(F.col("Description"), K.UNKNOWN_DESCRIPTION).alias("description"),
         F.col("Quantity").cast("int").alias("quantity"),
-        parse_timestamp(F.col("InvoiceDate")).alias("invoice_date"),
+        F.col("_parsed_date").alias("invoice_date"),
         F.col("UnitPrice").cast(K.PRICE).alias("unit_price"),
         nullable_id(F.col("CustomerID")).alias("customer_id"),
         blank_to(F.col("Country"), K.UNKNOWN_COUNTRY).alias("country"),

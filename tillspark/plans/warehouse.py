@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tillspark import constants as K
@@ -15,7 +16,7 @@ from tillspark.operators.dimensions import (
     dim_products,
     dim_products_lake,
 )
-from tillspark.operators.merge import new_rows, upsert
+from tillspark.operators.merge import new_rows, touched_partitions, upsert
 from tillspark.operators.quality import QualityGateError, require_columns
 from tillspark.operators.rollups import table_counts
 from tillspark.session import staged
@@ -64,7 +65,8 @@ def load_fact(spark: SparkSession, facts: DataFrame, warehouse: str) -> int:
     path = f"{warehouse}/fact_sales"
     batch = require_columns(facts, schemas.FACT_SALES_COLUMNS, K.FORBIDDEN_SALES_COLUMNS)
     stored = read_or_empty(spark, path, schemas.FACT_SALES)
-    fresh = new_rows(stored, batch, K.SALES_KEY, partitions=K.SALES_PARTITIONS)
+    stored = touched_partitions(stored, batch, K.SALES_PARTITIONS)
+    fresh = new_rows(stored, batch, K.SALES_KEY)
     return append_rows(staged(fresh, "new-facts"), path)
 
 
@@ -125,24 +127,22 @@ def master_columns(df: DataFrame, master: str) -> DataFrame:
     """The master's known columns that ``df`` has; ``unit_price`` serves as ``price``."""
     if master == "products" and "price" not in df.columns and "unit_price" in df.columns:
         df = df.withColumnRenamed("unit_price", "price")
-    return df.select(*[c for c in schemas.MASTER_COLUMNS[master] if c in df.columns])
+    declared = StructType.fromDDL(schemas.MASTERS[master])
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in declared if f.name in df.columns])
 
 
 def sync_master(spark: SparkSession, df: DataFrame, warehouse: str, master: str) -> DataFrame:
     """Upsert a master table; columns the feed lacks keep their stored values."""
     incoming = master_columns(df, master)
-    types = dict(incoming.dtypes)
-    schema = ", ".join(f"{c} {types.get(c, 'string')}" for c in schemas.MASTER_COLUMNS[master])
-    key = schemas.MASTER_COLUMNS[master][0]
-    return upsert_table(spark, f"{warehouse}/{master}", schema, incoming, [key])
+    key = incoming.columns[0]
+    return upsert_table(spark, f"{warehouse}/{master}", schemas.MASTERS[master], incoming, [key])
 
 
 def seed_masters(
     spark: SparkSession, feeds: dict[str, DataFrame], warehouse: str
 ) -> list[str]:
     """Load each master from its feed, unless customers are already populated."""
-    key = schemas.MASTER_COLUMNS["customers"][0]
-    stored = read_or_empty(spark, f"{warehouse}/customers", f"{key} string")
+    stored = read_or_empty(spark, f"{warehouse}/customers", schemas.MASTERS["customers"])
     populated = stored.limit(K.SEED_MASTERS_UP_TO_ROWS + 1).count() > K.SEED_MASTERS_UP_TO_ROWS
     if populated:
         return []

@@ -57,12 +57,15 @@ DAILY_SALES = (
     "net_revenue decimal(24,2)"
 )
 
-# Columns a keyed load of each master table may carry; a feed may lack some.
-MASTER_COLUMNS = {
-    "products": ["product_id", "product_name", "category", "brand", "price", "stock"],
-    "customers": [
-        "customer_id", "customer_name", "customer_email", "city", "state",
-        "country", "customer_segment",
-    ],
-    "stores": ["store_id", "store_name", "city", "state"],
+# Columns of the stored master tables, key first; a feed may lack some.
+MASTERS = {
+    "products": (
+        "product_id string, product_name string, category string, brand string, "
+        "price double, stock int"
+    ),
+    "customers": (
+        "customer_id string, customer_name string, customer_email string, city string, "
+        "state string, country string, customer_segment string"
+    ),
+    "stores": "store_id string, store_name string, city string, state string",
 }

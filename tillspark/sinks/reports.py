@@ -6,7 +6,6 @@ import json
 import logging
 from datetime import datetime
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,7 +61,7 @@ def log_run(
     try:
         spark.createDataFrame([record], RUN_LOG).coalesce(1).write.mode("append").parquet(path)
         return True
-    except PySparkException:
+    except Exception:  # telemetry must not fail the run it describes
         logger.exception("run %s could not be logged", run_id)
         return False
 
