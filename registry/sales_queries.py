@@ -80,7 +80,8 @@ def _kpi_sql(where: str) -> str:
       case when total_orders - cancelled_orders > 0
            then cast(gross_sales as double) / (total_orders - cancelled_orders) else 0.0 end as aov,
       case when total_orders > 0 then cast(cancelled_orders as double) / total_orders * 100 else 0.0 end
-        as return_rate_pct
+        as return_rate_pct,
+      case when gross_sales > 0 then {share('guest_sales', 'gross_sales')} else 0 end as guest_pct
     from (select count(*) as total_records, count(distinct invoice_no) as total_orders,
       count(distinct customer_id) as active_customers,
       {big('case when is_cancellation = 0 then quantity else 0 end')} as units_sold,

@@ -4,14 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillspark.operators.dedup import first_per_key
 
-_BATCH = "_batch"
-
-
 def upsert(
     existing: DataFrame,
     incoming: DataFrame,
@@ -26,29 +23,31 @@ def upsert(
     the stored one, NULLs included. ``frozen`` columns, and columns the batch does not
     carry, keep the value that was stored first.
 
-    One union and one aggregate instead of an outer join: both inputs are shuffled once,
-    duplicates inside the batch are settled in the same pass, and a key repeated many
-    times in the batch is reduced before the shuffle.
+    The batch is reduced to one row per key before it meets the table, so a key repeated
+    many times is settled on the map side and neither side of the join has a hot key. The
+    reduced batch is already placed and sorted by key; only the table is shuffled for it.
     """
     columns = existing.columns
     carried = [c for c in columns if c in incoming.columns]
     missing = [k for k in keys if k not in carried]
     if missing:
         raise ValueError(f"batch lacks key columns {missing}")
-    kept = [c for c in columns if c not in keys and (c in frozen or c not in carried)]
-    ranked = [_BATCH, *order, *[c for c in columns if c not in keys and c not in order]]
-    tagged = existing.withColumn(_BATCH, F.lit(0)).unionByName(
-        incoming.select(*carried).withColumn(_BATCH, F.lit(1)), allowMissingColumns=True
-    )
-    row = F.struct(*ranked)
+    values = [c for c in carried if c not in keys]
+    kept = [c for c in values if c in frozen]
+    row = F.struct(*order, *[c for c in values if c not in order], F.lit(True).alias("_present"))
     sides = [F.max(row).alias("_last")] + ([F.min(row).alias("_first")] if kept else [])
-    merged = tagged.groupBy(*keys).agg(*sides)
-    return merged.select(
-        *[
-            F.col(c) if c in keys else F.col(f"{'_first' if c in kept else '_last'}.{c}").alias(c)
-            for c in columns
-        ]
-    )
+    batch = incoming.groupBy(*keys).agg(*sides)
+    stored = existing.withColumn("_stored", F.lit(True))
+
+    def settled(name: str) -> Column:
+        if name in kept:
+            return F.when(F.col("_stored"), F.col(name)).otherwise(F.col(f"_first.{name}"))
+        if name in values:
+            return F.when(F.col("_last").isNotNull(), F.col(f"_last.{name}")).otherwise(F.col(name))
+        return F.col(name)
+
+    merged = stored.join(batch, list(keys), "full_outer")
+    return merged.select(*[settled(c).alias(c) for c in columns])
 
 
 def touched_partitions(

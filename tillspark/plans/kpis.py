@@ -92,8 +92,13 @@ def sales_kpis(
     valid = orders - cancelled
     value = F.when(valid > 0, F.col("gross_sales").cast("double") / valid).otherwise(0.0)
     rate = F.when(orders > 0, cancelled / orders * 100).otherwise(0.0)
+    gross, guest = F.col("gross_sales"), F.col("guest_sales")
     return figures.select(
-        "*", valid.alias("valid_orders"), value.alias("aov"), rate.alias("return_rate_pct")
+        "*",
+        valid.alias("valid_orders"),
+        value.alias("aov"),
+        rate.alias("return_rate_pct"),
+        F.when(gross > 0, percent(guest, gross)).otherwise(0).alias("guest_pct"),
     )
 
 
