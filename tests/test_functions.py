@@ -21,6 +21,13 @@ def value(spark, column, schema=None, *row):
         ("01/02/2011 09:00", datetime(2011, 1, 2, 9, 0)),  # ambiguous: month first
         ("13/02/2011 09:00", datetime(2011, 2, 13, 9, 0)),  # only day first fits
         ("2011-02-03", datetime(2011, 2, 3)),
+        ("2011-02-30", None),  # right shape, no such day
+        ("2/30/2011 1:00", None),
+        ("2011-02-03 04:05", None),  # none of the four formats
+        ("2011-2-3", None),
+        ("2011-02-03\n", None),
+        (" 2011-02-03", None),
+        ("2011-02-03 24:00:00", None),
         ("junk", None),
         ("", None),
         (None, None),
@@ -46,6 +53,21 @@ def test_parse_order_date(spark, raw, expected):
     assert value(spark, parsing.parse_order_date(F.col("t")), "t string", raw) == expected
 
 
+@pytest.mark.parametrize(
+    "raw",
+    ["2011-02-03 04:05:06", "2/3/2011 4:05", "02/03/2011 04:05", "23/03/2011 04:05", "2011-02-03",
+     "12/31/2011 23:59", "1/1/2011 0:00", "0012/1/2011 1:00", "2011-13-01", "31/04/2011 10:00",
+     "+12011-01-01", "99/99/2011 10:00", "2011-02-03T04:05:06", "2011-02-03 4:05:06"],
+)
+def test_guards_change_no_result(spark, raw):
+    plain = F.coalesce(*[F.try_to_timestamp(F.col("t"), F.lit(f)) for f in K.INVOICE_DATE_FORMATS])
+    df = spark.createDataFrame([(raw,)], "t string")
+    row = df.select(plain.alias("a"), parsing.parse_timestamp(F.col("t")).alias("b")).select(
+        F.col("a").eqNullSafe(F.col("b")).alias("same"), F.col("a").cast("string"), F.col("b").cast("string")
+    ).first()
+    assert row.same, row
+
+
 def test_decimal_default_stays_decimal(spark):
     df = spark.createDataFrame([("x",), ("2.5",)], "t string")
     out = df.select(parsing.decimal_or(F.col("t"), "decimal(5,2)", "0.00").alias("v"))

@@ -26,13 +26,23 @@ _FIELD_TEXT = {
 }
 
 
+# formats whose every text means the same to a plain cast, which is several times faster
+_CASTABLE = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")
+
+
 def _may_fit(text: Column, fmt: str) -> Column:
     """Necessary condition for ``text`` to parse as ``fmt``."""
     parts = re.findall(r"[A-Za-z]+|[^A-Za-z]+", fmt)
     shape = "".join(
         _FIELD_TEXT.get(part, ".*") if part[0].isalpha() else re.escape(part) for part in parts
     )
-    return text.rlike(f"^{shape}$")
+    return text.rlike(rf"^{shape}\z")
+
+
+def _parse_as(text: Column, fmt: str) -> Column:
+    if fmt in _CASTABLE:
+        return text.try_cast("timestamp")
+    return F.try_to_timestamp(text, F.lit(fmt))
 
 
 def parse_timestamp(text: Column, formats: Sequence[str] = INVOICE_DATE_FORMATS) -> Column:
@@ -41,15 +51,18 @@ def parse_timestamp(text: Column, formats: Sequence[str] = INVOICE_DATE_FORMATS)
     A failed parse raises and catches inside Spark, which costs many times a successful
     one. Formats the text cannot have are ruled out first, so failures become rare.
     """
-    return F.coalesce(
-        *[F.when(_may_fit(text, fmt), F.try_to_timestamp(text, F.lit(fmt))) for fmt in formats]
-    )
+    return F.coalesce(*[F.when(_may_fit(text, fmt), _parse_as(text, fmt)) for fmt in formats])
 
 
 def parse_order_date(text: Column) -> Column:
-    """Date from ``yyyy-MM-dd`` or ``yyyy/MM/dd`` text, with a plain cast as fallback."""
-    dashed = F.regexp_replace(text, "/", "-")
-    return F.coalesce(F.try_to_date(dashed, "yyyy-MM-dd"), dashed.try_cast("date"))
+    """Date from text such as ``2024-01-02`` or ``2024/01/02``."""
+    return F.replace(text, F.lit("/"), F.lit("-")).try_cast("date")
+
+
+def parse_ymd(text: Column) -> Column:
+    """Date from year, month and day alone; month and day may be unpadded."""
+    dashed = F.replace(F.trim(text), F.lit("/"), F.lit("-"))
+    return F.when(dashed.rlike(r"^\d{4}-\d{1,2}-\d{1,2}\z"), dashed.try_cast("date"))
 
 
 def nullable_id(text: Column) -> Column:

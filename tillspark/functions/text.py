@@ -14,7 +14,7 @@ def blank_to(value: Column, default: str) -> Column:
 
 def is_blank(value: Column) -> Column:
     """True for NULL, empty and whitespace-only text."""
-    return value.isNull() | value.rlike(r"(?U)^\s*$")
+    return value.isNull() | ~value.rlike(r"(?U)\S")
 
 
 def title_words(value: Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tillspark import constants as K
 from tillspark.functions.money import percent
 from tillspark.functions.once import with_columns_once
+from tillspark.functions.parsing import parse_ymd
 from tillspark.functions.text import is_blank
 
 
@@ -60,9 +61,7 @@ def _valid_price(name: str) -> Column:
 
 
 def _date_in_years(name: str, first: int, last: int) -> Column:
-    text = F.regexp_replace(F.trim(F.col(name)), "/", "-")
-    year = F.year(F.try_to_date(text, "yyyy-M-d"))
-    return F.coalesce(~year.between(first, last), F.lit(True))
+    return F.coalesce(~F.year(parse_ymd(F.col(name))).between(first, last), F.lit(True))
 
 
 def _unknown(key: str, flag: str) -> Column:

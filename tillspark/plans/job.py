@@ -1,6 +1,6 @@
 """The whole batch job: validate, curate, load, log.
 
-    spark-submit -m tillspark.plans.job --raw ... --lake ... --warehouse ... --reports ...
+    spark-submit sales_job.py --raw ... --lake ... --warehouse ... --reports ...
 """
 
 from __future__ import annotations
