@@ -140,8 +140,28 @@ def test_daily_and_order_line_loads(spark, tmp_path):
     lines = spark.createDataFrame(
         [("o", "p", 1), ("o", "q", 1), ("r", "p", 1)], "order_id string, product_id string, quantity int"
     )
-    assert W.load_order_lines(spark, lines, house, max_rows=2).count() == 2
-    assert W.load_order_lines(spark, lines, house).count() == 3
+    assert W.load_order_lines(spark, lines, house, max_rows=2, buckets=4).count() == 2
+    assert W.load_order_lines(spark, lines, house, buckets=4).count() == 3
+    late = lines.where("order_id = 'r'").withColumn("quantity", F.lit(9))
+    stored = W.load_order_lines(spark, late, house, buckets=4)
+    assert rows(stored.select("order_id", "product_id", "quantity")) == [("o", "p", 1), ("o", "q", 1), ("r", "p", 9)]
+    assert W.load_order_lines(spark, late.limit(0), house, buckets=4).count() == 3
+
+
+def test_only_touched_days_are_rewritten(spark, tmp_path):
+    one = Decimal("1.00")
+
+    def daily(day, orders):
+        return spark.createDataFrame([(day, "s", "c", orders, 2, one, one, one)], schemas.DAILY_SALES)
+
+    house = str(tmp_path)
+    W.load_daily_sales(spark, daily(date(2024, 1, 2), 1), house)
+    kept = sorted((tmp_path / "agg_daily_sales" / "sale_date=2024-01-02").iterdir())
+    stored = W.load_daily_sales(spark, daily(date(2024, 1, 3), 5), house)
+    assert stored.columns == [f.split()[0] for f in schemas.DAILY_SALES.split(", ")]
+    assert sorted((tmp_path / "agg_daily_sales" / "sale_date=2024-01-02").iterdir()) == kept
+    stored = W.load_daily_sales(spark, daily(date(2024, 1, 3), 7), house)
+    assert sorted(r.total_orders for r in stored.collect()) == [1, 7]
 
 
 def test_masters(spark, tmp_path):

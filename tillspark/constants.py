@@ -72,6 +72,9 @@ SPEND_BANDS = (
 )
 SPEND_BAND_REST = "Budget (<£500)"
 
+# --- storage layout ---------------------------------------------------------------
+ORDER_LINE_BUCKETS = 256
+
 # --- column types shared by all reports ---------------------------------------
 PRICE = "decimal(10,2)"
 AMOUNT = "decimal(12,2)"

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillspark.constants import PRICE, SPEND
-from tillspark.functions.money import mean
+from tillspark.functions.money import ratio
 from tillspark.functions.sales import is_completed
 
 
@@ -64,13 +64,25 @@ def dim_customers(facts: DataFrame) -> DataFrame:
 
 
 def dim_products_lake(facts: DataFrame) -> DataFrame:
-    """Lake definition: units without returns, average price as the latest price."""
-    return facts.groupBy("stock_code").agg(
+    """Lake definition: units without returns, average price as the latest price.
+
+    A hash aggregate per product and description comes first; only its small result is
+    sorted for the largest description.
+    """
+    sold = F.when(is_completed(), F.col("quantity")).otherwise(0)
+    named = facts.groupBy("stock_code", "description").agg(
+        F.sum(sold).alias("units"),
+        F.sum("unit_price").alias("prices"),
+        F.count("unit_price").alias("priced"),
+        F.min("invoice_date").alias("first_date"),
+        F.max("invoice_date").alias("last_date"),
+    )
+    return named.groupBy("stock_code").agg(
         F.max("description").alias("description"),
-        F.sum(F.when(is_completed(), F.col("quantity")).otherwise(0)).cast("bigint").alias("total_units_sold"),
-        mean(F.col("unit_price")).cast(PRICE).alias("latest_unit_price"),
-        F.min("invoice_date").alias("first_sold_at"),
-        F.max("invoice_date").alias("last_sold_at"),
+        F.sum("units").cast("bigint").alias("total_units_sold"),
+        ratio(F.sum("prices"), F.sum("priced")).cast(PRICE).alias("latest_unit_price"),
+        F.min("first_date").alias("first_sold_at"),
+        F.max("last_date").alias("last_sold_at"),
     )
 
 

@@ -20,7 +20,7 @@ from tillspark.operators.merge import new_rows, touched_partitions, upsert
 from tillspark.operators.quality import QualityGateError, require_columns
 from tillspark.operators.rollups import table_counts
 from tillspark.session import staged
-from tillspark.sinks.lake import append_rows, replace_table
+from tillspark.sinks.lake import append_rows, replace_table, write_partitions
 from tillspark.sources.lake import read_lake, read_or_empty
 
 TABLES = {
@@ -44,6 +44,29 @@ def upsert_table(
     return replace_table(upsert(existing, incoming, keys, frozen=frozen, order=order), path)
 
 
+def upsert_partitions(
+    spark: SparkSession,
+    path: str,
+    schema: str | StructType,
+    incoming: DataFrame,
+    keys: Sequence[str],
+    partition: str,
+    order: Sequence[str] = (),
+) -> DataFrame:
+    """Keyed load of a partitioned table that rewrites only the partitions it touches.
+
+    ``partition`` has to follow from the key, so that a key never changes its partition.
+    """
+    # looked at twice, for its partitions and for its rows
+    batch = staged(incoming, "upsert-batch")
+    if not batch.isEmpty():
+        stored = touched_partitions(read_or_empty(spark, path, schema), batch, [partition])
+        merged = upsert(stored, batch, keys, order=order)
+        # complete before the partitions it was read from are replaced
+        write_partitions(staged(merged, "upsert-result"), path, partition)
+    return read_or_empty(spark, path, schema)
+
+
 def load_dimensions(spark: SparkSession, facts: DataFrame, warehouse: str) -> None:
     """Upsert both dimensions; first-seen dates keep the value loaded first."""
     upsert_table(
@@ -101,9 +124,10 @@ def load_warehouse(
 
 
 def load_daily_sales(spark: SparkSession, daily: DataFrame, warehouse: str) -> DataFrame:
-    """Upsert daily aggregates on their grain."""
-    return upsert_table(
-        spark, f"{warehouse}/agg_daily_sales", schemas.DAILY_SALES, daily, K.DAILY_SALES_KEY
+    """Upsert daily aggregates on their grain, day by day."""
+    path = f"{warehouse}/agg_daily_sales"
+    return upsert_partitions(
+        spark, path, schemas.DAILY_SALES, daily, K.DAILY_SALES_KEY, "sale_date"
     )
 
 
@@ -113,11 +137,18 @@ def load_order_lines(
     warehouse: str,
     order: Sequence[str] = (),
     max_rows: int | None = None,
+    buckets: int = K.ORDER_LINE_BUCKETS,
 ) -> DataFrame:
-    """Upsert order lines on (order, product); ``max_rows`` loads a sample only."""
-    path = f"{warehouse}/order_lines"
-    batch = lines if max_rows is None else lines.limit(max_rows)
-    return upsert_table(spark, path, lines.schema, batch, K.ORDER_LINE_KEY, order=order)
+    """Upsert order lines on (order, product); ``max_rows`` loads a sample only.
+
+    The table is partitioned by a hash of the order: a late batch rewrites the buckets of
+    its own orders and not the whole table.
+    """
+    sample = lines if max_rows is None else lines.limit(max_rows)
+    batch = sample.withColumn("order_bucket", F.pmod(F.hash("order_id"), F.lit(buckets)))
+    return upsert_partitions(
+        spark, f"{warehouse}/order_lines", batch.schema, batch, K.ORDER_LINE_KEY, "order_bucket", order
+    )
 
 
 # --- masters -----------------------------------------------------------------------

@@ -11,13 +11,14 @@ from pyspark.sql.types import StructType
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
-    """The table at ``path``, or an empty one where nothing was written yet."""
+    """The table at ``path`` in the declared column order; empty where nothing was written."""
+    declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(declared).parquet(path).select(*declared.names)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], declared)
 
 
 def read_lake(

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tillspark.plans.curate import curate
 from tillspark.plans.warehouse import load_fact
 from tillspark.schemas import CORRUPT_RECORD, RAW_SALES
+from tillspark.session import staged
 
 
 def stream_raw_sales(
@@ -43,14 +44,13 @@ def load_stream(
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         corrupt = F.col(CORRUPT_RECORD)
-        path = f"{warehouse}/_feed_batches/batch={batch_id}"
-        batch.write.mode("overwrite").parquet(path)
-        parsed = spark.read.schema(batch.schema).parquet(path)
+        # parsed once with every column; the batch is looked at several times
+        parsed = staged(batch, "feed-batch")
         parsed.where(corrupt.isNotNull()).select(corrupt.alias("raw_text")).write.mode(
             "overwrite"
         ).json(f"{warehouse}/malformed_lines/batch={batch_id}")
         good = parsed.where(corrupt.isNull()).drop(CORRUPT_RECORD)
-        load_fact(spark, curate(good, source_system), warehouse)
+        load_fact(spark, staged(curate(good, source_system), "curated-batch"), warehouse)
 
     return (
         lines.writeStream.foreachBatch(load_batch)
