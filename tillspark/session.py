@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
 
@@ -43,14 +44,16 @@ def _local_scratch(application_id: str) -> str:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a local session, which has one machine, may fall back to a scratch folder.
+    Where ``spark.checkpoint.dir`` is unset, only a session whose executor is the driver
+    itself gets a folder of its own; any other master, ``local-cluster`` too, is refused.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    context = spark.sparkContext
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return _local_scratch(spark.conf.get("spark.app.id"))
+    return _local_scratch(context.applicationId)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
