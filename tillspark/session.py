@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import functools
 import re
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
+PACKAGE = Path(__file__).resolve().parent
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -56,6 +61,17 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_scratch(context.applicationId)
 
 
+@functools.cache
+def _shipped(context: SparkContext) -> None:
+    archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='tillspark-')}/tillspark", "zip", PACKAGE.parent, PACKAGE.name)
+    context.addPyFile(archive)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers, wherever they run and however it was imported."""
+    _shipped(spark.sparkContext)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return a reader over the copy.
 
