@@ -9,12 +9,16 @@ compared. The remaining sets are indexed by prefix lists, in two levels:
 2. What is left is ordered from rare to common, and only as many lists as that bound needs
    are looked at: lists of passages that many sets share are skipped by position.
 
+3. The elements of the sets that are left are counted in full; a set that shares less than the
+   wanted percentage of its elements with other sets, whichever these are, is skipped as well.
+
 Within an index list, pairs are not enumerated. The most typical set of a list, the one most
 of whose elements others share, is its leader and every set of the list is compared with it.
 From these overlaps the answers of similar sets follow: sets linked to the same leader are
-connected and need no comparison, and the overlap of two sets a, b can be at most
-``|a & leader| + |b| - |b & leader|``. Only pairs which that bound leaves open are compared.
-The result is exact: no cap, no sampling; hash values are 64 bits wide.
+connected and need no comparison, and two sets a, b have at most
+``min(|a & leader|, |b & leader|) + min(|a' - leader|, |b' - leader|)`` elements in common,
+where a', b' leave out the elements that no other set has. Only pairs which that bound leaves
+open are compared. The result is exact: no cap, no sampling; hash values are 64 bits wide.
 
 Defined cases. A null or empty text has the empty set and links with nothing. Repeated rows
 and equal texts are members of one class. A row without doc_id takes part; it gets the
@@ -102,7 +106,7 @@ def _index_entries(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _lists(entries: DataFrame, percent: int) -> DataFrame:
-    """Index lists that can hold a link: (token, set_key, n, typical), one row per entry."""
+    """Index lists that can hold a link: (token, set_key), one row per entry."""
     shared = (
         entries.groupBy("token")
         .agg(F.count("*").alias("df"), F.min("set_key").alias("low"), F.max("set_key").alias("high"))
@@ -119,9 +123,7 @@ def _lists(entries: DataFrame, percent: int) -> DataFrame:
     )
     # of the n elements, n - floor(2n/3) are entries; two linked sets share this many of them
     needed = F.ceil((F.lit(percent) * F.col("n") * 3 - F.col("n") * 200) / 300)
-    return ranked.where(F.col("rank") <= F.col("live") - needed + 1).select(
-        "token", "set_key", "n", (F.col("live") * 1000 / (F.col("n") - F.floor(F.col("n") * 2 / 3))).cast("int").alias("typical")
-    )
+    return ranked.where(F.col("rank") <= F.col("live") - needed + 1).select("token", "set_key")
 
 
 FILTER_BITS = 1 << 23
@@ -144,7 +146,7 @@ def _key_filter(keys: DataFrame) -> bytes:
 
 
 def _set_arrays(docs: DataFrame, keys: DataFrame, width: int) -> DataFrame:
-    """(set_key, n, tokens) of the sets in ``keys``, each once.
+    """(set_key, tokens) of the sets in ``keys``, each once.
 
     The bitmap keeps most other sets from being shuffled; the semi-join decides.
     """
@@ -172,37 +174,70 @@ def _set_arrays(docs: DataFrame, keys: DataFrame, width: int) -> DataFrame:
     return found.join(keys, "set_key", "left_semi").groupBy("set_key").agg(F.first("tokens").alias("tokens"))
 
 
-def _overlaps(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
-    """(a, b, size_a, size_b, overlap) of the pairs (a, b)."""
+def _live_sets(sets: DataFrame, percent: int) -> DataFrame:
+    """(set_key, n, live): of each set the elements, sorted, that another set has as well.
+
+    Only these can be in an overlap. A set that keeps fewer than ``percent`` of its elements
+    links with nothing and is left out.
+    """
 
     def run(batches):
         for batch in batches:
-            a, b = batch.column("tokens_a"), batch.column("tokens_b")
-            sizes, common = [], []
-            for x, y in zip(a, b):
-                x, y = np.frombuffer(x.as_py(), U64), np.frombuffer(y.as_py(), U64)
+            for at in range(0, batch.num_rows, BATCH_ROWS):
+                part = batch.slice(at, BATCH_ROWS)
+                tokens = [np.frombuffer(t.as_py(), np.int64) for t in part.column("tokens")]
+                sizes = np.array([len(t) for t in tokens], np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate(tokens)),
+                        pa.array(np.repeat(part.column("set_key").to_numpy(), sizes)),
+                        pa.array(np.repeat(sizes, sizes)),
+                    ],
+                    ["token", "set_key", "n"],
+                )
+
+    rows = sets.mapInArrow(run, "token bigint, set_key bigint, n bigint")
+    shared = (
+        rows.groupBy("token")
+        .agg(F.min("set_key").alias("low"), F.max("set_key").alias("high"))
+        .where("low <> high")
+        .select("token")
+    )
+    live = F.sort_array(F.collect_list("token"))  # at most the words of one document
+    return (
+        rows.join(shared, "token")
+        .groupBy("set_key", "n")
+        .agg(live.alias("live"))
+        .where(100 * F.size("live") >= percent * F.col("n"))
+    )
+
+
+def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, size_a, size_b, overlap) of the pairs (a, b), from their live elements."""
+
+    def values(column) -> list[np.ndarray]:
+        where, flat = column.offsets.to_numpy(), column.values.to_numpy()
+        return [flat[low:high] for low, high in zip(where[:-1], where[1:])]
+
+    def run(batches):
+        for batch in batches:
+            common = []
+            for x, y in zip(values(batch.column("live_a")), values(batch.column("live_b"))):
                 if len(x) > len(y):
-                    at = np.searchsorted(x, y)
-                    hits = int(np.count_nonzero(x[np.minimum(at, len(x) - 1)] == y))
-                else:
-                    at = np.searchsorted(y, x)
-                    hits = int(np.count_nonzero(y[np.minimum(at, len(y) - 1)] == x))
-                sizes.append((len(x), len(y)))
-                common.append(hits)
+                    x, y = y, x
+                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+                common.append(int(np.count_nonzero(y[at] == x)))
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("a"),
-                    batch.column("b"),
-                    pa.array([x for x, _ in sizes], pa.int64()),
-                    pa.array([y for _, y in sizes], pa.int64()),
-                    pa.array(common, pa.int64()),
-                ],
+                [*(batch.column(c) for c in ("a", "b", "size_a", "size_b")), pa.array(common, pa.int64())],
                 ["a", "b", "size_a", "size_b", "overlap"],
             )
 
-    joined = pairs.join(
-        arrays.select(F.col("set_key").alias("a"), F.col("tokens").alias("tokens_a")), "a"
-    ).join(arrays.select(F.col("set_key").alias("b"), F.col("tokens").alias("tokens_b")), "b")
+    def side(name: str) -> DataFrame:
+        return sets.select(
+            F.col("set_key").alias(name), F.col("n").alias(f"size_{name}"), F.col("live").alias(f"live_{name}")
+        )
+
+    joined = pairs.join(side("a"), "a").join(side("b"), "b")
     return joined.mapInArrow(run, "a bigint, b bigint, size_a bigint, size_b bigint, overlap bigint")
 
 
@@ -219,48 +254,57 @@ def set_links(docs: DataFrame, percent: int = LINK_PERCENT, width: int = SHINGLE
     if not 66 < percent <= 100:
         raise ValueError("percent must be over 66 and at most 100")
     lists = staged(_lists(_index_entries(docs, width), percent), "set-lists")
+    found = staged(_set_arrays(docs, lists.select("set_key").distinct(), width), "set-arrays")
+    sets = staged(_live_sets(found, percent), "set-live")
+    sizes = sets.select("set_key", "n", F.size("live").cast("bigint").alias("live"))
+    lists = lists.select("token", "set_key").join(sizes, "set_key")
+    typical = F.struct((F.col("live") * 1000 / F.col("n")).cast("int").alias("share"), "n", "set_key")
     leaders = (
         lists.groupBy("token")
-        .agg(F.max(F.struct("typical", "n", "set_key")).alias("top"), F.count("*").alias("sets"))
+        .agg(F.max(typical).alias("top"), F.count("*").alias("sets"))
         .where("sets > 1")
         .select("token", F.col("top.set_key").alias("leader"))
     )
-    led = lists.join(leaders, "token")
-    arrays = staged(_set_arrays(docs, lists.select("set_key").distinct(), width), "set-arrays")
+    led = staged(lists.join(leaders, "token"), "set-led")
     star = led.select(F.col("leader").alias("a"), F.col("set_key").alias("b")).where("a <> b").distinct()
-    compared = staged(_overlaps(star, arrays).withColumn("linked", _linked(percent)), "set-stars")
+    compared = staged(_overlaps(star, sets).withColumn("linked", _linked(percent)), "set-stars")
 
     # a list's sets with their overlap with its leader; the leader itself overlaps whole
     to_leader = compared.select(
         F.col("a").alias("leader"), F.col("b").alias("set_key"), "overlap", "linked"
     )
-    known = led.join(to_leader, ["leader", "set_key"], "left").select(
-        "token",
-        "set_key",
-        F.col("n").cast("bigint").alias("n"),
-        F.coalesce("overlap", "n").cast("bigint").alias("shared"),
-        F.coalesce("linked", F.lit(True)).alias("near"),
-    )
-    known = staged(known, "set-relations")
-    far = known.where("not near").select(
-        "token", F.col("set_key").alias("a"), F.col("n").alias("na"), F.col("shared").alias("sa")
+    known = staged(
+        led.join(to_leader, ["leader", "set_key"], "left").select(
+            "token",
+            "set_key",
+            "n",
+            "live",
+            F.coalesce("overlap", "live").alias("shared"),
+            F.coalesce("linked", F.lit(True)).alias("near"),
+        ),
+        "set-relations",
     )
-    every = known.select(
-        "token", F.col("set_key").alias("b"), F.col("n").alias("nb"), F.col("shared").alias("sb"), F.col("near").alias("near_b")
+    far, every = (
+        known.select("token", *[F.col(c).alias(f"{c}_{side}") for c in known.columns if c != "token"])
+        for side in "ab"
     )
-    most = F.least(F.col("sa") + F.col("nb") - F.col("sb"), F.col("sb") + F.col("na") - F.col("sa"), "na", "nb")
+    far = far.where("not near_a")
+    # elements of the overlap are in the leader, or live elements outside it
+    inside = F.least("shared_a", "shared_b")
+    outside = F.least(F.col("live_a") - F.col("shared_a"), F.col("live_b") - F.col("shared_b"))
+    most = inside + outside
     open_pairs = (
         far.join(
             every,
             (far["token"] == every["token"])
-            & (F.col("near_b") | (F.col("a") < F.col("b")))
-            & (100 * most >= percent * (F.col("na") + F.col("nb") - most)),
+            & (F.col("near_b") | (F.col("set_key_a") < F.col("set_key_b")))
+            & (F.col("set_key_a") != F.col("set_key_b"))
+            & (100 * most >= percent * (F.col("n_a") + F.col("n_b") - most)),
         )
-        .where("a <> b")
-        .select("a", "b")
+        .select(F.col("set_key_a").alias("a"), F.col("set_key_b").alias("b"))
         .distinct()
     )
-    rest = _overlaps(open_pairs, arrays).where(_linked(percent)).select("a", "b")
+    rest = _overlaps(open_pairs, sets).where(_linked(percent)).select("a", "b")
     return compared.where("linked").select("a", "b").unionByName(rest)
 
 
