@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillspark.llm import setjoin
-from tillspark.session import staged
+from tillspark.session import ship_package, staged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -28,6 +28,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``; each result is written and read again."""
+    ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for position, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

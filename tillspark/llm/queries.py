@@ -2,18 +2,31 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tillspark.llm import decontaminate, packing, quality, setjoin
+from tillspark.session import ship_package
 
-from tillspark.llm import setjoin
+TOKENIZER = "word_bpe_49k.json"
 
 QUERIES = {}
 ORACLE = {}
 
 
 def query(function):
-    """Register ``function`` under its own name."""
-    QUERIES[function.__name__] = function
-    return function
+    """Register ``function`` under its own name; its workers get this package."""
+
+    @wraps(function)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return function(spark, sf_dir)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,3 +37,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the size of its shingle set and the component it is linked into."""
     return setjoin.similar_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the benchmark items that leaked into it."""
+    return decontaminate.leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its text statistics, likelihood ratio and verdict."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.with_quality(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "quality.*")
+
+
+@query
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a packed sequence."""
+    pieces = packing.packed_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
