@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillspark.llm import decontaminate, packing, quality, setjoin
+from tillspark.llm import decontaminate, licenses, packing, quality, setjoin, surrogates, toxicity
 from tillspark.session import ship_package
 
 TOKENIZER = "word_bpe_49k.json"
+# stands in for a secret that a deployment supplies
+SURROGATE_KEY = b"registered query"
 
 QUERIES = {}
 ORACLE = {}
@@ -60,3 +62,22 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@query
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced by surrogates."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.with_surrogates(docs, SURROGATE_KEY)
+
+
+@query
+def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the licenses it names."""
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("detections")
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its toxicity score."""
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

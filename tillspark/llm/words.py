@@ -8,7 +8,7 @@ loop over words. A-Z is lower-cased, nothing else is.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +44,17 @@ class Words:
     ends: np.ndarray
     first: np.ndarray  # index of each text's first word, and the number of words
 
-    def __post_init__(self):
-        self.hashes = _hashes(self.data, self.starts, self.ends)
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        return _hashes(self.data, self.starts, self.ends)
+
+    def prefixes(self, size: int) -> np.ndarray:
+        """Hash of the first ``size`` bytes of every word (of all, where it has fewer)."""
+        return _hashes(self.data, self.starts, np.minimum(self.starts + size, self.ends))
+
+    def counts(self) -> np.ndarray:
+        """Number of words of each text."""
+        return np.diff(self.first)
 
     def of(self, text: int) -> np.ndarray:
         return self.hashes[self.first[text] : self.first[text + 1]]
@@ -101,8 +110,8 @@ def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
     at = 0
     while at < len(starts):
         low = starts[at]
-        to = max(at + 1, int(np.searchsorted(ends, low + BLOCK, side="right")))
-        size = int(ends[to - 1] - low)
+        to = max(at + 1, int(np.searchsorted(starts, low + BLOCK // 2)))
+        size = int(ends[at:to].max() - low)
         up, down = _powers(BLOCK if size <= BLOCK else 1 << (size - 1).bit_length())
         total = np.zeros(size + 1, U64)
         np.cumsum((data[low : low + size].astype(U64) + U64(1)) * up[:size], out=total[1:])
