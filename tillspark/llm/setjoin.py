@@ -17,8 +17,9 @@ of whose elements others share, is its leader and every set of the list is compa
 From these overlaps the answers of similar sets follow: sets linked to the same leader are
 connected and need no comparison, and two sets a, b have at most
 ``min(|a & leader|, |b & leader|) + min(|a' - leader|, |b' - leader|)`` elements in common,
-where a', b' leave out the elements that no other set has. Only pairs which that bound leaves
-open are compared. The result is exact: no cap, no sampling; hash values are 64 bits wide.
+where a', b' leave out the elements that no other set has. The sets of a leader with equal
+size and overlaps form a block: blocks which that bound rules out are skipped whole, and only
+pairs with a set of the blocks left are compared. The result is exact: no cap, no sampling; hash values are 64 bits wide.
 
 Defined cases. A null or empty text has the empty set and links with nothing. Repeated rows
 and equal texts are members of one class. A row without doc_id takes part; it gets the
@@ -245,10 +246,41 @@ def _linked(percent: int):
     return 100 * F.col("overlap") >= percent * (F.col("size_a") + F.col("size_b") - F.col("overlap"))
 
 
+def _compared_with_leader(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(leader, set_key, n, inside, outside, near) of every set in the lists of a leader.
+
+    ``inside`` counts the elements a set shares with the leader, ``outside`` its other live
+    ones. The leader of a list is the set most of whose elements others share.
+    """
+    typical = F.struct((F.col("live") * 1000 / F.col("n")).cast("int").alias("share"), "n", "set_key")
+    leaders = (
+        lists.groupBy("token")
+        .agg(F.max(typical).alias("top"), F.count("*").alias("sets"))
+        .where("sets > 1")
+        .select("token", F.col("top.set_key").alias("leader"))
+    )
+    led = lists.join(leaders, "token").select("leader", "set_key", "n", "live").distinct()
+    led = staged(led, "set-led")
+    pairs = led.where("leader <> set_key").select(F.col("leader").alias("a"), F.col("set_key").alias("b"))
+    compared = _overlaps(pairs, sets).select(
+        F.col("a").alias("leader"), F.col("b").alias("set_key"), "overlap", _linked(percent).alias("linked")
+    )
+    # the leader's own overlap is whole
+    return led.join(compared, ["leader", "set_key"], "left").select(
+        "leader",
+        "set_key",
+        "n",
+        F.coalesce("overlap", "live").alias("inside"),
+        (F.col("live") - F.coalesce("overlap", "live")).alias("outside"),
+        F.coalesce("linked", F.lit(True)).alias("near"),
+    )
+
+
 def set_links(docs: DataFrame, percent: int = LINK_PERCENT, width: int = SHINGLE_WORDS) -> DataFrame:
     """Links (a, b) between set keys that connect exactly what the Jaccard join connects.
 
-    Every pair of sets that links is connected by these, mostly through a common leader.
+    Every pair of sets that links is connected by these. A pair shares a list and so a leader:
+    either both are linked to it, or the pair is among those that are compared below.
     ``percent`` has to be over 66, as a third of a set is indexed.
     """
     if not 66 < percent <= 100:
@@ -258,54 +290,39 @@ def set_links(docs: DataFrame, percent: int = LINK_PERCENT, width: int = SHINGLE
     sets = staged(_live_sets(found, percent), "set-live")
     sizes = sets.select("set_key", "n", F.size("live").cast("bigint").alias("live"))
     lists = lists.select("token", "set_key").join(sizes, "set_key")
-    typical = F.struct((F.col("live") * 1000 / F.col("n")).cast("int").alias("share"), "n", "set_key")
-    leaders = (
-        lists.groupBy("token")
-        .agg(F.max(typical).alias("top"), F.count("*").alias("sets"))
-        .where("sets > 1")
-        .select("token", F.col("top.set_key").alias("leader"))
+    members = staged(_compared_with_leader(lists, sets, percent), "set-relations")
+    linked = members.where("near and set_key <> leader").select(F.col("leader").alias("a"), F.col("set_key").alias("b"))
+    # once more among the sets that are far from their leader: it connects their own groups
+    far_lists = lists.join(
+        members.where("not near").select("set_key").distinct(), "set_key", "left_semi"
     )
-    led = staged(lists.join(leaders, "token"), "set-led")
-    star = led.select(F.col("leader").alias("a"), F.col("set_key").alias("b")).where("a <> b").distinct()
-    compared = staged(_overlaps(star, sets).withColumn("linked", _linked(percent)), "set-stars")
-
-    # a list's sets with their overlap with its leader; the leader itself overlaps whole
-    to_leader = compared.select(
-        F.col("a").alias("leader"), F.col("b").alias("set_key"), "overlap", "linked"
+    second = _compared_with_leader(far_lists, sets, percent).where("near and set_key <> leader")
+    linked = staged(
+        linked.unionByName(second.select(F.col("leader").alias("a"), F.col("set_key").alias("b"))).distinct(), "set-links"
     )
-    known = staged(
-        led.join(to_leader, ["leader", "set_key"], "left").select(
-            "token",
-            "set_key",
-            "n",
-            "live",
-            F.coalesce("overlap", "live").alias("shared"),
-            F.coalesce("linked", F.lit(True)).alias("near"),
-        ),
-        "set-relations",
+    groups = components.connected(linked).withColumnRenamed("node", "set_key")
+    members = staged(
+        members.join(groups, "set_key", "left").withColumn("component", F.coalesce("component", "set_key")), "set-groups"
     )
-    far, every = (
-        known.select("token", *[F.col(c).alias(f"{c}_{side}") for c in known.columns if c != "token"])
-        for side in "ab"
-    )
-    far = far.where("not near_a")
-    # elements of the overlap are in the leader, or live elements outside it
-    inside = F.least("shared_a", "shared_b")
-    outside = F.least(F.col("live_a") - F.col("shared_a"), F.col("live_b") - F.col("shared_b"))
-    most = inside + outside
-    open_pairs = (
-        far.join(
-            every,
-            (far["token"] == every["token"])
-            & (F.col("near_b") | (F.col("set_key_a") < F.col("set_key_b")))
-            & (F.col("set_key_a") != F.col("set_key_b"))
-            & (100 * most >= percent * (F.col("n_a") + F.col("n_b") - most)),
-        )
-        .select(F.col("set_key_a").alias("a"), F.col("set_key_b").alias("b"))
-        .distinct()
+    # members with equal numbers are one block; a block that the bound rules out is skipped
+    block = ["n", "inside", "outside"]
+    blocks = members.groupBy("leader", *block).agg(F.count("*").alias("sets"))
+    far = members.where("not near").select(
+        "leader", F.col("set_key").alias("a"), F.col("component").alias("component_a"),
+        *[F.col(c).alias(f"{c}_a") for c in block],
+    )
+    most = F.least("inside_a", "inside") + F.least("outside_a", "outside")
+    visited = far.join(blocks, "leader").where(100 * most >= percent * (F.col("n_a") + F.col("n") - most))
+    other = members.withColumnRenamed("set_key", "b").alias("other")
+    same_block = [visited[c] == F.col(f"other.{c}") for c in ("leader", *block)]
+    open_pairs = visited.join(
+        other, [*same_block, F.col("component_a") != F.col("component"), F.col("near") | (F.col("a") < F.col("b"))]
     )
+    open_pairs = open_pairs.select("a", "b").distinct()
     rest = _overlaps(open_pairs, sets).where(_linked(percent)).select("a", "b")
-    return compared.where("linked").select("a", "b").unionByName(rest)
+    # a group's own links are stood for by those to its first set
+    grouped = groups.where("set_key <> component").select(F.col("set_key").alias("a"), F.col("component").alias("b"))
+    return grouped.unionByName(rest)
 
 
 def similar_components(
