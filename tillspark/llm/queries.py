@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillspark.llm import decontaminate, licenses, packing, quality, setjoin, surrogates, toxicity
+from tillspark.llm import decontaminate, htmltext, licenses, packing, quality, setjoin, surrogates, toxicity, warc
 from tillspark.session import ship_package
 
 TOKENIZER = "word_bpe_49k.json"
@@ -81,3 +81,17 @@ def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its toxicity score."""
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as its record in the archives says, after writing and reading them."""
+    return warc.archived(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+@query
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page with its main text."""
+    return htmltext.main_texts(table(spark, sf_dir, "pages"))
