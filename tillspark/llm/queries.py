@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillspark.llm import decontaminate, htmltext, licenses, packing, quality, setjoin, surrogates, toxicity, warc
+from tillspark.llm import chat, decontaminate, htmltext, licenses, packing, quality, setjoin, surrogates, toxicity, warc
 from tillspark.session import ship_package
 
 TOKENIZER = "word_bpe_49k.json"
@@ -95,3 +95,9 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page with its main text."""
     return htmltext.main_texts(table(spark, sf_dir, "pages"))
+
+
+@query
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn with its repaired role and its part of the rendered conversation."""
+    return chat.repaired(table(spark, sf_dir, "conversations"))
