@@ -4,22 +4,54 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillspark.llm import setjoin
+from tillspark.llm import decontaminate, packing, quality, setjoin, surrogates
 from tillspark.session import ship_package, staged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+# stands in for a secret that a deployment supplies
+SURROGATE_KEY = b"corpus pipeline"
+TOKENIZER = "word_bpe_49k.json"
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and the likelihood ratio against the trusted ones."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest doc_id of every group of near-duplicates."""
+    """The document with the smallest doc_id of every group of near-duplicates."""
     return setjoin.keep_first(docs)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents into which no benchmark item leaked."""
+    return decontaminate.remove_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by surrogates."""
+    return surrogates.with_surrogates(docs, SURROGATE_KEY).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a packed sequence."""
+    pieces = packing.packed_pieces(docs, public_tokenizers.path(TOKENIZER))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("near duplicates", near_duplicates),
+    ("quality rules", quality_rules),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("PII", personal_data),
+    ("packing", packed),
 ]
 
 # hashing, language models and tokenizers have no SQL form; tests hold brute-force versions

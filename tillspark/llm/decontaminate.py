@@ -174,16 +174,19 @@ def leaked_items(docs: DataFrame, benchmark: DataFrame, block_seeds: int = BLOCK
 
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, block_seeds: int = BLOCK_SEEDS) -> DataFrame:
     """The rows of ``docs``, with all their columns, that hold no leaked item."""
+    text = docs.columns.index("text")
+    rows = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # any names pass
+    schema = rows.schema
     for index in _blocks(benchmark, block_seeds):
         sent = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches, sent=sent):
             for part in _parts(batches):
-                hits = sent.value.matches(part.column("text"))
+                hits = sent.value.matches(part.column(text))
                 yield part.filter(pa.array([not hit for hit in hits], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+        rows = rows.mapInArrow(run, schema)
+    return rows.toDF(*docs.columns)
 
 
 def _parts(batches):

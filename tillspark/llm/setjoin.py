@@ -44,6 +44,7 @@ from tillspark.session import staged
 SHINGLE_WORDS = 5
 LINK_PERCENT = 80
 BATCH_ROWS = 256  # rows whose words are held at once
+BROADCAST_IDS = 1_000_000  # ids in a broadcast; more are joined by a shuffle
 
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int):
@@ -349,10 +350,25 @@ def similar_components(
     )
 
 
+def _only_ids(rows: DataFrame, name: str) -> DataFrame:
+    """Distinct ids, written; marked for broadcast where they are few enough for that."""
+    ids = staged(rows.select("doc_id").distinct(), name)
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def keep_first(docs: DataFrame, percent: int = LINK_PERCENT, width: int = SHINGLE_WORDS) -> DataFrame:
     """The rows of ``docs`` whose doc_id is the smallest of their component.
 
-    Equal rows, and rows without doc_id, cannot be told apart by their id: they stay.
+    Equal rows under one id stay once. Rows without doc_id have no place in that order: they
+    stay. An id with several texts goes when one of them belongs to a smaller id.
     """
-    gone = similar_components(docs, percent, width).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    groups = staged(similar_components(docs, percent, width), "set-components")
+    gone = _only_ids(groups.where("doc_id <> component_id"), "ids-gone")
+    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    twice = groups.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1")
+    twice = _only_ids(twice, "ids-twice")
+    if twice.isEmpty():
+        return kept
+    once = kept.join(twice, "doc_id", "left_anti").select(*docs.columns)
+    again = kept.join(twice, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    return once.unionByName(again)
