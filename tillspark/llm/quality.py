@@ -102,22 +102,20 @@ def ratio_model(
     return model.select(F.when(F.col("n_target") > 0, ratios).otherwise(none).alias("ratios"))
 
 
-def with_quality(
+def _scored(
     docs: DataFrame,
     labels: DataFrame,
     min_ratio: float = MIN_RATIO,
     buckets: int = BUCKETS,
     trusted_rows: int = TRUSTED_ROWS,
 ) -> DataFrame:
-    """``docs`` with a struct ``quality``: the statistics, the ratio and the verdict."""
+    """``docs`` with its columns numbered c0, c1, ... and a struct ``quality``."""
     model = ratio_model(docs, labels, buckets, trusted_rows).first()["ratios"]
     # one foldable expression: the optimiser makes it a constant array
     ratios = F.split(F.lit(",".join(f"{x:.9g}" for x in model)), ",").cast("array<double>")
-    # the row travels as one struct, so that its columns cannot clash with those added here
-    df = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"),
-    )
+    names = [f"c{i}" for i in range(len(docs.columns))]  # clash with nothing added here
+    text = F.col(names[docs.columns.index("text")]).cast("string")
+    df = docs.toDF(*names).withColumn("_text", F.coalesce(text, F.lit("")))
     df = _hashed(df, "_text")
     df = with_columns_once(
         df,
@@ -166,12 +164,16 @@ def with_quality(
         F.col("_ratio").alias("log_ratio"),
         F.coalesce(F.col("_ratio") >= min_ratio, F.lit(False)).alias("kept"),
     )
-    kept = [F.col(f"_row.`{c}`") for c in docs.columns if c != "quality"]
-    return df.select(*kept, quality.alias("quality"))
+    return df.select(*names, quality.alias("quality"))
+
+
+def with_quality(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
+    """``docs`` with a struct ``quality``: the statistics, the ratio and the verdict."""
+    scored = _scored(docs, labels, **settings)
+    own = [F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns) if c != "quality"]
+    return scored.select(*own, "quality")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` that pass the base rules and the ratio's threshold."""
-    packed = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_whole"))
-    kept = with_quality(packed, labels, **settings).where("quality.kept")
-    return kept.select(*[F.col(f"_whole.`{c}`") for c in docs.columns])
+    return _scored(docs, labels, **settings).where("quality.kept").drop("quality").toDF(*docs.columns)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillspark.llm import chat, decontaminate, htmltext, licenses, packing, quality, setjoin, surrogates, toxicity, warc
+from tillspark.llm import chat, decontaminate, htmltext, licenses, packing, quality, setjoin, sql, surrogates, toxicity, warc
 from tillspark.session import ship_package
 
 TOKENIZER = "word_bpe_49k.json"
@@ -16,7 +16,7 @@ TOKENIZER = "word_bpe_49k.json"
 SURROGATE_KEY = b"registered query"
 
 QUERIES = {}
-ORACLE = {}
+ORACLE = {"op1_warc": sql.OP1, "op8_ngram_jaccard_join": sql.OP8}
 
 
 def query(function):
