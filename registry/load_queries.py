@@ -73,8 +73,9 @@ register("daily_sales_agg", with_views(V.ORDER_LINES, V.PRICED, V.DAILY) + "sele
 # --- dimension joins ----------------------------------------------------------------
 
 _PRODUCTS = """left join part p on o.product_id = p.p_partkey"""
-_CUSTOMERS = """left join (select * from customer join nation on c_nationkey = n_nationkey
-      where c_acctbal >= 0) c on o.customer_id = c.c_custkey"""
+_CUSTOMERS = """left join (select * from customer join nation on c_nationkey = n_nationkey) c
+      on o.customer_id = c.c_custkey"""
+_CONTACTS = "left join supplier c on o.customer_id = c.s_suppkey"
 _PRODUCT_COLUMNS = """p_name as product_name, p_type as product_category, p_brand as product_brand,
       p_retailprice as catalog_price, p_size as catalog_stock"""
 
@@ -84,11 +85,9 @@ register(
 )(lambda spark, sf: joins.with_products(S.order_lines(spark, sf), S.product_catalog(spark, sf)))
 
 
-def _enriched(spark, sf):
+def _enriched(spark, sf, people=S.customer_master):
     return joins.enrich_order_lines(
-        S.order_lines(spark, sf),
-        S.product_catalog(spark, sf),
-        S.accounts_in_good_standing(spark, sf),
+        S.order_lines(spark, sf), S.product_catalog(spark, sf), people(spark, sf)
     )
 
 
@@ -103,33 +102,33 @@ register(
 register(
     "orphans_after_enrichment",
     with_views(V.ORDER_LINES)
-    + f"""select order_id, line_number, o.customer_id from order_lines o {_CUSTOMERS}
-    where c_name is null""",
+    + f"""select order_id, line_number, o.customer_id from order_lines o {_CONTACTS}
+    where s_name is null""",
 )(
-    lambda spark, sf: joins.unmatched_after_enrichment(_enriched(spark, sf)).select(
+    lambda spark, sf: joins.unmatched_after_enrichment(_enriched(spark, sf, S.supplier_contacts)).select(
         "order_id", "line_number", "customer_id"
     )
 )
 
-_GOOD = "(select c_custkey from customer where c_acctbal >= 0)"
+_KNOWN = "(select s_suppkey from supplier)"
 
 register(
     "fk_orphans",
     with_views(V.ORDER_LINES)
     + f"""select customer_id, count(*) as row_count from order_lines
-    where customer_id not in {_GOOD} group by customer_id""",
+    where customer_id not in {_KNOWN} group by customer_id""",
 )(
     lambda spark, sf: joins.orphan_keys(
-        S.order_lines(spark, sf), "customer_id", S.accounts_in_good_standing(spark, sf), "customer_id"
+        S.order_lines(spark, sf), "customer_id", S.supplier_contacts(spark, sf), "customer_id"
     )
 )
 
 register(
     "fk_orphan_rows",
-    with_views(V.ORDER_LINES) + f"select * from order_lines where customer_id not in {_GOOD}",
+    with_views(V.ORDER_LINES) + f"select * from order_lines where customer_id not in {_KNOWN}",
 )(
     lambda spark, sf: joins.orphan_rows(
-        S.order_lines(spark, sf), "customer_id", S.accounts_in_good_standing(spark, sf), "customer_id"
+        S.order_lines(spark, sf), "customer_id", S.supplier_contacts(spark, sf), "customer_id"
     )
 )
 
@@ -137,10 +136,10 @@ register(
     "orphan_customers",
     with_views(V.FACT)
     + f"""select count(distinct customer_id) as orphan_count from fact_sales
-    where customer_id is not null and customer_id not in {_GOOD}""",
+    where customer_id is not null and customer_id not in {_KNOWN}""",
 )(
     lambda spark, sf: joins.orphan_key_count(
-        S.sales_lines(spark, sf), "customer_id", S.accounts_in_good_standing(spark, sf), "customer_id"
+        S.sales_lines(spark, sf), "customer_id", S.supplier_contacts(spark, sf), "customer_id"
     )
 )
 
@@ -270,30 +269,60 @@ register(
 )
 
 
-def _catalog_with_old_prices(spark, sf):
-    """The stored catalog, one price change behind and without its newest brands' stock."""
-    return S.product_catalog(spark, sf).withColumn(
-        "price", (F.col("price").cast("decimal(10,2)") - 1).cast("decimal(10,2)")
-    )
+# Together the stored part and the feed hold every product: those up to size 35 are stored,
+# one price change behind, and the feed brings those from size 16 on, without a stock column.
+STORED_UP_TO, FEED_FROM = 35, 16
+
+
+def _synced_products(spark, sf):
+    price = F.col("price").cast("decimal(10,2)")
+    catalog = S.product_catalog(spark, sf).withColumn("price", price)
+    stored = catalog.where(F.col("stock") <= STORED_UP_TO).withColumn("price", (price - 1).cast("decimal(10,2)"))
+    feed = catalog.where(F.col("stock") >= FEED_FROM).drop("stock")
+    return merge.upsert(stored, feed, ["product_id"])
 
 
 register(
     "sync_products",
-    """select p_partkey as product_id, p_name as product_name, p_type as category, p_brand as brand,
-      cast(p_retailprice as decimal(10,2)) as price, p_size as stock from part""",
+    f"""select p_partkey as product_id, p_name as product_name, p_type as category, p_brand as brand,
+      cast(p_retailprice - case when p_size >= {FEED_FROM} then 0 else 1 end as decimal(10,2)) as price,
+      case when p_size <= {STORED_UP_TO} then p_size end as stock from part""",
+)(_synced_products)
+
+# Key parts go missing where the part has a certain size, in every such line of the table.
+_GAPS_SQL = """gaps as (select * replace (case when p_size % 7 = 0 then null else stock_code end as stock_code,
+    case when p_size % 5 = 0 then null else quantity end as quantity)
+  from fact_sales join part on stock_code = cast(p_partkey as varchar))"""
+
+
+def _with_gaps(spark, sf):
+    sizes = S.table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("stock_code"), "p_size")
+    lines = S.sales_lines(spark, sf).join(sizes, "stock_code")
+    return lines.withColumns(
+        {
+            "stock_code": F.when(F.col("p_size") % 7 != 0, F.col("stock_code")),
+            "quantity": F.when(F.col("p_size") % 5 != 0, F.col("quantity")),
+        }
+    ).select("invoice_no", "stock_code", "invoice_date", "quantity", "unit_price", "country")
+
+
+register(
+    "merge_null_keys",
+    with_views(V.FACT, _GAPS_SQL)
+    + """select invoice_no, stock_code, invoice_date, quantity, max(unit_price) as unit_price,
+      max(country) as country
+    from gaps group by invoice_no, stock_code, invoice_date, quantity""",
 )(
     lambda spark, sf: merge.upsert(
-        _catalog_with_old_prices(spark, sf),
-        # the feed has no stock column: stored stock stays
-        S.product_catalog(spark, sf)
-        .withColumn("price", F.col("price").cast("decimal(10,2)"))
-        .drop("stock"),
-        ["product_id"],
+        merge.latest_per_key(_stored(_with_gaps(spark, sf), "invoice_date"), K.SALES_KEY, ["unit_price"]),
+        _batch(_with_gaps(spark, sf), "invoice_date"),
+        K.SALES_KEY,
+        order=["unit_price"],
     )
 )
 
 _LATEST_RUNS = """latest as (select * exclude (rn) from (select *, row_number() over (
-    partition by run_id order by start_time desc, records_processed desc) as rn from runs)
+    partition by run_id order by logged_at desc, start_time desc, status desc, records_processed desc) as rn from runs)
   where rn = 1)"""
 
 register("run_log_state", with_views(V.RUNS, _LATEST_RUNS) + "select * from latest")(
@@ -316,9 +345,9 @@ _NUM = "coalesce(try_cast(unit_price as double) < 0, true)"
 _DAY = """coalesce(not (year(try_strptime(replace(trim(order_date), '/', '-'), '%Y-%m-%d'))
   between 2000 and 2100), true)"""
 _KNOWN_CUSTOMER = """customer_id is not null and trim(customer_id) not in
-  (select cast(c_custkey as varchar) from customer where c_acctbal >= 0)"""
+  (select cast(c_custkey as varchar) from customer)"""
 _KNOWN_PRODUCT = """product_id is not null and trim(product_id) not in
-  (select cast(p_partkey as varchar) from part where p_size > 1)"""
+  (select cast(s_suppkey as varchar) from supplier)"""
 
 _REASONS = [
     *[
@@ -346,11 +375,11 @@ _CHECKED = "checked as (select *, concat_ws('; ', {}) as quarantine_reason from
 
 
 def _checked(spark, sf):
-    """Rules with both id lists: good-standing customers, and parts above size 1."""
+    """Rules with both id lists, whole tables: customers, and suppliers as product numbers."""
     return quality.check_order_lines(
         S.raw_orders(spark, sf),
-        customers=S.accounts_in_good_standing(spark, sf),
-        products=S.product_catalog(spark, sf).where("stock > 1"),
+        customers=S.customer_master(spark, sf),
+        products=S.supplier_contacts(spark, sf).withColumnRenamed("customer_id", "product_id"),
     )
 
 
@@ -413,7 +442,7 @@ register(
 
 
 def _audited(spark, sf):
-    lines = rollups.with_financials(_enriched(spark, sf)).withColumn(
+    lines = rollups.with_financials(_enriched(spark, sf, S.supplier_contacts)).withColumn(
         "transaction_id",
         F.concat_ws("-", F.col("order_id").cast("string"), F.col("line_number").cast("string")),
     )
@@ -422,9 +451,9 @@ def _audited(spark, sf):
     )
 
 
-_AUDIT = f"""audited as (select o.*, c_name as customer_name,
+_AUDIT = f"""audited as (select o.*, s_name as customer_name,
     cast(order_id as varchar) || '-' || cast(line_number as varchar) as transaction_id
-  from priced o {_CUSTOMERS})"""
+  from priced o {_CONTACTS})"""
 _AUDIT_CHECKS = [
     ("null_customer_ids", "customer_id is null", "null customer_ids"),
     ("null_product_ids", "product_id is null", "null product_ids"),
@@ -462,6 +491,9 @@ register(
         + count(*) filter (net_amount < 0) as invalid_record_count,
       count(*) filter (customer_id is null) + count(*) filter (product_id is null)
         + count(*) filter (store_id is null) + count(*) filter (order_date is null) as null_value_count,
-      'FAILED' as status
+      case when count(*) > count(distinct transaction_id) or count(*) filter (quantity <= 0 or unit_price < 0
+          or net_amount < 0 or customer_id is null or product_id is null or store_id is null
+          or order_date is null) > 0 then 'FAILED'
+        when count(*) filter (customer_name is null) > 0 then 'WARNING' else 'PASSED' end as status
     from audited""",
 )(lambda spark, sf: _audited(spark, sf).drop("checks"))

@@ -26,11 +26,26 @@ SPEND_BANDS = (
     Band("Mid", low=Decimal("300000"), high=Decimal("599999.99")),
 )
 PRICE_BANDS = (
-    Band("Low", below=Decimal("1000")),
-    Band("Middle", low=Decimal("1000"), high=Decimal("1500")),
-    Band("High", low=Decimal("1500.01"), high=Decimal("2000")),
+    Band("Low", below=Decimal("930")),
+    Band("Middle", low=Decimal("930"), high=Decimal("960")),
+    Band("High", low=Decimal("960.01"), high=Decimal("990")),
 )
 
+
+def band_label(value: str, bands, rest: str) -> str:
+    """SQL for the label of the first band that holds ``value``: a range join on the bands."""
+
+    def bound(number, default: str) -> str:
+        return default if number is None else str(number)
+
+    rows = ", ".join(
+        f"({i}, '{b.label}', {bound(b.low, '-1e18')}, {bound(b.high, '1e18')}, {bound(b.below, '1e18')})"
+        for i, b in enumerate(bands)
+    )
+    return f"""coalesce((select arg_min(label, place) from (values {rows}) bands(place, label, low, high, below)
+      where {value} >= low and {value} <= high and {value} < below), '{rest}')"""
+
+
 QUERIES = {}
 ORACLE = {}
 
@@ -76,23 +91,25 @@ on_facts(
 
 
 def _kpi_sql(where: str) -> str:
-    return f"""select *, total_orders - cancelled_orders as valid_orders,
-      case when total_orders - cancelled_orders > 0
-           then cast(gross_sales as double) / (total_orders - cancelled_orders) else 0.0 end as aov,
-      case when total_orders > 0 then cast(cancelled_orders as double) / total_orders * 100 else 0.0 end
-        as return_rate_pct,
+    """Per invoice first, with conditional sums as filters; ratios come last."""
+    sold, gone = "filter (where is_cancellation = 0)", "filter (where is_cancellation = 1)"
+    guest = "filter (where is_cancellation = 0 and customer_id is null)"
+    return f""", slice as (select * from fact_sales where {where}),
+    invoices as (select invoice_no, count(*) as line_count, count(*) {gone} as gone_lines,
+        count(*) {guest} as guest_lines, sum(quantity) {sold} as units, sum(gross_amount) as net,
+        sum(gross_amount) {sold} as gross, sum(gross_amount) {gone} as gone, sum(gross_amount) {guest} as guest
+      from slice group by invoice_no),
+    sums as (select {big('line_count')} as total_records, count(*) as total_orders,
+        (select count(distinct customer_id) from slice) as active_customers, {big('units')} as units_sold,
+        {money('gross')} as gross_sales, {money('gone')} as cancellation_amount, {money('net')} as net_sales,
+        {big('gone_lines')} as cancellation_records, count(*) filter (where gone_lines > 0) as cancelled_orders,
+        {big('guest_lines')} as guest_records, {money('guest')} as guest_sales
+      from invoices)
+    select sums.*, total_orders - cancelled_orders as valid_orders,
+      coalesce(cast(gross_sales as double) / nullif(greatest(total_orders - cancelled_orders, 0), 0), 0.0) as aov,
+      coalesce(cast(cancelled_orders as double) / nullif(total_orders, 0) * 100, 0.0) as return_rate_pct,
       case when gross_sales > 0 then {share('guest_sales', 'gross_sales')} else 0 end as guest_pct
-    from (select count(*) as total_records, count(distinct invoice_no) as total_orders,
-      count(distinct customer_id) as active_customers,
-      {big('case when is_cancellation = 0 then quantity else 0 end')} as units_sold,
-      {money('case when is_cancellation = 0 then gross_amount else 0 end')} as gross_sales,
-      {money('case when is_cancellation = 1 then gross_amount else 0 end')} as cancellation_amount,
-      {money('gross_amount')} as net_sales,
-      {big('case when is_cancellation = 1 then 1 else 0 end')} as cancellation_records,
-      count(distinct case when is_cancellation = 1 then invoice_no end) as cancelled_orders,
-      {big('case when customer_id is null and is_cancellation = 0 then 1 else 0 end')} as guest_records,
-      {money('case when customer_id is null and is_cancellation = 0 then gross_amount else 0 end')} as guest_sales
-    from fact_sales where {where})"""
+    from sums"""
 
 
 on_facts("sales_kpis", kpis.sales_kpis, _kpi_sql("true"))
@@ -230,24 +247,13 @@ def _tier_sql(table: str, label: str) -> str:
 
 register(
     "price_tiers",
-    with_views(V.TIMED)
-    + _tier_sql(
-        "timed_sales",
-        """case when unit_price < 2.00 then 'Budget (< £2.00)'
-        when unit_price between 2.00 and 5.00 then 'Standard (£2.00 - £5.00)'
-        when unit_price between 5.01 and 15.00 then 'Premium (£5.01 - £15.00)'
-        else 'Luxury / Bulk (> £15.00)' end""",
-    ),
+    with_views(V.TIMED) + _tier_sql("timed_sales", band_label("unit_price", K.PRICE_BANDS, K.PRICE_BAND_REST)),
 )(lambda spark, sf: products.price_tiers(S.timed_sales(spark, sf)))
 
 on_facts(
     "price_tiers_by_bands",
     lambda facts: products.price_tiers(facts, PRICE_BANDS, "Top"),
-    _tier_sql(
-        "fact_sales",
-        """case when unit_price < 1000 then 'Low' when unit_price between 1000 and 1500 then 'Middle'
-        when unit_price between 1500.01 and 2000 then 'High' else 'Top' end""",
-    ),
+    _tier_sql("fact_sales", band_label("unit_price", PRICE_BANDS, "Top")),
 )
 
 _SEARCH = """select stock_code, description, total_units_sold as total_units,
@@ -296,22 +302,27 @@ _TIER_REST = f"""count(*) as customer_count, {money('total_spend')} as tier_reve
       {half_up('sum(total_orders)', 'count(total_orders)', 1, 1)} as avg_orders_per_customer
     from dim_customers group by 1"""
 
+def _spend_sql(bands, rest: str) -> str:
+    return f"select {band_label('total_spend', bands, rest)} as spend_tier, " + _TIER_REST
+
+
 on_lake_customers(
     "customer_tiers",
     lambda dim: customers.customer_tiers(dim, SPEND_BANDS, "Budget"),
-    """select case when total_spend >= 1000000 then 'VIP'
-      when total_spend between 600000 and 999999.99 then 'High'
-      when total_spend between 300000 and 599999.99 then 'Mid' else 'Budget' end as spend_tier, """
-    + _TIER_REST,
+    _spend_sql(SPEND_BANDS, "Budget"),
 )
-on_lake_customers(
+# spending in hundredths brings the customers into the default bands
+register(
     "customer_tiers_default_bounds",
-    customers.customer_tiers,
-    """select case when total_spend >= 10000 then 'VIP Tier (>£10k)'
-      when total_spend between 2000 and 9999.99 then 'High-Value (£2k-£10k)'
-      when total_spend between 500 and 1999.99 then 'Mid-Tier (£500-£2k)'
-      else 'Budget (<£500)' end as spend_tier, """
-    + _TIER_REST,
+    with_views(V.FACT, V.DIM_CUSTOMERS_LAKE)
+    + ", cents as (select * replace (cast(total_spend / 100 as decimal(14,2)) as total_spend) from dim_customers) "
+    + _spend_sql(K.SPEND_BANDS, K.SPEND_BAND_REST).replace("from dim_customers", "from cents"),
+)(
+    lambda spark, sf: customers.customer_tiers(
+        dimensions.dim_customers_lake(S.sales_lines(spark, sf)).withColumn(
+            "total_spend", (F.col("total_spend") / 100).cast("decimal(14,2)")
+        )
+    )
 )
 on_lake_customers(
     "top_vips",

@@ -126,7 +126,7 @@ RUNS = """runs as (
          event_id as records_processed,
          cast(case when event_type = 'error' then 1 else 0 end as bigint) as records_rejected,
          case when event_type = 'error' then event_type end as error_message,
-         props as metrics_json
+         props as metrics_json, ts + to_seconds(cast(trunc(value) as integer)) as logged_at
   from events
 )"""
 
@@ -136,7 +136,7 @@ RAW_ORDERS = f"""raw_orders as (
               else strftime(o_orderdate, '%Y-%m-%d') end as order_date,
          case when c_mktsegment = 'HOUSEHOLD' then ' ' else cast(o_custkey as varchar) end as customer_id,
          cast(l_partkey as varchar) as product_id,
-         cast({QUANTITY} as varchar) as quantity,
+         cast({QUANTITY} as varchar) || case l_linenumber % 3 when 1 then '.0' when 2 then '.7' else '' end as quantity,
          case when p_size = 1 then 'n/a' else cast({PRICE} as varchar) end as unit_price,
          case when l_linestatus = 'F' then cast(cast(l_discount * 100 as decimal(5,2)) as varchar) end as discount,
          ' ' || lower(r_name) || '   zone' as region,
@@ -160,7 +160,7 @@ CLEAN_ORDERS = f"""clean_orders as (
       select trim(order_id) as order_id,
              cast(try_strptime(replace(trim(order_date), '/', '-'), '%Y-%m-%d') as date) as order_date,
              trim(customer_id) as customer_id, trim(product_id) as product_id,
-             try_cast(trim(quantity) as integer) as quantity,
+             try_cast(trunc(try_cast(trim(quantity) as double)) as integer) as quantity,
              try_cast(trim(unit_price) as decimal(10,2)) as unit_price,
              coalesce(try_cast(trim(discount) as decimal(5,2)), 0.00::decimal(5,2)) as discount,
              {TITLE.format("regexp_replace(coalesce(nullif(trim(region), ''), 'Unknown'), '\\s+', ' ', 'g')")} as region,

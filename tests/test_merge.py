@@ -138,14 +138,32 @@ def test_daily_and_order_line_loads(spark, tmp_path):
     W.load_daily_sales(spark, daily, house)
     assert W.load_daily_sales(spark, daily, house).count() == 1
     lines = spark.createDataFrame(
-        [("o", "p", 1), ("o", "q", 1), ("r", "p", 1)], "order_id string, product_id string, quantity int"
+        [("o", "p", 1, date(2024, 1, 2)), ("o", "q", 1, date(2024, 1, 2)), ("r", "p", 1, date(2024, 2, 2))],
+        "order_id string, product_id string, quantity int, order_date date",
     )
-    assert W.load_order_lines(spark, lines, house, max_rows=2, buckets=4).count() == 2
-    assert W.load_order_lines(spark, lines, house, buckets=4).count() == 3
+    assert W.load_order_lines(spark, lines, house).count() == 3
+    january = tmp_path / "order_lines" / "order_month=2024-01"
+    kept = sorted(january.iterdir())
     late = lines.where("order_id = 'r'").withColumn("quantity", F.lit(9))
-    stored = W.load_order_lines(spark, late, house, buckets=4)
+    stored = W.load_order_lines(spark, late, house)
     assert rows(stored.select("order_id", "product_id", "quantity")) == [("o", "p", 1), ("o", "q", 1), ("r", "p", 9)]
-    assert W.load_order_lines(spark, late.limit(0), house, buckets=4).count() == 3
+    assert sorted(january.iterdir()) == kept
+    assert W.load_order_lines(spark, late.limit(0), house).count() == 3
+
+
+def test_daily_aggregates_without_category_are_stored_once(spark, tmp_path):
+    one = Decimal("1.00")
+    daily = spark.createDataFrame([(date(2024, 1, 2), "s", None, 1, 2, one, one, one)], schemas.DAILY_SALES)
+    assert [W.load_daily_sales(spark, daily, str(tmp_path)).count() for _ in range(3)] == [1, 1, 1]
+
+
+def test_null_keys_meet(spark):
+    schema = "k string, j int, v int"
+    old = spark.createDataFrame([(None, 1, 1), ("a", None, 2)], schema)
+    new = spark.createDataFrame([(None, 1, 3), ("a", None, 4), ("b", None, 5)], schema)
+    assert rows(merge.upsert(old, new, ["k", "j"])) == rows(new)
+    assert rows(merge.new_rows(old, new, ["k", "j"])) == [("b", None, 5)]
+    assert merge.insert_ignore(merge.insert_ignore(old, new, ["k", "j"]), new, ["k", "j"]).count() == 3
 
 
 def test_only_touched_days_are_rewritten(spark, tmp_path):
@@ -177,9 +195,10 @@ def test_masters(spark, tmp_path):
     # without a stock column the stored stock stays
     again = W.sync_master(spark, products.drop("stock").withColumn("unit_price", F.lit(3.0)), house, "products")
     assert tuple(again.select("price", "stock").first()) == (3.0, 3)
-    many = spark.range(60).select(F.concat(F.lit("C"), "id").alias("customer_id"), F.lit("n").alias("customer_name"))
-    W.sync_master(spark, many, house, "customers")
-    assert W.seed_masters(spark, {"products": products}, house) == []
+    # seeding adds unknown keys and leaves stored rows alone
+    W.seed_masters(spark, {"products": products.union(products.withColumn("product_id", F.lit("P2")))}, house)
+    stored = {r.product_id: r.price for r in spark.read.parquet(f"{house}/products").collect()}
+    assert stored == {"P1": 3.0, "P2": 2.5}
 
 
 def test_empty_warehouse_is_refused(spark, tmp_path):

@@ -1,3 +1,4 @@
+import json
 import os
 from datetime import datetime
 
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from tillspark import schemas
 from tillspark.plans.health import pipeline_health
 from tillspark.plans.warehouse import create_lake_dimensions
-from tillspark.session import shared_folder, staged
+from tillspark.session import shared_folder, staged, staging
 from tillspark.sinks import lake as L
 from tillspark.sinks import reports as R
 from tillspark.sources import feeds, files, jdbc
@@ -50,7 +51,6 @@ def test_lake_scan_prunes_partitions_and_columns(spark, tmp_path):
     assert "ReadSchema: struct<a:bigint>" in plan and "GreaterThan(a,3)" in plan
     assert "PartitionFilters: [isnotnull(transaction_year" in plan
     assert sorted(r.a for r in df.collect()) == [5, 9, 13, 17]
-    assert S.read_lake(spark, path, limit=3).count() == 3
     S.register_lake(spark, path, "lake_view")
     assert spark.sql("select count(*) from lake_view").first()[0] == 20
 
@@ -109,27 +109,86 @@ def test_latest_file(spark, tmp_path):
     assert files.latest_file(spark, str(tmp_path)).endswith("new.csv")
 
 
+def test_null_partition_values_are_counted(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in (1, 2):
+        rows = days(spark, (n, "2024-01-01"), (n, None), (n, None))
+        assert L.write_partitions(rows, path)["verified_records"] == 3
+    assert sorted(r.n for r in spark.read.parquet(path).collect()) == [2, 2, 2]
+
+
+def test_a_replacement_cut_short_is_finished(spark, tmp_path):
+    path = str(tmp_path / "t")
+    L.replace_table(spark.range(3).toDF("id"), path)
+    os.rename(path, f"{path}.old")  # the crash came between the two renames
+    L.restore_table(spark, path)
+    assert spark.read.parquet(path).count() == 3
+    L.replace_table(spark.range(5).toDF("id"), path)
+    assert sorted(os.listdir(tmp_path)) == ["t"] and spark.read.parquet(path).count() == 5
+
+
+def test_staged_tables_go_with_their_scope(spark):
+    with staging(spark):
+        kept = staged(spark.range(5), "scoped").inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(kept)
+    assert not os.path.exists(kept)
+
+
+def test_only_a_local_session_gets_a_folder_of_its_own(monkeypatch):
+    class Session:
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+        class sparkContext:
+            master, applicationId = "local-cluster[2,1,1024]", "x"
+
+    with pytest.raises(RuntimeError):
+        shared_folder(Session)
+    Session.sparkContext.master = "local[2]"
+    assert shared_folder(Session)
+
+
 def test_manifest_and_reconciliation(spark, tmp_path):
     import hashlib
 
     folder = tmp_path / "feed"
     folder.mkdir()
-    body = "a,b\n1,2\n3,4\n"
+    body = 'a,"b,c"\n1,2\n3,"4\n5"\n'
     (folder / "x.csv").write_text(body)
-    (folder / "y.csv").write_text("a,b\n5,6\n")
-    manifest = files.source_manifest(spark, str(folder))
+    (folder / "y.csv").write_text("d\n5\n")
+    manifest = files.source_manifest(spark, str(folder), multi_line=True, sha256=True)
     rows = {os.path.basename(r.path): r for r in manifest.collect()}
     assert rows["x.csv"].sha256 == hashlib.sha256(body.encode()).hexdigest()
-    assert (rows["x.csv"].record_count, rows["x.csv"].file_bytes, rows["x.csv"].columns) == (2, len(body), ["a", "b"])
+    assert (rows["x.csv"].record_count, rows["x.csv"].file_bytes, rows["x.csv"].columns) == (2, len(body), ["a", "b,c"])
+    assert (rows["y.csv"].columns, rows["y.csv"].column_count) == (["d"], 1)
     manifest.coalesce(1).write.json(str(tmp_path / "manifest"))
-    expected = files.read_manifest(spark, str(tmp_path / "manifest") + "/*.json")
     expected = spark.read.json(str(tmp_path / "manifest"))
     assert files.manifest_mismatches(expected, manifest).count() == 0
-    (folder / "y.csv").write_text("a,b\n5,7\n")
-    changed = files.manifest_mismatches(expected, files.source_manifest(spark, str(folder))).collect()
+    (folder / "y.csv").write_text("d\n6\n")
+    again = files.source_manifest(spark, str(folder), multi_line=True, sha256=True)
+    changed = files.manifest_mismatches(expected, again).collect()
     assert {r.attribute for r in changed} == {"sha256", "line_checksum"}
 
 
+def test_equal_lines_do_not_cancel_in_the_checksum(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("h\nx\nx\n")
+    (tmp_path / "y.csv").write_text("h\ny\ny\n")
+    sums = {r.line_checksum for r in files.source_manifest(spark, str(tmp_path)).collect()}
+    assert len(sums) == 2
+
+
+def test_document_without_paths_is_reconciled_with_totals(spark, tmp_path):
+    (tmp_path / "feed").mkdir()
+    (tmp_path / "feed" / "x.csv").write_text("a,b\n1,2\n")
+    document = {"record_count": 1, "columns": ["a", "b"], "csv_file_bytes": 8, "sha256_csv": "0"}
+    (tmp_path / "m.json").write_text(json.dumps(document, indent=1))
+    actual = files.source_manifest(spark, str(tmp_path / "feed"), sha256=True)
+    found = files.manifest_mismatches(files.read_manifest(spark, str(tmp_path / "m.json")), actual)
+    assert [r.attribute for r in found.collect()] == ["sha256"]
+
+
 def test_reports_quarantine_and_export(spark, tmp_path):
     df = spark.createDataFrame([(1, "a,b"), (2, 'c"d')], "n int, t string")
     R.write_report(df.limit(1), str(tmp_path / "report"))
@@ -159,13 +218,20 @@ def test_run_log(spark, tmp_path):
     assert R.log_run(spark, "no-such-scheme://x", "r", "p", start, None, "X") is False
 
 
-def test_jdbc_options():
-    plain = jdbc.jdbc_options("jdbc:x", "customers")
-    assert plain["dbtable"] == "customers" and "partitionColumn" not in plain
+def test_jdbc_reads_are_split():
+    with pytest.raises(TypeError):
+        jdbc.jdbc_options("jdbc:x", "customers")
     split = jdbc.jdbc_options("jdbc:x", "t", column="id", bounds=(1, 100), partitions=4, user="u")
     assert split["numPartitions"] == "4" and split["upperBound"] == "100" and split["user"] == "u"
 
 
+def test_the_record_written_last_is_the_state(spark, tmp_path):
+    path, start = str(tmp_path / "log"), datetime(2024, 1, 1)
+    R.log_run(spark, path, "r", "p", start, None, "RUNNING", 100)
+    R.log_run(spark, path, "r", "p", start, None, "FAILED", 0)
+    assert [r.status for r in R.read_runs(spark, path).collect()] == ["FAILED"]
+
+
 def test_lake_dimensions_are_views(spark, tmp_path):
     facts = spark.createDataFrame(
         [("1", "a", "d", 2, datetime(2020, 1, 1), "2.00", 7, "X", "4.00", 0)],
@@ -179,6 +245,9 @@ def test_lake_dimensions_are_views(spark, tmp_path):
 
 
 def test_incremental_load(spark, tmp_path):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    os.makedirs(shared, exist_ok=True)
+    before = set(os.listdir(shared))
     feed, house, checkpoint = (str(tmp_path / n) for n in ("feed", "house", "checkpoint"))
     os.mkdir(feed)
 
@@ -191,9 +260,14 @@ def test_incremental_load(spark, tmp_path):
         return spark.read.parquet(f"{house}/fact_sales").count()
 
     deliver("1.csv", "1,a,x,1,2024-01-01,2.00,7,FR", "bad row")
-    deliver("2.csv", "1,a,x,1,2024-01-01,2.00,7,FR", "2,a,x,1,2024-02-01,2.00,,FR")
+    deliver("2.csv", "1,a,x,1,2024-01-01,2.00,7,FR", "2,a,x,1,2024-02-01,2.00,,FR", "9,a,x,1,junk,2.00,,FR")
     assert load() == 2
     assert load() == 2
     deliver("3.csv", "2,a,x,1,2024-02-01,2.00,,FR", "3,a,x,1,2024-02-01,2.00,,FR")
     assert load() == 3
     assert spark.read.json(f"{house}/malformed_lines").count() == 1
+    rejected = spark.read.json(f"{house}/rejected_lines").collect()
+    assert [(r.invoice_no, r.raw_invoice_date, r.reject_reason) for r in rejected] == [
+        ("9", "junk", "unreadable invoice date")
+    ]
+    assert set(os.listdir(shared)) == before  # nothing staged is left behind

@@ -40,12 +40,6 @@ ORDER_DATE_YEARS = (2000, 2100)
 MANDATORY_ORDER_IDS = ("order_id", "order_date", "customer_id", "product_id")
 REQUIRED_ORDER_COLUMNS = MANDATORY_ORDER_IDS + ("quantity", "unit_price")
 
-# --- fixed values: raw file floors and load ceilings -------------------------
-MIN_RAW_BYTES = 10 * 1024 * 1024
-MIN_RAW_ROWS = 500_000
-SEED_MASTERS_UP_TO_ROWS = 50
-SAMPLE_LOAD_ROWS = 50_000
-
 # --- fixed values: slices and report labels ----------------------------------
 DOMESTIC_COUNTRY = "United Kingdom"
 DOMESTIC_SLICE = "UK"
@@ -72,9 +66,6 @@ SPEND_BANDS = (
 )
 SPEND_BAND_REST = "Budget (<£500)"
 
-# --- storage layout ---------------------------------------------------------------
-ORDER_LINE_BUCKETS = 256
-
 # --- column types shared by all reports ---------------------------------------
 PRICE = "decimal(10,2)"
 AMOUNT = "decimal(12,2)"

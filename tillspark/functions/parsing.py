@@ -70,6 +70,11 @@ def nullable_id(text: Column) -> Column:
     return F.nullif(F.trim(text), F.lit("")).try_cast("double").try_cast("int")
 
 
+def whole_number(text: Column, type_name: str = "int") -> Column:
+    """Whole number from text such as ``2`` or ``2.0``; a fraction is cut off."""
+    return text.try_cast("double").try_cast(type_name)
+
+
 def decimal_or(text: Column, type_name: str, default: str | None = None) -> Column:
     """Decimal from text; ``default`` keeps the decimal type, unlike a float literal."""
     value = text.try_cast(type_name)

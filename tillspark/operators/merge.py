@@ -9,6 +9,17 @@ from pyspark.sql import functions as F
 
 from tillspark.operators.dedup import first_per_key
 
+_BATCH_KEY = "_batch_{}".format
+
+
+def _same_key(keys: Sequence[str]) -> Column:
+    """Equal keys, where NULL equals NULL: a row with a blank key part is stored once too."""
+    condition = F.lit(True)
+    for key in keys:
+        condition &= F.col(key).eqNullSafe(F.col(_BATCH_KEY(key)))
+    return condition
+
+
 def upsert(
     existing: DataFrame,
     incoming: DataFrame,
@@ -19,6 +30,7 @@ def upsert(
 ) -> DataFrame:
     """The table after loading ``incoming`` into ``existing``.
 
+    Keys may be NULL in part; NULL equals NULL, so a repeated load changes nothing.
     Per key the last incoming row (by ``order``, ties by the remaining columns) replaces
     the stored one, NULLs included. ``frozen`` columns, and columns the batch does not
     carry, keep the value that was stored first.
@@ -36,17 +48,19 @@ def upsert(
     kept = [c for c in values if c in frozen]
     row = F.struct(*order, *[c for c in values if c not in order], F.lit(True).alias("_present"))
     sides = [F.max(row).alias("_last")] + ([F.min(row).alias("_first")] if kept else [])
-    batch = incoming.groupBy(*keys).agg(*sides)
+    batch = incoming.groupBy(*[F.col(k).alias(_BATCH_KEY(k)) for k in keys]).agg(*sides)
     stored = existing.withColumn("_stored", F.lit(True))
 
     def settled(name: str) -> Column:
+        if name in keys:
+            return F.when(F.col("_stored"), F.col(name)).otherwise(F.col(_BATCH_KEY(name)))
         if name in kept:
             return F.when(F.col("_stored"), F.col(name)).otherwise(F.col(f"_first.{name}"))
         if name in values:
             return F.when(F.col("_last").isNotNull(), F.col(f"_last.{name}")).otherwise(F.col(name))
         return F.col(name)
 
-    merged = stored.join(batch, list(keys), "full_outer")
+    merged = stored.join(batch, _same_key(keys), "full_outer")
     return merged.select(*[settled(c).alias(c) for c in columns])
 
 
@@ -59,7 +73,8 @@ def touched_partitions(
     listed for reading. It is bounded by the table's own folder list, which the driver
     holds anyway; a join filter would only prune where the batch itself has a predicate.
     """
-    place = F.concat_ws("/", *partitions)
+    # a NULL partition value is a place of its own
+    place = F.concat_ws("/", *[F.coalesce(F.col(p).cast("string"), F.lit("\0")) for p in partitions])
     touched = [row[0] for row in incoming.select(place).distinct().collect()]
     return existing.where(place.isin(touched) if touched else F.lit(False))
 
@@ -71,8 +86,8 @@ def new_rows(
 
     Only the key columns of ``existing`` are read.
     """
-    stored = existing.select(*keys)
-    return first_per_key(incoming, keys, order).join(stored, list(keys), "left_anti")
+    stored = existing.select(*[F.col(k).alias(_BATCH_KEY(k)) for k in keys])
+    return first_per_key(incoming, keys, order).join(stored, _same_key(keys), "left_anti")
 
 
 def insert_ignore(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tillspark import constants as K
 from tillspark.functions.money import percent
 from tillspark.functions.once import with_columns_once
-from tillspark.functions.parsing import parse_ymd
+from tillspark.functions.parsing import parse_ymd, whole_number
 from tillspark.functions.text import is_blank
 
 
@@ -51,8 +51,8 @@ def _shown(name: str) -> Column:
 
 
 def _positive_quantity(name: str) -> Column:
-    whole = F.col(name).try_cast("double").try_cast("bigint")
-    return F.coalesce(whole <= 0, F.lit(True))
+    # the cast that cleaning applies: a quantity that is valid here is a number there
+    return F.coalesce(whole_number(F.col(name)) <= 0, F.lit(True))
 
 
 def _valid_price(name: str) -> Column:
@@ -116,14 +116,20 @@ def order_line_rules(check_customers: bool = False, check_products: bool = False
 
 
 def _with_known_flag(lines: DataFrame, key: str, ids: DataFrame, id_column: str) -> DataFrame:
-    """Left join to the distinct known ids; the flag stays NULL for an unknown key."""
+    """Left join to the distinct known ids; the flag is NULL for an unknown key.
+
+    An empty list knows nothing and so rejects nothing: then the key itself is the flag.
+    """
     flag = f"_known_{key}"
-    known = ids.select(F.trim(F.col(id_column).cast("string")).alias(flag)).distinct()
-    return lines.join(known, F.trim(F.col(key)) == F.col(flag), "left")
+    known = ids.select(F.trim(F.col(id_column).cast("string")).alias("_id")).distinct()
+    joined = lines.join(known, F.trim(F.col(key)) == F.col("_id"), "left")
+    accepted = F.when(_any_row(known), F.col("_id")).otherwise(F.col(key).cast("string"))
+    return joined.withColumn(flag, accepted).drop("_id")
 
 
-def _usable(ids: DataFrame | None) -> bool:
-    return ids is not None and not ids.isEmpty()
+def _any_row(df: DataFrame) -> Column:
+    """Whether ``df`` has a row, found when the plan that holds it runs."""
+    return df.limit(1).agg(F.count("*") > 0).scalar()
 
 
 @dataclass(frozen=True)
@@ -193,11 +199,11 @@ def check_order_lines(
     customers: DataFrame | None = None,
     products: DataFrame | None = None,
 ) -> Checked:
-    """Evaluate every rule on every line. An empty or absent id list skips its rule."""
+    """Evaluate every rule on every line. An absent id list skips its rule, an empty one passes."""
     require_columns(lines, K.REQUIRED_ORDER_COLUMNS)
     columns = lines.columns
     flagged = lines
-    with_customers, with_products = _usable(customers), _usable(products)
+    with_customers, with_products = customers is not None, products is not None
     if with_customers:
         flagged = _with_known_flag(flagged, "customer_id", customers, "customer_id")
     if with_products:

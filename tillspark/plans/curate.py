@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillspark import constants as K
@@ -12,7 +14,8 @@ from tillspark.functions.parsing import nullable_id, parse_timestamp
 from tillspark.functions.sales import cancellation_flag
 from tillspark.functions.text import blank_to
 from tillspark.operators.dedup import first_per_key
-from tillspark.schemas import FACT_SALES_COLUMNS
+from tillspark.schemas import CORRUPT_RECORD, FACT_SALES_COLUMNS, RAW_SALES_COLUMNS
+from tillspark.session import staged
 
 
 def typed_sales(raw: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -58,11 +61,8 @@ def curate(
     return first_per_key(derived_sales(usable, source_system, stamp), K.SALES_KEY)
 
 
-def rejected_sales(raw: DataFrame) -> DataFrame:
-    """Raw lines that cannot be curated, with the reason."""
-    typed = typed_sales(
-        raw.withColumn("_raw_date", F.col("InvoiceDate")), carry=("_raw_date",)
-    )
+def _rejected(typed: DataFrame) -> DataFrame:
+    """Typed lines that cannot be curated, with the reason and the date as it was written."""
     reason = F.concat_ws(
         "; ",
         F.when(F.col("invoice_no").isNull(), "missing invoice number"),
@@ -76,6 +76,53 @@ def rejected_sales(raw: DataFrame) -> DataFrame:
     )
 
 
+def rejected_sales(raw: DataFrame) -> DataFrame:
+    """Raw lines that cannot be curated, with the reason."""
+    return _rejected(
+        typed_sales(raw.withColumn("_raw_date", F.col("InvoiceDate")), carry=("_raw_date",))
+    )
+
+
+@dataclass(frozen=True)
+class TypedFeed:
+    """A parsed feed, typed and written once, and the counts taken on the way.
+
+    ``counts`` holds the lines (``total``), ``malformed`` and ``rejected`` ones and, per raw
+    column, the NULLs of the well-formed lines (``null_<column>``).
+    """
+
+    table: DataFrame
+    counts: dict[str, int]
+
+    def curated(self, source_system: str, ingested_at: Column) -> DataFrame:
+        usable = self._well_formed().drop("_raw_date").where(is_usable())
+        return first_per_key(derived_sales(usable, source_system, ingested_at), K.SALES_KEY)
+
+    def rejected(self) -> DataFrame:
+        return _rejected(self._well_formed())
+
+    def malformed(self) -> DataFrame:
+        return self.table.where(F.col(CORRUPT_RECORD).isNotNull()).select(F.col(CORRUPT_RECORD).alias("raw_text"))
+
+    def _well_formed(self) -> DataFrame:
+        return self.table.where(F.col(CORRUPT_RECORD).isNull()).drop(CORRUPT_RECORD)
+
+
+def typed_feed(parsed: DataFrame) -> TypedFeed:
+    """Type every parsed line once; curation, rejects and counts all come from that table."""
+    good = F.col(CORRUPT_RECORD).isNull()
+    read, checked = Observation(), Observation()
+    lines = parsed.observe(
+        read,
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(~good).alias("malformed"),
+        *[F.count_if(good & F.col(c).isNull()).alias(f"null_{c}") for c in RAW_SALES_COLUMNS],
+    )
+    typed = typed_sales(lines.withColumn("_raw_date", F.col("InvoiceDate")), carry=("_raw_date", CORRUPT_RECORD))
+    counted = typed.observe(checked, F.count_if(good & ~is_usable()).alias("rejected"))
+    return TypedFeed(staged(counted, "typed-sales"), {**read.get, **checked.get})
+
+
 def curation_counters(raw: DataFrame, malformed: DataFrame | None = None) -> DataFrame:
     """One row: raw, malformed, rejected, duplicate and curated line counts.
 
@@ -98,10 +145,3 @@ def curation_counters(raw: DataFrame, malformed: DataFrame | None = None) -> Dat
         ),
         "final_curated_records",
     )
-
-
-def line_counts(raw: DataFrame) -> DataFrame:
-    """One row: well-formed lines and those rejected. One scan, no shuffle of lines."""
-    return typed_sales(raw).agg(
-        F.count("*").alias("parsed_records"), F.count_if(~is_usable()).alias("rejected_records")
-    )

@@ -8,22 +8,24 @@ from pyspark.sql import functions as F
 from tillspark import constants as K
 from tillspark.functions.money import percent, ratio, total
 from tillspark.functions.sales import is_completed
+from tillspark.operators.rollups import with_distinct_count
 from tillspark.plans.kpis import count_sum, per_invoice
 
 
 def geographic_sales(facts: DataFrame) -> DataFrame:
     """Orders, customers, units and money per country."""
-    invoices = per_invoice(facts, "country", "customer_id")
-    return (
-        invoices.groupBy("country")
+    countries = (
+        per_invoice(facts, "country").groupBy("country")
         .agg(
-            F.countDistinct("invoice_no").alias("total_orders"),
+            F.count("invoice_no").alias("total_orders"),
             count_sum("sold_units").alias("total_units"),
             total(F.col("sold_amount")).alias("gross_sales"),
             total(F.col("amount")).alias("net_sales"),
-            F.countDistinct(F.when(F.col("has_sale") == 1, F.col("invoice_no"))).alias("_sold_orders"),
-            F.countDistinct("customer_id").alias("distinct_customers"),
+            F.count(F.when(F.col("has_sale") == 1, F.col("invoice_no"))).alias("_sold_orders"),
         )
+    )
+    return (
+        with_distinct_count(countries, facts, "country", "customer_id", "distinct_customers")
         .withColumn("avg_order_value", ratio(F.col("gross_sales"), F.col("_sold_orders")))
         .drop("_sold_orders")
         .orderBy(F.col("gross_sales").desc(), "country")

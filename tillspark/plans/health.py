@@ -9,8 +9,8 @@ from tillspark.operators.merge import latest_per_key
 
 
 def current_runs(records: DataFrame) -> DataFrame:
-    """Last record of each run. Records are only ever appended."""
-    return latest_per_key(records, ["run_id"], ["start_time", "records_processed"])
+    """The record written last for each run. Records are only ever appended."""
+    return latest_per_key(records, ["run_id"], ["logged_at"])
 
 
 def pipeline_health(runs: DataFrame, limit: int = 10) -> DataFrame:

@@ -9,68 +9,68 @@ import argparse
 import sys
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Row, SparkSession
 from pyspark.sql import functions as F
 
-from tillspark import constants as K
-from tillspark.operators.quality import QualityGateError, null_profile, require_columns
+from tillspark.operators.quality import QualityGateError
 from tillspark.operators.rollups import curation_metrics
-from tillspark.plans.curate import curate, line_counts, rejected_sales
+from tillspark.plans.curate import TypedFeed, typed_feed
 from tillspark.plans.warehouse import load_warehouse
 from tillspark.schemas import RAW_SALES_COLUMNS
-from tillspark.session import build_session
+from tillspark.session import build_session, staging
 from tillspark.sinks.lake import verify_lake, write_lake
 from tillspark.sinks.reports import log_run, write_quarantine, write_report
-from tillspark.sources.feeds import RawSales, read_raw_sales
+from tillspark.sources.feeds import header_checked, sales_reader
 from tillspark.sources.files import require_content
 
 PIPELINE = "sales_pipeline"
 
 
-def validate_raw(
-    spark: SparkSession,
-    path: str,
-    raw: RawSales,
-    min_bytes: int = K.MIN_RAW_BYTES,
-    min_rows: int = K.MIN_RAW_ROWS,
-) -> DataFrame:
-    """One-row report with file size, row count and null profile; raises below the floors."""
+def raw_report(path: str, size: int, counts: dict[str, int]) -> Row:
+    """File size, line count and null profile of a feed; counts include malformed lines."""
+    total = counts["total"]
+    columns = [
+        Row(column_name=c, null_count=counts[f"null_{c}"], null_pct=round(100 * counts[f"null_{c}"] / total, 2) if total else 0.0)
+        for c in RAW_SALES_COLUMNS
+    ]
+    return Row(
+        file_path=path, file_size_bytes=size, file_size_mb=round(size / 2**20, 2), total_records=total,
+        malformed_records=counts["malformed"], columns=columns, status="PASSED",
+    )
+
+
+def read_feed(
+    spark: SparkSession, path: str, multi_line: bool, min_bytes: int, min_rows: int
+) -> tuple[TypedFeed, Row]:
+    """Parse and type the feed once. Raises on other headers than declared or below a floor."""
     size = require_content(spark, path, min_bytes)
-    require_columns(raw.lines, RAW_SALES_COLUMNS)
-    profile = null_profile(raw.lines)
-    report = profile.agg(
-        F.max("total_records").alias("total_records"),
-        F.collect_list(F.struct("column_name", "null_count", "null_pct")).alias("columns"),
-    ).withColumns({"file_path": F.lit(path), "file_size_bytes": F.lit(size),
-                    "file_size_mb": F.lit(round(size / 2**20, 2)), "status": F.lit("PASSED")})
-    rows = report.first()["total_records"] + raw.malformed.count()
-    if rows < min_rows:
-        raise QualityGateError(f"{path} holds {rows} rows, expected at least {min_rows}")
-    return report
+    with header_checked(path):
+        feed = typed_feed(sales_reader(spark.read, multi_line).csv(path))
+    if feed.counts["total"] < min_rows:
+        raise QualityGateError(f"{path} holds {feed.counts['total']} rows, expected at least {min_rows}")
+    return feed, raw_report(path, size, feed.counts)
 
 
 def curate_to_lake(
-    spark: SparkSession, raw: RawSales, lake: str, reports: str, run_id: str, source_system: str
+    spark: SparkSession, feed: TypedFeed, lake: str, reports: str, run_id: str, source_system: str
 ) -> dict[str, int]:
     """Curate, write, read back, and report counts and metrics.
 
-    The curation itself runs once: its row count is taken while writing, metrics are read
-    from the written table, and the raw counts need one more scan but no shuffle.
+    All come from the typed table; row counts are taken while writing.
     """
     stamp = F.lit(datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp")
-    rows = write_lake(curate(raw.lines, source_system, stamp), lake)
+    rows = write_lake(feed.curated(source_system, stamp), lake)
     verified = verify_lake(spark, lake, rows)
-    parsed, rejected = line_counts(raw.lines).first()
-    malformed = raw.malformed.count()
+    total, malformed, rejected = (feed.counts[c] for c in ("total", "malformed", "rejected"))
     counters = {
-        "initial_raw_records": parsed + malformed,
+        "initial_raw_records": total,
         "malformed_records": malformed,
         "rejected_records": rejected,
-        "duplicates_removed": parsed - rejected - rows,
+        "duplicates_removed": total - malformed - rejected - rows,
         "final_curated_records": rows,
     }
-    write_quarantine(rejected_sales(raw.lines), f"{reports}/rejected", run_id)
-    write_quarantine(raw.malformed, f"{reports}/malformed", run_id)
+    write_quarantine(feed.rejected(), f"{reports}/rejected", run_id)
+    write_quarantine(feed.malformed(), f"{reports}/malformed", run_id)
     write_report(spark.createDataFrame([Row(**counters)]), f"{reports}/curation_counters")
     write_report(curation_metrics(spark.read.parquet(lake)), f"{reports}/curation_metrics")
     write_report(verified, f"{reports}/lake_check")
@@ -85,14 +85,14 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
     counters: dict[str, int] = {}
     try:
         if not args.skip_curation:
-            raw = read_raw_sales(spark, args.raw, multi_line=not args.single_line)
-            report = validate_raw(spark, args.raw, raw, args.min_bytes, args.min_rows)
-            write_report(report, f"{args.reports}/raw_validation")
-            counters = curate_to_lake(
-                spark, raw, args.lake, args.reports, run_id, args.source_system
-            )
+            with staging(spark):
+                feed, report = read_feed(spark, args.raw, args.multi_line, args.min_bytes, args.min_rows)
+                write_report(spark.createDataFrame([report]), f"{args.reports}/raw_validation")
+                counters = curate_to_lake(
+                    spark, feed, args.lake, args.reports, run_id, args.source_system
+                )
         if not args.skip_load:
-            counters |= load_warehouse(spark, args.lake, args.warehouse, args.max_fact_records)
+            counters |= load_warehouse(spark, args.lake, args.warehouse)
     except Exception as error:
         log_run(
             spark, log, run_id, PIPELINE, started, datetime.now(timezone.utc), "FAILED",
@@ -113,10 +113,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         parser.add_argument(f"--{name}", required=True)
     parser.add_argument("--skip-curation", action="store_true")
     parser.add_argument("--skip-load", action="store_true")
-    parser.add_argument("--single-line", action="store_true", help="no quoted line breaks: split files")
-    parser.add_argument("--max-fact-records", type=int, default=None)
-    parser.add_argument("--min-bytes", type=int, default=K.MIN_RAW_BYTES)
-    parser.add_argument("--min-rows", type=int, default=K.MIN_RAW_ROWS)
+    parser.add_argument("--multi-line", action="store_true", help="quoted line breaks: one task per file")
+    parser.add_argument("--min-bytes", type=int, default=1, help="refuse a smaller feed")
+    parser.add_argument("--min-rows", type=int, default=0, help="refuse a feed of fewer lines")
     parser.add_argument("--source-system", default="RETAIL_FEED")
     return parser.parse_args(argv)
 

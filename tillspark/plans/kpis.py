@@ -20,6 +20,7 @@ from tillspark.functions.sales import (
     period_label,
     sales_slice,
 )
+from tillspark.operators.rollups import distinct_count
 
 
 def per_invoice(facts: DataFrame, *by: str) -> DataFrame:
@@ -74,17 +75,16 @@ def sales_kpis(
 
     The average order value divides by all invoices less those with a cancelled line.
     """
-    invoices = per_invoice(facts.where(sales_slice(year, region, **options)), "customer_id")
-    figures = invoices.agg(
+    sliced = facts.where(sales_slice(year, region, **options))
+    figures = per_invoice(sliced).agg(
         count_sum("lines").alias("total_records"),
-        F.countDistinct("invoice_no").alias("total_orders"),
-        F.countDistinct("customer_id").alias("active_customers"),
+        F.count("invoice_no").alias("total_orders"),
         count_sum("sold_units").alias("units_sold"),
         total(F.col("sold_amount")).alias("gross_sales"),
         total(F.col("cancelled_amount")).alias("cancellation_amount"),
         total(F.col("amount")).alias("net_sales"),
         count_sum("cancelled_lines").alias("cancellation_records"),
-        F.countDistinct(F.when(F.col("has_return") == 1, F.col("invoice_no"))).alias("cancelled_orders"),
+        F.count(F.when(F.col("has_return") == 1, F.col("invoice_no"))).alias("cancelled_orders"),
         count_sum("guest_lines").alias("guest_records"),
         total(F.col("guest_amount")).alias("guest_sales"),
     )
@@ -95,6 +95,7 @@ def sales_kpis(
     gross, guest = F.col("gross_sales"), F.col("guest_sales")
     return figures.select(
         "*",
+        distinct_count(sliced, "customer_id").alias("active_customers"),
         valid.alias("valid_orders"),
         value.alias("aov"),
         rate.alias("return_rate_pct"),

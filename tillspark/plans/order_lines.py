@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillspark import constants as K
-from tillspark.functions.parsing import decimal_or, parse_order_date
+from tillspark.functions.parsing import decimal_or, parse_order_date, whole_number
 from tillspark.functions.text import blank_to, normalise_headers, title_words, trim_text_columns
 from tillspark.operators.dedup import first_per_key
 from tillspark.operators.joins import enrich_order_lines
@@ -21,7 +21,7 @@ def typed_order_lines(raw: DataFrame) -> DataFrame:
         "payment_method": blank_to(F.col("payment_method"), K.UNKNOWN_PAYMENT),
         "order_status": F.initcap(blank_to(F.col("order_status"), K.DEFAULT_ORDER_STATUS)),
         "region": title_words(blank_to(F.col("region"), K.UNKNOWN_REGION)),
-        "quantity": F.col("quantity").try_cast("int"),
+        "quantity": whole_number(F.col("quantity")),
         "unit_price": decimal_or(F.col("unit_price"), K.PRICE),
         "discount": decimal_or(F.col("discount"), "decimal(5,2)", "0.00"),
     }

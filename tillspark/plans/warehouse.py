@@ -19,7 +19,7 @@ from tillspark.operators.dimensions import (
 from tillspark.operators.merge import new_rows, touched_partitions, upsert
 from tillspark.operators.quality import QualityGateError, require_columns
 from tillspark.operators.rollups import table_counts
-from tillspark.session import staged
+from tillspark.session import staged, staging
 from tillspark.sinks.lake import append_rows, replace_table, write_partitions
 from tillspark.sources.lake import read_lake, read_or_empty
 
@@ -57,13 +57,14 @@ def upsert_partitions(
 
     ``partition`` has to follow from the key, so that a key never changes its partition.
     """
-    # looked at twice, for its partitions and for its rows
-    batch = staged(incoming, "upsert-batch")
-    if not batch.isEmpty():
-        stored = touched_partitions(read_or_empty(spark, path, schema), batch, [partition])
-        merged = upsert(stored, batch, keys, order=order)
-        # complete before the partitions it was read from are replaced
-        write_partitions(staged(merged, "upsert-result"), path, partition)
+    with staging(spark):
+        # looked at twice, for its partitions and for its rows
+        batch = staged(incoming, "upsert-batch")
+        if not batch.isEmpty():
+            stored = touched_partitions(read_or_empty(spark, path, schema), batch, [partition])
+            merged = upsert(stored, batch, keys, order=order)
+            # complete before the partitions it was read from are replaced
+            write_partitions(staged(merged, "upsert-result"), path, partition)
     return read_or_empty(spark, path, schema)
 
 
@@ -82,15 +83,14 @@ def load_dimensions(spark: SparkSession, facts: DataFrame, warehouse: str) -> No
 def load_fact(spark: SparkSession, facts: DataFrame, warehouse: str) -> int:
     """Append fact rows whose key is not stored yet; returns how many were new.
 
-    Only the months the batch touches are compared. The new rows are staged before the
-    append, because they are computed from the table being appended to.
+    Only the months the batch touches are compared. The plan lists the files it reads
+    before the append adds any, so the new rows need no copy in between.
     """
     path = f"{warehouse}/fact_sales"
     batch = require_columns(facts, schemas.FACT_SALES_COLUMNS, K.FORBIDDEN_SALES_COLUMNS)
     stored = read_or_empty(spark, path, schemas.FACT_SALES)
     stored = touched_partitions(stored, batch, K.SALES_PARTITIONS)
-    fresh = new_rows(stored, batch, K.SALES_KEY)
-    return append_rows(staged(fresh, "new-facts"), path)
+    return append_rows(new_rows(stored, batch, K.SALES_KEY), path)
 
 
 def warehouse_counts(spark: SparkSession, warehouse: str) -> DataFrame:
@@ -107,16 +107,11 @@ def require_loaded(counts: DataFrame) -> None:
         raise QualityGateError(f"empty warehouse tables: {empty}")
 
 
-def load_warehouse(
-    spark: SparkSession, lake: str, warehouse: str, max_fact_rows: int | None = None
-) -> dict[str, int]:
+def load_warehouse(spark: SparkSession, lake: str, warehouse: str) -> dict[str, int]:
     """Dimensions, then fact, then counts. Running it again changes nothing."""
-    load_dimensions(spark, read_lake(spark, lake), warehouse)
-    batch = read_lake(spark, lake, schemas.FACT_SALES_COLUMNS, limit=max_fact_rows)
-    if max_fact_rows is not None:
-        # a limit may pick other rows each time it is evaluated; the load looks twice
-        batch = staged(batch, "limited-facts")
-    inserted = load_fact(spark, batch, warehouse)
+    facts = read_lake(spark, lake, schemas.FACT_SALES_COLUMNS)
+    load_dimensions(spark, facts, warehouse)
+    inserted = load_fact(spark, facts, warehouse)
     counts = warehouse_counts(spark, warehouse)
     require_loaded(counts)
     rows = {f"{r['table_name']}_count": r["row_count"] for r in counts.collect()}
@@ -132,22 +127,16 @@ def load_daily_sales(spark: SparkSession, daily: DataFrame, warehouse: str) -> D
 
 
 def load_order_lines(
-    spark: SparkSession,
-    lines: DataFrame,
-    warehouse: str,
-    order: Sequence[str] = (),
-    max_rows: int | None = None,
-    buckets: int = K.ORDER_LINE_BUCKETS,
+    spark: SparkSession, lines: DataFrame, warehouse: str, order: Sequence[str] = ()
 ) -> DataFrame:
-    """Upsert order lines on (order, product); ``max_rows`` loads a sample only.
+    """Upsert order lines on (order, product), month by month.
 
-    The table is partitioned by a hash of the order: a late batch rewrites the buckets of
-    its own orders and not the whole table.
+    The table is partitioned by the month of the order, which follows from the order: a late
+    batch rewrites the months of its own orders and not the whole table.
     """
-    sample = lines if max_rows is None else lines.limit(max_rows)
-    batch = sample.withColumn("order_bucket", F.pmod(F.hash("order_id"), F.lit(buckets)))
+    batch = lines.withColumn("order_month", F.date_format("order_date", "yyyy-MM"))
     return upsert_partitions(
-        spark, f"{warehouse}/order_lines", batch.schema, batch, K.ORDER_LINE_KEY, "order_bucket", order
+        spark, f"{warehouse}/order_lines", batch.schema, batch, K.ORDER_LINE_KEY, "order_month", order
     )
 
 
@@ -172,13 +161,14 @@ def sync_master(spark: SparkSession, df: DataFrame, warehouse: str, master: str)
 def seed_masters(
     spark: SparkSession, feeds: dict[str, DataFrame], warehouse: str
 ) -> list[str]:
-    """Load each master from its feed, unless customers are already populated."""
-    stored = read_or_empty(spark, f"{warehouse}/customers", schemas.MASTERS["customers"])
-    populated = stored.limit(K.SEED_MASTERS_UP_TO_ROWS + 1).count() > K.SEED_MASTERS_UP_TO_ROWS
-    if populated:
-        return []
+    """Add the rows of each feed whose key its master lacks; stored rows stay as they are."""
     for master, df in feeds.items():
-        sync_master(spark, df, warehouse, master)
+        path, schema = f"{warehouse}/{master}", schemas.MASTERS[master]
+        incoming = master_columns(df, master)
+        stored = read_or_empty(spark, path, schema)
+        fresh = new_rows(stored, incoming, [incoming.columns[0]])
+        absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in stored.schema if f.name not in fresh.columns]
+        fresh.select("*", *absent).select(*stored.columns).write.mode("append").parquet(path)
     return list(feeds)
 
 

@@ -48,7 +48,7 @@ DIM_CUSTOMERS = (
 RUN_LOG = (
     "run_id string, pipeline_name string, start_time timestamp, end_time timestamp, "
     "status string, records_processed bigint, records_rejected bigint, "
-    "error_message string, metrics_json string"
+    "error_message string, metrics_json string, logged_at timestamp"
 )
 
 DAILY_SALES = (

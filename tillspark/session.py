@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import re
 import shutil
@@ -72,6 +73,49 @@ def ship_package(spark: SparkSession) -> None:
     _shipped(spark.sparkContext)
 
 
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's path and file system for ``path``, whatever storage it names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place, system = _file_system(spark, path)
+    return system.exists(place)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    place, system = _file_system(spark, path)
+    system.delete(place, True)
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename within one file system; raises where that fails."""
+    place, system = _file_system(spark, source)
+    if not system.rename(place, spark._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"could not move {source} to {target}")
+
+
+_open_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def staging(spark: SparkSession):
+    """Tables staged inside the block are deleted at its end.
+
+    For jobs, which return counts or stored tables. A query that returns a DataFrame over
+    staged tables leaves them to the cluster's clean-up of the shared folder.
+    """
+    paths: list[str] = []
+    _open_scopes.append(paths)
+    try:
+        yield
+    finally:
+        _open_scopes.remove(paths)
+        for path in paths:
+            delete_path(spark, path)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return a reader over the copy.
 
@@ -79,5 +123,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     and a lost executor costs a re-read, not the whole lineage.
     """
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    if _open_scopes:
+        _open_scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillspark.constants import SALES_PARTITIONS
-from tillspark.session import staged
+from tillspark.session import delete_path, move_path, path_exists
 from tillspark.sources.lake import read_or_empty
 
 MAX_RECORDS_PER_FILE = 5_000_000
@@ -76,13 +77,16 @@ def write_partitions(
         before = read_or_empty(spark, path, df.schema).count()
     # as many values as the table has folders, which the driver lists anyway
     touched_values = F.collect_set(partition_by).alias("touched")
-    writer, written = _counting_writer(df, [partition_by], touched_values)
+    nulls = F.count_if(F.col(partition_by).isNull()).alias("nulls")
+    writer, written = _counting_writer(df, [partition_by], touched_values, nulls)
     writer.mode(mode).option("partitionOverwriteMode", "dynamic").parquet(path)
     expected = before + written.get["rows"]
     stored = spark.read.parquet(path)
     if mode != "append":
-        touched = written.get["touched"]
-        stored = stored.where(F.col(partition_by).isin(touched) if touched else F.lit(False))
+        place, touched = F.col(partition_by), written.get["touched"]
+        inside = place.isin(touched) if touched else F.lit(False)
+        # rows without a value are a folder of their own
+        stored = stored.where((place.isNotNull() & inside) | (place.isNull() & F.lit(written.get["nulls"] > 0)))
     actual = stored.count()
     if actual != expected:
         raise WriteError(f"expected {expected} rows in {path}, read back {actual}")
@@ -102,11 +106,29 @@ def append_rows(df: DataFrame, path: str, partitions: Sequence[str] = SALES_PART
 
 
 def replace_table(df: DataFrame, path: str) -> DataFrame:
-    """Overwrite an unpartitioned table that ``df`` itself may be reading.
+    """Replace an unpartitioned table that ``df`` itself may be reading.
 
-    The result is staged in the shared folder first, so the files being read are only
-    replaced once the new content is complete.
+    The new version is written once, beside the table. It takes the table's place by two
+    renames; a crash at any point leaves a complete version, the old one under
+    ``<path>.old`` until the new one is in place (``restore_table`` puts it back).
     """
-    copy = staged(df, "replace")
-    copy.write.mode("overwrite").option("compression", "snappy").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    restore_table(spark, path)
+    fresh, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old"
+    df.write.option("compression", "snappy").parquet(fresh)
+    if path_exists(spark, path):
+        move_path(spark, path, old)
+    move_path(spark, fresh, path)
+    delete_path(spark, old)
+    spark.catalog.refreshByPath(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def restore_table(spark: SparkSession, path: str) -> None:
+    """Finish a replacement that a crash cut short: no table, but the version before it."""
+    old = f"{path}.old"
+    if path_exists(spark, old):
+        if path_exists(spark, path):
+            delete_path(spark, old)
+        else:
+            move_path(spark, old, path)

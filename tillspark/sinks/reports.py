@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import logging
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,6 +57,7 @@ def log_run(
     record = (
         run_id, pipeline_name, start_time, end_time, status, records_processed,
         records_rejected, error_message, json.dumps(metrics) if metrics else None,
+        datetime.now(timezone.utc),
     )
     try:
         spark.createDataFrame([record], RUN_LOG).coalesce(1).write.mode("append").parquet(path)

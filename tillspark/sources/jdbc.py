@@ -12,22 +12,23 @@ SOURCE_SYSTEM = "MYSQL_MASTER"
 def jdbc_options(
     url: str,
     table: str,
-    column: str | None = None,
-    bounds: tuple[int, int] | None = None,
-    partitions: int = 1,
+    column: str,
+    bounds: tuple[int, int],
+    partitions: int,
     fetch_size: int = 10_000,
     **extra: str,
 ) -> dict[str, str]:
-    """Reader options. With ``column`` and ``bounds`` the read is split into ranges."""
-    options = {"url": url, "dbtable": table, "fetchsize": str(fetch_size), **extra}
-    if column and bounds:
-        options.update(
-            partitionColumn=column,
-            lowerBound=str(bounds[0]),
-            upperBound=str(bounds[1]),
-            numPartitions=str(partitions),
-        )
-    return options
+    """Reader options. A read is always split into ranges of ``column``: one task per range."""
+    return {
+        "url": url,
+        "dbtable": table,
+        "fetchsize": str(fetch_size),
+        "partitionColumn": column,
+        "lowerBound": str(bounds[0]),
+        "upperBound": str(bounds[1]),
+        "numPartitions": str(partitions),
+        **extra,
+    }
 
 
 def read_table(spark: SparkSession, url: str, table: str, **options) -> DataFrame:

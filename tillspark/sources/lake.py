@@ -4,21 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tillspark.session import path_exists
+
 
 def read_or_empty(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
     """The table at ``path`` in the declared column order; empty where nothing was written."""
     declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    try:
-        return spark.read.schema(declared).parquet(path).select(*declared.names)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, path):
         return spark.createDataFrame([], declared)
+    return spark.read.schema(declared).parquet(path).select(*declared.names)
 
 
 def read_lake(
@@ -26,18 +24,12 @@ def read_lake(
     path: str,
     columns: Sequence[str] | None = None,
     keep: Column | None = None,
-    limit: int | None = None,
 ) -> DataFrame:
-    """Partition-aware scan. Filters and columns reach the Parquet reader.
-
-    ``limit`` is the load ceiling of a trial run; None reads everything.
-    """
+    """Partition-aware scan. Filters and columns reach the Parquet reader."""
     df = spark.read.parquet(path)
     if keep is not None:
         df = df.where(keep)
-    if columns:
-        df = df.select(*columns)
-    return df if limit is None else df.limit(limit)
+    return df.select(*columns) if columns else df
 
 
 def read_partition(

@@ -127,6 +127,7 @@ def run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(failed, 1).otherwise(0).cast("bigint").alias("records_rejected"),
         F.when(failed, F.col("event_type")).alias("error_message"),
         F.col("props").alias("metrics_json"),
+        ended.alias("logged_at"),
     )
 
 
@@ -146,7 +147,11 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("o_custkey").cast("string"))
         .alias("customer_id"),
         F.col("l_partkey").cast("string").alias("product_id"),
-        _quantity().cast("string").alias("quantity"),
+        # whole, with a zero fraction, with a fraction that cleaning cuts off
+        F.concat(
+            _quantity().cast("string"),
+            F.when(F.col("l_linenumber") % 3 == 1, ".0").when(F.col("l_linenumber") % 3 == 2, ".7").otherwise(""),
+        ).alias("quantity"),
         F.when(F.col("p_size") == 1, "n/a").otherwise(_price().cast("string")).alias("unit_price"),
         F.when(F.col("l_linestatus") == "F", (F.col("l_discount") * 100).cast("decimal(5,2)").cast("string"))
         .alias("discount"),
@@ -199,11 +204,24 @@ def customer_master(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("c_mktsegment").alias("city"),
             F.lit(None).cast("string").alias("state"),
             F.col("n_name").alias("country"),
-            F.col("c_acctbal").alias("balance"),
         )
     )
 
 
-def accounts_in_good_standing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The customers a referential check accepts: those without a negative balance."""
-    return customer_master(spark, sf_dir).where("balance >= 0").drop("balance")
+def supplier_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers in the shape of a customer master.
+
+    Their numbers are the first of the customers' and parts' numbers, so as a list of known
+    ids this whole table leaves most customers and parts without a parent.
+    """
+    return (
+        table(spark, sf_dir, "supplier")
+        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        .select(
+            F.col("s_suppkey").alias("customer_id"),
+            F.col("s_name").alias("customer_name"),
+            F.lit(None).cast("string").alias("city"),
+            F.lit(None).cast("string").alias("state"),
+            F.col("n_name").alias("country"),
+        )
+    )

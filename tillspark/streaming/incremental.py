@@ -10,26 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tillspark.plans.curate import curate
+from tillspark.plans.curate import typed_feed
 from tillspark.plans.warehouse import load_fact
-from tillspark.schemas import CORRUPT_RECORD, RAW_SALES
-from tillspark.session import staged
+from tillspark.session import staged, staging
+from tillspark.sources.feeds import sales_reader
 
 
 def stream_raw_sales(
-    spark: SparkSession, folder: str, files_per_batch: int = 1000, multi_line: bool = True
+    spark: SparkSession, folder: str, files_per_batch: int = 1000, multi_line: bool = False
 ) -> DataFrame:
     """Invoice lines of new files as a stream; malformed lines keep their text."""
-    return (
-        spark.readStream.schema(f"{RAW_SALES}, {CORRUPT_RECORD} string")
-        .option("header", "true")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT_RECORD)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .csv(folder)
-    )
+    return sales_reader(spark.readStream, multi_line).option("maxFilesPerTrigger", files_per_batch).csv(folder)
 
 
 def load_stream(
@@ -37,20 +28,19 @@ def load_stream(
 ) -> StreamingQuery:
     """Curate and insert every batch that is available now, then stop.
 
-    Malformed lines go to a side table, one folder per batch, so a repeated batch
+    Malformed and rejected lines go to side tables, one folder per batch, so a repeated batch
     replaces its own lines.
     """
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        corrupt = F.col(CORRUPT_RECORD)
-        # parsed once with every column; the batch is looked at several times
-        parsed = staged(batch, "feed-batch")
-        parsed.where(corrupt.isNotNull()).select(corrupt.alias("raw_text")).write.mode(
-            "overwrite"
-        ).json(f"{warehouse}/malformed_lines/batch={batch_id}")
-        good = parsed.where(corrupt.isNull()).drop(CORRUPT_RECORD)
-        load_fact(spark, staged(curate(good, source_system), "curated-batch"), warehouse)
+        with staging(spark):
+            feed = typed_feed(batch)
+            for name, rows in (("malformed", feed.malformed()), ("rejected", feed.rejected())):
+                rows.write.mode("overwrite").json(f"{warehouse}/{name}_lines/batch={batch_id}")
+            curated = feed.curated(source_system, F.current_timestamp())
+            # looked at twice, for its months and for its rows
+            load_fact(spark, staged(curated, "curated-batch"), warehouse)
 
     return (
         lines.writeStream.foreachBatch(load_batch)
