@@ -33,8 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TRAINING_PAGES = 400
-EPOCHS = 8
+TRAINING_PAGES = 1600
+EPOCHS = 6
 
 # a comment, declaration or tag; an unclosed one ends with the page
 _MARKUP = re.compile(
@@ -153,6 +153,9 @@ def _name_words(names: str) -> tuple[str, ...]:
     return _known_names(names) if len(names) < 80 else _known_names.__wrapped__(names)
 
 
+_LANDMARKS = {"article", "main", "nav", "header", "footer", "aside", "form", "section", "head", "table", "ul", "ol"}
+
+
 def _path_features(path) -> list[str]:
     features = {f"in:{tag}" for tag, _ in path}
     features |= {f"name:{word}" for _, words in path for word in words}
@@ -162,6 +165,10 @@ def _path_features(path) -> list[str]:
         features |= {f"own-name:{word}" for word in words}
     if len(path) > 1:
         features.add(f"parent:{path[-2][0]}")
+    nearest = next((words for _, words in reversed(path) if words), ())
+    features |= {f"nearest-name:{word}" for word in nearest}
+    landmark = next((tag for tag, _ in reversed(path) if tag in _LANDMARKS), "none")
+    features.add(f"landmark:{landmark}")
     return sorted(features)
 
 
@@ -244,7 +251,8 @@ def fit(pages: list[tuple[list[Block], list[int]]], epochs: int = EPOCHS) -> Fie
     weights, start, step = np.zeros(len(numbers)), np.zeros(2), np.zeros((2, 2))
     squares = [np.full_like(x, 1e-6) for x in (weights, start, step)]
     random = Random(7)
-    for _ in range(epochs):
+    sums, taken = [np.zeros_like(x) for x in (weights, start, step)], 0
+    for epoch in range(epochs):
         random.shuffle(coded)
         for rows, columns, labels in coded:
             n = len(labels)
@@ -269,6 +277,11 @@ def fit(pages: list[tuple[list[Block], list[int]]], epochs: int = EPOCHS) -> Fie
             for value, own, seen in ((weights, slope, squares[0]), (start, first, squares[1]), (step, pairs, squares[2])):
                 seen += own**2
                 value -= 0.3 * own / np.sqrt(seen)
+            if 2 * epoch >= epochs:  # the mean of the later steps is steadier than the last one
+                taken += 1
+                for mean, value in zip(sums, (weights, start, step)):
+                    mean += value
+    weights, start, step = (x / max(taken, 1) for x in sums)
     return Field({name: float(weights[i]) for name, i in numbers.items()}, start, step)
 
 
@@ -382,11 +395,12 @@ class _Page:
                 for _ in range(r.randint(2, 6)):
                     self.leaf("td", self.words(1, 6, False), 1)
                 self.out.append("</tr></table>")
-            elif draw < 0.27:
-                self.other(r.choice(["advert", "share", "sidebar", "notice", "form"]))
+            elif draw < 0.32:
+                self.other(r.choice(["advert", "advert", "share", "sidebar", "notice", "form"]))
             else:
                 short = r.random() < 0.15
-                self.leaf(r.choice(["p"] * 9 + ["div", "pre"]), self.words(1, 4) if short else self.words(5, 150), 1)
+                ended = r.random() < 0.75  # articles hold lists, verses and noise too
+                self.leaf(r.choice(["p"] * 9 + ["div", "pre"]), self.words(1, 4, ended) if short else self.words(5, 150, ended), 1)
         if r.random() < 0.15:
             self.other("comments")
         self.out += [f"</{t}>" for t in reversed(tags)]
@@ -399,6 +413,10 @@ class _Page:
         tags = [self.open(["div"], _NEUTRAL) for _ in range(r.randint(0, 2))]
         before = [k for k in ("notice", "header", "menu", "advert", "form", "sidebar") if r.random() < (0.75 if k == "menu" else 0.4)]
         after = [k for k in ("share", "advert", "comments", "sidebar", "form", "notice", "footer") if r.random() < (0.75 if k == "footer" else 0.4)]
+        if r.random() < 0.15:
+            before = []
+        if r.random() < 0.25:  # cut off, or nothing follows
+            after = []
         for kind in before:
             self.other(kind)
         self.article()

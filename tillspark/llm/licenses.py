@@ -127,6 +127,9 @@ FAMILIES: dict[str, tuple[list[str], list[str], list[str]]] = {
     "public-domain": (["released into the public domain", "dedicated to the public domain", "in the public domain"], [], []),
 }
 
+# statements that stand for themselves: no grant names them
+STATEMENTS = {"all-rights-reserved", "proprietary", "public-domain"}
+
 # form of a signature: (pattern around the name or identifier, its keyword, priority, score)
 NAME_FORMS = {
     "grant": (
@@ -183,6 +186,8 @@ def rules() -> tuple[Rule, ...]:
     for label, (names, identifiers, urls) in FAMILIES.items():
         for name in names:
             for form, (around, also, priority, score) in NAME_FORMS.items():
+                if label in STATEMENTS and form != "name":
+                    continue
                 add(label, form, around.format(f"(?:{name})"), name, also, priority, score)
         for identifier in identifiers:
             words = " ".join(re.findall(r"[a-z0-9]+", identifier))

@@ -19,7 +19,7 @@ scores them; neither shuffles texts. The sample's ids have a fixed bound and are
 Defined cases. A null or empty text is scored like any text without words: the model's base
 rate. A row without doc_id is scored and never held out. Labels without doc_id are ignored;
 of contradicting labels the toxic one counts. Without any training row every score is 0.
-Spans over ``LONGEST_SPAN`` characters are no words and stay as they are.
+Spans over ``LONGEST_SPAN`` characters, or less than a third letters, stay as they are.
 """
 
 from __future__ import annotations
@@ -145,7 +145,7 @@ def restored(text: str, costs: np.ndarray, known: dict[str, str] | None = None)
 
     def read(match: re.Match) -> str:
         span = match.group()
-        if len(span) > LONGEST_SPAN or sum(c.isdigit() for c in span) * 2 > len(span):
+        if len(span) > LONGEST_SPAN or 3 * sum(c.isalpha() for c in span) < len(span):
             return span
         if span not in known:
             if len(known) > 100_000:
