@@ -349,25 +349,21 @@ _KNOWN_CUSTOMER = """customer_id is not null and trim(customer_id) not in
 _KNOWN_PRODUCT = """product_id is not null and trim(product_id) not in
   (select cast(s_suppkey as varchar) from supplier)"""
 
+def _sql_rule(texts, broken, value=None, field=""):
+    """(name, condition, reason as SQL, finding) of one rule."""
+    name, reason, finding = (text.format(field) if field else text for text in texts)
+    before, _, after = (part.replace("'", "''") for part in reason.partition("{}"))
+    shown = f"'{before}'" if value is None else f"'{before}' || {value} || '{after}'"
+    return name, broken, shown, finding
+
+
 _REASONS = [
-    *[
-        (f"null_check_{c}", _BLANK.format(c), f"'Missing mandatory field ''{c}'''",
-         f"null or empty values in '{c}'")
-        for c in K.MANDATORY_ORDER_IDS
-    ],
-    ("valid_quantity_positive", _QTY,
-     "'Invalid quantity ''' || coalesce(quantity, 'None') || ''': must be integer > 0'",
-     "non-positive or non-numeric quantities"),
-    ("valid_price_non_negative", _NUM,
-     "'Invalid unit price ''' || coalesce(unit_price, 'None') || ''': must be float >= 0'",
-     "negative or non-numeric unit prices"),
-    ("valid_date_format", _DAY,
-     "'Unparseable or out-of-bounds order_date ''' || coalesce(order_date, 'None') || ''''",
-     "unparseable dates"),
-    ("fk_customer_id_exists", _KNOWN_CUSTOMER, "'Unknown customer_id ''' || customer_id || ''''",
-     "orphan customer IDs"),
-    ("fk_product_id_exists", _KNOWN_PRODUCT, "'Unknown product_id ''' || product_id || ''''",
-     "orphan product IDs"),
+    *[_sql_rule(K.RULE_MISSING, _BLANK.format(c), field=c) for c in K.MANDATORY_ORDER_IDS],
+    _sql_rule(K.RULE_QUANTITY, _QTY, "coalesce(quantity, 'None')"),
+    _sql_rule(K.RULE_PRICE, _NUM, "coalesce(unit_price, 'None')"),
+    _sql_rule(K.RULE_DATE, _DAY, "coalesce(order_date, 'None')"),
+    _sql_rule(K.RULE_CUSTOMER, _KNOWN_CUSTOMER, "customer_id"),
+    _sql_rule(K.RULE_PRODUCT, _KNOWN_PRODUCT, "product_id"),
 ]
 _CHECKED = "checked as (select *, concat_ws('; ', {}) as quarantine_reason from raw_orders)".format(
     ", ".join(f"case when {broken} then {reason} end" for _, broken, reason, _ in _REASONS)
@@ -454,16 +450,16 @@ def _audited(spark, sf):
 _AUDIT = f"""audited as (select o.*, s_name as customer_name,
     cast(order_id as varchar) || '-' || cast(line_number as varchar) as transaction_id
   from priced o {_CONTACTS})"""
-_AUDIT_CHECKS = [
-    ("null_customer_ids", "customer_id is null", "null customer_ids"),
-    ("null_product_ids", "product_id is null", "null product_ids"),
-    ("null_store_ids", "store_id is null or store_id = ''", "null store_ids"),
-    ("negative_or_zero_quantities", "quantity <= 0", "non-positive quantities"),
-    ("negative_unit_prices", "unit_price < 0", "negative unit prices"),
-    ("invalid_transaction_dates", "order_date is null", "invalid transaction dates"),
-    ("negative_net_amounts", "net_amount < 0", "negative net revenue amounts"),
-    ("referential_integrity_customers", "customer_name is null", "orphan customer references"),
-]
+_AUDIT_CONDITIONS = {
+    "null_customer_ids": "customer_id is null",
+    "null_product_ids": "product_id is null",
+    "null_store_ids": "store_id is null or store_id = ''",
+    "negative_or_zero_quantities": "quantity <= 0",
+    "negative_unit_prices": "unit_price < 0",
+    "invalid_transaction_dates": "order_date is null",
+    "negative_net_amounts": "net_amount < 0",
+    "referential_integrity_customers": "customer_name is null",
+}
 register(
     "quality_audit",
     with_views(V.ORDER_LINES, V.PRICED, _AUDIT)
@@ -474,8 +470,8 @@ register(
         'duplicate transaction_ids' as what
       from (select transaction_id from audited group by 1 having count(*) > 1)"""
     + "".join(
-        f" union all select '{name}', count(*) filter ({broken}), '{what}' from audited"
-        for name, broken, what in _AUDIT_CHECKS
+        f" union all select '{name}', count(*) filter ({broken}), '{K.AUDIT_FINDINGS[name]}' from audited"
+        for name, broken in _AUDIT_CONDITIONS.items()
     )
     + ")",
 )(lambda spark, sf: quality.audit_checks(_audited(spark, sf)))

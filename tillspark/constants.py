@@ -40,6 +40,37 @@ ORDER_DATE_YEARS = (2000, 2100)
 MANDATORY_ORDER_IDS = ("order_id", "order_date", "customer_id", "product_id")
 REQUIRED_ORDER_COLUMNS = MANDATORY_ORDER_IDS + ("quantity", "unit_price")
 
+# --- fixed values: order line rules (name, reason, finding) -------------------
+# {} in a reason stands for the value, in names and the reason of a missing field for the field
+RULE_MISSING = ("null_check_{}", "Missing mandatory field '{}'", "null or empty values in '{}'")
+RULE_QUANTITY = (
+    "valid_quantity_positive",
+    "Invalid quantity '{}': must be integer > 0",
+    "non-positive or non-numeric quantities",
+)
+RULE_PRICE = (
+    "valid_price_non_negative",
+    "Invalid unit price '{}': must be float >= 0",
+    "negative or non-numeric unit prices",
+)
+RULE_DATE = ("valid_date_format", "Unparseable or out-of-bounds order_date '{}'", "unparseable dates")
+RULE_CUSTOMER = ("fk_customer_id_exists", "Unknown customer_id '{}'", "orphan customer IDs")
+RULE_PRODUCT = ("fk_product_id_exists", "Unknown product_id '{}'", "orphan product IDs")
+FINDING = "Found %d {}"
+
+# --- fixed values: checks of the curated audit and what they find ---------------
+AUDIT_FINDINGS = {
+    "duplicate_transaction_ids": "duplicate transaction_ids",
+    "null_customer_ids": "null customer_ids",
+    "null_product_ids": "null product_ids",
+    "null_store_ids": "null store_ids",
+    "negative_or_zero_quantities": "non-positive quantities",
+    "negative_unit_prices": "negative unit prices",
+    "invalid_transaction_dates": "invalid transaction dates",
+    "negative_net_amounts": "negative net revenue amounts",
+    "referential_integrity_customers": "orphan customer references",
+}
+
 # --- fixed values: slices and report labels ----------------------------------
 DOMESTIC_COUNTRY = "United Kingdom"
 DOMESTIC_SLICE = "UK"

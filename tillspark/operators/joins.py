@@ -12,29 +12,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def with_products(lines: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Left join of order lines to the product catalog; duplicate catalog keys fan out."""
-    wanted = catalog.select(
-        F.col("product_id").alias("_product"),
-        "product_name",
-        F.col("category").alias("product_category"),
-        F.col("brand").alias("product_brand"),
-        F.col("price").alias("catalog_price"),
-        F.col("stock").alias("catalog_stock"),
+# attribute of the dimension -> column of the enriched lines
+PRODUCT_ATTRIBUTES = {
+    "product_name": "product_name",
+    "category": "product_category",
+    "brand": "product_brand",
+    "price": "catalog_price",
+    "stock": "catalog_stock",
+}
+CUSTOMER_ATTRIBUTES = {
+    "customer_name": "customer_name",
+    "city": "customer_city",
+    "state": "customer_state",
+    "country": "customer_country",
+}
+
+
+def with_attributes(
+    lines: DataFrame, dimension: DataFrame, key: str, attributes: dict[str, str]
+) -> DataFrame:
+    """Left join of lines to a dimension's renamed attributes; repeated keys fan out."""
+    wanted = dimension.select(
+        F.col(key).alias("_key"), *[F.col(name).alias(new) for name, new in attributes.items()]
     )
-    return lines.join(wanted, lines["product_id"] == wanted["_product"], "left").drop("_product")
+    return lines.join(wanted, F.col(key) == F.col("_key"), "left").drop("_key")
+
+
+def with_products(lines: DataFrame, catalog: DataFrame) -> DataFrame:
+    return with_attributes(lines, catalog, "product_id", PRODUCT_ATTRIBUTES)
 
 
 def with_customers(lines: DataFrame, customers: DataFrame) -> DataFrame:
-    """Left join of order lines to the customer master."""
-    wanted = customers.select(
-        F.col("customer_id").alias("_customer"),
-        "customer_name",
-        F.col("city").alias("customer_city"),
-        F.col("state").alias("customer_state"),
-        F.col("country").alias("customer_country"),
-    )
-    return lines.join(wanted, lines["customer_id"] == wanted["_customer"], "left").drop("_customer")
+    return with_attributes(lines, customers, "customer_id", CUSTOMER_ATTRIBUTES)
 
 
 def enrich_order_lines(

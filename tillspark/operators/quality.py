@@ -70,48 +70,22 @@ def _unknown(key: str, flag: str) -> Column:
 
 def order_line_rules(check_customers: bool = False, check_products: bool = False) -> list[Rule]:
     """The order line rules, in the order their reasons are listed."""
-    rules = [
-        Rule(
-            f"null_check_{name}",
-            is_blank(F.col(name)),
-            F.lit(f"Missing mandatory field '{name}'"),
-            f"Found %d null or empty values in '{name}'",
-        )
-        for name in K.MANDATORY_ORDER_IDS
-    ]
+    def rule(texts: tuple[str, str, str], broken: Column, value: Column | None = None, field: str = "") -> Rule:
+        name, reason, finding = (text.format(field) if field else text for text in texts)
+        before, _, after = reason.partition("{}")
+        shown = F.lit(reason) if value is None else F.concat(F.lit(before), value, F.lit(after))
+        return Rule(name, broken, shown, K.FINDING.format(finding))
+
+    rules = [rule(K.RULE_MISSING, is_blank(F.col(name)), field=name) for name in K.MANDATORY_ORDER_IDS]
     rules += [
-        Rule(
-            "valid_quantity_positive",
-            _positive_quantity("quantity"),
-            F.concat(F.lit("Invalid quantity '"), _shown("quantity"), F.lit("': must be integer > 0")),
-            "Found %d non-positive or non-numeric quantities",
-        ),
-        Rule(
-            "valid_price_non_negative",
-            _valid_price("unit_price"),
-            F.concat(F.lit("Invalid unit price '"), _shown("unit_price"), F.lit("': must be float >= 0")),
-            "Found %d negative or non-numeric unit prices",
-        ),
-        Rule(
-            "valid_date_format",
-            _date_in_years("order_date", *K.ORDER_DATE_YEARS),
-            F.concat(F.lit("Unparseable or out-of-bounds order_date '"), _shown("order_date"), F.lit("'")),
-            "Found %d unparseable dates",
-        ),
+        rule(K.RULE_QUANTITY, _positive_quantity("quantity"), _shown("quantity")),
+        rule(K.RULE_PRICE, _valid_price("unit_price"), _shown("unit_price")),
+        rule(K.RULE_DATE, _date_in_years("order_date", *K.ORDER_DATE_YEARS), _shown("order_date")),
     ]
-    for wanted, key, what in (
-        (check_customers, "customer_id", "customer"),
-        (check_products, "product_id", "product"),
-    ):
-        if wanted:
-            rules.append(
-                Rule(
-                    f"fk_{key}_exists",
-                    _unknown(key, f"_known_{key}"),
-                    F.concat(F.lit(f"Unknown {key} '"), _shown(key), F.lit("'")),
-                    f"Found %d orphan {what} IDs",
-                )
-            )
+    if check_customers:
+        rules.append(rule(K.RULE_CUSTOMER, _unknown("customer_id", "_known_customer_id"), _shown("customer_id")))
+    if check_products:
+        rules.append(rule(K.RULE_PRODUCT, _unknown("product_id", "_known_product_id"), _shown("product_id")))
     return rules
 
 
@@ -272,26 +246,25 @@ def quality_audit(
         return F.col(name).isNull() | (F.col(name).cast("string") == "")
 
     checks = {
-        "null_customer_ids": (absent(customer_id), "null customer_ids"),
-        "null_product_ids": (absent(product_id), "null product_ids"),
-        "null_store_ids": (absent(store_id), "null store_ids"),
-        "negative_or_zero_quantities": (F.col("quantity") <= 0, "non-positive quantities"),
-        "negative_unit_prices": (F.col("unit_price") < 0, "negative unit prices"),
-        "invalid_transaction_dates": (F.col(transaction_date).isNull(), "invalid transaction dates"),
-        "negative_net_amounts": (F.col("net_amount") < 0, "negative net revenue amounts"),
-        "referential_integrity_customers": (F.col(customer_name).isNull(), "orphan customer references"),
+        "null_customer_ids": absent(customer_id),
+        "null_product_ids": absent(product_id),
+        "null_store_ids": absent(store_id),
+        "negative_or_zero_quantities": F.col("quantity") <= 0,
+        "negative_unit_prices": F.col("unit_price") < 0,
+        "invalid_transaction_dates": F.col(transaction_date).isNull(),
+        "negative_net_amounts": F.col("net_amount") < 0,
+        "referential_integrity_customers": F.col(customer_name).isNull(),
     }
     per_id = curated.groupBy(transaction_id).agg(
         F.count("*").alias("_rows"),
-        *[F.count_if(broken).alias(name) for name, (broken, _) in checks.items()],
+        *[F.count_if(broken).alias(name) for name, broken in checks.items()],
     )
     counted = per_id.agg(
         F.coalesce(F.sum("_rows"), F.lit(0)).alias("output_record_count"),
         F.count_if(F.col("_rows") > 1).alias("duplicate_transaction_ids"),
         *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in checks],
     )
-    findings = {"duplicate_transaction_ids": "duplicate transaction_ids"}
-    findings.update({name: what for name, (_, what) in checks.items()})
+    findings = K.AUDIT_FINDINGS
     warning_only = "referential_integrity_customers"
 
     def status(name: str) -> Column:
@@ -306,7 +279,7 @@ def quality_audit(
                 status(name).alias("status"),
                 F.col(name).alias("failed_records"),
                 F.lit(0).alias("threshold"),
-                F.format_string(f"Found %d {what}", F.col(name)).alias("details"),
+                F.format_string(K.FINDING.format(what), F.col(name)).alias("details"),
             )
             for name, what in findings.items()
         ]
