@@ -24,11 +24,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from tillspark.llm.words import NOT_SPACE, words_of
 from tillspark.session import staged
 
 SEQUENCE_TOKENS = 2048
@@ -37,55 +39,151 @@ CLASS_WIDTH = 8
 MAX_WASTE = 0.01
 NEAR_BOUND = 1.001  # a solution this close to the lower bound is good enough
 MAX_COLUMNS = 5_000  # generated before the best solution so far is taken
-CACHED_CHUNKS = 400_000  # encoded text chunks a Python worker remembers
+CACHED_CHUNKS = 300_000  # encoded text chunks in a generation of a Python worker's memory
 JOINED_CHUNKS = 100
-BATCH_ROWS = 256
+MARKS = ".,;:!?%$&*#|"
+BATCH_ROWS = 1024
 
-_chunks: dict[str, bytes] = {}
+_chunks: list[dict[int, bytes]] = [{}, {}]
 _tokenizers: dict[str, object] = {}
 
 
 def _tokenizer(path: str):
+    """(tokenizer, plain tokenizer or None, whether a token ends a word) of a vocabulary file.
+
+    The plain one takes words that need no normalising and no splitting but at spaces. It
+    exists where the vocabulary marks the ends of words.
+    """
     if path not in _tokenizers:
         import os
 
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _tokenizers[path] = Tokenizer.from_file(path)
+        whole, plain, ends = Tokenizer.from_file(path), None, None
+        suffix = whole.model.end_of_word_suffix
+        if suffix:
+            plain = Tokenizer.from_file(path)
+            plain.normalizer = None
+            split = [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+            plain.pre_tokenizer = pre_tokenizers.Sequence(split)
+            ends = np.zeros(plain.get_vocab_size() + 1, bool)
+            ends[[number for token, number in plain.get_vocab().items() if token.endswith(suffix)]] = True
+        _tokenizers[path] = whole, plain, ends
     return _tokenizers[path]
 
 
+def _groups(chunks: list[str]) -> list[str]:
+    return [" ".join(chunks[i : i + JOINED_CHUNKS]) for i in range(0, len(chunks), JOINED_CHUNKS)]
+
+
+def _encode_words(words: list[str], path: str) -> list[bytes]:
+    """Ids of lower-case words of Latin-1 letters; each ends with the first token that ends one."""
+    _, plain, ends = _tokenizer(path)
+    encoded = plain.encode_batch_fast(_groups(words), add_special_tokens=False)
+    ids = np.concatenate([np.empty(0, "<u4"), *(np.array(e.ids, "<u4") for e in encoded)]).astype("<u4")
+    cuts = [0, *(4 * (np.flatnonzero(ends[ids]) + 1)).tolist()]
+    raw = ids.tobytes()
+    if len(cuts) != len(words) + 1:
+        raise ValueError("the vocabulary does not end every word with a token that ends words")
+    return [raw[low:high] for low, high in zip(cuts, cuts[1:])]
+
+
 def _encode_chunks(chunks: list[str], path: str) -> list[bytes]:
-    """Ids of every chunk, from texts of ``JOINED_CHUNKS`` chunks with a space between them."""
+    """Ids of any chunks, joined with a space and told apart by the tokens' places."""
     out = []
-    groups = [chunks[i : i + JOINED_CHUNKS] for i in range(0, len(chunks), JOINED_CHUNKS)]
-    for group, encoded in zip(groups, _tokenizer(path).encode_batch([" ".join(g) for g in groups], add_special_tokens=False)):
+    whole, _, _ = _tokenizer(path)
+    for at, encoded in enumerate(whole.encode_batch(_groups(chunks), add_special_tokens=False)):
+        group = chunks[at * JOINED_CHUNKS : (at + 1) * JOINED_CHUNKS]
         ids = np.array(encoded.ids, "<u4")
         starts = np.fromiter((start for start, _ in encoded.offsets), np.int64, len(ids))
         ends = np.cumsum([len(chunk) + 1 for chunk in group])  # a chunk and the space after it
-        cuts = np.searchsorted(starts, ends)
         raw, low = ids.tobytes(), 0
-        for cut in cuts.tolist():
+        for cut in np.searchsorted(starts, ends).tolist():
             out.append(raw[4 * low : 4 * cut])
             low = cut
     return out
 
 
-def encode(texts: list[str], path: str) -> list[bytes]:
-    """Ids of every text as unsigned little-endian 32-bit numbers, the end token last.
+def _is_latin(chunk: str) -> bool:
+    return chunk.isascii() or max(chunk) <= "\xff"
+
+
+def _encode_distinct(keys: list[int], raw: bytes, low: list[int], high: list[int], path: str) -> list[bytes]:
+    """Ids of distinct chunks, given as hashes; the i-th is ``raw[low[i] : high[i]]``.
 
-    This holds for tokenizers whose pieces never span a space, tab or line break and which
-    drop these: a text is then the sequence of its chunks, and a chunk is encoded once.
+    A worker remembers two generations of chunks: when the younger is full it becomes the
+    older one, and chunks still in use move over. Words of Latin-1 letters, alone or with marks
+    behind them (two runs of the splitting pattern), need no normalising but lower case.
+    """
+    young, old = _chunks
+    if len(young) > CACHED_CHUNKS:
+        young, old = {}, young
+        _chunks[:] = [young, old]
+    parts = list(map(young.get, keys))
+    words: dict[str, int] = {}
+    others: dict[str, int] = {}
+    found: list[tuple[int, int, int]] = []  # chunk, its word, its marks or -1
+    rest: list[tuple[int, int]] = []
+    plain = _tokenizer(path)[1] is not None
+    for i, part in enumerate(parts):
+        if part is not None:
+            continue
+        part = old.get(keys[i])
+        if part is not None:
+            parts[i] = young[keys[i]] = part
+            continue
+        chunk = raw[low[i] : high[i]].decode()
+        word = chunk if chunk.isalpha() else chunk.rstrip(MARKS)
+        if plain and word.isalpha() and _is_latin(word):
+            marks = -1 if len(word) == len(chunk) else others.setdefault(chunk[len(word) :], len(others))
+            if not word.isascii():
+                word = word.lower()
+            found.append((i, words.setdefault(word, len(words)), marks))
+        else:
+            rest.append((i, others.setdefault(chunk, len(others))))
+    of_word = _encode_words(list(words), path) if words else []
+    of_other = _encode_chunks(list(others), path) if others else []
+    for i, word, marks in found:
+        parts[i] = young[keys[i]] = of_word[word] if marks < 0 else of_word[word] + of_other[marks]
+    for i, other in rest:
+        parts[i] = young[keys[i]] = of_other[other]
+    return parts
+
+
+def encode(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, offsets): ids of all texts, each with the end token last; text i begins at offsets[i].
+
+    This holds for tokenizers whose pieces never span white space, which drop it and ignore
+    case: a text is the sequence of its chunks between white space, and equal chunks of a batch
+    are encoded once. A text with the opening of a special token is encoded as it stands.
     """
-    split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-    missing = list({c for chunks in split for c in chunks if c not in _chunks})
-    if len(_chunks) + len(missing) > CACHED_CHUNKS:
-        _chunks.clear()
-        missing = list({c for chunks in split for c in chunks})
-    _chunks.update(zip(missing, _encode_chunks(missing, path)))
-    end = np.array([END_TOKEN], "<u4").tobytes()
-    return [b"".join([_chunks[c] for c in chunks]) + end for chunks in split]
+    special = pc.fill_null(pc.match_substring(texts, "<|"), False)
+    if pc.any(special).as_py():
+        whole = _tokenizer(path)[0]
+        rows = [
+            encode(texts.slice(i, 1), path)[0]
+            if not odd
+            else np.array([*whole.encode(texts[i].as_py(), add_special_tokens=False).ids, END_TOKEN], "<u4")
+            for i, odd in enumerate(special.to_pylist())
+        ]
+        return np.concatenate(rows), np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+    split = words_of(texts, NOT_SPACE)
+    keys, first, inverse = np.unique(split.hashes, return_index=True, return_inverse=True)
+    low, high = split.starts[first].tolist(), split.ends[first].tolist()
+    parts = _encode_distinct(keys.tolist(), split.data.tobytes(), low, high, path)
+    flat = np.frombuffer(b"".join(parts), "<u4")
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+    begins = np.concatenate([[0], np.cumsum(sizes)])[:-1] if len(sizes) else sizes
+    # every chunk's ids, in the order of the texts
+    counts = sizes[inverse]
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    ids = flat[np.repeat(begins[inverse] - ends[:-1], counts) + np.arange(ends[-1])]
+    tokens = ends[split.first]  # where each text's ids begin, end tokens not counted
+    offsets = tokens + np.arange(len(tokens))
+    out = np.full(offsets[-1], END_TOKEN, "<u4")
+    out[np.arange(len(ids)) + np.repeat(np.arange(len(texts)), np.diff(tokens))] = ids
+    return out, offsets
 
 
 def tokenised(docs: DataFrame, path: str, length: int = SEQUENCE_TOKENS, width: int = CLASS_WIDTH) -> DataFrame:
@@ -101,29 +199,27 @@ def tokenised(docs: DataFrame, path: str, length: int = SEQUENCE_TOKENS, width:
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH_ROWS):
                 part = batch.slice(at, BATCH_ROWS)
-                ids = encode([t or "" for t in part.column("text").to_pylist()], path)
-                classes, before, fulls, sizes = [], [], [], []
-                for own in ids:
-                    n = len(own) // 4
-                    rest = n % length
-                    kind = -(-rest // width)
-                    sizes.append(n)
-                    classes.append(kind)
+                ids, offsets = encode(part.column("text"), path)
+                sizes = np.diff(offsets)
+                kinds = -(-(sizes % length) // width)
+                before, fulls = [], []
+                for n, kind in zip(sizes.tolist(), kinds.tolist()):
                     before.append(int(ranks[kind]))
                     fulls.append(full)
                     ranks[kind] += 1
                     full += n // length
-                rows = len(ids)
+                rows = len(sizes)
+                where = pa.py_buffer((4 * offsets).astype(np.int32).tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(rows, split, np.int64)),
                         pa.array(np.arange(row, row + rows)),
                         part.column("doc_id"),
                         pa.array(sizes, pa.int64()),
-                        pa.array(classes, pa.int32()),
+                        pa.array(kinds, pa.int32()),
                         pa.array(before, pa.int64()),
                         pa.array(fulls, pa.int64()),
-                        pa.array(ids, pa.binary()),
+                        pa.Array.from_buffers(pa.binary(), rows, [None, where, pa.py_buffer(ids.tobytes())]),
                     ],
                     ["split", "row", "doc_id", "n", "class", "class_rank", "full_before", "ids"],
                 )
