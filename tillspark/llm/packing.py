@@ -362,107 +362,132 @@ def _ranked(rows: DataFrame) -> DataFrame:
     return rows.join(ranks, ["class", "split"]).withColumn("rank", F.col("rank_base") + F.col("class_rank"))
 
 
-def plan_pieces(
-    tokens: DataFrame, length: int = SEQUENCE_TOKENS, width: int = CLASS_WIDTH, max_waste: float = MAX_WASTE
-) -> DataFrame:
-    """(split, row, doc_id, doc_tokens, start, length, sequence_id, offset) of every piece.
-
-    Sequence ids have four kinds by their remainder modulo 4: full sequences of one document,
-    patterns, sequences of equal power-of-two pieces, and the shorter last ones of these.
-    """
-    rows = tokens.select("split", "row", "doc_id", "n", "class", "class_rank", "full_before")
-    demand = np.zeros(length // width, np.int64)
-    for row in rows.where("class > 0").groupBy("class").count().collect():
-        demand[row["class"] - 1] = row["count"]
-    places = Places.of(demand, max_waste)
-    sent = tokens.sparkSession.sparkContext.broadcast(places)
+def _placed(ranked: DataFrame, places: Places) -> DataFrame:
+    """Add pattern_sequence and slot, both -1 where the rest has no place in a pattern."""
+    sent = ranked.sparkSession.sparkContext.broadcast(places)
+    added = ("pattern_sequence", "slot")
 
     def run(batches):
         for batch in batches:
-            kinds = batch.column("class").to_numpy()
-            sequence, slot = sent.value.find(kinds, batch.column("rank").to_numpy())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(sequence), pa.array(slot)], [*batch.schema.names, "pattern_sequence", "slot"]
-            )
-
-    ranked = _ranked(rows)
-    schema = StructType([*ranked.schema, *(StructField(c, LongType()) for c in ("pattern_sequence", "slot"))])
-    found = staged(ranked.mapInArrow(run, schema), "packing-places")
-    base = ["split", "row", "doc_id", F.col("n").alias("doc_tokens")]
-    rest = F.col("n") % length
-
-    # full sequences: numbered by split and by place within it
-    full = found.where(F.col("n") >= length).select(
-        *base, "full_before", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(F.col("n") / length) - 1)).alias("k")
-    )
-    full = full.select(
-        "split", "row", "doc_id", "doc_tokens",
+            kinds, ranks = (batch.column(c).to_numpy() for c in ("class", "rank"))
+            found = sent.value.find(kinds, ranks)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, found)], [*batch.schema.names, *added])
+
+    schema = StructType([*ranked.schema, *(StructField(c, LongType()) for c in added)])
+    return ranked.mapInArrow(run, schema)
+
+
+def _long(value: Column) -> Column:
+    return value.cast("bigint")
+
+
+_OF_DOCUMENT = ("split", "row", "doc_id", "doc_tokens")
+_OF_PIECE = (*_OF_DOCUMENT, "start", "length", "sequence_id", "offset")
+
+
+def _full_pieces(found: DataFrame, length: int) -> DataFrame:
+    """Sequences of one document each, numbered by split and by place within it."""
+    number = F.explode(F.sequence(_long(F.lit(0)), F.floor(F.col("doc_tokens") / length) - 1)).alias("k")
+    return found.where(F.col("doc_tokens") >= length).select(*_OF_DOCUMENT, "full_before", number).select(
+        *_OF_DOCUMENT,
         (F.col("k") * length).alias("start"),
-        F.lit(length).cast("bigint").alias("length"),
+        _long(F.lit(length)).alias("length"),
         (4 * (F.col("split") * (1 << 36) + F.col("full_before") + F.col("k"))).alias("sequence_id"),
-        F.lit(0).cast("bigint").alias("offset"),
+        _long(F.lit(0)).alias("offset"),
     )
-    # patterns: offsets are sums of the true lengths before, over one sequence's few pieces
+
+
+def _pattern_pieces(found: DataFrame) -> DataFrame:
+    """Rests in patterns; offsets are sums of true lengths over one sequence's few pieces."""
     before = Window.partitionBy("sequence_id").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    patterned = found.where("pattern_sequence >= 0").select(
-        *base, (F.col("n") - rest).alias("start"), rest.alias("length"),
-        (4 * F.col("pattern_sequence") + 1).alias("sequence_id"), "slot",
+    pieces = found.where("pattern_sequence >= 0").select(
+        *_OF_DOCUMENT,
+        (F.col("doc_tokens") - F.col("rest")).alias("start"),
+        F.col("rest").alias("length"),
+        (4 * F.col("pattern_sequence") + 1).alias("sequence_id"),
+        "slot",
     )
-    patterned = patterned.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0))).drop("slot")
-    # all others: one piece for every power of two in the rest, from the largest down
-    def has_bit(number: Column, bit: Column) -> Column:
-        return F.floor(number / F.pow(F.lit(2), bit)).cast("bigint") % 2 == 1
+    return pieces.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0))).select(*_OF_PIECE)
 
-    bits = F.sequence(F.lit(length.bit_length() - 2), F.lit(0))
-    cut = found.where("pattern_sequence < 0 and class > 0").select(
-        *base, rest.alias("rest"), F.explode(F.filter(bits, lambda b: has_bit(rest, b))).alias("bit")
-    )
-    size = F.pow(F.lit(2), F.col("bit")).cast("bigint")
-    cut = cut.select(
-        "split", "row", "doc_id", "doc_tokens", "bit", size.alias("length"),
-        (F.col("doc_tokens") - F.col("rest") % (2 * size)).alias("start"),
+
+def _has_bit(number: Column, bit: Column) -> Column:
+    return _long(F.floor(number / F.pow(F.lit(2), bit))) % 2 == 1
+
+
+def _numbered_cuts(found: DataFrame, bits: Column) -> DataFrame:
+    """One piece for every power of two in a rest, largest first, ranked among its equals.
+
+    ``rank`` counts pieces of the same length over all splits, ``all`` is their number.
+    """
+    bit = F.explode(F.filter(bits, lambda b: _has_bit(F.col("rest"), b))).alias("bit")
+    size = _long(F.pow(F.lit(2), F.col("bit")))
+    cuts = found.where("pattern_sequence < 0 and class > 0").select(*_OF_DOCUMENT, "rest", bit)
+    cuts = cuts.select(
+        *_OF_DOCUMENT, "bit", size.alias("length"), (F.col("doc_tokens") - F.col("rest") % (2 * size)).alias("start")
     )
-    cut = staged(cut, "packing-cuts")
-    in_split = Window.partitionBy("bit", "split").orderBy("row")
-    counts = cut.groupBy("bit", "split").agg(F.count("*").alias("pieces"))
+    cuts = staged(cuts, "packing-cuts")
+    counts = cuts.groupBy("bit", "split").agg(F.count("*").alias("pieces"))
+    earlier = Window.partitionBy("bit").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select(
-        "bit", "split",
-        F.coalesce(
-            F.sum("pieces").over(Window.partitionBy("bit").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("base"),
+        "bit",
+        "split",
+        F.coalesce(F.sum("pieces").over(earlier), F.lit(0)).alias("base"),
         F.sum("pieces").over(Window.partitionBy("bit")).alias("all"),
     )
-    numbered = cut.withColumn("in_split", F.row_number().over(in_split) - 1).join(bases, ["bit", "split"])
-    numbered = numbered.withColumn("rank", F.col("base") + F.col("in_split"))
-    numbered = numbered.withColumn("per", (F.lit(length) / F.col("length")).cast("bigint"))
-    numbered = numbered.withColumn("left", F.col("all") % F.col("per"))  # pieces in no whole sequence
-    numbered = numbered.withColumn("tail", F.col("rank") - (F.col("all") - F.col("left")))
-    # the tail: its binary digits, largest first, are sequences; a piece's is found by its rank
-    start = F.struct(F.lit(0).cast("bigint").alias("begin"), F.lit(0).cast("bigint").alias("own"), F.lit(0).cast("bigint").alias("digit"))
+    in_split = F.row_number().over(Window.partitionBy("bit", "split").orderBy("row")) - 1
+    return cuts.withColumn("in_split", in_split).join(bases, ["bit", "split"]).withColumn(
+        "rank", F.col("base") + F.col("in_split")
+    )
+
+
+def _power_pieces(found: DataFrame, length: int) -> DataFrame:
+    """Rests cut into powers of two: equal pieces fill sequences; the last few, shorter ones."""
+    bits = F.sequence(F.lit(length.bit_length() - 2), F.lit(0))
+    pieces = _numbered_cuts(found, bits).withColumn("per", _long(F.lit(length) / F.col("length")))
+    pieces = pieces.withColumn("left", F.col("all") % F.col("per"))  # pieces in no whole sequence
+    pieces = pieces.withColumn("tail", F.col("rank") - (F.col("all") - F.col("left")))
 
     def add_digit(state: Column, bit: Column) -> Column:
-        here = has_bit(F.col("left"), bit)
+        here = _has_bit(F.col("left"), bit)
         reached = here & (state["begin"] <= F.col("tail"))
-        after = state["begin"] + F.pow(F.lit(2), bit).cast("bigint")
+        after = state["begin"] + _long(F.pow(F.lit(2), bit))
         return F.struct(
             F.when(here, after).otherwise(state["begin"]).alias("begin"),
             F.when(reached, state["begin"]).otherwise(state["own"]).alias("own"),
-            F.when(reached, bit.cast("bigint")).otherwise(state["digit"]).alias("digit"),
+            F.when(reached, _long(bit)).otherwise(state["digit"]).alias("digit"),
         )
 
-    step = F.aggregate(bits, start, add_digit)
-    numbered = numbered.withColumn("_tail", F.when(F.col("tail") >= 0, step))
-    powers = numbered.select(
-        "split", "row", "doc_id", "doc_tokens", "start", "length",
-        F.when(F.col("tail") < 0, 4 * (F.floor(F.col("rank") / F.col("per")).cast("bigint") * 16 + F.col("bit")) + 2)
-        .otherwise(4 * (F.col("bit") * 16 + F.col("_tail.digit")) + 3)
-        .alias("sequence_id"),
-        F.when(F.col("tail") < 0, F.col("rank") % F.col("per") * F.col("length"))
-        .otherwise((F.col("tail") - F.col("_tail.own")) * F.col("length"))
-        .alias("offset"),
+    # the binary digits of what is left, largest first, are sequences; the rank tells which
+    nothing = F.struct(*[_long(F.lit(0)).alias(c) for c in ("begin", "own", "digit")])
+    pieces = pieces.withColumn("digits", F.when(F.col("tail") >= 0, F.aggregate(bits, nothing, add_digit)))
+    whole = F.col("tail") < 0
+    sequence = _long(F.floor(F.col("rank") / F.col("per"))) * 16 + F.col("bit")
+    shorter = F.col("bit") * 16 + F.col("digits.digit")
+    return pieces.select(
+        *_OF_DOCUMENT,
+        "start",
+        "length",
+        F.when(whole, 4 * sequence + 2).otherwise(4 * shorter + 3).alias("sequence_id"),
+        (F.when(whole, F.col("rank") % F.col("per")).otherwise(F.col("tail") - F.col("digits.own")) * F.col("length")).alias("offset"),
     )
-    columns = full.columns
-    return full.unionByName(patterned.select(*columns)).unionByName(powers.select(*columns))
+
+
+def plan_pieces(
+    tokens: DataFrame, length: int = SEQUENCE_TOKENS, width: int = CLASS_WIDTH, max_waste: float = MAX_WASTE
+) -> DataFrame:
+    """(split, row, doc_id, doc_tokens, start, length, sequence_id, offset) of every piece.
+
+    Sequence ids have four kinds by their remainder modulo 4: full sequences of one document,
+    patterns, sequences of equal power-of-two pieces, and the shorter last ones of these.
+    """
+    rows = tokens.select("split", "row", "doc_id", "n", "class", "class_rank", "full_before")
+    demand = np.zeros(length // width, np.int64)
+    for row in rows.where("class > 0").groupBy("class").count().collect():
+        demand[row["class"] - 1] = row["count"]
+    placed = _placed(_ranked(rows), Places.of(demand, max_waste))
+    found = placed.withColumnRenamed("n", "doc_tokens").withColumn("rest", F.col("doc_tokens") % length)
+    found = staged(found, "packing-places")
+    return _full_pieces(found, length).unionByName(_pattern_pieces(found)).unionByName(_power_pieces(found, length))
 
 
 def packed_pieces(

@@ -213,7 +213,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS)
     sample = known.where(~is_held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string").alias("text"))
     joined = texts.join(F.broadcast(sample), "doc_id")
-    return joined.select("text", "toxic").limit(2 * rows)  # repeated rows of one id
+    # one row per id, however often it is repeated
+    return joined.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).drop("doc_id")
 
 
 def fit(docs: DataFrame, labels: DataFrame, costs: np.ndarray, rows: int = TRAINING_ROWS) -> Model:
