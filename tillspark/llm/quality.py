@@ -32,7 +32,7 @@ MAX_REPEAT_PERCENT = 20
 BUCKETS = 1 << 14
 TRUSTED_ROWS = 20_000
 SMOOTHING = 1.0
-MIN_RATIO = -0.08  # mean log ratio per n-gram; texts below are rejected
+MIN_RATIO = -0.1  # mean log ratio per n-gram; texts below are rejected
 
 SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]"
