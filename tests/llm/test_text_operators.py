@@ -100,6 +100,31 @@ def test_surrogates_of_odd_tables(spark):
     assert surrogates.with_surrogates(docs.limit(0), KEY).collect() == []
 
 
+FOLLOWING = [
+    ("Mr Smith and Mrs Jones", ["Smith", "Jones"]),
+    ("Mr. Smith met Dr. Jones", ["Smith", "Jones"]),
+    ("Mr Smith Mrs Jones", ["Smith", "Jones"]),
+    ("Prof. Dr. Braun and Herr Dr Lang", ["Braun", "Lang"]),
+    ("Mr Smith at john@x.com", ["Smith", "john@x.com"]),
+    ("Mr Smith john@x.com", ["Smith", "john@x.com"]),
+    ("Mr John@x.com", ["John@x.com"]),
+    ("Dr Lee or bob.w@x.org", ["Lee", "bob.w@x.org"]),
+    ("Dr Lee to O'bob@x.org", ["Lee", "bob@x.org"]),
+    ("Ms Petit Password: correcthorse", ["Petit", "correcthorse"]),
+    ("Frau Braun DE89 3704 0044 0532 0130 00", ["Braun", "DE89 3704 0044 0532 0130 00"]),
+    ("Mr John Henry Smith of Mr lower", ["John", "Henry", "Smith"]),
+    ("г-н Петров и г-жа Орлова", ["Петров", "Орлова"]),
+]
+
+
+def test_mentions_that_follow_each_other(spark):
+    for text, entities in FOLLOWING:
+        assert [text[start:end] for start, end, _, _ in surrogates.mentions(text)] == entities
+    for row in surrogates.with_surrogates(with_ids(spark, [t for t, _ in FOLLOWING]), KEY).collect():
+        entities = FOLLOWING[row["doc_id"]][1]
+        assert row["n_replaced"] == len(entities) and not any(e in row["text"] for e in entities)
+
+
 # --- licenses -------------------------------------------------------------------------
 
 

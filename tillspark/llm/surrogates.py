@@ -26,6 +26,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import sys
 from functools import cache
 
 import pyarrow as pa
@@ -68,8 +69,6 @@ ENDINGS = {
 }
 LIST_DRAWS = 3  # draws from the lists before names are made up
 
-_WORD = r"[^\W\d_](?:[^\W\d_]|['’-](?=[^\W\d_]))*"
-_NAME = rf"(?:{_WORD})(?:[ ]{_WORD}){{0,2}}"
 _TITLE = "|".join(sorted(map(re.escape, TITLES), key=len, reverse=True))
 _BYTE = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 # in this order where two begin at the same place; the group of that name is what is replaced
@@ -83,8 +82,24 @@ KINDS = {
     "card": r"(?P<card>(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-]))",
     "phone": r"(?P<phone>(?<![\w+(.-])(?:\(\d{3}\)[ ]?|\d{3}[.-])\d{3}[.-]\d{4}(?![\w-]))",
     "key": r"(?P<key>(?<![A-Za-z0-9])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![A-Za-z0-9]))",
-    "name": rf"(?<!\w)(?P<title>{_TITLE})\.?[ ](?P<name>{_NAME})",
 }
+
+
+def _capitals() -> str:
+    """The inside of a character class of every letter that ``str.isupper`` accepts."""
+    codes = [i for i in range(sys.maxunicode + 1) if chr(i).isupper() and chr(i).isalpha()]
+    begins = [c for c, before in zip(codes, [-1, *codes]) if c != before + 1]
+    ends = [c for c, after in zip(codes, [*codes[1:], -1]) if c != after - 1]
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(begins, ends))
+
+
+# A person: one to three capitalised words. A word ends where an entity of another kind begins,
+# and one that begins a mention of its own is no further word.
+_OTHER = "|".join(re.sub(r"\(\?P<\w+>", "(?:", kind) for kind in KINDS.values())
+_LETTERS = rf"(?!{_OTHER})[^\W\d_]+"
+_WORD = rf"(?=[{_capitals()}]){_LETTERS}(?:['’-]{_LETTERS})*"
+_FORM = rf"(?:{_TITLE})\.?[ ]"
+KINDS["name"] = rf"(?<!\w)(?P<title>{_TITLE})\.?[ ](?:{_FORM})*(?P<name>{_WORD}(?:[ ](?!(?:{_FORM})+{_WORD}){_WORD}){{0,2}})"
 PATTERN = re.compile("|".join(KINDS.values()))
 # what any of these needs to contain, as a pattern for the scan
 CANDIDATE = rf"[0-9@]|(^|[^\p{{L}}\p{{N}}_])({_TITLE})\.?\x20"
@@ -117,13 +132,9 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
         start, end = match.span(kind)
         value = text[start:end]
         if kind == "name":
-            words = [w for w in re.finditer(r"\S+", value)]
-            while words and not words[-1].group()[0].isupper():
-                words.pop()
-            if not words or not all(w.group()[0].isupper() for w in words):
-                words = words[:1] if words and words[0].group()[0].isupper() else []
+            words = list(re.finditer(r"\S+", value))
             gender = TITLES[match["title"]]
-            if gender == "n" and words:
+            if gender == "n":
                 gender = _genders().get(words[0].group().casefold(), "n")
             for place, word in enumerate(words):
                 role = "family" if place == len(words) - 1 else f"given-{gender}"
