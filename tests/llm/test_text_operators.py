@@ -125,6 +125,33 @@ def test_mentions_that_follow_each_other(spark):
         assert row["n_replaced"] == len(entities) and not any(e in row["text"] for e in entities)
 
 
+# least texts of every kind; digits outside ASCII are digits, too
+LEAST = {
+    "email": ["a@b.cd"],
+    "secret": ["password: correcthorse", "API-Key=abcdef", "my paſſwd = abcdef", "'token': \"abcdef\""],
+    "iban": ["DE89 3704 0044", "DE٨٩ABCDABCD"],
+    "ip": ["1.2.3.4"],
+    "ssn": ["123-45-6789", "١٢٣-٤٥-٦٧٨٩"],
+    "plus_phone": ["+1 234 567", "+٤٤ ٢٠٧٩ ٤٦٠٠"],
+    "card": ["4111 1111 1111 1", "٤١١١١١١١١١١١١"],
+    "phone": ["(555) 123-4567"],
+    "key": ["0" * 32, "abcdef" * 6, "ABCDEF" * 6],
+    "name": [f"{title} Zorn" for title in surrogates.TITLES] + [f"({title}. Zorn" for title in surrogates.TITLES],
+}
+
+
+def test_candidates_hold_every_kind(spark):
+    assert LEAST.keys() == surrogates.KINDS.keys()
+    texts = [t for own in LEAST.values() for t in own]
+    assert [surrogates.PATTERN.search(t).lastgroup for t in texts] == [kind for kind, own in LEAST.items() for _ in own]
+    rows = with_ids(spark, texts).withColumn("candidate", F.col("text").rlike(surrogates.CANDIDATE)).collect()
+    assert [r["text"] for r in rows if not r["candidate"]] == []
+    docs = with_ids(spark, ["password: correcthorse", "+٤٤ ٢٠٧٩ ٤٦٠٠", "abcdef" * 6, "the word password alone"])
+    found = {r["doc_id"]: (r["n_replaced"], r["text"]) for r in surrogates.with_surrogates(docs, KEY).collect()}
+    assert [found[i][0] for i in range(4)] == [1, 1, 1, 0]
+    assert "correcthorse" not in found[0][1] and found[3][1] == "the word password alone"
+
+
 # --- licenses -------------------------------------------------------------------------
 
 

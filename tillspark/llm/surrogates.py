@@ -9,7 +9,8 @@ it, and a surrogate that is itself an entity of the corpus is refused; the other
 from a space that grows with every attempt, until none is left. The mapping is then written
 back into the texts, in the spacing and case of each mention.
 
-Scale. Texts without a digit, an @ or a form of address pass unread by Python and unshuffled.
+Scale. Texts without a digit, an @, a form of address, the name of a secret or 32 letters a to f in
+a row pass unread by Python and unshuffled.
 The mapping is keyed by entity and joined to texts by their digest, so a text that a third of
 the rows repeat is a skewed join that adaptive execution splits, never a group; only the
 distinct entities of one text are ever collected. The rounds of the collision check are
@@ -70,11 +71,12 @@ ENDINGS = {
 LIST_DRAWS = 3  # draws from the lists before names are made up
 
 _TITLE = "|".join(sorted(map(re.escape, TITLES), key=len, reverse=True))
+_SECRET = r"password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key"
 _BYTE = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 # in this order where two begin at the same place; the group of that name is what is replaced
 KINDS = {
     "email": r"(?P<email>[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})",
-    "secret": r"(?<![A-Za-z])(?i:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)[\"']?[ ]?[=:][ ]?[\"']?(?P<secret>[^\s\"',;]{6,})",
+    "secret": rf"(?<![A-Za-z])(?i:{_SECRET})[\"']?[ ]?[=:][ ]?[\"']?(?P<secret>[^\s\"',;]{{6,}})",
     "iban": r"(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))",
     "ip": rf"(?P<ip>(?<![\w.])(?:{_BYTE}\.){{3}}{_BYTE}(?!\.?\w))",
     "ssn": r"(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))",
@@ -102,7 +104,10 @@ _FORM = rf"(?:{_TITLE})\.?[ ]"
 KINDS["name"] = rf"(?<!\w)(?P<title>{_TITLE})\.?[ ](?:{_FORM})*(?P<name>{_WORD}(?:[ ](?!(?:{_FORM})+{_WORD}){_WORD}){{0,2}})"
 PATTERN = re.compile("|".join(KINDS.values()))
 # what any of these needs to contain, as a pattern for the scan
-CANDIDATE = rf"[0-9@]|(^|[^\p{{L}}\p{{N}}_])({_TITLE})\.?\x20"
+CANDIDATE = (
+    rf"[0-9@\p{{Nd}}]|(^|[^\p{{L}}\p{{N}}_])({_TITLE})\.?\x20"
+    rf"|(?iu:{_SECRET})[\"']?\x20?[=:]|[a-f]{{32}}|[A-F]{{32}}"
+)
 
 
 def script_of(word: str) -> str:
