@@ -180,3 +180,43 @@ def test_leaks_without_rows_and_with_odd_columns(spark):
     assert decontaminate.remove_leaks(docs, bench).collect() == docs.collect()
     assert decontaminate.leaked_items(docs.limit(0), bench).collect() == []
     assert not decontaminate.leaked_items(docs, bench).first()["contaminated"]
+
+
+def most_words(equal):
+    """Longest stretch that is 80 % equal, by trying every one."""
+    spans = [(i, j) for i in range(len(equal)) for j in range(i + 1, len(equal) + 1)]
+    return max([j - i for i, j in spans if 5 * sum(equal[i:j]) >= 4 * (j - i)], default=0)
+
+
+def test_stretches_equal_brute_force():
+    rng = random.Random(7)
+    for _ in range(500):
+        size = rng.randint(1, 30)
+        equal = [rng.random() < rng.choice([0.6, 0.8, 0.9]) for _ in range(size)]
+        item = np.arange(size)
+        document = np.where(equal, item, -1)
+        longest = most_words(equal)
+        assert decontaminate.leaked_words(document, item, 0) == (longest if longest >= min(12, size) else 0)
+
+
+def test_items_with_a_fifth_substituted_are_found():
+    rng = random.Random(11)
+    cases = [(15, (3, 7, 11)), (15, (11,)), (12, (11,))]  # the words substituted
+    cases += [(n, rng.sample(range(n), k)) for n in range(14, 26) for k in range(1, n // 5 + 1) for _ in range(40)]
+    cases += [(n, rng.sample(range(n), n // 5)) for n in range(4, 14) for _ in range(20)]
+    items = [(i, " ".join(f"w{i}x{k}" for k in range(n))) for i, (n, _) in enumerate(cases)]
+    texts = []
+    for (i, item), (_, places) in zip(items, cases):
+        copied = item.split()
+        for at in places:
+            copied[at] = "changed"
+        texts.append(" ".join(["before"] * 7 + copied + ["after"] * 7))
+    found = decontaminate.SeedIndex.of(items).matches(pa.array(texts))
+    assert [i for i, own in enumerate(found) if [item for item, _ in own] != [i]] == []
+
+
+def test_items_with_more_substituted_are_not_found():
+    item = [f"w{k}" for k in range(15)]
+    index = decontaminate.SeedIndex.of([(1, " ".join(item)), (2, "one two three four five")])
+    changed = [w if k % 4 else "changed" for k, w in enumerate(item)]  # 4 of 15
+    assert index.matches(pa.array([" ".join(changed), "one two x y five"])) == [[], []]

@@ -3,17 +3,19 @@
 Method. Words are lower-cased runs of letters and digits. Fixed masks slide over the words of
 every benchmark item and of every document; a mask hashes only the words under its ones, so a
 substitution under a zero leaves the hash as it is. Equal hashes join a document to an item
-on one diagonal. There every word of the item is compared with the document's, and the best
-stretch (a substitution costs three matches) counts as leaked when it has at least
-``MIN_WORDS`` words (the whole item, where that is shorter) of which 80 % are equal.
+on one diagonal. There every word of the item is compared with the document's, and the longest
+stretch of which 80 % are equal counts as leaked when it has at least ``MIN_WORDS`` words (the
+whole item, where that is shorter). The masks miss none: every placement of so many
+substitutions leaves one of them a window (a longer stretch holds one of 12 to 23 words that
+is 80 % equal, so those lengths decide).
 
 Scale. The documents are read once per block of the benchmark and never shuffled. A block's
 seeds go to the tasks as sorted arrays of at most ``BLOCK_SEEDS`` entries, so what is sent
 has a fixed bound however large the benchmark is; a larger one takes more blocks.
 
-Defined cases. A null or empty text, document or item, matches nothing. An item with fewer
-words than a mask spans has to occur whole and unchanged; items of fewer than
-``SHORTEST_ITEM`` words are not searched. Repeated documents are each marked; repeated items
+Defined cases. A null or empty text, document or item, matches nothing. An item of 5 to
+9 words may have one word substituted, one of 4 none; items of fewer than ``SHORTEST_ITEM``
+words are not searched. Repeated documents are each marked; repeated items
 are reported under each id, items without an id under none (they still mark the document).
 """
 
@@ -29,14 +31,14 @@ from pyspark.sql import functions as F
 
 from tillspark.llm.words import LETTERS_AND_DIGITS, U64, words_of
 
-MASKS = ("1101011011", "1110010111", "1011100111")
+MASKS = ("111101", "101000111", "110111")
+MASKED_ITEM = 10  # words from which an item has the masks above
 MIN_WORDS = 12
 MIN_EQUAL_PERCENT = 80
 SHORTEST_ITEM = 4
 BLOCK_SEEDS = 2_000_000
 BATCH_ROWS = 256
 TABLE_BITS = 22
-MISMATCH_COST = 3
 
 
 def _window_hashes(hashes: np.ndarray, mask: str) -> np.ndarray:
@@ -53,6 +55,17 @@ def _window_hashes(hashes: np.ndarray, mask: str) -> np.ndarray:
     return total
 
 
+def _masks(words: int) -> tuple[str, ...]:
+    """The masks of an item of so many words; shorter ones than the masks allow are masked whole."""
+    if words >= MASKED_ITEM:
+        return MASKS
+    if 100 * (words - 1) < MIN_EQUAL_PERCENT * words:
+        return ("1" * words,)
+    # the one substitution is in one third of the item
+    cuts = [words * k // 3 for k in range(4)]
+    return tuple("1" * a + "0" * (b - a) + "1" * (words - b) for a, b in zip(cuts, cuts[1:]))
+
+
 @dataclass
 class SeedIndex:
     """Seeds of one block of items: per mask sorted hashes with their item and position."""
@@ -65,12 +78,11 @@ class SeedIndex:
     def of(cls, rows: list[tuple[int | None, str | None]]) -> SeedIndex:
         split = words_of(pa.array([text for _, text in rows], pa.string()), LETTERS_AND_DIGITS)
         words = [split.of(i) for i in range(len(rows))]
-        span = max(map(len, MASKS))
         found: dict[str, list] = {}
         for item, own in enumerate(words):
             if len(own) < SHORTEST_ITEM:
                 continue
-            for mask in MASKS if len(own) >= span else ("1" * len(own),):
+            for mask in _masks(len(own)):
                 hashes = _window_hashes(own, mask)
                 found.setdefault(mask, []).append(
                     (hashes, np.full(len(hashes), item), np.arange(len(hashes)))
@@ -118,15 +130,11 @@ def leaked_words(document: np.ndarray, item: np.ndarray, diagonal: int) -> int:
     equal = item[low:high] == document[low + diagonal : high + diagonal]
     if not len(equal):
         return 0
-    # best stretch: the largest rise of the running score
-    score = np.concatenate([[0], np.cumsum(np.where(equal, 1, -MISMATCH_COST))])
+    # longest stretch over which the score does not fall: for every end the first start as low
+    score = np.concatenate([[0], np.cumsum(np.where(equal, 100 - MIN_EQUAL_PERCENT, -MIN_EQUAL_PERCENT))])
     lowest = np.minimum.accumulate(score)
-    end = int(np.argmax(score - lowest))
-    start = int(np.argmin(score[: end + 1]))
-    length = end - start
-    if length < min(MIN_WORDS, len(item)):
-        return 0
-    return length if 100 * int(equal[start:end].sum()) >= MIN_EQUAL_PERCENT * length else 0
+    length = int((np.arange(len(score)) - np.searchsorted(-lowest, -score)).max())
+    return length if length >= min(MIN_WORDS, len(item)) else 0
 
 
 def _blocks(benchmark: DataFrame, block_seeds: int) -> Iterator[SeedIndex]:
