@@ -235,6 +235,19 @@ def test_disguises_are_read(disguised, plain):
     assert toxicity.restored(disguised, costs) == plain
 
 
+def costs_of_text(text):
+    counts = np.full(toxicity.SYMBOLS**3, 0.01).reshape((toxicity.SYMBOLS,) * 3)
+    codes = [0, *(ord(c) - 96 if c.isalpha() else 0 for c in text), 0]
+    for x, y, z in zip(codes, codes[1:], codes[2:]):
+        counts[x, y, z] += 1
+    return -np.log(counts / counts.sum(axis=2, keepdims=True))
+
+
+def test_long_spans_take_linear_time():
+    costs = costs_of_text("you are an idiot " * 20)
+    assert toxicity.restored("i d i o t " * 2000, costs) == "idiot " * 2000
+
+
 def brute_word(span, costs):
     """Cheapest reading by enumerating every reading of a span without repeated signs."""
     best = {0: [("", 0.0)]}

@@ -2,9 +2,10 @@
 
 Method. Words in disguise (digits and signs for letters, letters set apart, letters repeated)
 are spans found by patterns. Each is a lattice: every sign may stand for some letters at a
-cost, a run of one letter for one or two of it, separators for nothing. A Viterbi search
-picks the cheapest path under a character trigram model counted over the whole corpus. The
-restored text, and only it, is then scored by a logistic model over the words it holds and
+cost, a run of one letter for one or two of it, separators for nothing or the end of a word. A
+Viterbi search picks the cheapest path under a character trigram model counted over the whole
+corpus. Signs at a word's end, spans set apart with signs and those of mostly signs stay as
+they are where that costs less. The restored text, and only it, is then scored by a logistic model over the words it holds and
 over their beginnings (4, 5 and 6 bytes).
 
 Training. The labelled rows outside the held-out quarter are joined to their texts; if they
@@ -19,7 +20,7 @@ scores them; neither shuffles texts. The sample's ids have a fixed bound and are
 Defined cases. A null or empty text is scored like any text without words: the model's base
 rate. A row without doc_id is scored and never held out. Labels without doc_id are ignored;
 of contradicting labels the toxic one counts. Without any training row every score is 0.
-Spans over ``LONGEST_SPAN`` characters, or less than a third letters, stay as they are.
+A span of any length is read; one without a letter stays as it is.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ LEAST_ROWS = 3  # training rows a feature is in
 PREFIXES = (4, 5, 6)
 TOXIC_FROM = 0.3
 HELD_OUT = 2  # the remainder of crc32(doc_id) modulo 4 that is never learned from
-LONGEST_SPAN = 40
+KNOWN_SPAN = 40  # characters of a span whose reading is remembered; longer ones are read again
 BATCH_ROWS = 256
 
 # --- characters -----------------------------------------------------------------------
@@ -90,6 +91,7 @@ SIGNS = {
 }
 SIGN_COST = 1.0
 DOUBLE_COST = 1.5  # a run of three or more read as a doubled letter
+KEPT_COST = 3.0  # a run of a sign left as it is: which of the signs it is
 
 _INNER = r"0-9@$!|+€£¥"
 SUSPECT = re.compile(
@@ -97,46 +99,124 @@ SUSPECT = re.compile(
     rf"|[@$]?(?=[A-Za-z{_INNER}]*[A-Za-z][{_INNER}]+[A-Za-z]|[{_INNER}]{{1,3}}[A-Za-z]{{2}})[A-Za-z0-9][A-Za-z{_INNER}]*[A-Za-z0-9]"
     r"|[A-Za-z]*([A-Za-z])\1\1[A-Za-z]*"  # letters repeated
 )
-_SEPARATOR = re.compile(r"(?<=[^\W\d_])[ .\-_*](?=[^\W\d_](?:[ .\-_*]|$))")
+_SEPARATORS = " .-_*"
 
 
-def restore_word(span: str, costs: np.ndarray) -> str:
-    """The cheapest reading of one span: Viterbi over (previous two symbols)."""
-    text = span.lower()
-    if len(_SEPARATOR.findall(text)) >= 3:
-        text = _SEPARATOR.sub("", text)
-    runs = [(m.group(1), len(m.group())) for m in re.finditer(r"(.)\1*", text)]
-    # paths: state (two last symbols) -> (cost, letters)
-    paths = {(0, 0): (0.0, "")}
+def _runs(span: str) -> list[tuple[str, int, bool, int]]:
+    """(sign, length, whether a separator is inside or after it, where it begins) of every run."""
+    runs: list[list] = []
+    for at, sign in enumerate(span):
+        if sign in _SEPARATORS:
+            if runs:
+                runs[-1][2] = True
+        elif runs and runs[-1][0] == sign:
+            runs[-1][1] += 1
+        else:
+            runs.append([sign, 1, False, at])
+    return [tuple(run) for run in runs]
+
+
+def _code(letter: str) -> int:
+    return 0 if letter == " " else ord(letter) - 96 if "a" <= letter <= "z" else 27
+
+
+def _cheapest(span: str, costs: np.ndarray, tail: int) -> tuple[float, str]:
+    """Cost and letters of the cheapest reading: Viterbi over (previous two symbols).
+
+    Everything from a run of signs at or after ``tail`` on may stay as it is.
+    """
+    # paths: state (two last symbols) -> (cost, letters as links to the one before)
+    paths = {(0, 0): (0.0, None)}
 
     def step(paths, letter, extra):
-        code = ord(letter) - 96 if "a" <= letter <= "z" else 27
+        code = _code(letter)
         out = {}
         for (x, y), (cost, letters) in paths.items():
             new = cost + extra + float(costs[x, y, code])
             if (y, code) not in out or new < out[y, code][0]:
-                out[y, code] = (new, letters + letter)
+                out[y, code] = (new, (letters, letter))
+        return out
+
+    def merged(ways):
+        out = {}
+        for way in ways:
+            for state, found in way.items():
+                if state not in out or found[0] < out[state][0]:
+                    out[state] = found
         return out
 
-    for sign, length in runs:
+    def ended(paths):
+        return min(((c + float(costs[x, y, 0]), letters) for (x, y), (c, letters) in paths.items()), key=lambda p: p[0])
+
+    runs = _runs(span)
+    best = None
+    for number, (sign, length, apart, at) in enumerate(runs):
+        if number and at >= tail:
+            cost, letters = ended(paths)
+            cost += KEPT_COST * (len(runs) - number)
+            if best is None or cost < best[0]:
+                best = (cost, letters, at)
         readings = SIGNS.get(sign)
-        options = [(letter, SIGN_COST) for letter in readings] if readings else [(sign, 0.0)]
-        merged = {}
-        for letter, extra in options:
+        ways = []
+        for letter, extra in [(letter, SIGN_COST) for letter in readings] if readings else [(sign, 0.0)]:
             once = step(paths, letter, extra)
+            before = merged([once, step(once, " ", 0.0)]) if apart and length > 1 else once
             if length > 2:
-                ways = [once, step(once, letter, DOUBLE_COST)]
+                ways += [once, step(before, letter, DOUBLE_COST)]
             elif length == 2:
-                ways = [step(once, letter, extra)]
+                ways.append(step(before, letter, extra))
             else:
-                ways = [once]
-            for way in ways:
-                for state, found in way.items():
-                    if state not in merged or found[0] < merged[state][0]:
-                        merged[state] = found
-        paths = merged
-    ended = {s: (c + float(costs[s[0], s[1], 0]), letters) for s, (c, letters) in paths.items()}
-    return min(ended.values())[1]
+                ways.append(once)
+        paths = merged(ways)
+        if apart and number < len(runs) - 1:
+            paths = merged([paths, step(paths, " ", 0.0)])
+    cost, letters = ended(paths)
+    kept = ""
+    if best is not None and best[0] < cost:
+        cost, letters, at = best
+        kept = span[len(span[:at].rstrip(_SEPARATORS)) :]
+    out = []
+    while letters is not None:
+        letters, letter = letters
+        out.append(letter)
+    return cost, "".join(reversed(out)).rstrip(" ") + kept
+
+
+def restore_word(span: str, costs: np.ndarray) -> str:
+    """The cheapest reading of one span with all its signs read."""
+    text = span.lower()
+    return _cheapest(text, costs, len(text))[1]
+
+
+def _kept_cost(span: str, costs: np.ndarray) -> float:
+    """What the span costs as it stands: every run of a sign is one symbol that is no letter."""
+    runs = _runs(span)
+    codes = [0, 0]
+    for sign, length, apart, _ in runs:
+        codes += [0] if sign in SIGNS else [_code(sign)] * length
+        codes += [0] if apart and codes[-1] else []
+    if codes[-1]:
+        codes.append(0)
+    signs = sum(sign in SIGNS for sign, *_ in runs)
+    return KEPT_COST * signs + sum(float(costs[x, y, z]) for x, y, z in zip(codes, codes[1:], codes[2:]))
+
+
+def _read(span: str, costs: np.ndarray) -> str:
+    """The span restored, or as it is where that costs less than signs read for letters."""
+    text = span.lower()
+    letters = sum(c.isalpha() for c in text)
+    if not letters:
+        return span
+    signs = sum(c in SIGNS for c in text)
+    # signs that may stay: those after the last letter, or the last digit of a word with signs inside
+    tail = len(text.rstrip("".join(SIGNS) + _SEPARATORS))
+    if any(c in SIGNS for c in text[:tail]):
+        tail = len(text.rstrip("".join(c for c in SIGNS if not c.isdigit()) + _SEPARATORS))
+    cost, reading = _cheapest(text, costs, tail)
+    apart = any(c in _SEPARATORS for c in text)
+    if signs and (apart or 3 * letters < len(text)) and _kept_cost(text, costs) <= cost:
+        return span
+    return reading
 
 
 def restored(text: str, costs: np.ndarray, known: dict[str, str] | None = None) -> str:
@@ -145,12 +225,12 @@ def restored(text: str, costs: np.ndarray, known: dict[str, str] | None = None)
 
     def read(match: re.Match) -> str:
         span = match.group()
-        if len(span) > LONGEST_SPAN or 3 * sum(c.isalpha() for c in span) < len(span):
-            return span
+        if len(span) > KNOWN_SPAN:
+            return _read(span, costs)
         if span not in known:
             if len(known) > 100_000:
                 known.clear()
-            known[span] = restore_word(span, costs)
+            known[span] = _read(span, costs)
         return known[span]
 
     return SUSPECT.sub(read, text)
