@@ -235,6 +235,21 @@ def test_disguises_are_read(disguised, plain):
     assert toxicity.restored(disguised, costs) == plain
 
 
+@pytest.mark.parametrize(
+    "disguised, plain",
+    [
+        ("y o u a r e a w o r t h l e s s i d i o t", "you are a worthless idiot"), ("stup" + "i" * 40 + "d", "stupid"),
+        ("t4773r5", "tatters"), ("1 d 1 0 t", "idiot"), ("m.0.r.0.n", "moron"), ("s-t-u-p-1-d", "stupid"), ("an idio7 here", "an idiot here"),
+        ("you are a m o r o n", "you are a moron"), ("s t u u u p i d", "stupid"), ("stupid! 1d10t!", "stupid! idiot!"),
+        ("1 2 3 4 5", "1 2 3 4 5"), ("2024-01-05 1.2.3.4", "2024-01-05 1.2.3.4"), ("i d i o t 1 5", "idiot 1 5"), ("$tup1d!", "stupid!"), ("m0r0n5", "morons"),
+        ("i-d-i-o-t " * 3 + "s t u p i d", "idiot idiot idiot stupid"),
+    ],
+)
+def test_whole_disguises_are_read(disguised, plain):
+    words = "idiot stupid moron morons tatters you are a an here worthless work good".split()
+    assert toxicity.restored(disguised, costs_of_text(" ".join(words * 20) + " 2024 15")) == plain
+
+
 def costs_of_text(text):
     counts = np.full(toxicity.SYMBOLS**3, 0.01).reshape((toxicity.SYMBOLS,) * 3)
     codes = [0, *(ord(c) - 96 if c.isalpha() else 0 for c in text), 0]

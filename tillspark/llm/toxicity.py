@@ -93,11 +93,12 @@ SIGN_COST = 1.0
 DOUBLE_COST = 1.5  # a run of three or more read as a doubled letter
 KEPT_COST = 3.0  # a run of a sign left as it is: which of the signs it is
 
-_INNER = r"0-9@$!|+€£¥"
+_SIGN = r"0-9@$!|+(€£¥"
+_APART = rf"(?:(?<![^\W\d_])[^\W\d_](?![^\W\d_])|(?<![^\W_])[{_SIGN}](?![^\W_]))"
 SUSPECT = re.compile(
-    r"(?<![^\W\d_])[^\W\d_](?:[ .\-_*][^\W\d_]){3,}(?![^\W\d_])"  # letters set apart
-    rf"|[@$]?(?=[A-Za-z{_INNER}]*[A-Za-z][{_INNER}]+[A-Za-z]|[{_INNER}]{{1,3}}[A-Za-z]{{2}})[A-Za-z0-9][A-Za-z{_INNER}]*[A-Za-z0-9]"
-    r"|[A-Za-z]*([A-Za-z])\1\1[A-Za-z]*"  # letters repeated
+    rf"{_APART}(?:[ .\-_*]{_APART}){{3,}}"  # letters and signs set apart
+    rf"|[@$]?(?<![A-Za-z0-9])(?=[A-Za-z]+[{_SIGN}]|[{_SIGN}]+[A-Za-z]{{2}}|[{_SIGN}]+[A-Za-z][{_SIGN}])[A-Za-z0-9][A-Za-z{_SIGN}]*"
+    r"|(?<![A-Za-z])[A-Za-z]*([A-Za-z])\1\1[A-Za-z]*"  # letters repeated
 )
 _SEPARATORS = " .-_*"
 
