@@ -220,3 +220,13 @@ def test_items_with_more_substituted_are_not_found():
     index = decontaminate.SeedIndex.of([(1, " ".join(item)), (2, "one two three four five")])
     changed = [w if k % 4 else "changed" for k, w in enumerate(item)]  # 4 of 15
     assert index.matches(pa.array([" ".join(changed), "one two x y five"])) == [[], []]
+
+
+def test_short_items_allow_one_substitution_from_five_words():
+    items = [(n, " ".join(f"i{n}w{k}" for k in range(n))) for n in range(3, 10)]
+    index = decontaminate.SeedIndex.of(items)
+    assert index.matches(pa.array([f"x {text} y" for _, text in items])) == [[], *[[(n, n)] for n in range(4, 10)]]
+    for n, text in items:
+        for at in range(n):
+            changed = [w if k != at else "changed" for k, w in enumerate(text.split())]
+            assert index.matches(pa.array([" ".join(["x", *changed, "y"])])) == [[(n, n)] if n >= 5 else []]
