@@ -8,15 +8,35 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillspark.llm import chat, decontaminate, htmltext, licenses, packing, quality, setjoin, sql, surrogates, toxicity, warc
-from tillspark.session import ship_package
+from tillspark.llm import (
+    chat,
+    decontaminate,
+    htmltext,
+    licenses,
+    mixing,
+    negatives,
+    packing,
+    quality,
+    setjoin,
+    sql,
+    surrogates,
+    toxicity,
+    warc,
+    whitening,
+)
+from tillspark.session import ship_package, staged
 
 TOKENIZER = "word_bpe_49k.json"
 # stands in for a secret that a deployment supplies
 SURROGATE_KEY = b"registered query"
 
 QUERIES = {}
-ORACLE = {"op1_warc": sql.OP1, "op8_ngram_jaccard_join": sql.OP8}
+ORACLE = {
+    "op1_warc": sql.OP1,
+    "op8_ngram_jaccard_join": sql.OP8,
+    "op12_source_mixing": sql.OP12,
+    "op13_hard_negatives": sql.OP13,
+}
 
 
 def query(function):
@@ -101,3 +121,24 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every turn with its repaired role and its part of the rendered conversation."""
     return chat.repaired(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the words that the mix of sources takes of it."""
+    docs = table(spark, sf_dir, "documents")
+    sized = staged(docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size")), "mix-sizes")
+    return mixing.with_mix(sized, size="size").select("doc_id", "mix.*")
+
+
+@query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector with its first eight whitened components."""
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, after a seventh of the labels moved on by one."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), label=moved)
