@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import functools
 import re
 import shutil
 import tempfile
+import time
 import uuid
 from pathlib import Path
 
@@ -96,7 +98,38 @@ def move_path(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not move {source} to {target}")
 
 
-_open_scopes: list[list[str]] = []
+def list_folder(spark: SparkSession, path: str, older_than_s: float | None = None) -> list[str]:
+    """Names in a folder, none where it does not exist; only those unchanged for so many seconds."""
+    place, system = _file_system(spark, path)
+    if not system.exists(place):
+        return []
+    latest = None if older_than_s is None else 1000 * (time.time() - older_than_s)
+    entries = system.listStatus(place)
+    return [e.getPath().getName() for e in entries if latest is None or e.getModificationTime() <= latest]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small UTF-8 file."""
+    place, system = _file_system(spark, path)
+    stream = system.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small UTF-8 file, which must not exist yet."""
+    place, system = _file_system(spark, path)
+    stream = system.create(place, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+# of the running thread: a stream's batch and a job in the same driver do not see each other's
+_open_scopes: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("staging", default=())
 
 
 @contextlib.contextmanager
@@ -107,11 +140,11 @@ def staging(spark: SparkSession):
     staged tables leaves them to the cluster's clean-up of the shared folder.
     """
     paths: list[str] = []
-    _open_scopes.append(paths)
+    token = _open_scopes.set((*_open_scopes.get(), paths))
     try:
         yield
     finally:
-        _open_scopes.remove(paths)
+        _open_scopes.reset(token)
         for path in paths:
             delete_path(spark, path)
 
@@ -123,7 +156,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     and a lost executor costs a re-read, not the whole lineage.
     """
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    if _open_scopes:
-        _open_scopes[-1].append(path)
+    if scopes := _open_scopes.get():
+        scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
