@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from registry import views_sql as V
 from registry.sales_queries import register
 from registry.views_sql import big, count_share, money, with_views
 from tillspark import constants as K
-from tillspark.operators import dedup, dimensions, joins, merge, quality, rollups
+from tillspark.operators import dedup, dimensions, joins, merge, quality, rollups, sketches
 from tillspark.plans import health, order_lines
+from tillspark.plans import warehouse as warehouse_plan
+from tillspark.session import shared_folder, staged
 from tillspark.sources import star_views as S
 
 # A first load up to the end of 1999, and a later batch that delivers 1998 on again:
@@ -321,6 +325,64 @@ register(
     )
 )
 
+# --- incremental warehouse ------------------------------------------------------------
+
+_DEDUPED = """deduped as (select * exclude (rn) from (select *, row_number() over (
+    partition by invoice_no, stock_code, invoice_date, quantity
+    order by description, unit_price, customer_id nulls first, country) as rn from fact_sales) where rn = 1)"""
+
+
+def _two_loads(spark, sf):
+    """A new warehouse after two loads: the stored part, then the batch that overlaps it."""
+    warehouse = f"{shared_folder(spark)}/warehouse-{uuid.uuid4().hex}"
+    lines = S.sales_lines(spark, sf).withColumns(
+        {"source_system": F.lit(S.SOURCE_SYSTEM), "ingestion_timestamp": F.lit(STORED_UNTIL).cast("timestamp")}
+    )
+    for part in (_stored(lines, "invoice_date"), _batch(lines, "invoice_date")):
+        # looked at several times, for its months, its keys and its rows
+        warehouse_plan.load_fact(spark, staged(part, "load"), warehouse)
+        warehouse_plan.refresh_dimensions(spark, warehouse)
+    return warehouse
+
+
+def _loaded(spark, sf, name: str):
+    table = warehouse_plan.read_table(spark, _two_loads(spark, sf), name)
+    return table.select(
+        *[F.col(f.name).cast("timestamp_ntz") if f.dataType.typeName().startswith("timestamp") else f.name for f in table.schema]
+    )
+
+
+register("incremental_fact", with_views(V.FACT, _DEDUPED) + "select * from deduped")(
+    lambda spark, sf: _loaded(spark, sf, "fact_sales").drop("source_system", "ingestion_timestamp")
+)
+for _name, _view in (("dim_products", V.DIM_PRODUCTS), ("dim_customers", V.DIM_CUSTOMERS)):
+    register(
+        f"incremental_{_name}",
+        with_views(V.FACT, _DEDUPED, _view.replace("fact_sales", "deduped")) + f"select * from {_name}",
+    )(lambda spark, sf, name=_name: _loaded(spark, sf, name))
+
+# --- sketches ---------------------------------------------------------------------------
+
+_COUNTS = ", ".join(f"count(distinct {c}) as {n}, true as {n}_within" for c, n in sketches.COUNTED.items())
+
+
+def _checked_estimates(spark, sf, by):
+    """Exact distinct counts, and whether the merged monthly sketches come close to them."""
+    lines = S.sales_lines(spark, sf)
+    monthly = staged(sketches.distinct_sketches(lines), "sketches")
+    estimates = sketches.distinct_estimates(monthly, by)
+    exact = {n: lines.select(*by, c).distinct().groupBy(*by).agg(F.count(c).alias(f"exact_{n}")) for c, n in sketches.COUNTED.items()}
+    for counts in exact.values():
+        estimates = estimates.join(counts, by)
+    columns = [[F.col(f"exact_{n}").alias(n), sketches.within_error(F.col(n), F.col(f"exact_{n}")).alias(f"{n}_within")] for n in exact]
+    return estimates.select(*by, *[c for pair in columns for c in pair])
+
+
+for _by in ("country", "transaction_year"):
+    register(f"sketched_counts_by_{_by}", with_views(V.FACT) + f"select {_by}, {_COUNTS} from fact_sales group by {_by}")(
+        lambda spark, sf, by=_by: _checked_estimates(spark, sf, [by])
+    )
+
 _LATEST_RUNS = """latest as (select * exclude (rn) from (select *, row_number() over (
     partition by run_id order by logged_at desc, start_time desc, status desc, records_processed desc) as rn from runs)
   where rn = 1)"""

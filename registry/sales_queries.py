@@ -13,8 +13,9 @@ from tillspark.constants import Band
 from tillspark.functions.money import line_amount
 from tillspark.functions.parsing import nan_to_null, nullable_id, parse_timestamp
 from tillspark.functions.sales import cancellation_flag
-from tillspark.operators import dedup, dimensions, rollups
+from tillspark.operators import dedup, dimensions, rollups, sketches
 from tillspark.plans import curate, customers, geography, kpis, products, search
+from tillspark.session import staged
 from tillspark.sources import star_views as S
 
 HOME = S.HOME_COUNTRY
@@ -444,6 +445,29 @@ register(
       {money('gross_amount')} as total_gross_amount from curated""",
 )(lambda spark, sf: rollups.curation_metrics(_curated(spark, sf)))
 
+register(
+    "approximate_metrics",
+    with_views(*_FEED_VIEWS)
+    + f"""select count(*) as total_records, true as invoices_within, true as products_within,
+      true as customers_within, count(*) filter (customer_id is null) as guest_order_records,
+      count(*) filter (is_cancellation = 1) as cancellation_records,
+      min(invoice_date) as min_invoice_date, max(invoice_date) as max_invoice_date,
+      {money('gross_amount')} as total_gross_amount from curated""",
+)(lambda spark, sf: _approximate(spark, sf))
+
+
+def _approximate(spark, sf):
+    """The one-scan metrics, each estimate compared with the exact count."""
+    curated = staged(_curated(spark, sf).select(*rollups.METRIC_COLUMNS), "curated-metrics")
+    exact = rollups.curation_metrics(curated, stored=True).first()
+    found = rollups.approximate_metrics(curated)
+    close = {
+        f"{short}_within": sketches.within_error(F.col(f"unique_{short}"), F.lit(exact[f"unique_{short}"]))
+        for short in ("invoices", "products", "customers")
+    }
+    return found.withColumns(close).drop("unique_invoices", "unique_products", "unique_customers")
+
+
 register(
     "curation_counters",
     with_views(*_FEED_VIEWS)

@@ -1,3 +1,5 @@
+import dataclasses
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -5,9 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillspark import schemas
-from tillspark.operators import dedup, merge
+from tillspark.operators import dedup, dimensions, merge
 from tillspark.plans import warehouse as W
 from tillspark.plans.curate import curate
+from tillspark.sinks.versions import VersionedTable
 
 OLD = [("a", 1, "x", "first"), ("b", 2, "y", "first")]
 NEW = [("b", 3, None, "second"), ("c", 4, "z", "second")]
@@ -98,12 +101,12 @@ def facts(spark, raw):
 
 
 def test_dimensions(spark):
-    products = {r.stock_code: r for r in W.dim_products(facts(spark, RAW)).collect()}
+    products = {r.stock_code: r for r in dimensions.dim_products(facts(spark, RAW)).collect()}
     assert (products["A"].description, products["A"].latest_unit_price) == ("Cup blue", Decimal("4.00"))
     assert (products["A"].total_units_sold, products["B"].total_units_sold) == (3, -1)
-    lake = {r.stock_code: r for r in W.dim_products_lake(facts(spark, RAW)).collect()}
+    lake = {r.stock_code: r for r in dimensions.dim_products_lake(facts(spark, RAW)).collect()}
     assert (lake["A"].latest_unit_price, lake["B"].total_units_sold) == (Decimal("3.50"), 0)
-    customer = W.dim_customers(facts(spark, RAW)).collect()
+    customer = dimensions.dim_customers(facts(spark, RAW)).collect()
     assert len(customer) == 1 and customer[0].country == "France" and customer[0].total_orders == 2
     assert customer[0].total_spend == Decimal("10.00")
 
@@ -119,17 +122,148 @@ def test_warehouse_load_twice_then_more(spark, tmp_path):
     write(RAW)
     first = W.load_warehouse(spark, lake, house)
     assert first["fact_rows_inserted"] == 3 and first["dim_products_count"] == 2
-    before = rows(spark.read.parquet(f"{house}/dim_products"))
+    before = rows(W.read_table(spark, house, "dim_products"))
     assert W.load_warehouse(spark, lake, house)["fact_rows_inserted"] == 0
-    assert rows(spark.read.parquet(f"{house}/dim_products")) == before
+    assert rows(W.read_table(spark, house, "dim_products")) == before
     write([("0", "a", "Cup old", 5, "2010-01-05", Decimal("1.00"), "8", "France"), *RAW])
     third = W.load_warehouse(spark, lake, house)
     assert third["fact_rows_inserted"] == 1 and third["dim_customers_count"] == 2
-    cup = spark.read.parquet(f"{house}/dim_products").where("stock_code = 'A'").first()
+    cup = W.read_table(spark, house, "dim_products").where("stock_code = 'A'").first()
     # units follow the data, the first sale keeps the date that was loaded first
     assert cup.total_units_sold == 8 and cup.first_sold_at == datetime(2011, 1, 5)
 
 
+def sales(spark, *lines):
+    """Curated lines from (invoice, stock, quantity, day, customer, country)."""
+    raw = [(i, s, f"{s} at {d}", q, d, Decimal("2.00"), c, n) for i, s, q, d, c, n in lines]
+    return facts(spark, raw)
+
+
+FIRST = [
+    ("1", "a", 2, "2011-01-05", "7", "France"), ("1", "b", 1, "2011-01-05", "7", "France"),
+    ("2", "a", 1, "2011-02-05", "7", "Spain"), ("C3", "b", -1, "2011-02-06", "", "France"),
+    ("4", "c", 5, "2011-02-07", "8", "Italy"), ("5", None, 5, "2011-02-07", "8", "Italy"),
+]
+LATER = [
+    ("2", "b", 3, "2011-02-05", "7", "Spain"),  # a late line of a known invoice
+    ("2", "a", 1, "2011-02-05", "7", "Spain"),  # delivered again
+    ("6", "a", 4, "2011-03-05", "9", "France"), ("7", None, 1, "2011-03-05", "8", "Malta"),
+]
+
+
+def dims(spark, house):
+    return {name: rows(W.read_table(spark, house, name)) for name in W.DIMENSIONS}
+
+
+def rebuilt(spark, lines):
+    whole = sales(spark, *lines)
+    return {"dim_products": rows(W.products_of(W.product_states(whole))),
+            "dim_customers": rows(W.customers_of(W.customer_states(whole)))}
+
+
+def test_incremental_dimensions_equal_a_rebuild(spark, tmp_path):
+    house = str(tmp_path / "house")
+    for lines, seen in ((FIRST, FIRST), (LATER, FIRST + LATER), (LATER, FIRST + LATER)):
+        W.load_fact(spark, sales(spark, *lines), house)
+        W.refresh_dimensions(spark, house)
+        assert dims(spark, house) == rebuilt(spark, seen)
+
+
+def test_a_load_reads_only_what_the_fact_gained(spark, tmp_path, monkeypatch):
+    house = str(tmp_path / "house")
+    W.load_fact(spark, sales(spark, *FIRST), house)
+    W.refresh_dimensions(spark, house)
+    W.load_fact(spark, sales(spark, *LATER), house)
+    fact = VersionedTable(spark, f"{house}/fact_sales")
+    gained = {f.partition("/")[0] for f in fact.version().added}
+    read, real = [], W.product_states
+
+    def spy(facts):
+        read.extend(facts.inputFiles())
+        return real(facts)
+
+    monkeypatch.setitem(W.DIMENSIONS, "dim_products", dataclasses.replace(W.DIMENSIONS["dim_products"], states=spy))
+    W.refresh_dimensions(spark, house)
+    assert read and {f.split("/fact_sales/")[1].partition("/")[0] for f in read} == gained
+    read.clear()
+    before = VersionedTable(spark, f"{house}/dim_products").numbers()
+    W.refresh_dimensions(spark, house)
+    assert read == [] and VersionedTable(spark, f"{house}/dim_products").numbers() == before
+
+
+def test_states_are_compacted_without_change(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(W, "STATE_FOLDERS", 2)
+    house, seen = str(tmp_path / "house"), []
+    for line in FIRST + LATER:
+        seen.append(line)
+        W.load_fact(spark, sales(spark, line), house)
+        W.refresh_dimensions(spark, house)
+    assert dims(spark, house) == rebuilt(spark, seen)
+    assert len(VersionedTable(spark, f"{house}/dim_products_states").version().folders) <= 2
+
+
+@pytest.mark.parametrize("step", ["_add_states", "refresh_dimension"])
+def test_a_refresh_cut_short_counts_no_row_twice(spark, tmp_path, monkeypatch, step):
+    house = str(tmp_path / "house")
+    W.load_fact(spark, sales(spark, *FIRST), house)
+    real = getattr(W, step)
+
+    def cut(*args):
+        real(*args)
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(W, step, cut)
+    with pytest.raises(KeyboardInterrupt):
+        W.refresh_dimensions(spark, house)
+    monkeypatch.setattr(W, step, real)
+    W.refresh_dimensions(spark, house)
+    assert dims(spark, house) == rebuilt(spark, FIRST)
+
+
+def test_loads_at_once_store_every_key_once(spark, tmp_path):
+    house = str(tmp_path / "house")
+    W.load_fact(spark, sales(spark, *FIRST[:2]), house)
+    with ThreadPoolExecutor(3) as pool:
+        counts = list(pool.map(lambda lines: W.load_fact(spark, sales(spark, *lines), house), [FIRST, LATER, FIRST + LATER]))
+        list(pool.map(lambda _: W.refresh_dimensions(spark, house), range(3)))
+    stored = W.read_table(spark, house, "fact_sales").select("invoice_no", "stock_code", "invoice_date", "quantity")
+    assert stored.count() == stored.distinct().count() == 9 and sum(counts) == 7
+    assert dims(spark, house) == rebuilt(spark, FIRST + LATER)
+
+
+def test_keys_of_other_files_are_not_read(spark, tmp_path):
+    house = str(tmp_path / "house")
+    early, late = sales(spark, *FIRST), sales(spark, ("8", "a", 1, "2011-01-09", "7", "France"))
+    W.load_fact(spark, early, house)
+    W.load_fact(spark, late, house)
+    table = VersionedTable(spark, f"{house}/fact_sales", ["transaction_year", "transaction_month"])
+    index, version = W.KeyIndex(table, W.K.SALES_KEY), table.version()
+    january = version.in_partitions(["transaction_year=2011/transaction_month=1"])
+    assert len(january) == 2
+    again = index.matching(version, january, late).inputFiles()
+    assert len(again) == 1 and version.added[0] in again[0]
+    fresh = sales(spark, ("99", "a", 1, "2011-01-09", "7", "France"))
+    assert index.matching(version, january, fresh).inputFiles() == []
+
+
+def test_only_changed_lake_partitions_are_read(spark, tmp_path, monkeypatch):
+    lake, house = str(tmp_path / "lake"), str(tmp_path / "house")
+    table = VersionedTable(spark, lake, W.K.SALES_PARTITIONS)
+    table.append(sales(spark, *FIRST))
+    assert W.load_warehouse(spark, lake, house)["fact_rows_inserted"] == 6
+    table.append(sales(spark, *LATER[2:]))
+    read, real = [], W.read_lake_partitions
+
+    def spy(spark, path, places):
+        read.append(places)
+        return real(spark, path, places)
+
+    monkeypatch.setattr(W, "read_lake_partitions", spy)
+    assert W.load_warehouse(spark, lake, house)["fact_rows_inserted"] == 2
+    assert W.load_warehouse(spark, lake, house)["fact_rows_inserted"] == 0
+    assert read == [["transaction_year=2011/transaction_month=3"]]
+
+
 def test_daily_and_order_line_loads(spark, tmp_path):
     house = str(tmp_path)
     day = date(2024, 1, 2)
@@ -142,12 +276,12 @@ def test_daily_and_order_line_loads(spark, tmp_path):
         "order_id string, product_id string, quantity int, order_date date",
     )
     assert W.load_order_lines(spark, lines, house).count() == 3
-    january = tmp_path / "order_lines" / "order_month=2024-01"
-    kept = sorted(january.iterdir())
+    table = VersionedTable(spark, f"{house}/order_lines", ["order_month"])
+    kept = table.version().in_partitions(["order_month=2024-01"])
     late = lines.where("order_id = 'r'").withColumn("quantity", F.lit(9))
     stored = W.load_order_lines(spark, late, house)
     assert rows(stored.select("order_id", "product_id", "quantity")) == [("o", "p", 1), ("o", "q", 1), ("r", "p", 9)]
-    assert sorted(january.iterdir()) == kept
+    assert table.version().in_partitions(["order_month=2024-01"]) == kept and len(kept) == 1
     assert W.load_order_lines(spark, late.limit(0), house).count() == 3
 
 
@@ -174,10 +308,11 @@ def test_only_touched_days_are_rewritten(spark, tmp_path):
 
     house = str(tmp_path)
     W.load_daily_sales(spark, daily(date(2024, 1, 2), 1), house)
-    kept = sorted((tmp_path / "agg_daily_sales" / "sale_date=2024-01-02").iterdir())
+    table = VersionedTable(spark, f"{house}/agg_daily_sales", ["sale_date"])
+    kept = table.version().in_partitions(["sale_date=2024-01-02"])
     stored = W.load_daily_sales(spark, daily(date(2024, 1, 3), 5), house)
     assert stored.columns == [f.split()[0] for f in schemas.DAILY_SALES.split(", ")]
-    assert sorted((tmp_path / "agg_daily_sales" / "sale_date=2024-01-02").iterdir()) == kept
+    assert table.version().in_partitions(["sale_date=2024-01-02"]) == kept and len(kept) == 1
     stored = W.load_daily_sales(spark, daily(date(2024, 1, 3), 7), house)
     assert sorted(r.total_orders for r in stored.collect()) == [1, 7]
 
@@ -190,14 +325,14 @@ def test_masters(spark, tmp_path):
     )
     people = spark.createDataFrame([("C1", "Ann", "Rome")], "customer_id string, customer_name string, city string")
     assert W.seed_masters(spark, {"products": products, "customers": people}, house) == ["products", "customers"]
-    stored = spark.read.parquet(f"{house}/products").first()
+    stored = W.read_table(spark, house, "products").first()
     assert stored.price == 2.5 and stored.stock == 3
     # without a stock column the stored stock stays
     again = W.sync_master(spark, products.drop("stock").withColumn("unit_price", F.lit(3.0)), house, "products")
     assert tuple(again.select("price", "stock").first()) == (3.0, 3)
     # seeding adds unknown keys and leaves stored rows alone
     W.seed_masters(spark, {"products": products.union(products.withColumn("product_id", F.lit("P2")))}, house)
-    stored = {r.product_id: r.price for r in spark.read.parquet(f"{house}/products").collect()}
+    stored = {r.product_id: r.price for r in W.read_table(spark, house, "products").collect()}
     assert stored == {"P1": 3.0, "P2": 2.5}
 
 

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from tillspark.operators import joins
 from tillspark.operators import quality as Q
+from tillspark.plans.warehouse import read_table
 from tillspark.plans.order_feed import admit, process_order_feed
 from tillspark.schemas import RAW_ORDERS
 
@@ -196,7 +197,7 @@ def test_order_feed_end_to_end(spark, tmp_path):
     assert stored["2"].order_status == "Completed" and stored["2"].payment_method == "Unknown"
     assert stored["1"].order_status == "Shipped" and len(stored) == 2
     assert spark.read.json(f"{reports}/quarantine").count() == 1
-    assert spark.read.parquet(f"{house}/agg_daily_sales").count() == 2
+    assert read_table(spark, house, "agg_daily_sales").count() == 2
     assert spark.read.json(f"{reports}/audit/batch=b1").first().status == "PASSED"
     with pytest.raises(Q.QualityGateError):
         admit(raw, reports, "b2", 10.0)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillspark import schemas
 from tillspark.plans.health import pipeline_health
-from tillspark.plans.warehouse import create_lake_dimensions
+from tillspark.plans.warehouse import create_lake_dimensions, read_table
 from tillspark.session import shared_folder, staged, staging
 from tillspark.sinks import lake as L
 from tillspark.sinks import reports as R
@@ -69,13 +69,6 @@ def test_busy_partition_is_written_by_several_tasks(spark, tmp_path):
     assert spark.read.parquet(path).count() == 200000
 
 
-def test_replace_table_may_read_its_target(spark, tmp_path):
-    path = str(tmp_path / "t")
-    spark.range(3).write.parquet(path)
-    L.replace_table(spark.read.parquet(path).where("id > 0"), path)
-    assert spark.read.parquet(path).count() == 2
-
-
 def test_staging_uses_the_named_folder(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert staged(spark.range(5), "x").count() == 5
@@ -117,16 +110,6 @@ def test_null_partition_values_are_counted(spark, tmp_path):
     assert sorted(r.n for r in spark.read.parquet(path).collect()) == [2, 2, 2]
 
 
-def test_a_replacement_cut_short_is_finished(spark, tmp_path):
-    path = str(tmp_path / "t")
-    L.replace_table(spark.range(3).toDF("id"), path)
-    os.rename(path, f"{path}.old")  # the crash came between the two renames
-    L.restore_table(spark, path)
-    assert spark.read.parquet(path).count() == 3
-    L.replace_table(spark.range(5).toDF("id"), path)
-    assert sorted(os.listdir(tmp_path)) == ["t"] and spark.read.parquet(path).count() == 5
-
-
 def test_staged_tables_go_with_their_scope(spark):
     with staging(spark):
         kept = staged(spark.range(5), "scoped").inputFiles()[0].removeprefix("file://")
@@ -257,7 +240,7 @@ def test_incremental_load(spark, tmp_path):
 
     def load():
         load_stream(stream_raw_sales(spark, feed, files_per_batch=1), house, checkpoint).awaitTermination()
-        return spark.read.parquet(f"{house}/fact_sales").count()
+        return read_table(spark, house, "fact_sales").count()
 
     deliver("1.csv", "1,a,x,1,2024-01-01,2.00,7,FR", "bad row")
     deliver("2.csv", "1,a,x,1,2024-01-01,2.00,7,FR", "2,a,x,1,2024-02-01,2.00,,FR", "9,a,x,1,junk,2.00,,FR")

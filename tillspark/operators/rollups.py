@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from tillspark.functions.money import discount_amount, line_amount, total
 from tillspark.functions.sales import is_cancelled, is_guest
+from tillspark.operators.sketches import COUNTED, LOG_SIZE
+from tillspark.session import staged
 
 
 def with_financials(lines: DataFrame) -> DataFrame:
@@ -82,9 +84,34 @@ def daily_sales(lines: DataFrame) -> DataFrame:
     )
 
 
-def curation_metrics(facts: DataFrame) -> DataFrame:
-    """One row of run metrics over the curated fact."""
-    per_invoice = facts.groupBy("invoice_no").agg(
+METRIC_COLUMNS = ["invoice_no", "stock_code", "customer_id", "invoice_date", "gross_amount", "is_cancellation"]
+
+
+def curation_metrics(facts: DataFrame, stored: bool = False) -> DataFrame:
+    """One row of run metrics over the curated fact.
+
+    Three scans of a few columns each: what is computed and not ``stored`` is staged first,
+    so that parsing, joins and dedup run once.
+    """
+    if not stored:
+        facts = staged(facts.select(*METRIC_COLUMNS), "curated-metrics")
+    counted = _metric_sums(facts.groupBy("invoice_no"), F.count("invoice_no"))
+    return counted.select(
+        "total_records",
+        "unique_invoices",
+        distinct_count(facts, "stock_code").alias("unique_products"),
+        distinct_count(facts, "customer_id").alias("unique_customers"),
+        "guest_order_records",
+        "cancellation_records",
+        "min_invoice_date",
+        "max_invoice_date",
+        "total_gross_amount",
+    )
+
+
+def _metric_sums(groups: GroupedData, invoices: Column) -> DataFrame:
+    """Sums over groups of lines first, then over the groups."""
+    parts = groups.agg(
         F.count("*").alias("lines"),
         F.count_if(is_guest()).alias("guests"),
         F.count_if(is_cancelled()).alias("cancelled"),
@@ -92,26 +119,32 @@ def curation_metrics(facts: DataFrame) -> DataFrame:
         F.max("invoice_date").alias("last"),
         F.sum("gross_amount").alias("amount"),
     )
-    counted = per_invoice.agg(
+    return parts.agg(
         F.coalesce(F.sum("lines"), F.lit(0)).alias("total_records"),
-        F.count("invoice_no").alias("unique_invoices"),
+        invoices.alias("unique_invoices"),
         F.coalesce(F.sum("guests"), F.lit(0)).alias("guest_order_records"),
         F.coalesce(F.sum("cancelled"), F.lit(0)).alias("cancellation_records"),
         F.min("first").alias("min_invoice_date"),
         F.max("last").alias("max_invoice_date"),
         total(F.col("amount")).alias("total_gross_amount"),
     )
-    return counted.select(
-        "total_records",
-        "unique_invoices",
-        distinct_count(facts, "stock_code").alias("unique_products"),
-        distinct_count(facts, "customer_id").alias("unique_customers"),
-        "guest_order_records",
-        "cancellation_records",
-        "min_invoice_date",
-        "max_invoice_date",
-        "total_gross_amount",
-    )
+
+
+def approximate_metrics(facts: DataFrame) -> DataFrame:
+    """The run metrics in one scan, distinct counts estimated: for facts too large to count exactly."""
+    sums = {
+        "total_records": F.count("*"),
+        "guest_order_records": F.count_if(is_guest()),
+        "cancellation_records": F.count_if(is_cancelled()),
+        "min_invoice_date": F.min("invoice_date"),
+        "max_invoice_date": F.max("invoice_date"),
+        "total_gross_amount": total(F.col("gross_amount")),
+    }
+    distinct = {
+        name: F.hll_sketch_estimate(F.hll_sketch_agg(c, F.lit(LOG_SIZE))) for c, name in COUNTED.items()
+    }
+    found = facts.agg(*[c.alias(n) for n, c in {**sums, **distinct}.items()])
+    return found.withColumns({n: F.coalesce(F.col(n), F.lit(0)).cast("bigint") for n in distinct})
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:

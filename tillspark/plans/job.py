@@ -22,6 +22,7 @@ from tillspark.sinks.lake import verify_lake, write_lake
 from tillspark.sinks.reports import log_run, write_quarantine, write_report
 from tillspark.sources.feeds import header_checked, sales_reader
 from tillspark.sources.files import require_content
+from tillspark.sources.lake import read_lake
 
 PIPELINE = "sales_pipeline"
 
@@ -72,7 +73,7 @@ def curate_to_lake(
     write_quarantine(feed.rejected(), f"{reports}/rejected", run_id)
     write_quarantine(feed.malformed(), f"{reports}/malformed", run_id)
     write_report(spark.createDataFrame([Row(**counters)]), f"{reports}/curation_counters")
-    write_report(curation_metrics(spark.read.parquet(lake)), f"{reports}/curation_metrics")
+    write_report(curation_metrics(read_lake(spark, lake), stored=True), f"{reports}/curation_metrics")
     write_report(verified, f"{reports}/lake_check")
     return counters
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,18 +11,23 @@ from pyspark.sql.types import StructType
 
 from tillspark import constants as K
 from tillspark import schemas
+from tillspark.operators.dedup import first_per_key
 from tillspark.operators.dimensions import (
-    dim_customers,
+    customer_states,
+    customers_of,
     dim_customers_lake,
-    dim_products,
     dim_products_lake,
+    merged_customer_states,
+    merged_product_states,
+    product_states,
+    products_of,
 )
 from tillspark.operators.merge import new_rows, touched_partitions, upsert
 from tillspark.operators.quality import QualityGateError, require_columns
 from tillspark.operators.rollups import table_counts
 from tillspark.session import staged, staging
-from tillspark.sinks.lake import append_rows, replace_table, write_partitions
-from tillspark.sources.lake import read_lake, read_or_empty
+from tillspark.sinks.versions import Change, KeyIndex, Version, VersionedTable, partition_of
+from tillspark.sources.lake import lake_partitions, read_lake_partitions, read_or_empty
 
 TABLES = {
     "fact_sales": schemas.FACT_SALES,
@@ -30,6 +36,30 @@ TABLES = {
 }
 
 
+@dataclass(frozen=True)
+class Dimension:
+    """A dimension, its key, the column that keeps the value loaded first, and its states."""
+
+    key: str
+    frozen: str
+    states: Callable[[DataFrame], DataFrame]
+    merged: Callable[[DataFrame], DataFrame]
+    rows: Callable[[DataFrame], DataFrame]
+
+
+DIMENSIONS = {
+    "dim_products": Dimension("stock_code", "first_sold_at", product_states, merged_product_states, products_of),
+    "dim_customers": Dimension("customer_id", "first_order_date", customer_states, merged_customer_states, customers_of),
+}
+# additions to a dimension's states before they are merged into one folder again
+STATE_FOLDERS = 24
+
+
+def read_table(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
+    """A warehouse table as its newest version holds it."""
+    return VersionedTable(spark, f"{warehouse}/{name}").read()
+
+
 def upsert_table(
     spark: SparkSession,
     path: str,
@@ -39,9 +69,18 @@ def upsert_table(
     frozen: Sequence[str] = (),
     order: Sequence[str] = (),
 ) -> DataFrame:
-    """Load ``incoming`` into the table at ``path`` by key and return the stored table."""
-    existing = read_or_empty(spark, path, schema)
-    return replace_table(upsert(existing, incoming, keys, frozen=frozen, order=order), path)
+    """Load ``incoming`` into the table at ``path`` by key and return the stored table.
+
+    Where another load comes first, the merge is made again on top of its version.
+    """
+    table = VersionedTable(spark, path)
+    declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+    def merged(base: Version) -> DataFrame:
+        existing = table.read(base) if base.number else spark.createDataFrame([], declared)
+        return upsert(existing.select(*declared.names), incoming, keys, frozen=frozen, order=order)
+
+    return table.replace(merged)
 
 
 def upsert_partitions(
@@ -57,40 +96,106 @@ def upsert_partitions(
 
     ``partition`` has to follow from the key, so that a key never changes its partition.
     """
+    table = VersionedTable(spark, path, [partition])
+    declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     with staging(spark):
         # looked at twice, for its partitions and for its rows
         batch = staged(incoming, "upsert-batch")
         if not batch.isEmpty():
-            stored = touched_partitions(read_or_empty(spark, path, schema), batch, [partition])
-            merged = upsert(stored, batch, keys, order=order)
-            # complete before the partitions it was read from are replaced
-            write_partitions(staged(merged, "upsert-result"), path, partition)
-    return read_or_empty(spark, path, schema)
-
-
-def load_dimensions(spark: SparkSession, facts: DataFrame, warehouse: str) -> None:
-    """Upsert both dimensions; first-seen dates keep the value loaded first."""
-    upsert_table(
-        spark, f"{warehouse}/dim_products", schemas.DIM_PRODUCTS, dim_products(facts),
-        ["stock_code"], frozen=["first_sold_at"],
-    )
-    upsert_table(
-        spark, f"{warehouse}/dim_customers", schemas.DIM_CUSTOMERS, dim_customers(facts),
-        ["customer_id"], frozen=["first_order_date"],
-    )
 
+            def merged(base: Version) -> DataFrame:
+                stored = table.read(base) if base.number else spark.createDataFrame([], declared)
+                return upsert(touched_partitions(stored, batch, [partition]), batch, keys, order=order)
+
+            table.replace_partitions(merged)
+    return read_or_empty(spark, path, declared)
+
+
+def _add_states(spark: SparkSession, warehouse: str, name: str, dimension: Dimension) -> VersionedTable:
+    """Bring a dimension's states up to the newest version of the fact.
 
-def load_fact(spark: SparkSession, facts: DataFrame, warehouse: str) -> int:
+    Only folders that the fact gained since then are read. The version of the fact is noted in
+    the same commit as the states, so that a load cut short or two loads at once count no row twice.
+    """
+    fact = VersionedTable(spark, f"{warehouse}/fact_sales", K.SALES_PARTITIONS)
+    table = VersionedTable(spark, f"{warehouse}/{name}_states")
+
+    def change(base: Version) -> Change | None:
+        known = base.notes.get("fact_version", 0)
+        newest, added = fact.added_since(known)
+        if added == []:
+            return None
+        rebuilt = added is None
+        states = dimension.states(fact.read(newest, None if rebuilt else added))
+        removed = base.folders if rebuilt else ()
+        if not rebuilt and len(base.folders) >= STATE_FOLDERS:
+            states = dimension.merged(table.read(base).unionByName(states))
+            removed = base.folders
+        folders, _ = table.write(states, cluster=[dimension.key])
+        return Change(folders, removed, states.schema, {"fact_version": newest.number})
+
+    table.update(change)
+    return table
+
+
+def refresh_dimension(spark: SparkSession, warehouse: str, name: str) -> None:
+    """Update the dimension for the keys whose states changed since it was last refreshed."""
+    dimension = DIMENSIONS[name]
+    states = _add_states(spark, warehouse, name, dimension)
+    table = VersionedTable(spark, f"{warehouse}/{name}")
+    declared = StructType.fromDDL(TABLES[name])
+
+    def change(base: Version) -> Change | None:
+        known = base.notes.get("state_version", 0)
+        newest, added = states.added_since(known)
+        if added == []:
+            return None
+        changed = states.read(newest)
+        if known and added is not None:
+            touched = states.read(newest, added).select(F.col(dimension.key).alias("_touched")).distinct()
+            changed = changed.join(touched, F.col(dimension.key).eqNullSafe(F.col("_touched")), "left_semi")
+        stored = table.read(base) if base.number else spark.createDataFrame([], declared)
+        merged = upsert(stored, dimension.rows(changed), [dimension.key], frozen=[dimension.frozen])
+        folders, _ = table.write(merged, cluster=[dimension.key])
+        return Change(folders, base.folders, merged.schema, {"state_version": newest.number})
+
+    table.update(change)
+
+
+def refresh_dimensions(spark: SparkSession, warehouse: str) -> None:
+    """Bring both dimensions up to the fact; first-seen dates keep the value loaded first."""
+    for name in DIMENSIONS:
+        refresh_dimension(spark, warehouse, name)
+
+
+def load_fact(spark: SparkSession, facts: DataFrame, warehouse: str, notes: dict | None = None) -> int:
     """Append fact rows whose key is not stored yet; returns how many were new.
 
-    Only the months the batch touches are compared. The plan lists the files it reads
-    before the append adds any, so the new rows need no copy in between.
+    Only key columns of files that may hold a key of the batch are read: its months, and of
+    these the files whose key range and filter let a key pass.
     """
-    path = f"{warehouse}/fact_sales"
+    table = VersionedTable(spark, f"{warehouse}/fact_sales", K.SALES_PARTITIONS)
+    index = KeyIndex(table, K.SALES_KEY)
     batch = require_columns(facts, schemas.FACT_SALES_COLUMNS, K.FORBIDDEN_SALES_COLUMNS)
-    stored = read_or_empty(spark, path, schemas.FACT_SALES)
-    stored = touched_partitions(stored, batch, K.SALES_PARTITIONS)
-    return append_rows(new_rows(stored, batch, K.SALES_KEY), path)
+    months = batch.select(*K.SALES_PARTITIONS).distinct().collect()
+    touched = {"/".join(f"{name}={value}" for name, value in row.asDict().items()) for row in months}
+    inserted = 0
+
+    def change(base: Version) -> Change | None:
+        nonlocal inserted
+        before = base.in_partitions(touched)
+        if before:
+            fresh = new_rows(index.matching(base, before, batch), batch, K.SALES_KEY)
+        else:
+            fresh = first_per_key(batch, K.SALES_KEY)
+        folders, inserted = table.write(fresh, cluster=K.SALES_KEY[:1])
+        if not folders and not notes:
+            return None
+        index.add(folders, batch.schema)
+        return Change(folders, (), base.schema or batch.schema, notes or {}, frozenset(map(partition_of, folders)))
+
+    table.update(change)
+    return inserted
 
 
 def warehouse_counts(spark: SparkSession, warehouse: str) -> DataFrame:
@@ -108,10 +213,19 @@ def require_loaded(counts: DataFrame) -> None:
 
 
 def load_warehouse(spark: SparkSession, lake: str, warehouse: str) -> dict[str, int]:
-    """Dimensions, then fact, then counts. Running it again changes nothing."""
-    facts = read_lake(spark, lake, schemas.FACT_SALES_COLUMNS)
-    load_dimensions(spark, facts, warehouse)
-    inserted = load_fact(spark, facts, warehouse)
+    """New fact rows, then the dimensions, then counts. Running it again changes nothing.
+
+    A load reads the lake's partitions that changed since the last one, which the fact's newest
+    version notes, and brings the dimensions up to the rows that the fact gained.
+    """
+    held = lake_partitions(spark, lake, K.SALES_PARTITIONS)
+    known = VersionedTable(spark, f"{warehouse}/fact_sales").version().notes.get("lake", {})
+    changed = sorted(place for place, state in held.items() if known.get(place) != state)
+    inserted = 0
+    if changed:
+        facts = read_lake_partitions(spark, lake, changed).select(*schemas.FACT_SALES_COLUMNS)
+        inserted = load_fact(spark, facts, warehouse, {"lake": {**known, **held}})
+    refresh_dimensions(spark, warehouse)
     counts = warehouse_counts(spark, warehouse)
     require_loaded(counts)
     rows = {f"{r['table_name']}_count": r["row_count"] for r in counts.collect()}
@@ -163,17 +277,23 @@ def seed_masters(
 ) -> list[str]:
     """Add the rows of each feed whose key its master lacks; stored rows stay as they are."""
     for master, df in feeds.items():
-        path, schema = f"{warehouse}/{master}", schemas.MASTERS[master]
         incoming = master_columns(df, master)
-        stored = read_or_empty(spark, path, schema)
-        fresh = new_rows(stored, incoming, [incoming.columns[0]])
-        absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in stored.schema if f.name not in fresh.columns]
-        fresh.select("*", *absent).select(*stored.columns).write.mode("append").parquet(path)
+        table = VersionedTable(spark, f"{warehouse}/{master}")
+        declared = StructType.fromDDL(schemas.MASTERS[master])
+
+        def change(base: Version) -> Change:
+            stored = table.read(base) if base.number else spark.createDataFrame([], declared)
+            fresh = new_rows(stored, incoming, [incoming.columns[0]])
+            absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in declared if f.name not in fresh.columns]
+            folders, _ = table.write(fresh.select("*", *absent).select(*declared.names))
+            return Change(folders, (), declared)
+
+        table.update(change)
     return list(feeds)
 
 
 def create_lake_dimensions(spark: SparkSession, facts: DataFrame, path: str) -> None:
     """Both lake dimensions as tables, visible to SQL as views."""
     for name, build in (("dim_products", dim_products_lake), ("dim_customers", dim_customers_lake)):
-        build(facts).write.mode("overwrite").parquet(f"{path}/{name}")
-        spark.read.parquet(f"{path}/{name}").createOrReplaceTempView(name)
+        stored = VersionedTable(spark, f"{path}/{name}").replace(lambda base: build(facts))
+        stored.createOrReplaceTempView(name)

@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillspark.constants import SALES_PARTITIONS
-from tillspark.session import delete_path, move_path, path_exists
-from tillspark.sources.lake import read_or_empty
-
-MAX_RECORDS_PER_FILE = 5_000_000
+from tillspark.sinks.versions import MAX_RECORDS_PER_FILE, Change, VersionedTable
+from tillspark.sources.lake import read_lake, read_or_empty
 
 
 class WriteError(RuntimeError):
@@ -42,17 +39,21 @@ def _counting_writer(df: DataFrame, partitions: Sequence[str], *metrics: Column)
 
 
 def write_lake(df: DataFrame, path: str, partitions: Sequence[str] = SALES_PARTITIONS) -> int:
-    """Overwrite the partitioned table; returns the rows written, counted on the way."""
-    writer, written = _counting_writer(df, partitions)
-    writer.mode("overwrite").parquet(path)
-    return written.get["rows"]
+    """Replace the partitioned table by a new version; returns the rows written, counted on the way.
+
+    The new version is written beside the old one, which readers see until it is complete.
+    """
+    table = VersionedTable(df.sparkSession, path, partitions)
+    folders, rows = table.write(df)
+    table.update(lambda base: Change(folders, base.folders, df.schema))
+    return rows
 
 
 def verify_lake(
     spark: SparkSession, path: str, expected_rows: int, partition: str = SALES_PARTITIONS[0]
 ) -> DataFrame:
     """Read back: one row with count and partition values; raises on a mismatch."""
-    report = spark.read.parquet(path).agg(
+    report = read_lake(spark, path).agg(
         F.count("*").alias("readback_record_count"),
         F.sort_array(F.collect_set(partition)).alias("partition_values"),
     )
@@ -96,39 +97,3 @@ def write_partitions(
         "verified_records": actual,
         "status": "SUCCESS",
     }
-
-
-def append_rows(df: DataFrame, path: str, partitions: Sequence[str] = SALES_PARTITIONS) -> int:
-    """Append to the partitioned table; returns the rows written."""
-    writer, written = _counting_writer(df, partitions)
-    writer.mode("append").parquet(path)
-    return written.get["rows"]
-
-
-def replace_table(df: DataFrame, path: str) -> DataFrame:
-    """Replace an unpartitioned table that ``df`` itself may be reading.
-
-    The new version is written once, beside the table. It takes the table's place by two
-    renames; a crash at any point leaves a complete version, the old one under
-    ``<path>.old`` until the new one is in place (``restore_table`` puts it back).
-    """
-    spark = df.sparkSession
-    restore_table(spark, path)
-    fresh, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old"
-    df.write.option("compression", "snappy").parquet(fresh)
-    if path_exists(spark, path):
-        move_path(spark, path, old)
-    move_path(spark, fresh, path)
-    delete_path(spark, old)
-    spark.catalog.refreshByPath(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def restore_table(spark: SparkSession, path: str) -> None:
-    """Finish a replacement that a crash cut short: no table, but the version before it."""
-    old = f"{path}.old"
-    if path_exists(spark, old):
-        if path_exists(spark, path):
-            delete_path(spark, old)
-        else:
-            move_path(spark, old, path)
