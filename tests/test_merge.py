@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tillspark import schemas
 from tillspark.operators import dedup, dimensions, merge
+from tillspark.plans import geography, kpis, products
 from tillspark.plans import warehouse as W
 from tillspark.plans.curate import curate
 from tillspark.sinks.versions import VersionedTable
@@ -182,7 +183,9 @@ def test_a_load_reads_only_what_the_fact_gained(spark, tmp_path, monkeypatch):
         read.extend(facts.inputFiles())
         return real(facts)
 
-    monkeypatch.setitem(W.DIMENSIONS, "dim_products", dataclasses.replace(W.DIMENSIONS["dim_products"], states=spy))
+    dimension = W.DIMENSIONS["dim_products"]
+    kept = dataclasses.replace(dimension.states, made=spy)
+    monkeypatch.setitem(W.DIMENSIONS, "dim_products", dataclasses.replace(dimension, states=kept))
     W.refresh_dimensions(spark, house)
     assert read and {f.split("/fact_sales/")[1].partition("/")[0] for f in read} == gained
     read.clear()
@@ -202,7 +205,7 @@ def test_states_are_compacted_without_change(spark, tmp_path, monkeypatch):
     assert len(VersionedTable(spark, f"{house}/dim_products_states").version().folders) <= 2
 
 
-@pytest.mark.parametrize("step", ["_add_states", "refresh_dimension"])
+@pytest.mark.parametrize("step", ["add_kept", "refresh_dimension"])
 def test_a_refresh_cut_short_counts_no_row_twice(spark, tmp_path, monkeypatch, step):
     house = str(tmp_path / "house")
     W.load_fact(spark, sales(spark, *FIRST), house)
@@ -220,6 +223,26 @@ def test_a_refresh_cut_short_counts_no_row_twice(spark, tmp_path, monkeypatch, s
     assert dims(spark, house) == rebuilt(spark, FIRST)
 
 
+def test_rollup_reports_equal_reports_over_the_fact(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(W, "STATE_FOLDERS", 2)
+    house = str(tmp_path / "house")
+    for lines in (FIRST, LATER, [("9", "z", -2, "2011-03-07", "70000", "Malta")], [("9", "y", 2, "2011-03-07", "70000", "Malta")]):
+        W.load_fact(spark, sales(spark, *lines), house)
+        rolled = W.refresh_rollups(spark, house)
+    facts = W.read_table(spark, house, "fact_sales")
+    for ours, theirs in (
+        (rolled.kpi_summary(), kpis.kpi_summary(facts)),
+        (rolled.sales_kpis(), kpis.sales_kpis(facts)),
+        (rolled.sales_kpis(year=2012), kpis.sales_kpis(facts, year=2012)),
+        (rolled.sales_kpis(2011, "International", domestic="France"), kpis.sales_kpis(facts, 2011, "International", domestic="France")),
+        (rolled.sales_trends(), kpis.sales_trends(facts)),
+        (rolled.geographic_sales(), geography.geographic_sales(facts)),
+        (rolled.top_products(3), products.top_products(facts, 3)),
+        (rolled.top_products(order_by="units", region="Malta"), products.top_products(facts, order_by="units", region="Malta")),
+    ):
+        assert ours.columns == theirs.columns and rows(ours) == rows(theirs)
+
+
 def test_loads_at_once_store_every_key_once(spark, tmp_path):
     house = str(tmp_path / "house")
     W.load_fact(spark, sales(spark, *FIRST[:2]), house)

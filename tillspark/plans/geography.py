@@ -14,8 +14,20 @@ from tillspark.plans.kpis import count_sum, per_invoice
 
 def geographic_sales(facts: DataFrame) -> DataFrame:
     """Orders, customers, units and money per country."""
-    countries = (
-        per_invoice(facts, "country").groupBy("country")
+    countries = _countries_of(per_invoice(facts, "country"))
+    return _geography_of(with_distinct_count(countries, facts, "country", "customer_id", "distinct_customers"))
+
+
+def geography_of(invoices: DataFrame, customers: DataFrame) -> DataFrame:
+    """The same from one row per country and invoice, and the ``distinct_customers`` per country."""
+    named = customers.withColumnRenamed("country", "_country")
+    joined = _countries_of(invoices).join(named, F.col("country").eqNullSafe(F.col("_country")), "left")
+    return _geography_of(joined.drop("_country"))
+
+
+def _countries_of(invoices: DataFrame) -> DataFrame:
+    return (
+        invoices.groupBy("country")
         .agg(
             F.count("invoice_no").alias("total_orders"),
             count_sum("sold_units").alias("total_units"),
@@ -24,9 +36,11 @@ def geographic_sales(facts: DataFrame) -> DataFrame:
             F.count(F.when(F.col("has_sale") == 1, F.col("invoice_no"))).alias("_sold_orders"),
         )
     )
+
+
+def _geography_of(countries: DataFrame) -> DataFrame:
     return (
-        with_distinct_count(countries, facts, "country", "customer_id", "distinct_customers")
-        .withColumn("avg_order_value", ratio(F.col("gross_sales"), F.col("_sold_orders")))
+        countries.withColumn("avg_order_value", ratio(F.col("gross_sales"), F.col("_sold_orders")))
         .drop("_sold_orders")
         .orderBy(F.col("gross_sales").desc(), "country")
     )

@@ -23,6 +23,12 @@ from tillspark.functions.sales import (
 from tillspark.operators.rollups import distinct_count
 
 
+INVOICE_MEASURES = [
+    "lines", "units", "amount", "sold_units", "sold_amount", "returned_units", "cancelled_amount",
+    "returned_amount", "cancelled_lines", "guest_lines", "guest_amount", "has_sale", "has_return",
+]
+
+
 def per_invoice(facts: DataFrame, *by: str) -> DataFrame:
     """One row per ``by`` and invoice with every measure the reports sum up.
 
@@ -50,6 +56,16 @@ def per_invoice(facts: DataFrame, *by: str) -> DataFrame:
     )
 
 
+def merged_invoices(states: DataFrame, *by: str) -> DataFrame:
+    """Kept invoice measures, any number of rows per invoice, as ``per_invoice`` returns them."""
+    flags = ["has_sale", "has_return"]
+    measures = [f.name for f in states.schema if f.name in INVOICE_MEASURES]
+    types = {f.name: f.dataType for f in states.schema}
+    return states.groupBy(*by, "invoice_no").agg(
+        *[(F.max(m) if m in flags else F.sum(m).cast(types[m])).alias(m) for m in measures]
+    )
+
+
 def count_sum(name: str) -> Column:
     """Sum of a counter; zero over no rows."""
     return F.coalesce(F.sum(name), F.lit(0)).cast("bigint")
@@ -57,7 +73,12 @@ def count_sum(name: str) -> Column:
 
 def kpi_summary(facts: DataFrame) -> DataFrame:
     """Overall revenue, units and returns: one row."""
-    return per_invoice(facts).agg(
+    return summary_of(per_invoice(facts))
+
+
+def summary_of(invoices: DataFrame) -> DataFrame:
+    """The KPI summary from one row per invoice."""
+    return invoices.agg(
         F.count("*").alias("total_invoices"),
         count_sum("lines").alias("total_line_items"),
         count_sum("sold_units").alias("units_sold"),
@@ -76,7 +97,12 @@ def sales_kpis(
     The average order value divides by all invoices less those with a cancelled line.
     """
     sliced = facts.where(sales_slice(year, region, **options))
-    figures = per_invoice(sliced).agg(
+    return kpis_of(per_invoice(sliced), distinct_count(sliced, "customer_id"))
+
+
+def kpis_of(invoices: DataFrame, customers: Column) -> DataFrame:
+    """The executive figures from one row per invoice and the number of customers."""
+    figures = invoices.agg(
         count_sum("lines").alias("total_records"),
         F.count("invoice_no").alias("total_orders"),
         count_sum("sold_units").alias("units_sold"),
@@ -95,7 +121,7 @@ def sales_kpis(
     gross, guest = F.col("gross_sales"), F.col("guest_sales")
     return figures.select(
         "*",
-        distinct_count(sliced, "customer_id").alias("active_customers"),
+        customers.alias("active_customers"),
         valid.alias("valid_orders"),
         value.alias("aov"),
         rate.alias("return_rate_pct"),
@@ -110,6 +136,11 @@ def sales_trends(
     invoices = per_invoice(
         facts.where(sales_slice(year, region, **options)), "transaction_year", "transaction_month"
     )
+    return trends_of(invoices)
+
+
+def trends_of(invoices: DataFrame) -> DataFrame:
+    """The monthly trend from one row per month and invoice."""
     return (
         invoices.groupBy("transaction_year", "transaction_month")
         .agg(

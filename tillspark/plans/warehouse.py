@@ -25,6 +25,7 @@ from tillspark.operators.dimensions import (
 from tillspark.operators.merge import new_rows, touched_partitions, upsert
 from tillspark.operators.quality import QualityGateError, require_columns
 from tillspark.operators.rollups import table_counts
+from tillspark.plans.rolled import ROLLUPS, Kept, Rollups
 from tillspark.session import staged, staging
 from tillspark.sinks.versions import Change, KeyIndex, Version, VersionedTable, partition_of
 from tillspark.sources.lake import lake_partitions, read_lake_partitions, read_or_empty
@@ -42,16 +43,19 @@ class Dimension:
 
     key: str
     frozen: str
-    states: Callable[[DataFrame], DataFrame]
-    merged: Callable[[DataFrame], DataFrame]
+    states: Kept
     rows: Callable[[DataFrame], DataFrame]
 
 
 DIMENSIONS = {
-    "dim_products": Dimension("stock_code", "first_sold_at", product_states, merged_product_states, products_of),
-    "dim_customers": Dimension("customer_id", "first_order_date", customer_states, merged_customer_states, customers_of),
+    "dim_products": Dimension(
+        "stock_code", "first_sold_at", Kept(product_states, merged_product_states, ("stock_code",)), products_of
+    ),
+    "dim_customers": Dimension(
+        "customer_id", "first_order_date", Kept(customer_states, merged_customer_states, ("customer_id",)), customers_of
+    ),
 }
-# additions to a dimension's states before they are merged into one folder again
+# additions to a kept table before they are merged into one folder again
 STATE_FOLDERS = 24
 
 
@@ -111,37 +115,41 @@ def upsert_partitions(
     return read_or_empty(spark, path, declared)
 
 
-def _add_states(spark: SparkSession, warehouse: str, name: str, dimension: Dimension) -> VersionedTable:
-    """Bring a dimension's states up to the newest version of the fact.
+def add_kept(spark: SparkSession, warehouse: str, name: str, kept: Kept) -> VersionedTable:
+    """Bring a table that is kept beside the fact up to the fact's newest version.
 
     Only folders that the fact gained since then are read. The version of the fact is noted in
-    the same commit as the states, so that a load cut short or two loads at once count no row twice.
+    the same commit as the rows, so that a load cut short or two loads at once count no row twice.
     """
     fact = VersionedTable(spark, f"{warehouse}/fact_sales", K.SALES_PARTITIONS)
-    table = VersionedTable(spark, f"{warehouse}/{name}_states")
+    table = VersionedTable(spark, f"{warehouse}/{name}")
 
     def change(base: Version) -> Change | None:
-        known = base.notes.get("fact_version", 0)
-        newest, added = fact.added_since(known)
+        newest, added = fact.added_since(base.notes.get("fact_version", 0))
         if added == []:
             return None
         rebuilt = added is None
-        states = dimension.states(fact.read(newest, None if rebuilt else added))
+        rows = kept.made(fact.read(newest, None if rebuilt else added))
         removed = base.folders if rebuilt else ()
         if not rebuilt and len(base.folders) >= STATE_FOLDERS:
-            states = dimension.merged(table.read(base).unionByName(states))
+            rows = kept.merged(table.read(base).unionByName(rows))
             removed = base.folders
-        folders, _ = table.write(states, cluster=[dimension.key])
-        return Change(folders, removed, states.schema, {"fact_version": newest.number})
+        folders, _ = table.write(rows, cluster=kept.cluster)
+        return Change(folders, removed, rows.schema, {"fact_version": newest.number})
 
     table.update(change)
     return table
 
 
+def refresh_rollups(spark: SparkSession, warehouse: str) -> Rollups:
+    """Bring the roll-ups up to the fact and return them."""
+    return Rollups(*[add_kept(spark, warehouse, name, kept).read() for name, kept in ROLLUPS.items()])
+
+
 def refresh_dimension(spark: SparkSession, warehouse: str, name: str) -> None:
     """Update the dimension for the keys whose states changed since it was last refreshed."""
     dimension = DIMENSIONS[name]
-    states = _add_states(spark, warehouse, name, dimension)
+    states = add_kept(spark, warehouse, f"{name}_states", dimension.states)
     table = VersionedTable(spark, f"{warehouse}/{name}")
     declared = StructType.fromDDL(TABLES[name])
 
