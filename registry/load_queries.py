@@ -11,10 +11,11 @@ from registry.sales_queries import ORACLE, register
 from registry.views_sql import big, count_share, money, with_views
 from tillspark import constants as K
 from tillspark.operators import dedup, dimensions, joins, merge, quality, rollups, sketches
-from tillspark.plans import health, order_lines, rolled
+from tillspark.plans import health, order_lines, reload, rolled
 from tillspark.plans import warehouse as warehouse_plan
 from tillspark.session import shared_folder, staged
 from tillspark.sources import star_views as S
+from tillspark.sources.lake import read_lake
 
 # A first load up to the end of 1999, and a later batch that delivers 1998 on again:
 # together they cover every order, and two years arrive twice.
@@ -381,6 +382,37 @@ for _name, _report in (
 ):
     register(f"rolled_{_name}", ORACLE[_name])(lambda spark, sf, report=_report: report(_rolled(spark, sf)))
 
+# --- reload by file -----------------------------------------------------------------------
+
+
+def _reloaded(spark, sf):
+    """The lake after a feed of one file per region was loaded, and again after its files changed.
+
+    At first every file lacks its country's orders of odd keys and holds prices one higher; then
+    all files but that of region 0, which is right from the start, are replaced by the whole feed.
+    """
+    folder = f"{shared_folder(spark)}/reload-{uuid.uuid4().hex}"
+    feed = S.sales_feed(spark, sf)
+    regions = S.table(spark, sf, "nation").select(F.concat(F.lit(" "), "n_name").alias("Country"), "n_regionkey")
+    lines = staged(feed.join(regions, "Country").select(*feed.columns, "n_regionkey"), "feed")
+    keys = F.regexp_extract("InvoiceNo", "([0-9]+)", 1).cast("bigint")
+    older = lines.where((F.col("n_regionkey") == 0) | (keys % 2 == 0)).withColumn(
+        "UnitPrice", F.when(F.col("n_regionkey") == 0, F.col("UnitPrice")).otherwise(F.col("UnitPrice") + 1)
+    )
+    for state, only in ((older, F.lit(True)), (lines, F.col("n_regionkey") > 0)):
+        (
+            state.where(only).repartition("n_regionkey").write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("n_regionkey")
+            .option("header", "true").option("escape", '"').csv(f"{folder}/feed")
+        )
+        reload.reload_feed(spark, f"{folder}/feed/*", f"{folder}/typed", f"{folder}/lake", S.SOURCE_SYSTEM)
+    return read_lake(spark, f"{folder}/lake").drop("source_system", "ingestion_timestamp").withColumn(
+        "invoice_date", F.col("invoice_date").cast("timestamp_ntz")
+    )
+
+
+register("reloaded_sales", ORACLE["curate_sales"])(_reloaded)
+
 # --- sketches ---------------------------------------------------------------------------
 
 _COUNTS = ", ".join(f"count(distinct {c}) as {n}, true as {n}_within" for c, n in sketches.COUNTED.items())

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from tillspark.operators.quality import QualityGateError
 from tillspark.plans import curate as C
 from tillspark.plans.job import arguments, run
+from tillspark.plans import job, reload
 from tillspark.plans.warehouse import load_warehouse, read_table
+from tillspark.sources.lake import read_lake
 from tillspark.schemas import FACT_SALES_COLUMNS, RAW_SALES
 from tillspark.sinks.lake import WriteError, verify_lake, write_lake
 from tillspark.sources.feeds import read_raw_sales, sales_reader
@@ -209,3 +211,70 @@ def test_loads_with_blank_key_fields_are_repeatable(spark, tmp_path):
         load_warehouse(spark, str(tmp_path / "lake"), house)
         seen.append([read_table(spark, house, t).count() for t in ("fact_sales", "dim_products", "dim_customers")])
     assert seen == [[3, 3, 1]] * 3
+
+
+def test_a_run_goes_on_after_a_finished_curation(spark, tmp_path, feed, monkeypatch):
+    def killed(*args):
+        raise KeyboardInterrupt
+
+    real = job.load_warehouse
+    monkeypatch.setattr(job, "load_warehouse", killed)
+    with pytest.raises(KeyboardInterrupt):
+        run(spark, _args(tmp_path, feed))
+    monkeypatch.setattr(job, "load_warehouse", real)
+    monkeypatch.setattr(job, "curate_to_lake", killed)
+    resumed = run(spark, _args(tmp_path, feed, "--resume"))
+    assert resumed["final_curated_records"] == resumed["fact_rows_inserted"] == 6
+    # another feed, other options or another lake: curated again
+    with pytest.raises(KeyboardInterrupt):
+        run(spark, _args(tmp_path, feed, "--resume", "--source-system=OTHER"))
+    write_lake(C.curate(spark.createDataFrame(ROWS, RAW_SALES)), f"{tmp_path}/lake")
+    with pytest.raises(KeyboardInterrupt):
+        run(spark, _args(tmp_path, feed, "--resume"))
+
+
+LINES = {
+    "a.csv": ["1,a,x,1,2024-01-01,2.00,7,FR", "2,a,x,1,2024-02-01,2.00,,FR", "bad row", "9,a,x,1,junk,2.00,,FR"],
+    "b.csv": ["1,a,other,1,2024-01-01,1.00,7,FR", "3,a,x,1,2024-03-01,2.00,,FR"],
+    "c.csv": ["4,a,x,1,2024-04-01,2.00,,FR"],
+}
+
+
+def test_a_changed_file_is_retracted_and_loaded_again(spark, tmp_path):
+    folder, typed, lake = tmp_path / "feed", str(tmp_path / "typed"), str(tmp_path / "lake")
+    folder.mkdir()
+
+    def deliver(files):
+        header = "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
+        for name, lines in files.items():
+            (folder / name).write_text(header + "\n".join(lines) + "\n")
+
+    def settled():
+        done = reload.reload_feed(spark, str(folder), typed, lake)
+        whole = C.curate(read_raw_sales(spark, str(folder)).lines).drop("ingestion_timestamp")
+        kept = read_lake(spark, lake).select(*whole.columns)
+        assert sorted(map(tuple, kept.collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
+        return [len(done["loaded"]), len(done["dropped"]), [m[-1] for m in done["months"]]]
+
+    deliver(LINES)
+    assert settled() == [3, 0, ["1", "2", "3", "4"]]
+    assert settled() == [0, 0, []]
+    # the winner of a duplicate goes: the other file's line comes back
+    deliver({"b.csv": ["3,a,x,5,2024-03-02,2.00,,FR", "3,b,x,5,2024-05-02,2.00,,FR"]})
+    assert settled() == [1, 0, ["1", "3", "5"]]
+    (folder / "c.csv").unlink()
+    assert settled() == [0, 1, ["4"]]
+    deliver({"a.csv": [], "d.csv": LINES["c.csv"]})
+    assert settled() == [2, 0, ["1", "2", "4"]]
+
+
+def test_a_reload_cut_short_is_finished(spark, tmp_path):
+    folder, typed, lake = tmp_path / "feed", str(tmp_path / "typed"), str(tmp_path / "lake")
+    folder.mkdir()
+    header = "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
+    (folder / "a.csv").write_text(header + "1,a,x,1,2024-01-01,2.00,7,FR\n")
+    reload.reload_feed(spark, str(folder), typed, lake)
+    (folder / "a.csv").write_text(header + "1,a,x,1,2024-02-01,2.00,7,FR\n")
+    reload.reload_files(spark, str(folder), typed)  # and no further
+    assert reload.reload_feed(spark, str(folder), typed, lake)["loaded"] == []
+    assert [r.transaction_month for r in read_lake(spark, lake).collect()] == [2]

@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import argparse
+import hashlib
 import sys
 from datetime import datetime, timezone
 
@@ -20,8 +21,9 @@ from tillspark.schemas import RAW_SALES_COLUMNS
 from tillspark.session import build_session, staging
 from tillspark.sinks.lake import verify_lake, write_lake
 from tillspark.sinks.reports import log_run, write_quarantine, write_report
+from tillspark.sinks.versions import Change, Version, VersionedTable
 from tillspark.sources.feeds import header_checked, sales_reader
-from tillspark.sources.files import require_content
+from tillspark.sources.files import list_files, require_content
 from tillspark.sources.lake import read_lake
 
 PIPELINE = "sales_pipeline"
@@ -78,20 +80,57 @@ def curate_to_lake(
     return counters
 
 
+def _feed_state(spark: SparkSession, args: argparse.Namespace) -> str:
+    """What the curation depends on: the feed's files, their sizes and times, and the options."""
+    files = sorted(tuple(map(str, row)) for row in list_files(spark, args.raw).collect())
+    return hashlib.md5(repr((files, args.multi_line, args.source_system)).encode()).hexdigest()
+
+
+def _lake_state(version: Version) -> str:
+    return hashlib.md5("\n".join(sorted(version.folders)).encode()).hexdigest()
+
+
+def finished_curation(spark: SparkSession, args: argparse.Namespace) -> dict[str, int] | None:
+    """Counters of a curation that finished with the same feed, while its lake is still the newest.
+
+    The ledger is a note in the lake's own versions, written when the reports are complete.
+    """
+    version = VersionedTable(spark, args.lake).version()
+    done = version.notes.get("curation", {})
+    same = done.get("lake") == _lake_state(version) and done.get("feed") == _feed_state(spark, args)
+    return done["counters"] if same else None
+
+
+def note_curation(spark: SparkSession, args: argparse.Namespace, feed: str, counters: dict[str, int]) -> None:
+    def change(base: Version) -> Change:
+        note = {"feed": feed, "lake": _lake_state(base), "counters": counters}
+        return Change(notes={"curation": note}, reads=frozenset())
+
+    VersionedTable(spark, args.lake).update(change)
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
-    """All stages in order. Logs the run either way and raises on failure."""
+    """All stages in order. Logs the run either way and raises on failure.
+
+    With ``--resume`` a curation that an earlier run finished is not made again.
+    """
     started = datetime.now(timezone.utc)
     run_id = f"RUN_{started.strftime('%Y%m%d_%H%M%S_%f')}"
     log = f"{args.warehouse}/etl_pipeline_logs"
     counters: dict[str, int] = {}
     try:
-        if not args.skip_curation:
+        finished = finished_curation(spark, args) if args.resume else None
+        if finished is not None:
+            counters = finished
+        elif not args.skip_curation:
+            state = _feed_state(spark, args)
             with staging(spark):
                 feed, report = read_feed(spark, args.raw, args.multi_line, args.min_bytes, args.min_rows)
                 write_report(spark.createDataFrame([report]), f"{args.reports}/raw_validation")
                 counters = curate_to_lake(
                     spark, feed, args.lake, args.reports, run_id, args.source_system
                 )
+            note_curation(spark, args, state, counters)
         if not args.skip_load:
             counters |= load_warehouse(spark, args.lake, args.warehouse)
     except Exception as error:
@@ -114,6 +153,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         parser.add_argument(f"--{name}", required=True)
     parser.add_argument("--skip-curation", action="store_true")
     parser.add_argument("--skip-load", action="store_true")
+    parser.add_argument("--resume", action="store_true", help="go on after stages that finished with the same feed")
     parser.add_argument("--multi-line", action="store_true", help="quoted line breaks: one task per file")
     parser.add_argument("--min-bytes", type=int, default=1, help="refuse a smaller feed")
     parser.add_argument("--min-rows", type=int, default=0, help="refuse a feed of fewer lines")

@@ -74,6 +74,13 @@ def _text_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def file_checksums(spark: SparkSession, path: str) -> DataFrame:
+    """(path, checksum) of each file of a feed; an empty file has the checksum of no lines."""
+    files = list_files(spark, path).select("path")
+    lines = _text_lines(spark, path).select("path", F.col("line_checksum").alias("checksum"))
+    return files.join(lines, "path", "left").withColumn("checksum", F.coalesce("checksum", F.lit("0")))
+
+
 def _record_counts(spark: SparkSession, path: str, header: bool, multi_line: bool) -> DataFrame:
     """Per file: records as the CSV reader counts them."""
     records = (
