@@ -11,9 +11,10 @@ from registry.sales_queries import ORACLE, register
 from registry.views_sql import big, count_share, money, with_views
 from tillspark import constants as K
 from tillspark.operators import dedup, dimensions, joins, merge, quality, rollups, sketches
-from tillspark.plans import health, order_lines, reload, rolled
+from tillspark.plans import health, order_lines, reload, rolled, search
 from tillspark.plans import warehouse as warehouse_plan
 from tillspark.session import shared_folder, staged
+from tillspark.sinks.versions import Change, TextIndex, VersionedTable
 from tillspark.sources import star_views as S
 from tillspark.sources.lake import read_lake
 
@@ -382,6 +383,28 @@ for _name, _report in (
 ):
     register(f"rolled_{_name}", ORACLE[_name])(lambda spark, sf, report=_report: report(_rolled(spark, sf)))
 
+# --- search by trigram filters ----------------------------------------------------------
+
+
+def _searched(spark, sf, **filters):
+    """The search over a stored fact, clustered by invoice, that reads only files that may match."""
+    table = VersionedTable(spark, f"{shared_folder(spark)}/search-{uuid.uuid4().hex}", K.SALES_PARTITIONS)
+    lines = staged(S.sales_lines(spark, sf), "searched")
+    folders, _ = table.write(lines, cluster=["invoice_no"])
+    TextIndex(table, search.SEARCHED).add(folders, lines.schema)
+    table.commit(table.version(), Change(folders, schema=lines.schema))
+    return search.indexed_lines(table, **filters)
+
+
+register("indexed_order_search", ORACLE["order_search_returned_text"])(
+    lambda spark, sf: search.newest_lines(
+        _searched(spark, sf, text="Gear", country="NATION_3", status=K.RETURNED_ORDERS)
+    )
+)
+register("indexed_totals", ORACLE["filtered_totals"].replace("%12%", "%100%"))(
+    lambda spark, sf: search.result_totals(_searched(spark, sf, text="100", status=K.COMPLETED_ORDERS))
+)
+
 # --- reload by file -----------------------------------------------------------------------
 
 

@@ -6,6 +6,7 @@ from concurrent.futures import ThreadPoolExecutor
 import pytest
 from pyspark.sql import functions as F
 
+from tillspark.functions.text import any_contains
 from tillspark.session import staged, staging
 from tillspark.sinks import versions as V
 
@@ -17,7 +18,7 @@ def frame(spark, *rows):
 
 
 def found(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=lambda r: [(v is not None, v) for v in r])
 
 
 def test_versions_are_whole_and_stay_readable(spark, tmp_path):
@@ -220,6 +221,68 @@ def test_folders_without_an_index_are_read(spark, tmp_path):
     assert found(index.matching(version, version.folders, keyed(spark, ("zz", 1, "x")))) == [("b", 1, "x")]
 
 
+TEXTS = "a string, b string, n int, m int"
+
+
+def searchable(spark, path):
+    rows = [(f"inv{i:04d}", f"Mug {'blau' if i % 40 == 7 else 'ROT'} É{i}", i, i // 50) for i in range(200)]
+    rows += [(None, None, 900, 3), ("xy", "", 901, 3), ("50%", "a_b\\c", 902, 3)]
+    df = spark.createDataFrame(rows, TEXTS)
+    table = V.VersionedTable(spark, path, ["m"])
+    folders, _ = table.write(df, cluster=["a"])
+    V.TextIndex(table, ["a", "b", "n"]).add(folders, df.schema)
+    table.commit(table.version(), V.Change(folders, schema=df.schema))
+    return table, df
+
+
+@pytest.mark.parametrize(
+    "term", ["inv0007", "INV00", "blau", "Mug rot", "é19", "mug%é1", "nv_00", "xy", "%", "_b\\", "50%", "90", "902", "absent", "Mug blau inv"]
+)
+def test_trigram_search_finds_what_a_scan_finds(spark, tmp_path, term):
+    table, df = searchable(spark, str(tmp_path / "t"))
+    read = V.TextIndex(table, ["a", "b", "n"]).containing(table.version(), term)
+    for case in (False, True):
+        wanted = any_contains(["a", "b", "n"], term, case)
+        assert found(read.where(wanted)) == found(df.where(wanted))
+
+
+def test_trigram_search_leaves_files_out(spark, tmp_path):
+    table, _ = searchable(spark, str(tmp_path / "t"))
+    index, version = V.TextIndex(table, ["a", "b", "n"]), table.version()
+    assert len(version.folders) == 4
+    assert [f.split("/")[-2] for f in index.containing(version, "inv0007").inputFiles()] == ["m=0"]
+    assert index.containing(version, "no such text").inputFiles() == []
+    # all trigrams occur, but not in the same column
+    assert index.containing(version, "inv00blau").inputFiles() == []
+
+
+def scanned_rows(df):
+    """Rows that the file scan of an executed query put out."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    while "Scan" not in plan.nodeName() or "AdaptiveSparkPlan" in plan.nodeName():
+        plan = plan.executedPlan() if "Adaptive" in plan.nodeName() else plan.children().head()
+    return plan.metrics().apply("numOutputRows").value()
+
+
+def test_a_search_for_one_value_skips_row_groups(spark, tmp_path):
+    rows = spark.range(60_000, numPartitions=1).select(
+        F.concat(F.lit("i"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("a"),
+        (F.xxhash64("id") % 1_000_000_000 * 2).alias("customer"),
+    )
+    probe = rows.orderBy("a").offset(30_000).first()
+    counts = {}
+    for name, sought in (("plain", []), ("sought", ["customer"])):
+        table = V.VersionedTable(spark, str(tmp_path / name))
+        folders, _ = table.write(rows.coalesce(1), cluster=["a"], sought=sought, **{"parquet.block.size": 64 * 1024})
+        table.commit(table.version(), V.Change(folders, schema=rows.schema))
+        assert scanned_rows(table.read().where(F.col("a") == probe["a"])) < 30_000  # by the order inside
+        wanted = table.read().where(F.col("customer") == probe["customer"])
+        counts[name] = scanned_rows(wanted)
+        assert found(wanted) == [tuple(probe)]
+    assert counts["plain"] == 60_000 and counts["sought"] < 30_000
+
+
 def test_scopes_of_threads_are_apart(spark):
     inside, leave = threading.Event(), threading.Event()
 

@@ -1,12 +1,14 @@
-"""What each data file may hold: the range of its first key column and a Bloom filter of its keys.
+"""What each data file may hold: Bloom filters of its keys or of the trigrams of its texts.
 
 A file's filter is cut into cells of 32,768 bits, one per ``KEYS_PER_CELL`` keys, so that building
 and probing are plain aggregates and joins on (file, cell) whatever the size of a file. A key sets
-``POSITIONS`` bits of its cell; one that is absent passes for present about once in 200 times.
+``POSITIONS`` bits of its cell; one that is absent passes for present about once in 200 times. A key
+index knows the range of the first key column, too.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -27,6 +29,16 @@ def _positions(token: Column) -> list[Column]:
     return [F.pmod(F.xxhash64(token, F.lit(i)), F.lit(CELL_BITS)) for i in range(POSITIONS)]
 
 
+def _cells(tokens: DataFrame, files: DataFrame) -> DataFrame:
+    """One row per file and cell, from (file, token) rows and the ``rows`` of each file."""
+    files = files.withColumn("cells", F.ceil(F.col("rows") / KEYS_PER_CELL))
+    placed = tokens.join(files.select(FILE, "cells"), FILE)
+    bits = placed.select(
+        FILE, F.pmod("_token", "cells").alias("cell"), F.explode(F.array(*_positions(F.col("_token")))).alias("_bit")
+    )
+    return bits.groupBy(FILE, "cell").agg(F.bitmap_construct_agg("_bit").alias("bits")).join(files, FILE)
+
+
 def index_rows(rows: DataFrame, keys: Sequence[str], partitions: Sequence[str] = ()) -> DataFrame:
     """The index of all files that ``rows`` come from, one row per file and cell.
 
@@ -39,13 +51,7 @@ def index_rows(rows: DataFrame, keys: Sequence[str], partitions: Sequence[str] =
         F.max("_first").alias("high"),
         F.bool_or(F.col("_first").isNull()).alias("blanks"),
     )
-    files = files.withColumn("cells", F.ceil(F.col("rows") / KEYS_PER_CELL))
-    placed = tokens.select(FILE, "_token").join(files.select(FILE, "cells"), FILE)
-    bits = placed.select(
-        FILE, F.pmod("_token", "cells").alias("cell"), F.explode(F.array(*_positions(F.col("_token")))).alias("_bit")
-    )
-    cells = bits.groupBy(FILE, "cell").agg(F.bitmap_construct_agg("_bit").alias("bits"))
-    return cells.join(files, FILE)
+    return _cells(tokens.select(FILE, "_token"), files)
 
 
 def _bit_set(bits: Column, position: Column) -> Column:
@@ -72,3 +78,60 @@ def files_that_may_hold(
     for position in _positions(F.col("_token")):
         passed &= _bit_set(F.col("bits"), position)
     return tested.where(passed).select(FILE).distinct()
+
+
+# --- texts -----------------------------------------------------------------------------
+
+GRAM = 3
+
+
+def _lowered(column: str) -> Column:
+    return F.lower(F.col(column).cast("string"))
+
+
+def _trigram_tokens(column: str) -> Column:
+    """Tokens of the trigrams of one column; a trigram counts for its column alone."""
+    text = F.coalesce(_lowered(column), F.lit(""))
+    starts = F.when(F.length(text) >= GRAM, F.sequence(F.lit(1), F.length(text) - (GRAM - 1)))
+    grams = F.transform(F.coalesce(starts, F.array().cast("array<int>")), lambda i: F.substring(text, i, F.lit(GRAM)))
+    return F.transform(F.array_distinct(grams), lambda g: F.xxhash64(F.lit(column), g))
+
+
+def text_index_rows(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The trigram index of all files that ``rows`` come from, one row per file and cell.
+
+    Trigrams are made distinct in each task before they meet those of the same file.
+    """
+    tokens = F.explode(F.flatten(F.array(*map(_trigram_tokens, columns)))).alias("_token")
+    distinct = rows.select(FILE, tokens).distinct()
+    return _cells(distinct, distinct.groupBy(FILE).agg(F.count("*").alias("rows")))
+
+
+def term_pieces(term: str) -> list[str]:
+    """Literal parts of a search term long enough to have trigrams; ``%`` and ``_`` are wildcards.
+
+    A term with an escape says nothing.
+    """
+    if "\\" in term:
+        return []
+    return [piece for piece in re.split("[%_]", term) if len(piece) >= GRAM]
+
+
+def files_that_may_contain(index: DataFrame, columns: Sequence[str], term: str) -> DataFrame | None:
+    """Files (``_file``) where every trigram of ``term`` may occur in one of ``columns``.
+
+    None where the term has no trigram, so that any file may hold it.
+    """
+    # the same lower case as the stored texts, so that both are cut alike
+    lowered = [index.sparkSession.range(1).select(F.lower(F.lit(p))).first()[0] for p in term_pieces(term)]
+    grams = sorted({piece[i : i + GRAM] for piece in lowered for i in range(len(piece) - GRAM + 1)})
+    if not grams:
+        return None
+    wanted = [F.struct(F.lit(c).alias("column"), F.xxhash64(F.lit(c), F.lit(g)).alias("token")) for c in columns for g in grams]
+    files = index.select(FILE, "cells").distinct().select(FILE, "cells", F.inline(F.array(*wanted)))
+    placed = files.withColumn("cell", F.pmod("token", "cells")).join(index.select(FILE, "cell", "bits"), [FILE, "cell"])
+    passed = F.lit(True)
+    for position in _positions(F.col("token")):
+        passed &= _bit_set(F.col("bits"), position)
+    complete = placed.where(passed).groupBy(FILE, "column").agg(F.count_distinct("token").alias("_found"))
+    return complete.where(F.col("_found") == len(grams)).select(FILE).distinct()

@@ -26,8 +26,9 @@ from tillspark.operators.merge import new_rows, touched_partitions, upsert
 from tillspark.operators.quality import QualityGateError, require_columns
 from tillspark.operators.rollups import table_counts
 from tillspark.plans.rolled import ROLLUPS, Kept, Rollups
+from tillspark.plans.search import SEARCHED
 from tillspark.session import staged, staging
-from tillspark.sinks.versions import Change, KeyIndex, Version, VersionedTable, partition_of
+from tillspark.sinks.versions import Change, KeyIndex, TextIndex, Version, VersionedTable, partition_of
 from tillspark.sources.lake import lake_partitions, read_lake_partitions, read_or_empty
 
 TABLES = {
@@ -183,7 +184,7 @@ def load_fact(spark: SparkSession, facts: DataFrame, warehouse: str, notes: dict
     these the files whose key range and filter let a key pass.
     """
     table = VersionedTable(spark, f"{warehouse}/fact_sales", K.SALES_PARTITIONS)
-    index = KeyIndex(table, K.SALES_KEY)
+    keys, texts = KeyIndex(table, K.SALES_KEY), TextIndex(table, SEARCHED)
     batch = require_columns(facts, schemas.FACT_SALES_COLUMNS, K.FORBIDDEN_SALES_COLUMNS)
     months = batch.select(*K.SALES_PARTITIONS).distinct().collect()
     touched = {"/".join(f"{name}={value}" for name, value in row.asDict().items()) for row in months}
@@ -193,13 +194,15 @@ def load_fact(spark: SparkSession, facts: DataFrame, warehouse: str, notes: dict
         nonlocal inserted
         before = base.in_partitions(touched)
         if before:
-            fresh = new_rows(index.matching(base, before, batch), batch, K.SALES_KEY)
+            fresh = new_rows(keys.matching(base, before, batch), batch, K.SALES_KEY)
         else:
             fresh = first_per_key(batch, K.SALES_KEY)
-        folders, inserted = table.write(fresh, cluster=K.SALES_KEY[:1])
+        # by invoice inside a month; a customer's or product's lines are found by Parquet's filters
+        folders, inserted = table.write(fresh, cluster=K.SALES_KEY[:1], sought=["customer_id", "stock_code"])
         if not folders and not notes:
             return None
-        index.add(folders, batch.schema)
+        for index in (keys, texts):
+            index.add(folders, batch.schema)
         return Change(folders, (), base.schema or batch.schema, notes or {}, frozenset(map(partition_of, folders)))
 
     table.update(change)

@@ -192,11 +192,15 @@ class VersionedTable:
             added += step.added
         return newest, added
 
-    def write(self, df: DataFrame, cluster: Sequence[str] = ()) -> tuple[list[str], int]:
+    def write(
+        self, df: DataFrame, cluster: Sequence[str] = (), sought: Sequence[str] = (), **options: object
+    ) -> tuple[list[str], int]:
         """Write rows as new folders that no version lists yet; returns them and the rows written.
 
         Rows of a partition meet in few files and a busy partition is split over tasks. With
-        ``cluster`` the files of a partition hold ranges of these columns, in order.
+        ``cluster`` the files of a partition hold ranges of these columns, in order. Files carry
+        Parquet's own Bloom filters for the columns in ``sought``, by which a search for one value
+        skips row groups. Other ``options`` go to the Parquet writer.
         """
         commit, written = f"commit=c-{uuid.uuid4().hex}", Observation()
         if cluster:
@@ -208,6 +212,8 @@ class VersionedTable:
         if cluster:
             counted = counted.sortWithinPartitions(*self.partitions, *cluster)
         writer = counted.write.option("compression", "snappy").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        filters = {f"parquet.bloom.filter.enabled#{c}": "true" for c in sought}
+        writer = writer.options(**filters, **options)
         writer.partitionBy(*self.partitions).parquet(f"{self.path}/{commit}")
         folders = [commit]
         for _ in self.partitions:
@@ -260,27 +266,28 @@ class VersionedTable:
         return doomed
 
 
-class KeyIndex:
-    """The index of a table's files by key, kept beside the data: a folder per commit.
+class _FileIndex:
+    """An index of a table's files, kept beside the data: a folder per commit.
 
     It is written before the commit is published, so every listed folder has its index.
     Folders of commits without one are always read.
     """
 
-    def __init__(self, table: VersionedTable, keys: Sequence[str]):
-        self.table, self.keys = table, list(keys)
-        self.path = f"{table.path}/_index_{'_'.join(keys)}"
+    def __init__(self, table: VersionedTable, columns: Sequence[str], kind: str):
+        self.table, self.columns = table, list(columns)
+        self.path = f"{table.path}/_{kind}_{'_'.join(columns)}"
+
+    def _rows(self, rows: DataFrame) -> DataFrame:
+        raise NotImplementedError
 
     def add(self, folders: Sequence[str], schema: StructType) -> None:
-        """Index newly written folders; only their key columns are read back."""
+        """Index newly written folders; only the indexed columns are read back."""
         if folders:
             rows = self.table.read(Version(schema=schema), folders, files=True)
-            rows = rows.select(fileindex.FILE, *self.keys, *[p for p in self.table.partitions if p not in self.keys])
-            index = fileindex.index_rows(rows, self.keys, self.table.partitions)
-            index.write.parquet(f"{self.path}/{folders[0].partition('/')[0]}")
+            self._rows(rows).write.parquet(f"{self.path}/{folders[0].partition('/')[0]}")
 
-    def matching(self, version: Version, folders: Sequence[str], batch: DataFrame) -> DataFrame:
-        """Rows of those files in ``folders`` that may hold a key of ``batch``.
+    def _read(self, version: Version, folders: Sequence[str], find: Callable[[DataFrame], DataFrame | None]) -> DataFrame:
+        """Rows of the files in ``folders`` that ``find`` names from their index.
 
         The list of files goes through the driver, which lists them anyway to read them.
         """
@@ -288,12 +295,46 @@ class KeyIndex:
         indexed = commits & set(list_folder(self.table.spark, self.path))
         files = [f for f in folders if f.partition("/")[0] not in indexed]
         if indexed:
-            index = self.table.spark.read.parquet(*[f"{self.path}/{c}" for c in sorted(indexed)])
-            found = fileindex.files_that_may_hold(index, batch, self.keys, self.table.partitions)
+            found = find(self.table.spark.read.parquet(*[f"{self.path}/{c}" for c in sorted(indexed)]))
+            if found is None:
+                return self.table.read(version, folders)
             wanted = set(folders)
             files += [r[0] for r in found.collect() if r[0].rpartition("/")[0] in wanted]
         return self.table.read(version, sorted(files))
 
 
+class KeyIndex(_FileIndex):
+    """Key ranges and filters, for loads that look for stored keys."""
+
+    def __init__(self, table: VersionedTable, keys: Sequence[str]):
+        super().__init__(table, keys, "index")
+
+    def _rows(self, rows: DataFrame) -> DataFrame:
+        partitions = [p for p in self.table.partitions if p not in self.columns]
+        return fileindex.index_rows(rows.select(fileindex.FILE, *self.columns, *partitions), self.columns, self.table.partitions)
+
+    def matching(self, version: Version, folders: Sequence[str], batch: DataFrame) -> DataFrame:
+        """Rows of those files in ``folders`` that may hold a key of ``batch``."""
+
+        def find(index: DataFrame) -> DataFrame:
+            return fileindex.files_that_may_hold(index, batch, self.columns, self.table.partitions)
+
+        return self._read(version, folders, find)
+
+
+class TextIndex(_FileIndex):
+    """Trigram filters of text columns, for searches of a part of a text."""
+
+    def __init__(self, table: VersionedTable, columns: Sequence[str]):
+        super().__init__(table, columns, "trigrams")
+
+    def _rows(self, rows: DataFrame) -> DataFrame:
+        return fileindex.text_index_rows(rows, self.columns)
+
+    def containing(self, version: Version, term: str) -> DataFrame:
+        """Rows of those files that may hold ``term`` in one of the columns."""
+        return self._read(version, version.folders, lambda index: fileindex.files_that_may_contain(index, self.columns, term))
+
+
 def is_versioned(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path.rstrip('/')}/{LOG}")
