@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tillspark import schemas
 from tillspark.operators import dedup, dimensions, merge
-from tillspark.plans import geography, kpis, products
+from tillspark.plans import geography, kpis, products, search
 from tillspark.plans import warehouse as W
 from tillspark.plans.curate import curate
 from tillspark.sinks.versions import VersionedTable
@@ -269,6 +269,21 @@ def test_keys_of_other_files_are_not_read(spark, tmp_path):
     assert index.matching(version, january, fresh).inputFiles() == []
 
 
+def test_searches_use_the_index_of_the_fact(spark, tmp_path):
+    house = str(tmp_path / "house")
+    W.load_fact(spark, sales(spark, *FIRST), house)
+    assert len(W.index_searches(spark, house).refresh()) == 0
+    W.load_fact(spark, sales(spark, *LATER), house)
+    fact = W.read_table(spark, house, "fact_sales")
+    for text in ("a at 2011-02", "A AT 2011-03", "%", "9", "no such"):
+        # the newest files have no index yet, later they have
+        for _ in range(2):
+            found = search.indexed_lines(VersionedTable(spark, f"{house}/fact_sales", W.K.SALES_PARTITIONS), text)
+            assert rows(found) == rows(search.matching_lines(fact, text))
+            W.index_searches(spark, house)
+    assert search.indexed_lines(VersionedTable(spark, f"{house}/fact_sales"), "no such").inputFiles() == []
+
+
 def test_only_changed_lake_partitions_are_read(spark, tmp_path, monkeypatch):
     lake, house = str(tmp_path / "lake"), str(tmp_path / "house")
     table = VersionedTable(spark, lake, W.K.SALES_PARTITIONS)

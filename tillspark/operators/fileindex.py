@@ -29,14 +29,20 @@ def _positions(token: Column) -> list[Column]:
     return [F.pmod(F.xxhash64(token, F.lit(i)), F.lit(CELL_BITS)) for i in range(POSITIONS)]
 
 
+def _number() -> Column:
+    """A short stand-in for a file's path; should two files share one, each may only seem to hold more."""
+    return F.xxhash64(FILE).alias("_number")
+
+
 def _cells(tokens: DataFrame, files: DataFrame) -> DataFrame:
-    """One row per file and cell, from (file, token) rows and the ``rows`` of each file."""
-    files = files.withColumn("cells", F.ceil(F.col("rows") / KEYS_PER_CELL))
-    placed = tokens.join(files.select(FILE, "cells"), FILE)
+    """One row per file and cell, from (_number, _token) rows and the ``rows`` of each file."""
+    files = files.withColumns({"cells": F.ceil(F.col("rows") / KEYS_PER_CELL), "_number": _number()})
+    placed = tokens.join(files.select("_number", "cells").distinct(), "_number")
     bits = placed.select(
-        FILE, F.pmod("_token", "cells").alias("cell"), F.explode(F.array(*_positions(F.col("_token")))).alias("_bit")
+        "_number", F.pmod("_token", "cells").alias("cell"), F.explode(F.array(*_positions(F.col("_token")))).alias("_bit")
     )
-    return bits.groupBy(FILE, "cell").agg(F.bitmap_construct_agg("_bit").alias("bits")).join(files, FILE)
+    cells = bits.groupBy("_number", "cell").agg(F.bitmap_construct_agg("_bit").alias("bits"))
+    return cells.join(files, "_number").drop("_number")
 
 
 def index_rows(rows: DataFrame, keys: Sequence[str], partitions: Sequence[str] = ()) -> DataFrame:
@@ -51,7 +57,7 @@ def index_rows(rows: DataFrame, keys: Sequence[str], partitions: Sequence[str] =
         F.max("_first").alias("high"),
         F.bool_or(F.col("_first").isNull()).alias("blanks"),
     )
-    return _cells(tokens.select(FILE, "_token"), files)
+    return _cells(tokens.select(_number(), "_token"), files)
 
 
 def _bit_set(bits: Column, position: Column) -> Column:
@@ -85,26 +91,20 @@ def files_that_may_hold(
 GRAM = 3
 
 
-def _lowered(column: str) -> Column:
-    return F.lower(F.col(column).cast("string"))
-
-
-def _trigram_tokens(column: str) -> Column:
-    """Tokens of the trigrams of one column; a trigram counts for its column alone."""
-    text = F.coalesce(_lowered(column), F.lit(""))
-    starts = F.when(F.length(text) >= GRAM, F.sequence(F.lit(1), F.length(text) - (GRAM - 1)))
-    grams = F.transform(F.coalesce(starts, F.array().cast("array<int>")), lambda i: F.substring(text, i, F.lit(GRAM)))
-    return F.transform(F.array_distinct(grams), lambda g: F.xxhash64(F.lit(column), g))
-
-
 def text_index_rows(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The trigram index of all files that ``rows`` come from, one row per file and cell.
 
-    Trigrams are made distinct in each task before they meet those of the same file.
+    A trigram counts for its column alone. Values are made distinct in each task before they
+    are cut, and trigrams before they meet those of the same file.
     """
-    tokens = F.explode(F.flatten(F.array(*map(_trigram_tokens, columns)))).alias("_token")
-    distinct = rows.select(FILE, tokens).distinct()
-    return _cells(distinct, distinct.groupBy(FILE).agg(F.count("*").alias("rows")))
+    texts = [F.struct(F.lit(c).alias("column"), F.lower(F.col(c).cast("string")).alias("text")) for c in columns]
+    values = rows.select(_number(), F.inline(F.array(*texts))).where(F.length("text") >= GRAM).distinct()
+    starts = F.sequence(F.lit(1), F.length("text") - (GRAM - 1))
+    grams = F.transform(starts, lambda i: F.xxhash64("column", F.substring("text", i, F.lit(GRAM))))
+    distinct = values.select("_number", F.explode(F.array_distinct(grams)).alias("_token")).distinct()
+    names = rows.select(FILE, _number()).distinct()
+    counted = distinct.groupBy("_number").agg(F.count("*").alias("rows")).join(names, "_number").drop("_number")
+    return _cells(distinct, counted)
 
 
 def term_pieces(term: str) -> list[str]:

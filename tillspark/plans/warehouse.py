@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -172,9 +173,12 @@ def refresh_dimension(spark: SparkSession, warehouse: str, name: str) -> None:
 
 
 def refresh_dimensions(spark: SparkSession, warehouse: str) -> None:
-    """Bring both dimensions up to the fact; first-seen dates keep the value loaded first."""
-    for name in DIMENSIONS:
-        refresh_dimension(spark, warehouse, name)
+    """Bring both dimensions up to the fact; first-seen dates keep the value loaded first.
+
+    Their jobs do not depend on each other and share the cluster.
+    """
+    with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
+        list(pool.map(lambda name: refresh_dimension(spark, warehouse, name), DIMENSIONS))
 
 
 def load_fact(spark: SparkSession, facts: DataFrame, warehouse: str, notes: dict | None = None) -> int:
@@ -184,7 +188,7 @@ def load_fact(spark: SparkSession, facts: DataFrame, warehouse: str, notes: dict
     these the files whose key range and filter let a key pass.
     """
     table = VersionedTable(spark, f"{warehouse}/fact_sales", K.SALES_PARTITIONS)
-    keys, texts = KeyIndex(table, K.SALES_KEY), TextIndex(table, SEARCHED)
+    index = KeyIndex(table, K.SALES_KEY)
     batch = require_columns(facts, schemas.FACT_SALES_COLUMNS, K.FORBIDDEN_SALES_COLUMNS)
     months = batch.select(*K.SALES_PARTITIONS).distinct().collect()
     touched = {"/".join(f"{name}={value}" for name, value in row.asDict().items()) for row in months}
@@ -194,21 +198,30 @@ def load_fact(spark: SparkSession, facts: DataFrame, warehouse: str, notes: dict
         nonlocal inserted
         before = base.in_partitions(touched)
         if before:
-            fresh = new_rows(keys.matching(base, before, batch), batch, K.SALES_KEY)
+            fresh = new_rows(index.matching(base, before, batch), batch, K.SALES_KEY)
         else:
             fresh = first_per_key(batch, K.SALES_KEY)
         # by invoice inside a month; a customer's or product's lines are found by Parquet's filters
         folders, inserted = table.write(fresh, cluster=K.SALES_KEY[:1], sought=["customer_id", "stock_code"])
         if not folders and not notes:
             return None
-        for index in (keys, texts):
-            index.add(folders, batch.schema)
+        index.add(folders, batch.schema)
         return Change(folders, (), base.schema or batch.schema, notes or {}, frozenset(map(partition_of, folders)))
 
     table.update(change)
     return inserted
 
 
+def index_searches(spark: SparkSession, warehouse: str) -> TextIndex:
+    """Bring the trigram index of the fact up to its newest version, for ``search.indexed_lines``.
+
+    Apart from the load, which need not wait for it: files without an index are simply read.
+    """
+    index = TextIndex(VersionedTable(spark, f"{warehouse}/fact_sales", K.SALES_PARTITIONS), SEARCHED)
+    index.refresh()
+    return index
+
+
 def warehouse_counts(spark: SparkSession, warehouse: str) -> DataFrame:
     """Rows per warehouse table."""
     return table_counts(

@@ -286,6 +286,18 @@ class _FileIndex:
             rows = self.table.read(Version(schema=schema), folders, files=True)
             self._rows(rows).write.parquet(f"{self.path}/{folders[0].partition('/')[0]}")
 
+    def refresh(self) -> list[str]:
+        """Index the folders of the newest version that have no index yet; returns their commits."""
+        version = self.table.version()
+        indexed = set(list_folder(self.table.spark, self.path))
+        missing: dict[str, list[str]] = {}
+        for folder in version.folders:
+            if (commit := folder.partition("/")[0]) not in indexed:
+                missing.setdefault(commit, []).append(folder)
+        for folders in missing.values():
+            self.add(folders, version.schema)
+        return sorted(missing)
+
     def _read(self, version: Version, folders: Sequence[str], find: Callable[[DataFrame], DataFrame | None]) -> DataFrame:
         """Rows of the files in ``folders`` that ``find`` names from their index.
 
