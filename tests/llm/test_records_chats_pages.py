@@ -190,8 +190,8 @@ def test_viterbi_equals_enumeration_of_labels():
     for blocks, _ in htmltext.training_pages(40, seed=5):
         blocks = blocks[:9]
         scores = [
-            field._path_score(b.path) + sum(field.weights.get(f, 0.0) for f in htmltext._text_features(b, i, len(blocks)))
-            for i, b in enumerate(blocks)
+sum(field.weights.get(f, 0.0) for f in htmltext._text_features(b) + (b.node.features() if b.node else []))
+            for b in blocks
         ]
 
         def total(labels):

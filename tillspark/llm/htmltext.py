@@ -3,28 +3,31 @@
 Method. A forgiving scan of the tags (unclosed, wrongly nested and unknown ones occur) turns
 a page into its leaf blocks in page order: the text between two block-level tags, with the
 open ancestors and their class, id and role words. A block's features are those ancestors and
-words, its own tag, its length, share of linked text, punctuation and place. The field has
+words, its own tag, its length, share of linked text and punctuation. The field has
 one weight per feature and transitions between article and other blocks; it is fitted by
 gradient steps on the likelihood of the labelled pages in ``training_pages`` and decoded
-by Viterbi. Scripts, styles and markup are never text.
+by Viterbi. Scripts, styles, titles, fallbacks, drawings, templates and markup are never text.
 
 Labelled pages. They are written by a seeded generator of page layouts, ``TRAINING_PAGES``
-of them: articles and boilerplate in containers of many names, with ads and comments inside
-articles, and the label of every block known. Fitting takes seconds on the driver and depends
-on no input.
+of them: articles and boilerplate in containers of many names, bare pages without any, articles
+of a single block, with ads and comments inside articles, and the label of every block known.
+Fitting takes seconds on the driver and depends on no input.
 
-Scale. One pass over the pages, no shuffle; only the weights are sent.
+Scale. One pass over the pages, no shuffle; only the weights are sent. The scan takes time in
+proportion to the page whatever is in it, and blocks share their ancestors.
 
 Defined cases. A null or empty page, or one without an article block, gives an empty text.
-Repeated pages are extracted each. Pages of any length are read whole. Only ``page_id``,
-``url`` and ``html`` are read.
+Repeated pages are extracted each. Pages of any length are read whole; tags nested deeper than
+``MAX_DEPTH`` belong to the deepest one counted, as in browsers. A tag that no ``>`` ends is text,
+with all that follows. Only ``page_id``, ``url`` and ``html`` are read.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
-from dataclasses import dataclass, field
+from collections import Counter
+from dataclasses import dataclass
 from functools import cache
 from random import Random
 
@@ -33,17 +36,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TRAINING_PAGES = 1600
-EPOCHS = 6
+TRAINING_PAGES = 2400
+EPOCHS = 8
 
-# a comment, declaration or tag; an unclosed one ends with the page
-_MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>",
-    re.S,
-)
+MAX_DEPTH = 512
+# where markup may begin: a comment, a CDATA section, a declaration or a tag
+_BEGIN = re.compile(r"<(?:(!--)|(!\[CDATA\[)|([!?])|(/?)([a-zA-Z][a-zA-Z0-9:-]*+))")
+# where a tag may end, or a quoted value begin that may hold what looks like an end
+_IN_TAG = re.compile(r">|=\s*+([\"'])")
 _NAMES = re.compile(r"(?<![\w-])(?:class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
-_NOT_TEXT = {"script", "style"}  # their content is no markup either
+# never text, up to their end tag; what stands in the first group is no markup either
+_RAW = {"script", "style", "title", "textarea"}
+_HIDDEN = {"noscript", "template", "svg", "select", "iframe", "object", "canvas", "audio", "video", "math"}
+_END_TAG = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*+>?", re.I) for tag in _RAW | _HIDDEN}
 _INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike"
     " strong sub sup time tt u var wbr br".split()
@@ -59,28 +64,85 @@ _ENDS = {
 }
 
 
+class Node:
+    """An open element: its tag, its names, its parent, and which features it adds to its parent's."""
+
+    __slots__ = ("tag", "names", "parent", "added", "own", "score", "nearest", "landmark")
+
+    def __init__(self, tag: str, names: tuple[str, ...], parent: Node | None, added: tuple[str, ...]):
+        self.tag, self.names, self.parent, self.added = tag, names, parent, added
+        self.nearest = names or (parent.nearest if parent else ())
+        self.landmark = tag if tag in _LANDMARKS else parent.landmark if parent else "none"
+        self.own = [f"own:{tag}", *[f"own-name:{w}" for w in names], *[f"nearest-name:{w}" for w in self.nearest]]
+        self.own += [f"landmark:{self.landmark}", f"parent:{parent.tag if parent else ''}"]
+        self.score: float | None = None  # of all added features up to here, once a field has asked
+
+    def features(self) -> list[str]:
+        """All features of the path to here."""
+        out, node = list(self.own), self
+        while node:
+            out += node.added
+            node = node.parent
+        return out
+
+
 @dataclass
 class Block:
-    """Text of a leaf, its open ancestors as (tag, names), and its number of linked characters."""
+    """Text of a leaf, its innermost open element, and its number of linked characters."""
 
     text: str
-    path: tuple[tuple[str, tuple[str, ...]], ...]
+    node: Node | None
     linked: int
 
 
+class _Tags:
+    """Finds the markup of a page from left to right, in time proportional to its length."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = {sign: page.rfind(sign) for sign in (">", '"', "'")}
+        self.quotes = True  # until a quoted value has run over the last end of a tag
+
+    def end_of(self, start: int) -> int:
+        """Where the tag ends whose name ends at ``start``: the place after its ``>``, or -1."""
+        if start > self.last[">"]:
+            return -1
+        at = start
+        while self.quotes:
+            stop = _IN_TAG.search(self.page, at)
+            if not stop:
+                self.quotes = False
+                break
+            sign = stop.group(1)
+            if not sign:
+                return stop.end()
+            at = stop.end()
+            if at <= self.last[sign]:
+                at = self.page.index(sign, at) + 1
+        return self.page.index(">", start) + 1
+
+    def after(self, sign: str, start: int) -> int:
+        """The place after the next ``sign``; without one, the end of the page."""
+        found = self.page.find(sign, start)
+        return len(self.page) if found < 0 else found + len(sign)
+
+
 def blocks(page: str) -> list[Block]:
     """Leaf blocks with text, in page order."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[Node] = []
+    seen: Counter[str] = Counter()  # features of the open elements, and how many of them have each
     pieces: list[str] = []
-    linked = links = at = 0
+    unclosed: set[str] = set()  # of hidden elements: no end tag is left
+    tags = _Tags(page)
+    linked = links = at = skipped = 0
 
     def flush():
         nonlocal linked
         if pieces:
             text = " ".join(entities.unescape("".join(pieces)).split())
             if text:
-                out.append(Block(text, tuple(stack), linked))
+                out.append(Block(text, stack[-1] if stack else None, linked))
             pieces.clear()
         linked = 0
 
@@ -90,29 +152,45 @@ def blocks(page: str) -> list[Block]:
         if links:
             linked += len(text)
 
-    while match := _MARKUP.search(page, at):
+    def close(depth: int):
+        for node in stack[depth:]:
+            for name in _path_names(node.tag, node.names):
+                seen[name] -= 1
+        del stack[depth:]
+
+    while match := _BEGIN.search(page, at):
+        start = match.end()
+        comment, section, declaration, slash, tag = match.groups()
+        end = -1 if not tag else tags.end_of(start)
+        if tag and end < 0:
+            break  # nothing ends a tag any more
         if match.start() > at:
             add(page[at : match.start()])
-        at = match.end()
-        slash, tag, rest = match.group(1, 2, 3) if match.group(2) else match.group(4, 5, 6)
         if not tag:
+            at = tags.after("-->" if comment else "]]>" if section else ">", start)
             continue
-        tag = tag.lower()
+        at, rest, tag = end, page[start : end - 1], tag.lower()
         if slash:
             if tag == "a":
                 links = max(0, links - 1)
             elif tag not in _INLINE:
                 flush()
-                for depth in range(len(stack) - 1, -1, -1):
-                    if stack[depth][0] == tag:
-                        del stack[depth:]
-                        break
-            continue
-        if tag in _NOT_TEXT:
-            flush()
-            end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(page, at)
-            at = end.end() if end else len(page)
+                if skipped and tag == stack[-1].tag:
+                    skipped -= 1
+                elif seen[f"in:{tag}"]:
+                    depth = len(stack) - 1
+                    while stack[depth].tag != tag:
+                        depth -= 1
+                    close(depth)
+                    skipped = 0
             continue
+        if tag in _END_TAG and tag not in unclosed and not rest.endswith("/"):
+            found = _END_TAG[tag].search(page, at)
+            if found or tag in ("script", "style"):
+                flush()
+                at = found.end() if found else len(page)
+                continue
+            unclosed.add(tag)
         if tag in ("br", "wbr", "img"):
             add(" ")
             continue
@@ -121,25 +199,36 @@ def blocks(page: str) -> list[Block]:
         if tag in _INLINE:
             continue
         flush()
-        if tag in _ENDS:
+        if tag in _ENDS and any(seen[f"in:{t}"] for t in _ENDS[tag][0]):
             ended, until = _ENDS[tag]
             for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] in ended:
-                    del stack[depth:]
-                    if tag not in ("tr",):
+                if stack[depth].tag in ended:
+                    close(depth)
+                    skipped = 0
+                    if tag != "tr":
                         break
-                elif stack[depth][0] in until:
+                elif stack[depth].tag in until:
                     break
         if tag not in _VOID and not rest.endswith("/"):
             links = 0
-            names = " ".join(a or b or c for a, b, c in _NAMES.findall(rest)) if rest else ""
-            stack.append((tag, _name_words(names)))
+            if len(stack) >= MAX_DEPTH:
+                skipped += tag == stack[-1].tag
+                continue
+            names = _name_words(" ".join(a or b or c for a, b, c in _NAMES.findall(rest))) if rest else ()
+            path = _path_names(tag, names)
+            stack.append(Node(tag, names, stack[-1] if stack else None, tuple(n for n in path if not seen[n])))
+            seen.update(path)
     if at < len(page):
         add(page[at:])
     flush()
     return out
 
 
+def _path_names(tag: str, names: tuple[str, ...]) -> list[str]:
+    """Features that an element gives to all that is in it."""
+    return [f"in:{tag}", *[f"name:{word}" for word in names]]
+
+
 @cache
 def _known_names(names: str) -> tuple[str, ...]:
     spaced = re.sub(r"([a-z])([A-Z])", r"\1 \2", names).lower()
@@ -156,26 +245,10 @@ def _name_words(names: str) -> tuple[str, ...]:
 _LANDMARKS = {"article", "main", "nav", "header", "footer", "aside", "form", "section", "head", "table", "ul", "ol"}
 
 
-def _path_features(path) -> list[str]:
-    features = {f"in:{tag}" for tag, _ in path}
-    features |= {f"name:{word}" for _, words in path for word in words}
-    if path:
-        tag, words = path[-1]
-        features.add(f"own:{tag}")
-        features |= {f"own-name:{word}" for word in words}
-    if len(path) > 1:
-        features.add(f"parent:{path[-2][0]}")
-    nearest = next((words for _, words in reversed(path) if words), ())
-    features |= {f"nearest-name:{word}" for word in nearest}
-    landmark = next((tag for tag, _ in reversed(path) if tag in _LANDMARKS), "none")
-    features.add(f"landmark:{landmark}")
-    return sorted(features)
-
-
 _SENTENCE = re.compile(r"[.!?…。][\"'”’)\]]*$")
 
 
-def _text_features(block: Block, place: int, count: int) -> list[str]:
+def _text_features(block: Block) -> list[str]:
     words = block.text.count(" ") + 1
     share = block.linked / len(block.text)
     size = 0 if words < 3 else 1 if words < 6 else 2 if words < 12 else 3 if words < 25 else 4 if words < 60 else 5
@@ -183,9 +256,6 @@ def _text_features(block: Block, place: int, count: int) -> list[str]:
         f"words:{size}",
         f"linked:{0 if share == 0 else 1 if share < 0.3 else 2 if share < 0.7 else 3}",
         f"sentence:{bool(_SENTENCE.search(block.text))}",
-        f"place:{min(4, 5 * place // count)}",
-        f"first:{place == 0}",
-        f"last:{place == count - 1}",
         f"sign:{any(s in block.text for s in '©®»›')}",
     ]
 
@@ -200,15 +270,23 @@ class Field:
     weights: dict[str, float]
     start: np.ndarray
     step: np.ndarray
-    paths: dict = field(default_factory=dict, repr=False)
 
-    def _path_score(self, path) -> float:
-        score = self.paths.get(path)
-        if score is None:
-            if len(self.paths) > 100_000:
-                self.paths.clear()
-            score = self.paths[path] = sum(self.weights.get(f, 0.0) for f in _path_features(path))
-        return score
+    def _added(self, node: Node) -> float:
+        """Weights of the features of all open elements; kept with each of them."""
+        chain = []
+        while node and node.score is None:
+            chain.append(node)
+            node = node.parent
+        total = node.score if node else 0.0
+        for node in reversed(chain):
+            total += sum(self.weights.get(f, 0.0) for f in node.added)
+            node.score = total
+        return total
+
+    def score(self, block: Block) -> float:
+        """Weight of the block for "article" by its own features."""
+        own = _text_features(block) + (block.node.own if block.node else [])
+        return sum(self.weights.get(f, 0.0) for f in own) + (self._added(block.node) if block.node else 0.0)
 
     def article(self, found: list[Block]) -> list[bool]:
         """The most likely labels of a page's blocks (Viterbi)."""
@@ -218,8 +296,7 @@ class Field:
         other, article = self.start.tolist()
         back = []
         for place, block in enumerate(found):
-            score = self._path_score(block.path)
-            score += sum(self.weights.get(f, 0.0) for f in _text_features(block, place, len(found)))
+            score = self.score(block)
             if place:
                 back.append((ao + article > oo + other, aa + article >= oa + other))
                 other, article = max(oo + other, ao + article), max(oa + other, aa + article)
@@ -244,7 +321,7 @@ def fit(pages: list[tuple[list[Block], list[int]]], epochs: int = EPOCHS) -> Fie
     for found, labels in pages:
         rows, columns = [], []
         for place, block in enumerate(found):
-            for name in _path_features(block.path) + _text_features(block, place, len(found)):
+            for name in _text_features(block) + (block.node.features() if block.node else []):
                 rows.append(place)
                 columns.append(numbers.setdefault(name, len(numbers)))
         coded.append((np.array(rows), np.array(columns), np.array(labels)))
@@ -271,7 +348,7 @@ def fit(pages: list[tuple[list[Block], list[int]]], epochs: int = EPOCHS) -> Fie
                 joint = forward[:-1, :, None] + step + (scores[1:] + backward[1:])[:, None, :] - total
                 pairs = np.exp(joint).sum(axis=0)
                 np.add.at(pairs, (labels[:-1], labels[1:]), -1)
-            slope = np.bincount(columns, (share[:, 1] - labels)[rows], minlength=len(weights)) + 1e-3 * weights
+            slope = np.bincount(columns, (share[:, 1] - labels)[rows], minlength=len(weights)) + 2e-4 * weights
             first = share[0].copy()
             first[labels[0]] -= 1
             for value, own, seen in ((weights, slope, squares[0]), (start, first, squares[1]), (step, pairs, squares[2])):
@@ -341,7 +418,12 @@ class _Page:
         r = self.random
         tags, names = _OTHER[kind]
         tag = self.open(tags, names, 0.0)
-        if tag == "p":
+        if r.random() < 0.2 and tag not in ("ul", "ol"):  # a few words and nothing else
+            link = kind in ("menu", "header", "share") and r.random() < 0.7
+            mark = f"#{len(self.labels)}#" + self.words(1, 12, r.random() < 0.5)
+            self.labels.append(0)
+            self.out.append(f"<a href='/x'>{mark}</a>" if link else r.choice(["", "&copy; "] if kind == "footer" else [""]) + mark)
+        elif tag == "p":
             self.leaf("span", self.words(3, 25), 0)
         elif kind in ("menu", "share") or kind in ("footer", "sidebar", "header") and r.random() < 0.5:
             if r.random() < 0.4:
@@ -372,19 +454,28 @@ class _Page:
     def article(self):
         r = self.random
         tags = [self.open(["div", "section"], _NEUTRAL) for _ in range(r.randint(0, 2))]
-        tags.append(self.open(["article", "article", "main", "div", "section", "div"], _ARTICLE))
+        tags.append(self.open(["article", "article", "main", "main", "div", "section", "div"], _ARTICLE))
         if r.random() < 0.3:
             tags.append(self.open(["div", "section"], _ARTICLE + _NEUTRAL))
-        if r.random() < 0.8:
+        if r.random() < 0.6:
             self.leaf(r.choice(["h1", "h1", "h2"]), self.words(2, 12, False), 1)
-        for _ in range(r.choice([1, 1, 2, 3, 5, 8, 12])):
+        self.body(r.choice([1, 1, 1, 2, 2, 3, 5, 8, 12]))
+        if r.random() < 0.15:
+            self.other("comments")
+        self.out += [f"</{t}>" for t in reversed(tags)]
+
+    def body(self, count: int):
+        """Paragraphs, headings, lists, quotes and tables of an article, with strange parts among them."""
+        r = self.random
+        for _ in range(count):
             draw = r.random()
             if draw < 0.08:
                 self.leaf(r.choice(["h2", "h3"]), self.words(1, 8, False), 1)
             elif draw < 0.14:
+                linked = r.random() < 0.4
                 self.out.append("<ul>")
                 for _ in range(r.randint(2, 5)):
-                    self.leaf("li", self.words(1, 20, r.random() < 0.5), 1)
+                    self.leaf("li", self.words(1, 20, r.random() < 0.5), 1, link=linked)
                 self.out.append("</ul>")
             elif draw < 0.18:
                 self.out.append("<blockquote>")
@@ -400,30 +491,41 @@ class _Page:
             else:
                 short = r.random() < 0.15
                 ended = r.random() < 0.75  # articles hold lists, verses and noise too
-                self.leaf(r.choice(["p"] * 9 + ["div", "pre"]), self.words(1, 4, ended) if short else self.words(5, 150, ended), 1)
-        if r.random() < 0.15:
-            self.other("comments")
+                self.leaf(r.choice(["p"] * 9 + ["div", "pre", "figcaption"]), self.words(1, 4, ended) if short else self.words(5, 150, ended), 1)
+
+    def bare(self):
+        """An article in no container, or in one without a name."""
+        r = self.random
+        tags = [self.open(["div", "section", "main", "article"], [""]) for _ in range(r.choice([0, 0, 1]))]
+        if r.random() < 0.4:
+            self.leaf(r.choice(["h1", "h2"]), self.words(2, 12, False), 1)
+        for _ in range(r.choice([1, 1, 2, 2, 3, 6])):
+            self.leaf(r.choice(["p", "p", "p", "div"]), self.words(3, 60, r.random() < 0.85), 1)
         self.out += [f"</{t}>" for t in reversed(tags)]
 
     def whole(self) -> tuple[str, list[int]]:
         r = self.random
-        self.out.append("<!DOCTYPE html><html><head>")
-        self.leaf("title", self.words(2, 9, False), 0)
-        self.out.append("<style>p{margin:0}</style></head><body>")
+        framed = r.random() < 0.9
+        if framed:
+            self.out.append("<!DOCTYPE html><html><head><style>p{margin:0}</style></head><body>")
         tags = [self.open(["div"], _NEUTRAL) for _ in range(r.randint(0, 2))]
-        before = [k for k in ("notice", "header", "menu", "advert", "form", "sidebar") if r.random() < (0.75 if k == "menu" else 0.4)]
-        after = [k for k in ("share", "advert", "comments", "sidebar", "form", "notice", "footer") if r.random() < (0.75 if k == "footer" else 0.4)]
-        if r.random() < 0.15:
+        often, seldom = (0.75, 0.4) if r.random() < 0.6 else (0.5, 0.1)
+        before = [k for k in ("notice", "header", "menu", "advert", "form", "sidebar") if r.random() < (often if k == "menu" else seldom)]
+        after = [k for k in ("share", "advert", "comments", "sidebar", "form", "notice", "footer") if r.random() < (often if k == "footer" else seldom)]
+        if r.random() < 0.3:
             before = []
-        if r.random() < 0.25:  # cut off, or nothing follows
+        if r.random() < 0.3:  # cut off, or nothing follows
             after = []
         for kind in before:
             self.other(kind)
-        self.article()
+        if r.random() < 0.2:
+            self.bare()
+        else:
+            self.article()
         for kind in after:
             self.other(kind)
         self.out += [f"</{t}>" for t in reversed(tags)]
-        return "".join(self.out) + "</body></html>", self.labels
+        return "".join(self.out) + ("</body></html>" if framed else ""), self.labels
 
 
 def training_pages(count: int = TRAINING_PAGES, seed: int = 11) -> list[tuple[list[Block], list[int]]]:
