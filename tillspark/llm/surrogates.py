@@ -1,25 +1,31 @@
 """Personal data replaced by keyed surrogates of the same type, gender, script and format.
 
 Method. Patterns find entities; a canonical form (digits of a phone number, lower-case
-address, single name words) makes mentions of one entity equal. Every distinct entity of the
-corpus gets a surrogate drawn from a keyed hash: digits for digits, letters for letters, check
-digits valid where they were, names of the same gender and script. A collision check over the
-whole corpus keeps the mapping one to one: of entities that draw the same surrogate one keeps
-it, and a surrogate that is itself an entity of the corpus is refused; the others draw again,
-from a space that grows with every attempt, until none is left. The mapping is then written
-back into the texts, in the spacing and case of each mention.
+address, single name words) makes mentions of one entity equal. A form of address makes a person
+known to its text: their family name is then found without it, too, with given names or initials
+before it, and neutral forms ("Dr") take the gender that others of that text tell. Every distinct
+entity of the corpus gets a surrogate drawn from a keyed hash: digits for digits, letters for letters,
+country codes and check digits valid where they were, names of the same gender and script. A collision
+check over the whole corpus keeps the mapping one to one: of entities that draw the same surrogate one
+keeps it, and a surrogate that is itself an entity of the corpus is refused; the others draw again.
+From attempt ``WIDER`` on, every attempt draws from a larger space (longer numbers and words; addresses
+of version 6 for IPs), so that a corpus which holds all short numbers ends, too; after ``ATTEMPTS`` it
+is an error. The mapping is then written back into the texts, in the spacing and case of each mention.
 
 Scale. Texts without a digit, an @, a form of address, the name of a secret or 32 letters a to f in
-a row pass unread by Python and unshuffled.
+a row pass unread by Python and unshuffled; the others are stored once with their digest.
 The mapping is keyed by entity and joined to texts by their digest, so a text that a third of
 the rows repeat is a skewed join that adaptive execution splits, never a group; only the
 distinct entities of one text are ever collected. The rounds of the collision check are
-written to the shared folder and handle ever fewer entities.
+written to the shared folder and handle ever fewer entities. Patterns start at the beginning of a run
+of characters only, so their time is in proportion to the text.
 
 Defined cases. A null text stays null, an empty one empty. Repeated rows and mentions get the
 same surrogate, with or without doc_id. Other columns are returned as they are, ``n_chars``
 recomputed where it exists. Overlapping mentions: the earlier wins, then the kind listed
-first.
+first. A family name that is also a word is replaced wherever it is capitalised in a text that names
+the person. An initial becomes that of the given name it stands for, where its text tells one,
+else another letter. Book numbers (ISBN) are no personal data.
 """
 
 from __future__ import annotations
@@ -28,10 +34,11 @@ import hashlib
 import hmac
 import re
 import sys
-from functools import cache
+from dataclasses import dataclass
+from functools import cache, reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -70,12 +77,11 @@ ENDINGS = {
 }
 LIST_DRAWS = 3  # draws from the lists before names are made up
 
-_TITLE = "|".join(sorted(map(re.escape, TITLES), key=len, reverse=True))
 _SECRET = r"password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key"
 _BYTE = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 # in this order where two begin at the same place; the group of that name is what is replaced
 KINDS = {
-    "email": r"(?P<email>[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})",
+    "email": r"(?P<email>(?<![\w.%+-])[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})",
     "secret": rf"(?<![A-Za-z])(?i:{_SECRET})[\"']?[ ]?[=:][ ]?[\"']?(?P<secret>[^\s\"',;]{{6,}})",
     "iban": r"(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))",
     "ip": rf"(?P<ip>(?<![\w.])(?:{_BYTE}\.){{3}}{_BYTE}(?!\.?\w))",
@@ -99,15 +105,37 @@ def _capitals() -> str:
 # and one that begins a mention of its own is no further word.
 _OTHER = "|".join(re.sub(r"\(\?P<\w+>", "(?:", kind) for kind in KINDS.values())
 _LETTERS = rf"(?!{_OTHER})[^\W\d_]+"
-_WORD = rf"(?=[{_capitals()}]){_LETTERS}(?:['’-]{_LETTERS})*"
-_FORM = rf"(?:{_TITLE})\.?[ ]"
-KINDS["name"] = rf"(?<!\w)(?P<title>{_TITLE})\.?[ ](?:{_FORM})*(?P<name>{_WORD}(?:[ ](?!(?:{_FORM})+{_WORD}){_WORD}){{0,2}})"
-PATTERN = re.compile("|".join(KINDS.values()))
-# what any of these needs to contain, as a pattern for the scan
-CANDIDATE = (
-    rf"[0-9@\p{{Nd}}]|(^|[^\p{{L}}\p{{N}}_])({_TITLE})\.?\x20"
-    rf"|(?iu:{_SECRET})[\"']?\x20?[=:]|[a-f]{{32}}|[A-F]{{32}}"
+_BLANK = r"[ \u00a0\u202f]{1,2}"
+# in capitals any word looks like a name; these are none
+_NO_NAMES = "AND|OR|OF|THE|AT|IN|ON|TO|FOR|FROM|BY|IS|ARE|WAS|HAS|HAD|WITH|UND|ODER|IST|HAT|MIT|VON|ET|OU|EST|AVEC|Y|CON|ES"
+_WORD = rf"(?!(?:{_NO_NAMES})\b)(?=[{_capitals()}]){_LETTERS}(?:['’-](?![sS]\b){_LETTERS})*"
+_INITIAL = rf"[{_capitals()}]\.(?={_BLANK}?[{_capitals()}])"
+_PARTICLE = r"(?:van|von|vom|zu|zum|zur|de|del|della|der|den|di|da|do|dos|du|la|le|los|el|al|bin|ibn|ter|ten|af|av)"
+_PARTICLES = rf"(?:{_PARTICLE}{_BLANK}){{0,3}}"
+_TITLES = "|".join(sorted({re.escape(form) for t in TITLES for form in (t, t.upper())}, key=len, reverse=True))
+_FORM = rf"(?:{_TITLES})(?:\.\s*+|\s++)"
+_PART = rf"(?:{_INITIAL}|{_WORD})"
+KINDS["name"] = (
+    rf"(?<!\w)(?P<title>{_TITLES})(?:\.\s*+|\s++)(?:{_FORM})*"
+    rf"(?P<name>{_PARTICLES}{_PART}(?:{_BLANK}?(?<=[\s.\u00a0\u202f])(?!(?:{_FORM})+{_PARTICLES}{_PART}){_PARTICLES}{_PART}){{0,3}})"
 )
+PATTERN = re.compile("|".join(KINDS.values()))
+_NAME_PART = re.compile(rf"(?P<initial>{_INITIAL})|(?P<word>{_WORD})|{_PARTICLE}\b")
+_TOKEN = re.compile(r"[^\W\d_]+(?:['’-](?![sS]\b)[^\W\d_]+)*")
+# what any of these needs to contain, as patterns for the scan; words first, which are found faster
+ALWAYS = r"[0-9@\p{Nd}]|[a-f]{32}|[A-F]{32}"
+ADDRESSED = rf"(^|[^\p{{L}}\p{{N}}_])({_TITLES})(\.|[\s\p{{Z}}])"
+SECRET = rf"(?iu:{_SECRET})[\"']?\x20?[=:]"
+SECRET_WORDS = ["passw", "pwd", "token", "secret", "api", "access"]
+
+
+def candidate(text: Column) -> Column:
+    """Whether a text may hold an entity; null for a null text."""
+    lowered = F.lower(F.upper(text))  # also of letters that only one of the two knows
+    secret = reduce(Column.__or__, [lowered.contains(w) for w in SECRET_WORDS])
+    forms = {form[:2] for t in TITLES for form in (t, t.upper())}
+    addressed = reduce(Column.__or__, [text.contains(f) for f in sorted(forms)])
+    return text.rlike(ALWAYS) | (addressed & text.rlike(ADDRESSED)) | (secret & text.rlike(SECRET))
 
 
 def script_of(word: str) -> str:
@@ -125,36 +153,123 @@ def luhn(digits: str) -> int:
     return sum(d if i % 2 == 0 else d * 2 - 9 * (d > 4) for i, d in enumerate(map(int, reversed(digits)))) % 10
 
 
+@dataclass
+class _Person:
+    """A mention with a form of address: its gender, and (start, end, word) of its parts."""
+
+    gender: str
+    given: list[tuple[int, int, str]]
+    initials: list[tuple[int, int, str]]
+    family: tuple[int, int, str]
+
+
+def _person(match: re.Match) -> _Person | None:
+    """None where nothing but initials follows the form of address."""
+    at, title = match.start("name"), match["title"]
+    words, initials = [], []
+    for part in _NAME_PART.finditer(match["name"]):
+        if part["word"]:
+            words.append((at + part.start(), at + part.end(), part["word"]))
+        elif part["initial"]:
+            initials.append((at + part.start(), at + part.start() + 1, part["initial"][0]))
+    gender = _title_genders()[title]
+    return _Person(gender, words[:-1], initials, words[-1]) if words else None
+
+
+@cache
+def _title_genders() -> dict[str, str]:
+    return {form: gender for title, gender in TITLES.items() for form in (title, title.upper())}
+
+
+def _named(persons: list[_Person], text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int, str, str]]:
+    """Mentions of the persons of one text, with a form of address and without."""
+    told: dict[str, set[str]] = {}  # genders of a given name by forms of address
+    for p in persons:
+        for _, _, word in p.given:
+            told.setdefault(word.casefold(), set()).update({p.gender} - {"n"})
+
+    def given(word: str, own: str = "n") -> tuple[str, str]:
+        value = word.casefold()
+        known = told.get(value, set())
+        gender = own if own != "n" else next(iter(known)) if len(known) == 1 else _genders().get(value, "n")
+        return f"given-{gender}-{script_of(word)}", value
+
+    families: dict[str, dict[str, tuple[str, str]]] = {}  # of a family name: its given names
+    for p in persons:
+        known = families.setdefault(p.family[2].casefold(), {})
+        for _, _, word in p.given:
+            known.setdefault(word.casefold(), given(word, p.gender))
+
+    def initial(letter: str, family: str) -> tuple[str, str]:
+        meant = [entity for name, entity in families[family].items() if name[0] == letter.casefold()]
+        return meant[0] if len(meant) == 1 else (f"initial-{script_of(letter)}", letter.casefold())
+
+    found = []
+    for p in persons:
+        start, end, word = p.family
+        family = word.casefold()
+        found += [(s, e, *given(w, p.gender)) for s, e, w in p.given]
+        found += [(s, e, *initial(w, family)) for s, e, w in p.initials]
+        found.append((start, end, f"family-{script_of(word)}", family))
+    covered = sorted([*taken, *[(s, e) for s, e, _, _ in found]])
+    inside, before = 0, None
+    for token in _TOKEN.finditer(text):
+        start, end = token.span()
+        while inside < len(covered) and covered[inside][1] <= start:
+            inside += 1
+        free = inside == len(covered) or covered[inside][0] >= end
+        word, last, before = token.group(), before, token if free else None
+        family = word.casefold()
+        if not free or family not in families or not word[0].isupper() or _joined(text, start, end):
+            continue
+        found.append((start, end, f"family-{script_of(word)}", family))
+        if last and text[last.end() : start] in _BETWEEN and not _joined(text, *last.span()):
+            name = last.group()
+            if name.casefold() in families[family] and name[0].isupper():
+                found.append((*last.span(), *families[family][name.casefold()]))
+        elif last and len(last.group()) == 1 and last.group().isupper() and text[last.end() : start] in _AFTER_INITIAL:
+            found.append((*last.span(), *initial(last.group(), family)))
+    return found
+
+
+_BETWEEN = {" ", "\u00a0", "\u202f", "  "}
+_AFTER_INITIAL = {".", ". ", ".\u00a0", ".\u202f"}
+
+
+def _joined(text: str, start: int, end: int) -> bool:
+    """Whether a word is part of a larger one with digits, underscores or hyphens."""
+    return text[start - 1 : start] in _JOINS or text[end : end + 1] in _JOINS
+
+
+_JOINS = set("0123456789_-")
+
+
+def _isbn(digits: str) -> bool:
+    return len(digits) == 13 and digits[:3] in ("978", "979") and sum(int(d) * (1 + 2 * (i % 2)) for i, d in enumerate(digits)) % 10 == 0
+
+
 def mentions(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, canonical value) of every entity in ``text``, left to right.
 
     A person's mention gives one entity per name word: given names with their gender, the
     last word as family name, so that "Mr Smith" and "John Smith" agree in the family name.
     """
-    found = []
+    found, persons = [], []
     for match in PATTERN.finditer(text):
         kind = match.lastgroup
         start, end = match.span(kind)
         value = text[start:end]
         if kind == "name":
-            words = list(re.finditer(r"\S+", value))
-            gender = TITLES[match["title"]]
-            if gender == "n":
-                gender = _genders().get(words[0].group().casefold(), "n")
-            for place, word in enumerate(words):
-                role = "family" if place == len(words) - 1 else f"given-{gender}"
-                found.append(
-                    (start + word.start(), start + word.end(), f"{role}-{script_of(word.group())}", word.group().casefold())
-                )
+            if person := _person(match):
+                persons.append(person)
             continue
+        digits = "".join(str(int(c)) for c in value if c.isdecimal())
         if kind in ("plus_phone", "phone"):
-            digits = re.sub(r"\D", "", value)
-            if len(digits) < 7:
-                continue
-            found.append((start, end, "phone", digits))
+            if len(digits) >= 7:
+                found.append((start, end, "phone", f"+{digits}" if kind == "plus_phone" else digits))
         elif kind == "card":
-            digits = re.sub(r"\D", "", value)
-            found.append((start, end, "number" if luhn(digits) else "card", digits))
+            if not _isbn(digits):
+                found.append((start, end, "number" if luhn(digits) else "card", digits))
         elif kind == "ssn":
             found.append((start, end, "ssn", value.replace("-", "")))
         elif kind == "iban":
@@ -163,9 +278,31 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
             found.append((start, end, "email", value.lower()))
         else:
             found.append((start, end, kind, value))
+    if persons:
+        found = sorted([*found, *_named(persons, text, [(s, e) for s, e, _, _ in found])])
     return found
 
 
+# country codes of two digits; of the others those that begin with 1 or 7 have one digit, the rest three
+TWO_DIGIT_CODES = set(
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
+)
+# attempts after which spaces widen, and after which there must be something wrong
+WIDER, ATTEMPTS = 8, 200
+
+
+def _country_code(digits: str) -> str:
+    return digits[:1] if digits[0] in "17" else digits[:2] if digits[:2] in TWO_DIGIT_CODES else digits[:3]
+
+
+@cache
+def _alphabet(key: bytes, script: str) -> str:
+    """The capital letters of a script in a keyed order."""
+    first, last = {"latin": "AZ", "greek": "ΑΩ", "cyrillic": "АЯ"}[script]
+    letters = [chr(i) for i in range(ord(first), ord(last) + 1) if chr(i).isalpha()]
+    return "".join(sorted(letters, key=lambda c: hmac.new(key, f"letter\0{c}".encode(), hashlib.sha256).digest()))
+
+
 class _Draws:
     """A stream of keyed pseudo-random numbers for one entity and attempt."""
 
@@ -203,18 +340,27 @@ def surrogate(kind: str, value: str, key: bytes, attempt: int) -> str:
         # addresses of one domain stay together, under a name reserved for examples
         host = _Draws(key, "domain", domain, 0)
         return f"{draw.like(local)}{'x' * (attempt // 8)}@{''.join(host.pick(SYLLABLES['latin']) for _ in range(4))}.example"
+    if kind.startswith("initial"):
+        # one to one without draws: the next letter in a keyed order
+        letters = _alphabet(key, kind.split("-")[1]).casefold()
+        place = letters.find(value)
+        return letters[(place + 1) % len(letters)] if place >= 0 else value
+    more = "".join(draw.pick("0123456789") for _ in range(max(0, attempt - WIDER)))
     if kind == "ip":
+        if more:
+            return "2001:db8:" + ":".join(f"{draw.below(1 << 16):x}" for _ in range(6))
         return ".".join(map(str, (1 + draw.below(126), draw.below(256), draw.below(256), draw.below(256))))
     if kind == "card":
-        body = value[0] + draw.like(value[1:-1])
+        body = value[0] + draw.like(value[1:-1]) + more
         return body + str((10 - luhn(body + "0")) % 10)
     if kind == "number":
-        body = value[0] + draw.like(value[1:])
+        body = value[0] + draw.like(value[1:]) + more
         return body if luhn(body) else body[:-1] + str((int(body[-1]) + 1) % 10)
     if kind == "phone":
-        return value[:1] + draw.like(value[1:])
+        held = "+" + _country_code(value[1:]) if value[0] == "+" else value[:1]
+        return held + draw.like(value[len(held) :]) + more
     if kind == "iban":
-        body = value[:2] + "00" + draw.like(value[4:])
+        body = value[:2] + "00" + draw.like(value[4:]) + more
         number = int("".join(str(int(c, 36)) for c in body[4:] + body[:4]))
         return f"{body[:2]}{98 - number % 97:02d}{body[4:]}"
     if kind.startswith(("given", "family")):
@@ -227,13 +373,13 @@ def surrogate(kind: str, value: str, key: bytes, attempt: int) -> str:
         made = "".join(draw.pick(SYLLABLES[script]) for _ in range(2 + attempt // 2))
         return made + (ENDINGS.get((script, gender[0]), "") if role == "given" else "")
     # ssn, secret, key: the same characters' classes; a longer one once short ones run out
-    return draw.like(value) + (draw.like("aa") if attempt > 20 else "")
+    return draw.like(value) + more
 
 
 def shaped(value: str, mention: str) -> str:
     """The canonical surrogate in the spacing, punctuation and case of the mention."""
-    if any(c.isdigit() for c in mention) and not any(c.isalpha() for c in mention) and "." not in value:
-        left = iter(value)
+    if any(c.isdigit() for c in mention) and not any(c.isalpha() for c in mention) and not set(".:") & set(value):
+        left = iter(value.lstrip("+"))
         out = "".join(next(left, "") if c.isdigit() else c for c in mention)
         return out + "".join(left)
     if " " in mention:  # IBAN groups
@@ -249,8 +395,9 @@ def replaced(text: str, mapping: dict[tuple[str, str], str]) -> tuple[str, int]:
     out, at, count = [], 0, 0
     for start, end, kind, value in mentions(text):
         new, old = mapping[kind, value], text[start:end]
-        if kind.startswith(("given", "family")):
-            new = new.upper() if old.isupper() and len(old) > 1 else new[:1].upper() + new[1:]
+        if kind.startswith(("given", "family", "initial")):
+            whole = new if len(old) > 1 or len(value) == 1 else new[:1]  # an initial of a known name
+            new = whole.upper() if old.isupper() and len(old) > 1 else whole[:1].upper() + whole[1:]
         else:
             new = shaped(new, old)
         out += [text[at:start], new]
@@ -295,20 +442,20 @@ def assign_surrogates(entities: DataFrame, key: bytes) -> DataFrame:
     A surrogate never equals an entity of the corpus or the surrogate of another one.
     """
     entities = staged(entities, "entities")
-    pending, done, attempt = entities, None, 0
-    while True:
+    letters = F.col("kind").startswith("initial")
+    done = _drawn(entities.where(letters), key, 0)  # one to one by itself
+    pending = entities = entities.where(~letters)
+    for attempt in range(ATTEMPTS):
         drawn = staged(_drawn(pending, key, attempt), "drawn")
         # of those that drew the same, the first keeps it
         first = drawn.groupBy("kind", "surrogate").agg(F.min("value").alias("value"))
-        taken = entities.select("kind", F.col("value").alias("surrogate"))
-        if done is not None:
-            taken = taken.unionByName(done.select("kind", "surrogate"))
+        taken = entities.select("kind", F.col("value").alias("surrogate")).unionByName(done.select("kind", "surrogate"))
         good = staged(first.join(taken, ["kind", "surrogate"], "left_anti").select("kind", "value", "surrogate"), "kept")
-        done = good if done is None else done.unionByName(good)
+        done = done.unionByName(good)
         pending = staged(drawn.join(good, ["kind", "value"], "left_anti").select("kind", "value"), "pending")
         if pending.isEmpty():
             return done
-        attempt += 1
+    raise RuntimeError(f"after {ATTEMPTS} draws entities are without a surrogate, such as {pending.first()}")
 
 
 def with_surrogates(docs: DataFrame, key: bytes) -> DataFrame:
@@ -320,8 +467,9 @@ def with_surrogates(docs: DataFrame, key: bytes) -> DataFrame:
         else F.struct(F.lit(None).alias("none")).alias("row"),
         F.col("text").cast("string").alias("text"),
     )
-    candidate = F.coalesce(F.col("text").rlike(CANDIDATE), F.lit(False))
-    some = rows.where(candidate).withColumn("text_key", F.md5("text"))
+    may_hold = F.coalesce(candidate(F.col("text")), F.lit(False))
+    # read twice: for its entities and to be rewritten
+    some = staged(rows.where(may_hold).withColumn("text_key", F.md5("text")), "texts")
     found = staged(_entities(some.select("text_key", "text")), "mentions")
     assigned = assign_surrogates(found.select("kind", "value").distinct(), key)
     mapping = (
@@ -343,7 +491,7 @@ def with_surrogates(docs: DataFrame, key: bytes) -> DataFrame:
 
     joined = some.join(mapping, "text_key", "left").select("row", "text", "mapping")
     changed = joined.mapInArrow(run, StructType([rows.schema["row"], rows.schema["text"], StructField("n_replaced", LongType())]))
-    same = rows.where(~candidate).withColumn("n_replaced", F.lit(0).cast("bigint"))
+    same = rows.where(~may_hold).withColumn("n_replaced", F.lit(0).cast("bigint"))
     every = changed.unionByName(same)
     columns = []
     for c in names:
