@@ -108,6 +108,12 @@ def list_folder(spark: SparkSession, path: str, older_than_s: float | None = Non
     return [e.getPath().getName() for e in entries if latest is None or e.getModificationTime() <= latest]
 
 
+def list_states(spark: SparkSession, path: str) -> list[str]:
+    """Name, length and time of change of every file in a folder."""
+    place, system = _file_system(spark, path)
+    return [f"{e.getPath().getName()} {e.getLen()} {e.getModificationTime()}" for e in system.listStatus(place)]
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """A small UTF-8 file."""
     place, system = _file_system(spark, path)
