@@ -395,3 +395,60 @@ def test_character_counts_cover_every_text(spark):
     n = toxicity.SYMBOLS
     assert counts[(0 * n + 1) * n + 2] == 2  # both texts begin with ab
     assert docs.agg(F.count("text")).first()[0] == 2
+
+
+def plain_suppression(found):
+    """The rule as it reads: by priority, then length, against all that were kept so far."""
+    kept = []
+    for start, end, rule in sorted(found, key=lambda d: (-d[2].priority, d[0] - d[1], d[0], d[2].label)):
+        inside = any(s <= start and end <= e for s, e, _ in kept)
+        crossed = any(s < end and start < e and r.priority > rule.priority for s, e, r in kept)
+        if not inside and not crossed:
+            kept.append((start, end, rule))
+    return sorted(kept, key=lambda d: d[:2])
+
+
+def test_suppression_equals_the_plain_rule():
+    words = ["mit license", "gnu general public license", "version 2", "apache license", "v3", "or later", "gpl-2.0", "apache.org/licenses/license-2",
+             "spdx-license-identifier:", "bsd", "3-clause license", "licensed under the", "gnu lesser general public license", ","]
+    random.seed(9)
+    for _ in range(150):
+        text = " ".join(random.choices(words, k=random.randint(1, 40)))
+        found = [
+            (m.start(), m.end(), licenses.rules()[n]) for n in sorted(licenses.active_rules(text)) for m in licenses.rules()[n].pattern.finditer(text)
+        ]
+        ours, plain = licenses.detections(text), plain_suppression(found)
+        assert [(s, e, r.label) for s, e, r in ours] == [(s, e, r.label) for s, e, r in plain]
+
+
+@pytest.mark.parametrize("text", ["яmit license", "mit licenseя", "mit license漢", "émit license", "mit license\u0130", "xmit license"])
+def test_letters_of_any_script_are_letters(spark, text):
+    row = licenses.scan(with_ids(spark, [text])).first()
+    assert (row["labels"], row["base_labels"], row["n_base"]) == ("", "", 0)
+
+
+@pytest.mark.parametrize("text", ["mit license " * 80_000, "gnu general public license version 2 " * 27_000, "gpl-2.0 " * 120_000, "apache " * 140_000])
+def test_a_megabyte_of_licenses_takes_seconds(text):
+    started = time.perf_counter()
+    licenses.detections(text)
+    assert time.perf_counter() - started < 30
+
+
+@pytest.mark.parametrize(
+    "text", ["!" * 10**6, "@$" * 500_000, "0!" * 500_000, "0" * 10**6, "ab" * 500_000, "a b " * 250_000, "0! " * 330_000, "a" * 10**6, "0!" * 500_000 + "moron"]
+)
+def test_a_megabyte_of_signs_takes_seconds(text):
+    costs = np.ones((toxicity.SYMBOLS,) * 3)
+    started = time.perf_counter()
+    toxicity.restored(text, costs)
+    assert time.perf_counter() - started < 60
+
+
+def test_long_runs_of_signs_keep_what_follows():
+    costs = np.ones((toxicity.SYMBOLS,) * 3)
+    run = "0!" * 60
+    assert toxicity.SUSPECT.findall("x " + run + " i d i o t")
+    assert [m.group() for m in toxicity.SUSPECT.finditer(f"{run}idiot m0ron")] == [f"{run}idiot", "m0ron"]
+    assert toxicity.restored(f"{run} m0ron", costs).startswith(run)
+    spaced = [m.group() for m in toxicity.SUSPECT.finditer(f"1{'!' * 60} m 0 r 0 n")]
+    assert spaced[-1].endswith("m 0 r 0 n")

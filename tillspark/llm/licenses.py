@@ -22,7 +22,9 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from bisect import bisect_right
 from functools import cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +43,8 @@ BASE = {
 BATCH_ROWS = 256
 
 GAP = r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+"  # between two words
-LEFT, RIGHT = r"(?<![0-9a-z\x80-\xff])", r"(?![0-9a-z\x80-\xff])"
+# beside no letter or digit, where every character beyond ASCII, or byte of one, is a letter
+LEFT, RIGHT = r"(?<![^\x00-\x2f\x3a-\x60\x7b-\x7f])", r"(?![^\x00-\x2f\x3a-\x60\x7b-\x7f])"
 
 # label: (names, identifiers, addresses). Blanks stand for any gap between words. A name's
 # keyword is its first literal word of four letters or more.
@@ -243,16 +246,37 @@ def detections(text: str, active: set[int] | None = None) -> list[tuple[int, int
     for number in sorted(active_rules(text) if active is None else active):
         rule = rules()[number]
         found += [(m.start(), m.end(), rule) for m in rule.pattern.finditer(text)]
-    found.sort(key=lambda d: (-d[2].priority, d[0] - d[1], d[0], d[2].label))
+    found.sort(key=lambda d: (-d[2].priority, d[0], -d[1], d[2].label))
     kept: list[tuple[int, int, Rule]] = []
-    for start, end, rule in found:
-        inside = any(s <= start and end <= e for s, e, _ in kept)
-        crossed = any(s < end and start < e and r.priority > rule.priority for s, e, r in kept)
-        if not inside and not crossed:
-            kept.append((start, end, rule))
+    taken: list[tuple[int, int]] = []  # by rules of higher priority: apart from each other, in order
+    for _, level in groupby(found, key=lambda d: d[2].priority):
+        reached = -1  # within a level, what begins earlier or lasts longer comes first
+        own = []
+        for start, end, rule in level:
+            if end > reached and not _crosses(taken, start, end):
+                own.append((start, end, rule))
+                reached = end
+        kept += own
+        taken = _united([*taken, *[d[:2] for d in own]])
     return sorted(kept, key=lambda d: d[:2])
 
 
+def _crosses(spans: list[tuple[int, int]], start: int, end: int) -> bool:
+    """Whether any of ``spans``, apart from each other and in order, has a place in common."""
+    at = bisect_right(spans, start, key=lambda s: s[1])
+    return at < len(spans) and spans[at][0] < end
+
+
+def _united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_words, base phrases and their places, labels, detections, score.
 

@@ -97,7 +97,9 @@ _SIGN = r"0-9@$!|+(€£¥"
 _APART = rf"(?:(?<![^\W\d_])[^\W\d_](?![^\W\d_])|(?<![^\W_])[{_SIGN}](?![^\W_]))"
 SUSPECT = re.compile(
     rf"{_APART}(?:[ .\-_*]{_APART}){{3,}}"  # letters and signs set apart
-    rf"|[@$]?(?<![A-Za-z0-9])(?=[A-Za-z]+[{_SIGN}]|[{_SIGN}]+[A-Za-z]{{2}}|[{_SIGN}]+[A-Za-z][{_SIGN}])[A-Za-z0-9][A-Za-z{_SIGN}]*"
+    rf"|[@$]?(?<![A-Za-z0-9])(?=[A-Za-z]++[{_SIGN}]|[0-9][{_SIGN}]*+(?:[A-Za-z]{{2}}|[A-Za-z][{_SIGN}]))[A-Za-z0-9][A-Za-z{_SIGN}]*+"
+    # a long run of signs that leads to no word is passed over at once and stays as it is
+    rf"|(?<![A-Za-z0-9])[0-9][{_SIGN}]{{40,}}(?=[{_SIGN}])"
     r"|(?<![A-Za-z])[A-Za-z]*([A-Za-z])\1\1[A-Za-z]*"  # letters repeated
 )
 _SEPARATORS = " .-_*"
