@@ -174,6 +174,27 @@ def test_leaks_equal_brute_force_where_a_seed_hits(spark):
     assert kept == {doc_id for doc_id, _ in docs if not one[doc_id]["contaminated"]}
 
 
+def test_one_index_is_out_at_a_time(spark, monkeypatch):
+    docs, items = leaky_documents()
+    out, most, real = set(), [0, 0], type(spark.sparkContext).broadcast
+
+    def broadcast(context, value):
+        sent = real(context, value)
+        out.add(id(sent))
+        most[:] = [max(most[0], len(out)), most[1] + 1]
+        destroy = sent.destroy
+        monkeypatch.setattr(sent, "destroy", lambda: (out.discard(id(sent)), destroy()))
+        return sent
+
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    expected = sorted(r["doc_id"] for r in decontaminate.remove_leaks(table, bench).collect())
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", broadcast)
+    kept = decontaminate.remove_leaks(table, bench, block_seeds=120)
+    assert most[1] >= 10 and most[0] == 1
+    assert sorted(r["doc_id"] for r in kept.collect()) == expected
+
+
 def test_leaks_without_rows_and_with_odd_columns(spark):
     bench = spark.createDataFrame([], "item_id long, text string")
     docs = spark.createDataFrame([(1, "a b", 2)], "doc_id long, text string, `item.ids` int")

@@ -11,7 +11,8 @@ is 80 % equal, so those lengths decide).
 
 Scale. The documents are read once per block of the benchmark and never shuffled. A block's
 seeds go to the tasks as sorted arrays of at most ``BLOCK_SEEDS`` entries, so what is sent
-has a fixed bound however large the benchmark is; a larger one takes more blocks.
+has a fixed bound however large the benchmark is. A larger one takes more blocks, one after the
+other: what a block found is written before the next one is sent, and the block's seeds are let go.
 
 Defined cases. A null or empty text, document or item, matches nothing. An item of 5 to
 9 words may have one word substituted, one of 4 none; items of fewer than ``SHORTEST_ITEM``
@@ -21,7 +22,7 @@ are reported under each id, items without an id under none (they still mark the
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillspark.llm.words import LETTERS_AND_DIGITS, U64, words_of
+from tillspark.session import staged
 
 MASKS = ("111101", "101000111", "110111")
 MASKED_ITEM = 10  # words from which an item has the masks above
@@ -124,6 +126,10 @@ class SeedIndex:
         return out
 
 
+# from a batch and a block's index to the batch with what was found
+Mark = Callable[[pa.RecordBatch, SeedIndex], pa.RecordBatch]
+
+
 def leaked_words(document: np.ndarray, item: np.ndarray, diagonal: int) -> int:
     """Words of the best stretch of ``item`` laid on the document at ``diagonal``; 0: no leak."""
     low, high = max(0, -diagonal), min(len(item), len(document) - diagonal)
@@ -137,15 +143,30 @@ def leaked_words(document: np.ndarray, item: np.ndarray, diagonal: int) -> int:
     return length if length >= min(MIN_WORDS, len(item)) else 0
 
 
-def _blocks(benchmark: DataFrame, block_seeds: int) -> Iterator[SeedIndex]:
-    """The benchmark as indexes of about ``block_seeds`` seeds, made one after the other."""
+def _marked(docs: DataFrame, benchmark: DataFrame, block_seeds: int, mark: Mark) -> DataFrame:
+    """``docs`` after ``mark`` was applied for every block of about ``block_seeds`` seeds.
+
+    One block's index is with the driver and the tasks at a time.
+    """
     items = benchmark.select(F.col("item_id").cast("bigint"), F.col("text").cast("string").alias("text"))
     # a word has at least one byte and one separator, so bytes / 2 bounds the words
     most = items.agg(F.sum(F.octet_length("text") / 2 + 1)).first()[0] or 0
     blocks = int(most * len(MASKS) // block_seeds) + 1
     number = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     for block in range(blocks):
-        yield SeedIndex.of([tuple(row) for row in items.where(number == block).toLocalIterator()])
+        index = SeedIndex.of([tuple(row) for row in items.where(number == block).toLocalIterator()])
+        sent = docs.sparkSession.sparkContext.broadcast(index)
+
+        def run(batches, sent=sent):
+            for batch in batches:
+                for at in range(0, batch.num_rows, BATCH_ROWS):
+                    yield mark(batch.slice(at, BATCH_ROWS), sent.value)
+
+        docs = docs.mapInArrow(run, docs.schema)
+        if block < blocks - 1:
+            docs = staged(docs, "decontaminated")
+            sent.destroy()
+    return docs
 
 
 def leaked_items(docs: DataFrame, benchmark: DataFrame, block_seeds: int = BLOCK_SEEDS) -> DataFrame:
@@ -156,27 +177,20 @@ def leaked_items(docs: DataFrame, benchmark: DataFrame, block_seeds: int = BLOCK
         F.array().cast("array<bigint>").alias("item_ids"),
         F.lit(0).cast("bigint").alias("leaked_words"),
     )
-    schema = found.schema
-    for index in _blocks(benchmark, block_seeds):
-        sent = docs.sparkSession.sparkContext.broadcast(index)
 
-        def run(batches, sent=sent):
-            for part in _parts(batches):
-                hits = sent.value.matches(part.column("text"))
-                ids = [
-                    sorted({*before, *(i for i, _ in new if i is not None)})
-                    for before, new in zip(part.column("item_ids").to_pylist(), hits)
-                ]
-                most = [
-                    max([before, *(n for _, n in new)])
-                    for before, new in zip(part.column("leaked_words").to_pylist(), hits)
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(ids, pa.list_(pa.int64())), pa.array(most, pa.int64())],
-                    ["doc_id", "text", "item_ids", "leaked_words"],
-                )
-
-        found = found.mapInArrow(run, schema)
+    def mark(part: pa.RecordBatch, index: SeedIndex) -> pa.RecordBatch:
+        hits = index.matches(part.column("text"))
+        ids = [
+            sorted({*before, *(i for i, _ in new if i is not None)})
+            for before, new in zip(part.column("item_ids").to_pylist(), hits)
+        ]
+        most = [max([before, *(n for _, n in new)]) for before, new in zip(part.column("leaked_words").to_pylist(), hits)]
+        return pa.RecordBatch.from_arrays(
+            [part.column(0), part.column(1), pa.array(ids, pa.list_(pa.int64())), pa.array(most, pa.int64())],
+            ["doc_id", "text", "item_ids", "leaked_words"],
+        )
+
+    found = _marked(found, benchmark, block_seeds, mark)
     return found.select("doc_id", (F.col("leaked_words") > 0).alias("contaminated"), "item_ids", "leaked_words")
 
 
@@ -184,20 +198,8 @@ def remove_leaks(docs: DataFrame, benchmark: DataFrame, block_seeds: int = BLOCK
     """The rows of ``docs``, with all their columns, that hold no leaked item."""
     text = docs.columns.index("text")
     rows = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # any names pass
-    schema = rows.schema
-    for index in _blocks(benchmark, block_seeds):
-        sent = docs.sparkSession.sparkContext.broadcast(index)
-
-        def run(batches, sent=sent):
-            for part in _parts(batches):
-                hits = sent.value.matches(part.column(text))
-                yield part.filter(pa.array([not hit for hit in hits], pa.bool_()))
-
-        rows = rows.mapInArrow(run, schema)
-    return rows.toDF(*docs.columns)
 
+    def mark(part: pa.RecordBatch, index: SeedIndex) -> pa.RecordBatch:
+        return part.filter(pa.array([not hit for hit in index.matches(part.column(text))], pa.bool_()))
 
-def _parts(batches):
-    for batch in batches:
-        for at in range(0, batch.num_rows, BATCH_ROWS):
-            yield batch.slice(at, BATCH_ROWS)
+    return _marked(rows, benchmark, block_seeds, mark).toDF(*docs.columns)
