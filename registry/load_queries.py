@@ -14,6 +14,7 @@ from tillspark.operators import dedup, dimensions, joins, merge, quality, rollup
 from tillspark.plans import health, order_lines, reload, rolled, search
 from tillspark.plans import warehouse as warehouse_plan
 from tillspark.session import shared_folder, staged
+from tillspark.sinks import buckets
 from tillspark.sinks.versions import Change, TextIndex, VersionedTable
 from tillspark.sources import star_views as S
 from tillspark.sources.lake import read_lake
@@ -105,6 +106,29 @@ register(
     from order_lines o {_PRODUCTS} {_CUSTOMERS}""",
 )(_enriched)
 
+
+
+def _co_partitioned(spark, sf):
+    """The enriched lines from tables bucketed by customer, the products joined as usual."""
+    folder = f"{shared_folder(spark)}/buckets-{uuid.uuid4().hex}"
+    lines = staged(joins.with_products(S.order_lines(spark, sf), S.product_catalog(spark, sf)), "lines")
+    fact = buckets.write_buckets(lines, f"{folder}/lines", ["customer_id"], buckets=8)
+    people = buckets.write_buckets(
+        S.customer_master(spark, sf), f"{folder}/people", ["customer_id"], buckets=8, hot=False
+    )
+    return buckets.with_attributes(fact, people, joins.CUSTOMER_ATTRIBUTES)
+
+
+register("co_partitioned_sales", ORACLE["enrich_sales"])(_co_partitioned)
+
+
+def _bucketed_upsert(spark, sf):
+    folder = f"{shared_folder(spark)}/buckets-{uuid.uuid4().hex}"
+    stored, batch = _loaded_lines(spark, sf)
+    table = buckets.write_buckets(staged(stored, "stored"), f"{folder}/lines", K.ORDER_LINE_KEY, buckets=8)
+    return buckets.upsert_buckets(table, batch, f"{folder}/loaded", order=["line_number"]).read()
+
+
 register(
     "orphans_after_enrichment",
     with_views(V.ORDER_LINES)
@@ -208,6 +232,8 @@ register(
     )
 )
 
+register("bucketed_upsert", ORACLE["merge_upsert"])(_bucketed_upsert)
+
 
 def _dimension_sql(view: str, key: str, columns: list[str], frozen: str) -> str:
     """Partial upsert of a dimension: ``frozen`` keeps the stored value."""
