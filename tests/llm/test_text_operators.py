@@ -208,7 +208,7 @@ def test_a_megabyte_of_anything_takes_seconds(text):
 # least texts of every kind; digits outside ASCII are digits, too
 LEAST = {
     "email": ["a@b.cd"],
-    "secret": ["password: correcthorse", "API-Key=abcdef", "my paſſwd = abcdef", "'token': \"abcdef\""],
+    "secret": ["password: correcthorse", "API-Key=abcdef", "my paſſwd = abcdef", "my to\u212aen = abcdef", "'token': \"abcdef\""],
     "iban": ["DE89 3704 0044", "DE٨٩ABCDABCD"],
     "ip": ["1.2.3.4"],
     "ssn": ["123-45-6789", "١٢٣-٤٥-٦٧٨٩"],

@@ -131,8 +131,8 @@ SECRET_WORDS = ["passw", "pwd", "token", "secret", "api", "access"]
 
 def candidate(text: Column) -> Column:
     """Whether a text may hold an entity; null for a null text."""
-    lowered = F.lower(F.upper(text))  # also of letters that only one of the two knows
-    secret = reduce(Column.__or__, [lowered.contains(w) for w in SECRET_WORDS])
+    # the Kelvin sign is a k in any case, but has no capital
+    secret = reduce(Column.__or__, [F.upper(text).contains(w.upper()) for w in SECRET_WORDS]) | text.contains("\u212a")
     forms = {form[:2] for t in TITLES for form in (t, t.upper())}
     addressed = reduce(Column.__or__, [text.contains(f) for f in sorted(forms)])
     return text.rlike(ALWAYS) | (addressed & text.rlike(ADDRESSED)) | (secret & text.rlike(SECRET))
