@@ -43,6 +43,29 @@ def grams(text, buckets):
     return [h % buckets for h in hashes + pairs]
 
 
+def test_the_target_grows_with_the_trusted_rows_whichever_join(spark):
+    rows = [(i % 300, f"w{i % 7} w{i % 11} w{i}") for i in range(600)]  # every id twice
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    few = spark.createDataFrame([(i, 1) for i in range(100)] * 2 + [(None, 1), (200, 0)], "doc_id long, quality int")
+    many = spark.createDataFrame([(i, 1) for i in range(250)], "doc_id long, quality int")
+    models = {}
+    for name, labels in (("few", few), ("many", many)):
+        raw, target = Counter(), Counter()
+        for doc_id, text in rows:
+            raw.update(grams(text, 64))
+            if doc_id < (100 if name == "few" else 250):
+                target.update(grams(text, 64))
+        for limit in (0, 1_000_000):
+            (found,) = quality.ratio_model(docs, labels, 64, broadcast_ids=limit).collect()
+            expected = [
+                math.log((target[b] + 1) / (target.total() + 64)) - math.log((raw[b] + 1) / (raw.total() + 64))
+                for b in range(64)
+            ]
+            assert found["ratios"] == pytest.approx(expected, abs=1e-9)
+        models[name] = found["ratios"]
+    assert models["few"] != models["many"]
+
+
 def rows_of(spark, name):
     return [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/{name}.parquet").collect()]
 

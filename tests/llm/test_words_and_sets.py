@@ -115,6 +115,24 @@ def test_keep_first_keeps_rows_without_id_and_one_of_equal_rows(spark):
     assert kept == sorted([(1, "a b c"), (None, "a b c"), (3, "x y"), (4, None)], key=str)
 
 
+def test_keep_first_decides_for_every_text_of_an_id(spark, monkeypatch):
+    monkeypatch.setattr(setjoin, "BROADCAST_IDS", 0)  # other tests broadcast
+    rows = [(1, "a b c", 1), (2, "a b c", 2), (2, "d e f", 3), (2, "d e f", 3), (3, "d e f", 4), (3, None, 5)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, _id int").repartition(3)
+    kept = setjoin.keep_first(docs)
+    assert kept.columns == docs.columns
+    found = sorted(map(tuple, kept.collect()), key=str)
+    assert found == [(1, "a b c", 1), (2, "d e f", 3), (3, None, 5)]
+
+
+def test_components_with_hot_classes_and_empty_texts_apart(spark, monkeypatch):
+    monkeypatch.setattr(setjoin, "HOT_PARTS", 4)  # in small tables every class is hot otherwise
+    rows = corpus_of_copies(3) + [(1000 + i, "one text that a third of all rows has") for i in range(60)]
+    rows += [(2000 + i, text) for i, text in enumerate([None, "", " \n"] * 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert sorted(map(tuple, setjoin.similar_components(docs).collect()), key=str) == brute_components(rows)
+
+
 # --- decontamination ------------------------------------------------------------------
 
 

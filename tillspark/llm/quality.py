@@ -7,10 +7,11 @@ two multinomials, of the trusted target (texts labelled as good) and of the raw
 text), divided by the number of n-grams. A fixed threshold decides; nothing is drawn.
 
 Scale. The raw counts cover every text; they and the target's are one aggregate over
-``BUCKETS`` buckets, combined in each task first. The trusted rows are at most
-``TRUSTED_ROWS`` ids, those with the smallest hash, and so have a size bound for the
-broadcast. The model is ``BUCKETS`` numbers however large the corpus is; it becomes a constant of
-the scoring expression, so texts are scored where they are scanned and never shuffled.
+``BUCKETS`` buckets, combined in each task first. Both grow with the corpus: every trusted id
+counts. The ids are counted and broadcast up to ``BROADCAST_IDS`` of them; more are joined by a
+shuffle of the texts, with the same counts. The model is ``BUCKETS`` numbers however large the
+corpus is; it becomes a constant of the scoring expression, so texts are scored where they are
+scanned and not shuffled for that.
 
 Defined cases. A null text has no words, like an empty one: all counts 0, base rules failed.
 A label without doc_id is ignored, and without any trusted row (or without labels) the ratio
@@ -25,12 +26,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillspark.functions.once import with_columns_once
+from tillspark.session import staged
 
 MIN_WORDS = 10
 WINDOW = 5
 MAX_REPEAT_PERCENT = 20
 BUCKETS = 1 << 14
-TRUSTED_ROWS = 20_000
+BROADCAST_IDS = 1_000_000  # trusted ids in a broadcast (16 MB); more are joined by a shuffle
 SMOOTHING = 1.0
 MIN_RATIO = -0.1  # mean log ratio per n-gram; texts below are rejected
 
@@ -70,14 +72,16 @@ def ratio_model(
     docs: DataFrame,
     labels: DataFrame,
     buckets: int = BUCKETS,
-    trusted_rows: int = TRUSTED_ROWS,
     smoothing: float = SMOOTHING,
+    broadcast_ids: int = BROADCAST_IDS,
 ) -> DataFrame:
     """One row: ``ratios``, the log ratio of target to corpus probability of each bucket."""
     ids = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("bigint").alias("_id"))
-    trusted = ids.distinct().orderBy(F.xxhash64("_id"), "_id").limit(trusted_rows)
+    trusted = staged(ids.distinct(), "trusted-ids")
+    few = trusted.count() <= broadcast_ids
+    trusted = trusted.withColumn("_trusted", F.lit(1))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("_id"), F.col("text").cast("string").alias("_text"))
-    marked = texts.join(F.broadcast(trusted.withColumn("_trusted", F.lit(1))), "_id", "left").drop("_id")
+    marked = texts.join(F.broadcast(trusted) if few else trusted, "_id", "left").drop("_id")
     counts = (
         _hashed(marked, "_text")
         .select("_trusted", F.explode(_grams(F.col("_hashes"), buckets)).alias("bucket"))
@@ -107,10 +111,10 @@ def _scored(
     labels: DataFrame,
     min_ratio: float = MIN_RATIO,
     buckets: int = BUCKETS,
-    trusted_rows: int = TRUSTED_ROWS,
+    broadcast_ids: int = BROADCAST_IDS,
 ) -> DataFrame:
     """``docs`` with its columns numbered c0, c1, ... and a struct ``quality``."""
-    model = ratio_model(docs, labels, buckets, trusted_rows).first()["ratios"]
+    model = ratio_model(docs, labels, buckets, broadcast_ids=broadcast_ids).first()["ratios"]
     # one foldable expression: the optimiser makes it a constant array
     ratios = F.split(F.lit(",".join(f"{x:.9g}" for x in model)), ",").cast("array<double>")
     names = [f"c{i}" for i in range(len(docs.columns))]  # clash with nothing added here

@@ -34,7 +34,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillspark.llm import components
@@ -45,6 +45,7 @@ SHINGLE_WORDS = 5
 LINK_PERCENT = 80
 BATCH_ROWS = 256  # rows whose words are held at once
 BROADCAST_IDS = 1_000_000  # ids in a broadcast; more are joined by a shuffle
+HOT_PARTS = 1000  # a class of over this part of all rows is hot; there are fewer than this many
 
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int):
@@ -62,20 +63,27 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int):
 
 
 def set_members(docs: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
-    """Per row: doc_id, size of its set and the key of the set."""
+    """Per row: doc_id, a hash of its text, size of its set and the key of the set."""
 
     def run(batches):
         for part, rows in _sets(batches, width):
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"),
+                    part.column("text_key"),
                     pa.array([len(found) for found, _ in rows], pa.int64()),
                     pa.array([key for _, key in rows], pa.int64()),
                 ],
-                ["doc_id", "n_shingles", "set_key"],
+                ["doc_id", "text_key", "n_shingles", "set_key"],
             )
 
-    return _columns(docs).mapInArrow(run, "doc_id bigint, n_shingles bigint, set_key bigint")
+    keyed = _columns(docs).withColumn("text_key", _text_key("text"))
+    return keyed.mapInArrow(run, "doc_id bigint, text_key bigint, n_shingles bigint, set_key bigint")
+
+
+def _text_key(text: str) -> Column:
+    """Tells the texts of one doc_id apart."""
+    return F.xxhash64(F.col(text).cast("string"))
 
 
 def _columns(docs: DataFrame) -> DataFrame:
@@ -116,10 +124,11 @@ def _lists(entries: DataFrame, percent: int) -> DataFrame:
         .select("token", "df")
     )
     of_set = Window.partitionBy("set_key")
+    # each task enters a set once: entries of copies are dropped where their list is, which spreads them
     ranked = (
         entries.join(shared, "token")
-        .repartition("set_key")
         .dropDuplicates(["set_key", "token"])
+        .repartition("set_key")
         .withColumn("live", F.count("*").over(of_set))
         .withColumn("rank", F.row_number().over(of_set.orderBy("df", "token")))
     )
@@ -326,12 +335,16 @@ def set_links(docs: DataFrame, percent: int = LINK_PERCENT, width: int = SHINGLE
     return grouped.unionByName(rest)
 
 
-def similar_components(
-    docs: DataFrame, percent: int = LINK_PERCENT, width: int = SHINGLE_WORDS
-) -> DataFrame:
-    """Per row: doc_id, n_shingles and component_id, the smallest doc_id reachable by links."""
+def _with_components(docs: DataFrame, percent: int, width: int) -> DataFrame:
+    """Per row: doc_id, text_key, n_shingles and component_id.
+
+    Rows meet their class by key. A class of over a ``HOT_PARTS``-th of all rows would be one
+    task there; of these there are fewer than ``HOT_PARTS``, so that they are broadcast.
+    """
     members = staged(set_members(docs, width), "set-members")
-    nodes = members.where("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("least"))
+    nodes = members.where("n_shingles > 0").groupBy("set_key").agg(
+        F.min("doc_id").alias("least"), F.count("*").alias("rows")
+    )
     groups = components.connected(set_links(docs, percent, width))
     # the smallest doc_id of each group of sets that has more than one
     named = (
@@ -341,34 +354,50 @@ def similar_components(
     smallest = named.groupBy("component").agg(F.min("least").alias("of_group"))
     linked = named.join(smallest, "component").select("set_key", "of_group")
     classes = nodes.join(linked, "set_key", "left").select(
-        "set_key", F.coalesce("of_group", "least").alias("component_id")
-    )
-    return members.join(classes, "set_key", "left").select(
-        "doc_id",
-        "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        "set_key", "rows", F.coalesce("of_group", "least").alias("component_id")
     )
+    classes = staged(classes, "set-classes")
+    hot = F.broadcast(classes.where(F.col("rows") * HOT_PARTS > members.count()).drop("rows"))
+    classes = classes.drop("rows")
+    empty = members.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
+    filled = members.where("n_shingles > 0")
+    others = filled.join(hot, "set_key", "left_anti").join(classes, "set_key")
+    whole = others.unionByName(filled.join(hot, "set_key")).unionByName(empty)
+    return whole.select("doc_id", "text_key", "n_shingles", "component_id")
 
 
-def _only_ids(rows: DataFrame, name: str) -> DataFrame:
-    """Distinct ids, written; marked for broadcast where they are few enough for that."""
-    ids = staged(rows.select("doc_id").distinct(), name)
-    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+def similar_components(
+    docs: DataFrame, percent: int = LINK_PERCENT, width: int = SHINGLE_WORDS
+) -> DataFrame:
+    """Per row: doc_id, n_shingles and component_id, the smallest doc_id reachable by links."""
+    return _with_components(docs, percent, width).drop("text_key")
+
+
+def _few(rows: DataFrame, name: str) -> DataFrame:
+    """Distinct rows, written; marked for broadcast where they are few enough for that."""
+    rows = staged(rows.distinct(), name)
+    return F.broadcast(rows) if rows.count() <= BROADCAST_IDS else rows
 
 
 def keep_first(docs: DataFrame, percent: int = LINK_PERCENT, width: int = SHINGLE_WORDS) -> DataFrame:
     """The rows of ``docs`` whose doc_id is the smallest of their component.
 
     Equal rows under one id stay once. Rows without doc_id have no place in that order: they
-    stay. An id with several texts goes when one of them belongs to a smaller id.
+    stay. Of an id with several texts, those go whose own component has a smaller id.
     """
-    groups = staged(similar_components(docs, percent, width), "set-components")
-    gone = _only_ids(groups.where("doc_id <> component_id"), "ids-gone")
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    groups = staged(_with_components(docs, percent, width), "set-components")
+    gone = _few(
+        groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")),
+        "texts-gone",
+    )
+    # each side's columns are named apart from those of the documents
+    doc_id = F.col("doc_id").cast("bigint")
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    own = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names)], doc_id.alias("_id"), _text_key("text").alias("_key"))
+    kept = own.join(gone, ["_id", "_key"], "left_anti")
     twice = groups.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1")
-    twice = _only_ids(twice, "ids-twice")
-    if twice.isEmpty():
-        return kept
-    once = kept.join(twice, "doc_id", "left_anti").select(*docs.columns)
-    again = kept.join(twice, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"])
-    return once.unionByName(again)
+    twice = _few(twice.select(F.col("doc_id").alias("_id")), "ids-twice")
+    if not twice.isEmpty():
+        again = kept.join(twice, "_id", "left_semi").dropDuplicates(["_id", "_key"])
+        kept = kept.join(twice, "_id", "left_anti").unionByName(again.select(*kept.columns))
+    return kept.select(*names).toDF(*docs.columns)
