@@ -124,11 +124,11 @@ def _lists(entries: DataFrame, percent: int) -> DataFrame:
         .select("token", "df")
     )
     of_set = Window.partitionBy("set_key")
-    # each task enters a set once: entries of copies are dropped where their list is, which spreads them
+    # no aggregate beside the join, so that a token of very many sets can be split there
     ranked = (
         entries.join(shared, "token")
-        .dropDuplicates(["set_key", "token"])
         .repartition("set_key")
+        .dropDuplicates(["set_key", "token"])
         .withColumn("live", F.count("*").over(of_set))
         .withColumn("rank", F.row_number().over(of_set.orderBy("df", "token")))
     )
