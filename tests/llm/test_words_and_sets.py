@@ -133,6 +133,44 @@ def test_components_with_hot_classes_and_empty_texts_apart(spark, monkeypatch):
     assert sorted(map(tuple, setjoin.similar_components(docs).collect()), key=str) == brute_components(rows)
 
 
+def test_blocks_of_a_list_are_the_ranges_that_hang_together(spark):
+    rng = random.Random(5)
+    rows = []
+    for token in range(30):
+        for key in range(rng.choice([1, 2, 12])):
+            need = rng.randint(1, 40)
+            rows.append((token, 100 * token + key, need, need + rng.choice([0, 0, 1, 6]), rng.randint(50, 99), 100))
+    lists = spark.createDataFrame(rows, "token long, set_key long, need int, reach int, live long, n long")
+    leader = {(r["token"], r["need"]): r["leader"] for r in setjoin._leaders(lists).collect()}
+    for token in range(30):
+        entries = [row for row in rows if row[0] == token]
+        block = {row[1]: {row[1]} for row in entries}
+        for x, y in combinations(entries, 2):
+            if max(x[2], y[2]) <= min(x[3], y[3]):
+                whole = block[x[1]] | block[y[1]]
+                block.update({key: whole for key in whole})
+        share = {row[1]: (row[4] * 10, row[1]) for row in entries}
+        for _, key, need, _, _, _ in entries:
+            members = block[key]
+            wanted = max(members, key=share.get) if len(members) > 1 else None
+            # sets of one need are one block, also where one of them is alone otherwise
+            assert leader.get((token, need)) == wanted
+
+
+def test_sets_of_other_lengths_share_a_list_but_no_block(spark):
+    """Texts of every length that share one passage, some of them with near copies."""
+    rng = random.Random(6)
+    passage = [f"p{i}" for i in range(40)]
+    rows = []
+    for i in range(60):
+        own = [f"o{i}-{k}" for k in range(rng.choice([5, 15, 40, 160, 600]))]
+        rows.append((i, " ".join(own + passage)))
+        if i % 3 == 0:
+            rows.append((100 + i, " ".join(own[:-1] + ["x"] + passage)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(map(tuple, setjoin.similar_components(docs).collect()), key=str) == brute_components(rows)
+
+
 # --- decontamination ------------------------------------------------------------------
 
 

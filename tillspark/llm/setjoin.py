@@ -7,13 +7,17 @@ compared. The remaining sets are indexed by prefix lists, in two levels:
    index. Two sets that link share at least ``ceil(2n/15)`` of these (n: size of the larger).
    Elements that only one set has can be dropped; a set left with fewer is skipped whole.
 2. What is left is ordered from rare to common, and only as many lists as that bound needs
-   are looked at: lists of passages that many sets share are skipped by position.
+   are looked at. An entry of a list keeps its position: from there on, the set has ``reach``
+   elements in the index, and it needs ``need`` of them. Two sets whose first common element
+   this is share at most the smaller reach and need the larger ``need``, so that they cannot
+   link unless their ranges [need, reach] meet. A list falls into blocks of ranges that hang
+   together; a set skips all blocks of the list but its own.
 
 3. The elements of the sets that are left are counted in full; a set that shares less than the
    wanted percentage of its elements with other sets, whichever these are, is skipped as well.
 
-Within an index list, pairs are not enumerated. The most typical set of a list, the one most
-of whose elements others share, is its leader and every set of the list is compared with it.
+Within a block, pairs are not enumerated. Its most typical set, the one most of whose
+elements others share, is its leader and every set of the block is compared with it.
 From these overlaps the answers of similar sets follow: sets linked to the same leader are
 connected and need no comparison, and two sets a, b have at most
 ``min(|a & leader|, |b & leader|) + min(|a' - leader|, |b' - leader|)`` elements in common,
@@ -116,7 +120,7 @@ def _index_entries(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _lists(entries: DataFrame, percent: int) -> DataFrame:
-    """Index lists that can hold a link: (token, set_key), one row per entry."""
+    """Index lists that can hold a link: (token, set_key, need, reach), one row per entry."""
     shared = (
         entries.groupBy("token")
         .agg(F.count("*").alias("df"), F.min("set_key").alias("low"), F.max("set_key").alias("high"))
@@ -134,7 +138,9 @@ def _lists(entries: DataFrame, percent: int) -> DataFrame:
     )
     # of the n elements, n - floor(2n/3) are entries; two linked sets share this many of them
     needed = F.ceil((F.lit(percent) * F.col("n") * 3 - F.col("n") * 200) / 300)
-    return ranked.where(F.col("rank") <= F.col("live") - needed + 1).select("token", "set_key")
+    reach = F.col("live") - F.col("rank") + 1
+    found = ranked.select("token", "set_key", needed.cast("int").alias("need"), reach.cast("int").alias("reach"))
+    return found.where("reach >= need")
 
 
 FILTER_BITS = 1 << 23
@@ -256,20 +262,31 @@ def _linked(percent: int):
     return 100 * F.col("overlap") >= percent * (F.col("size_a") + F.col("size_b") - F.col("overlap"))
 
 
-def _compared_with_leader(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(leader, set_key, n, inside, outside, near) of every set in the lists of a leader.
+def _leaders(lists: DataFrame) -> DataFrame:
+    """(token, need, leader) of the blocks of every list that have more than one set.
 
-    ``inside`` counts the elements a set shares with the leader, ``outside`` its other live
-    ones. The leader of a list is the set most of whose elements others share.
+    The windows see one row per length of a list's sets, not its entries.
     """
     typical = F.struct((F.col("live") * 1000 / F.col("n")).cast("int").alias("share"), "n", "set_key")
-    leaders = (
-        lists.groupBy("token")
-        .agg(F.max(typical).alias("top"), F.count("*").alias("sets"))
-        .where("sets > 1")
-        .select("token", F.col("top.set_key").alias("leader"))
+    of_need = lists.groupBy("token", "need").agg(
+        F.max("reach").alias("reach"), F.max(typical).alias("top"), F.count("*").alias("sets")
     )
-    led = lists.join(leaders, "token").select("leader", "set_key", "n", "live").distinct()
+    of_list = Window.partitionBy("token").orderBy("need")
+    before = F.max("reach").over(of_list.rowsBetween(Window.unboundedPreceding, -1))
+    apart = of_need.withColumn("apart", F.coalesce(F.col("need") > before, F.lit(False)).cast("int"))
+    blocks = apart.withColumn("block", F.sum("apart").over(of_list))
+    of_block = Window.partitionBy("token", "block")
+    led = blocks.withColumn("first", F.max("top").over(of_block)).withColumn("all", F.sum("sets").over(of_block))
+    return led.where(F.col("all") > 1).select("token", "need", F.col("first.set_key").alias("leader"))
+
+
+def _compared_with_leader(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(leader, set_key, n, inside, outside, near) of every set in the blocks of a leader.
+
+    ``inside`` counts the elements a set shares with the leader, ``outside`` its other live
+    ones. The leader of a block is the set most of whose elements others share.
+    """
+    led = lists.join(_leaders(lists), ["token", "need"]).select("leader", "set_key", "n", "live").distinct()
     led = staged(led, "set-led")
     pairs = led.where("leader <> set_key").select(F.col("leader").alias("a"), F.col("set_key").alias("b"))
     compared = _overlaps(pairs, sets).select(
@@ -289,7 +306,7 @@ def _compared_with_leader(lists: DataFrame, sets: DataFrame, percent: int) -> Da
 def set_links(docs: DataFrame, percent: int = LINK_PERCENT, width: int = SHINGLE_WORDS) -> DataFrame:
     """Links (a, b) between set keys that connect exactly what the Jaccard join connects.
 
-    Every pair of sets that links is connected by these. A pair shares a list and so a leader:
+    Every pair of sets that links is connected by these. A pair shares a block and so a leader:
     either both are linked to it, or the pair is among those that are compared below.
     ``percent`` has to be over 66, as a third of a set is indexed.
     """
@@ -299,7 +316,7 @@ def set_links(docs: DataFrame, percent: int = LINK_PERCENT, width: int = SHINGLE
     found = staged(_set_arrays(docs, lists.select("set_key").distinct(), width), "set-arrays")
     sets = staged(_live_sets(found, percent), "set-live")
     sizes = sets.select("set_key", "n", F.size("live").cast("bigint").alias("live"))
-    lists = lists.select("token", "set_key").join(sizes, "set_key")
+    lists = lists.join(sizes, "set_key")
     members = staged(_compared_with_leader(lists, sets, percent), "set-relations")
     linked = members.where("near and set_key <> leader").select(F.col("leader").alias("a"), F.col("set_key").alias("b"))
     # once more among the sets that are far from their leader: it connects their own groups
