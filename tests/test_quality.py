@@ -167,6 +167,32 @@ def test_hot_key_join_is_split(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def test_a_hot_key_is_split_in_the_check_against_an_id_list(spark):
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k, None) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        ids = spark.range(60000).select(F.col("id").cast("string").alias("customer_id"))
+        df = spark.range(0, 60000, 1, 16).select(
+            F.col("id").cast("string").alias("order_id"), F.lit("2024-01-02").alias("order_date"),
+            F.when(F.col("id") % 3 == 0, " ").otherwise(F.col("id").cast("string")).alias("customer_id"),
+            F.lit("p").alias("product_id"), F.lit("1").alias("quantity"), F.lit("2.5").alias("unit_price"),
+        )
+        valid = Q.check_order_lines(df, customers=ids).valid()
+        assert len(valid.collect()) == 40000
+        assert "skew=true" in valid._jdf.queryExecution().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 FEED = [
     ("1", "2024-01-02", "c1", "p1", "2", "2.50", "10", " north  EAST ", "card", "shipped", "F", "t"),
     ("1", "2024-01-02", "c1", "p1", "2", "2.50", "10", " north  EAST ", "card", "shipped", "F", "t"),

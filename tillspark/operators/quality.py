@@ -13,6 +13,7 @@ from tillspark.functions.money import percent
 from tillspark.functions.once import with_columns_once
 from tillspark.functions.parsing import parse_ymd, whole_number
 from tillspark.functions.text import is_blank
+from tillspark.session import staged
 
 
 class QualityGateError(ValueError):
@@ -93,9 +94,11 @@ def _with_known_flag(lines: DataFrame, key: str, ids: DataFrame, id_column: str)
     """Left join to the distinct known ids; the flag is NULL for an unknown key.
 
     An empty list knows nothing and so rejects nothing: then the key itself is the flag.
+    The list is staged, because adaptive execution splits a hot key (the blank of all guests)
+    only where both sides of the join come from a shuffle, without an aggregate in between.
     """
     flag = f"_known_{key}"
-    known = ids.select(F.trim(F.col(id_column).cast("string")).alias("_id")).distinct()
+    known = staged(ids.select(F.trim(F.col(id_column).cast("string")).alias("_id")).distinct(), "known-ids")
     joined = lines.join(known, F.trim(F.col(key)) == F.col("_id"), "left")
     accepted = F.when(_any_row(known), F.col("_id")).otherwise(F.col(key).cast("string"))
     return joined.withColumn(flag, accepted).drop("_id")
