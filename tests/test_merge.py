@@ -377,3 +377,21 @@ def test_masters(spark, tmp_path):
 def test_empty_warehouse_is_refused(spark, tmp_path):
     with pytest.raises(W.QualityGateError):
         W.require_loaded(W.warehouse_counts(spark, str(tmp_path)))
+
+
+def test_daily_sales_are_dealt_more_widely_as_files_grow(spark, tmp_path, monkeypatch):
+    from tillspark import session
+    from tillspark.operators import rollups
+
+    rows = spark.range(400).selectExpr(
+        "date'2024-01-01' as sale_date", "cast(id % 5 as string) as store_id", "'c' as category", "id div 2 as order_id",
+        "cast(1 as int) as quantity", "cast(2 as decimal(12,2)) as gross_amount",
+        "cast(1 as decimal(12,2)) as discount_amount", "cast(1 as decimal(12,2)) as net_amount",
+    )
+    rows.write.parquet(str(tmp_path / "lines"))
+    stored = spark.read.parquet(str(tmp_path / "lines"))
+    expected = sorted(map(tuple, rollups.daily_sales(stored).collect()))
+    assert [r[3] for r in expected] == [80] * 5 and sum(r[4] for r in expected) == 400
+    monkeypatch.setattr(session, "BYTES_PER_TASK", 500)
+    assert session.dealt_by(stored, "order_id").rdd.getNumPartitions() > 8
+    assert sorted(map(tuple, rollups.daily_sales(stored).collect())) == expected

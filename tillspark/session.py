@@ -134,6 +134,25 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+# of input files, for a task that holds its rows in memory
+BYTES_PER_TASK = 16_000_000
+
+
+def dealt_by(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows with equal keys in one partition; one for each ``BYTES_PER_TASK`` of the files that ``df`` is made of.
+
+    There are at least as many as the session's shuffles have. For aggregates whose groups are about as
+    many as their rows: a session's number of partitions does not grow with its tables.
+    """
+    spark = df.sparkSession
+    total = 0
+    for path in df.inputFiles():
+        place, system = _file_system(spark, path)
+        total += system.getFileStatus(place).getLen()
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(usual, -(-total // BYTES_PER_TASK)), *keys)
+
+
 # of the running thread: a stream's batch and a job in the same driver do not see each other's
 _open_scopes: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("staging", default=())
 
