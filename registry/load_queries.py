@@ -108,13 +108,18 @@ register(
 
 
 
+def _buckets(df) -> int:
+    """At least eight, and more as a stored table grows: a bucket is one task."""
+    return max(8, buckets.bucket_count(df.count()))
+
+
 def _co_partitioned(spark, sf):
     """The enriched lines from tables bucketed by customer, the products joined as usual."""
     folder = f"{shared_folder(spark)}/buckets-{uuid.uuid4().hex}"
     lines = staged(joins.with_products(S.order_lines(spark, sf), S.product_catalog(spark, sf)), "lines")
-    fact = buckets.write_buckets(lines, f"{folder}/lines", ["customer_id"], buckets=8)
+    fact = buckets.write_buckets(lines, f"{folder}/lines", ["customer_id"], buckets=_buckets(lines))
     people = buckets.write_buckets(
-        S.customer_master(spark, sf), f"{folder}/people", ["customer_id"], buckets=8, hot=False
+        S.customer_master(spark, sf), f"{folder}/people", ["customer_id"], buckets=fact.buckets, hot=False
     )
     return buckets.with_attributes(fact, people, joins.CUSTOMER_ATTRIBUTES)
 
@@ -125,7 +130,8 @@ register("co_partitioned_sales", ORACLE["enrich_sales"])(_co_partitioned)
 def _bucketed_upsert(spark, sf):
     folder = f"{shared_folder(spark)}/buckets-{uuid.uuid4().hex}"
     stored, batch = _loaded_lines(spark, sf)
-    table = buckets.write_buckets(staged(stored, "stored"), f"{folder}/lines", K.ORDER_LINE_KEY, buckets=8)
+    kept = staged(stored, "stored")
+    table = buckets.write_buckets(kept, f"{folder}/lines", K.ORDER_LINE_KEY, buckets=_buckets(kept))
     return buckets.upsert_buckets(table, batch, f"{folder}/loaded", order=["line_number"]).read()
 
 

@@ -84,3 +84,32 @@ def test_upsert_of_keys_stored_apart(spark, tmp_path):
 
 def test_bucket_counts():
     assert [B.bucket_count(n) for n in (0, 1, 2_000_000, 2_000_001, 9_000_000)] == [1, 1, 1, 2, 8]
+
+
+def test_a_load_moves_no_stored_row_and_reduces_hot_keys_of_the_batch(spark, tmp_path, without_broadcasts, monkeypatch):
+    merged = []
+    monkeypatch.setattr(B, "_write_even", lambda t, rows, write=B._write_even: (merged.append(rows), write(t, rows)))
+    stored = lines(spark).where("customer_id is not null").dropDuplicates(["customer_id", "order_id"])
+    keys = ["order_id", "customer_id"]
+    batch = lines(spark).withColumn("amount", F.col("amount") + 1).where("order_id > 2000")
+    repeated = batch.unionByName(spark.range(5000).selectExpr("2001 as order_id", "51 as customer_id", "cast(id as int) as amount"))
+    table = B.write_buckets(stored, str(tmp_path / "t"), keys, buckets=4)  # the session has 8 shuffle partitions
+    loaded = B.upsert_buckets(table, repeated, str(tmp_path / "u"), order=["amount"])
+    assert found(loaded.read()) == found(merge.upsert(stored, repeated, keys, order=["amount"]))
+    plan = merged[-1]._jdf.queryExecution().executedPlan().toString()
+    stored_side = plan[plan.index("FullOuter") :].partition("Bucketed: true")[0]
+    assert "Exchange" not in stored_side and "Bucketed: true" in plan
+
+
+def test_hot_keys_are_found_in_busy_slots_only(spark, monkeypatch):
+    for slots in (65536, 2):
+        monkeypatch.setattr(B, "HASH_SLOTS", slots)
+        assert [r[0] for r in B._hot_keys(lines(spark).where("customer_id is not null"), ["customer_id"], 500).collect()] == [7]
+        assert B._hot_keys(lines(spark), ["order_id"], 1).collect() == []
+
+
+def test_registered_tables_get_more_buckets_as_they_grow(spark, monkeypatch):
+    from registry import load_queries
+
+    monkeypatch.setattr(B, "ROWS_PER_BUCKET", 100)
+    assert load_queries._buckets(lines(spark)) == 32 and load_queries._buckets(customers(spark)) == 8

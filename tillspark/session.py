@@ -183,5 +183,5 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     if scopes := _open_scopes.get():
         scopes[-1].append(path)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

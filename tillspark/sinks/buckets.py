@@ -18,12 +18,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tillspark.operators.merge import upsert
+from tillspark.operators.merge import latest_per_key, upsert
 from tillspark.session import delete_path, path_exists, read_text, staged, write_text
 
 ROWS_PER_BUCKET = 2_000_000
 # a key is stored apart from this many times the rows of an average bucket on
 HOT_BUCKETS = 2
+HASH_SLOTS = 65536
 
 
 def bucket_count(rows: int) -> int:
@@ -72,6 +73,18 @@ class BucketedTable:
         return self.even().unionByName(self.apart())
 
 
+def _hot_keys(df: DataFrame, keys: Sequence[str], most: float) -> DataFrame:
+    """Keys of more than ``most`` rows.
+
+    Rows are counted per slot of hashed keys first: only keys in a slot of so many rows are counted
+    one by one. There are fewer such slots than buckets.
+    """
+    slot = F.pmod(F.xxhash64(*keys), F.lit(HASH_SLOTS))
+    full = df.groupBy(slot.alias("_slot")).count().where(F.col("count") > F.lit(most)).collect()
+    inside = slot.isin([r["_slot"] for r in full]) if full else F.lit(False)
+    return df.where(inside).groupBy(*keys).count().where(F.col("count") > F.lit(most)).select(*keys)
+
+
 def write_buckets(
     df: DataFrame, path: str, keys: Sequence[str], buckets: int | None = None, hot: bool = True
 ) -> BucketedTable:
@@ -88,8 +101,7 @@ def write_buckets(
     whole = df.where(_whole_key(keys))
     apart = df.where(~_whole_key(keys))
     if hot:
-        counts = whole.groupBy(*keys).count().where(F.col("count") > F.lit(HOT_BUCKETS * rows / buckets))
-        hot_keys = staged(counts.select(*keys), "hot-keys")
+        hot_keys = staged(_hot_keys(whole, keys, HOT_BUCKETS * rows / buckets), "hot-keys")
         apart = apart.unionByName(whole.join(hot_keys, list(keys), "left_semi"))
         whole = whole.join(hot_keys, list(keys), "left_anti")
     table = BucketedTable(spark, path, df.schema, tuple(keys), buckets)
@@ -102,7 +114,7 @@ def write_buckets(
 
 def _write_even(table: BucketedTable, rows: DataFrame) -> None:
     keys = list(table.keys)
-    writer = rows.write.format("parquet").option("path", f"{table.path}/even").bucketBy(table.buckets, *keys)
+    writer = rows.write.format("parquet").option("compression", "zstd").option("path", f"{table.path}/even").bucketBy(table.buckets, *keys)
     writer.sortBy(*keys).saveAsTable(table._name)
 
 
@@ -131,19 +143,25 @@ def upsert_buckets(table: BucketedTable, incoming: DataFrame, path: str, order:
     """The table after a keyed load, written to a new ``path`` with the same layout.
 
     The batch is brought to the buckets; stored rows stay in theirs, from the read to the write.
+    Left to Spark, the wider side would win: with more shuffle partitions than buckets it would
+    move the stored rows. Keys that the batch repeats until they would fill a bucket are reduced
+    to one row each on the way there.
     """
     keys = list(table.keys)
     columns = [f.name for f in table.schema]
     batch = staged(incoming.select(*[c for c in columns if c in incoming.columns]), "bucket-batch")
     values = [c for c in batch.columns if c not in keys]
     last = F.max(F.struct(*order, *[c for c in values if c not in order], F.lit(True).alias("_present")))
-    whole = batch.where(_whole_key(keys)).groupBy(*[F.col(k).alias(f"_new_{k}") for k in keys]).agg(last.alias("_last"))
     # keys that the stored table keeps apart stay there
     stored_apart = table.apart()
     own = stored_apart.where(_whole_key(keys)).select(*keys).distinct()
+    rows = batch.where(_whole_key(keys)).join(own, keys, "left_anti")
+    hot_keys = staged(_hot_keys(rows, keys, HOT_BUCKETS * batch.count() / table.buckets), "hot-batch-keys")
+    reduced = latest_per_key(rows.join(hot_keys, keys, "left_semi"), keys, order)
+    even = rows.join(hot_keys, keys, "left_anti").unionByName(reduced).repartition(table.buckets, *keys)
+    whole = even.groupBy(*[F.col(k).alias(f"_new_{k}") for k in keys]).agg(last.alias("_last"))
     same = reduce(Column.__and__, [F.col(f"_new_{k}") == F.col(k) for k in keys])
-    placed = whole.join(own, same, "left_anti")
-    merged = table.even().join(placed, same, "full_outer")
+    merged = table.even().join(whole, same, "full_outer")
     settled = [
         F.coalesce(F.col(c), F.col(f"_new_{c}")).alias(c)
         if c in keys
