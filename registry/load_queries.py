@@ -372,9 +372,10 @@ def _two_loads(spark, sf):
     lines = S.sales_lines(spark, sf).withColumns(
         {"source_system": F.lit(S.SOURCE_SYSTEM), "ingestion_timestamp": F.lit(STORED_UNTIL).cast("timestamp")}
     )
+    # looked at several times in each load, for its months, its keys and its rows
+    lines = staged(lines, "loads")
     for part in (_stored(lines, "invoice_date"), _batch(lines, "invoice_date")):
-        # looked at several times, for its months, its keys and its rows
-        warehouse_plan.load_fact(spark, staged(part, "load"), warehouse)
+        warehouse_plan.load_fact(spark, part, warehouse)
         warehouse_plan.refresh_dimensions(spark, warehouse)
     return warehouse
 

@@ -298,3 +298,20 @@ def test_scopes_of_threads_are_apart(spark):
     leave.set()
     thread.join()
     assert table.count() == 3
+
+
+def test_file_names_are_decoded_once_per_index_row(spark, tmp_path):
+    from tillspark.operators import fileindex
+
+    table = V.VersionedTable(spark, str(tmp_path / "t"), ["day"])
+    folders, _ = table.write(spark.range(50).select("id", F.lit("a+b c%").alias("day")))
+    index = V.KeyIndex(table, ["id"])
+    schema = table.read(V.Version(schema=spark.createDataFrame([], "id long, day string").schema), folders).schema
+    rows = table.read(V.Version(schema=schema), folders, files=True)
+    assert "url_decode" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    index.add(folders, schema)
+    table.commit(table.version(), V.Change(folders, schema=schema))
+    names = {r[0] for r in spark.read.parquet(f"{index.path}/{folders[0].partition('/')[0]}").select(fileindex.FILE).collect()}
+    assert names and all((tmp_path / "t" / n).exists() for n in names)
+    version = table.version()
+    assert index.matching(version, version.folders, spark.range(7, 8).select("id", F.lit("a+b c%").alias("day"))).count() > 0

@@ -99,9 +99,10 @@ def text_index_rows(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     texts = [F.struct(F.lit(c).alias("column"), F.lower(F.col(c).cast("string")).alias("text")) for c in columns]
     values = rows.select(_number(), F.inline(F.array(*texts))).where(F.length("text") >= GRAM).distinct()
-    starts = F.sequence(F.lit(1), F.length("text") - (GRAM - 1))
-    grams = F.transform(starts, lambda i: F.xxhash64("column", F.substring("text", i, F.lit(GRAM))))
-    distinct = values.select("_number", F.explode(F.array_distinct(grams)).alias("_token")).distinct()
+    # a row per start, because a lambda over the starts is not compiled
+    starts = values.select("*", F.explode(F.sequence(F.lit(1), F.length("text") - (GRAM - 1))).alias("_at"))
+    gram = F.substring("text", F.col("_at"), F.lit(GRAM))
+    distinct = starts.select("_number", F.xxhash64("column", gram).alias("_token")).distinct()
     names = rows.select(FILE, _number()).distinct()
     counted = distinct.groupBy("_number").agg(F.count("*").alias("rows")).join(names, "_number").drop("_number")
     return _cells(distinct, counted)

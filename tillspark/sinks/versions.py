@@ -18,7 +18,7 @@ import uuid
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -164,7 +164,7 @@ class VersionedTable:
     ) -> DataFrame:
         """The table at a version (the newest), or the given folders or files of it.
 
-        With ``files`` a column ``_file`` tells the file of each row, below the table's path.
+        With ``files`` a column ``_file`` tells the file of each row, as Spark names it.
         """
         version = version or self.version()
         if version.schema is None:
@@ -174,9 +174,7 @@ class VersionedTable:
             return self.spark.createDataFrame([], version.schema)
         reader = self.spark.read.schema(version.schema).option("basePath", self.path)
         rows = reader.parquet(*[f"{self.path}/{f}" for f in folders])
-        # the path is that of a URI, where a plus sign stands for itself
-        place = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-        file = [F.regexp_extract(place, "(commit=c-[^/]*/.*)$", 1).alias(fileindex.FILE)] if files else []
+        file = [F.col("_metadata.file_path").alias(fileindex.FILE)] if files else []
         return rows.select(*version.schema.names, *file)
 
     def added_since(self, number: int) -> tuple[Version, list[str] | None]:
@@ -266,6 +264,13 @@ class VersionedTable:
         return doomed
 
 
+def _below_table(file: Column) -> Column:
+    """A file's path below its table, from the URI by which Spark names it."""
+    # a plus sign stands for itself
+    place = F.url_decode(F.replace(file, F.lit("+"), F.lit("%2B")))
+    return F.regexp_extract(place, "(commit=c-[^/]*/.*)$", 1)
+
+
 class _FileIndex:
     """An index of a table's files, kept beside the data: a folder per commit.
 
@@ -284,7 +289,9 @@ class _FileIndex:
         """Index newly written folders; only the indexed columns are read back."""
         if folders:
             rows = self.table.read(Version(schema=schema), folders, files=True)
-            self._rows(rows).write.parquet(f"{self.path}/{folders[0].partition('/')[0]}")
+            # once per index row: for each row of the table it would cost more than the index
+            index = self._rows(rows).withColumn(fileindex.FILE, _below_table(F.col(fileindex.FILE)))
+            index.write.parquet(f"{self.path}/{folders[0].partition('/')[0]}")
 
     def refresh(self) -> list[str]:
         """Index the folders of the newest version that have no index yet; returns their commits."""
