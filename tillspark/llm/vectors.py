@@ -35,6 +35,8 @@ def binary_rows(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
 def flat_values(column: pa.Array) -> np.ndarray:
     """All 32-bit entries of a binary column without nulls, one after the other."""
     _, where, data = column.buffers()
+    if len(column) == 0:  # may come without any offset
+        return np.empty(0, np.int32)
     offsets = np.frombuffer(where, np.int32)[column.offset : column.offset + len(column) + 1]
     if data is None or offsets[0] == offsets[-1]:
         return np.empty(0, np.int32)
