@@ -442,10 +442,11 @@ register("indexed_totals", ORACLE["filtered_totals"].replace("%12%", "%100%"))(
 
 
 def _reloaded(spark, sf):
-    """The lake after a feed of one file per region was loaded, and again after its files changed.
+    """The lake after a feed of files per region was loaded, and again after its files changed.
 
-    At first every file lacks its country's orders of odd keys and holds prices one higher; then
-    all files but that of region 0, which is right from the start, are replaced by the whole feed.
+    A large region is written by several tasks, a file each. At first every file lacks its
+    countries' orders of odd keys and holds prices one higher; then all files but those of region 0,
+    which are right from the start, are replaced by the whole feed.
     """
     folder = f"{shared_folder(spark)}/reload-{uuid.uuid4().hex}"
     feed = S.sales_feed(spark, sf)
@@ -457,7 +458,7 @@ def _reloaded(spark, sf):
     )
     for state, only in ((older, F.lit(True)), (lines, F.col("n_regionkey") > 0)):
         (
-            state.where(only).repartition("n_regionkey").write.mode("overwrite")
+            state.where(only).hint("rebalance", "n_regionkey").write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic").partitionBy("n_regionkey")
             .option("header", "true").option("escape", '"').csv(f"{folder}/feed")
         )

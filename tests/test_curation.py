@@ -278,3 +278,26 @@ def test_a_reload_cut_short_is_finished(spark, tmp_path):
     reload.reload_files(spark, str(folder), typed)  # and no further
     assert reload.reload_feed(spark, str(folder), typed, lake)["loaded"] == []
     assert [r.transaction_month for r in read_lake(spark, lake).collect()] == [2]
+
+
+def test_a_region_of_the_registered_feed_is_written_by_several_tasks(spark, monkeypatch):
+    from registry import load_queries as L
+
+    class Stop(Exception):
+        pass
+
+    def stop(spark, feed, *rest):
+        raise Stop(feed)
+
+    monkeypatch.setattr(L.reload, "reload_feed", stop)
+    monkeypatch.setattr(L.S, "sales_feed", lambda *a, feed=L.S.sales_feed: feed(*a).repartition(8))
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "2KB")
+    try:
+        with pytest.raises(Stop) as stopped:
+            L._reloaded(spark, "/root/testdata/sf0.001")
+    finally:
+        spark.conf.unset(size)
+    files = spark.read.format("binaryFile").load(f"{stopped.value}/*.csv").select("path").collect()
+    regions = [r[0].split("n_regionkey=")[1][0] for r in files]
+    assert all(regions.count(region) > 1 for region in "01234")
