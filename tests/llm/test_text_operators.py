@@ -3,9 +3,11 @@
 import random
 import re
 import time
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -187,6 +189,26 @@ def test_full_number_spaces_come_to_an_end(spark):
     assert done.join(entities.withColumnRenamed("value", "surrogate"), ["kind", "surrogate"]).count() == 0
 
 
+def test_a_task_holds_few_texts_at_a_time(spark, monkeypatch):
+    docs, runs = with_ids(spark, [PRIVATE]), []
+    whole = type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, *a, **b: runs.append(run) or whole(self, run, *a, **b))
+    surrogates.with_surrogates(docs, KEY)
+    find, rewrite = runs[0], runs[-1]
+    monkeypatch.setattr(surrogates, "BATCH_BYTES", 1 << 18, raising=False)
+    texts = ["plain words " * 400 + "a@b.example.org"] * 500 + ["plain words " * 20_000 + "a@b.example.org"] * 3
+    mapping = [[{"kind": "email", "value": "a@b.example.org", "surrogate": "c@d.example"}]] * len(texts)
+    rows = [{"doc_id": i} for i in range(len(texts))]
+    for run, columns in ((find, {"text_key": list(map(str, range(len(texts))))}), (rewrite, {"row": rows, "mapping": mapping})):
+        batch = pa.RecordBatch.from_pydict({**columns, "text": texts})
+        tracemalloc.start()
+        outs = [(out.num_rows, out.nbytes) for out in run(iter([batch]))]
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert sum(n for n, _ in outs) == len(texts) and max(size for _, size in outs) < 1 << 20
+        assert most < 2 << 20  # of 3 MB of text, which would be held more than once
+
+
 def test_endless_draws_are_an_error(spark, monkeypatch):
     monkeypatch.setattr(surrogates, "ATTEMPTS", 2)
     monkeypatch.setattr(surrogates, "surrogate", lambda kind, value, key, attempt: value)

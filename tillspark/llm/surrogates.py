@@ -17,7 +17,8 @@ a row pass unread by Python and unshuffled; the others are stored once with thei
 The mapping is keyed by entity and joined to texts by their digest, so a text that a third of
 the rows repeat is a skewed join that adaptive execution splits, never a group; only the
 distinct entities of one text are ever collected. The rounds of the collision check are
-written to the shared folder and handle ever fewer entities. Patterns start at the beginning of a run
+written to the shared folder and handle ever fewer entities. A task turns only a few of its texts into
+Python's strings at a time, so what it holds does not grow with the length of all. Patterns start at the beginning of a run
 of characters only, so their time is in proportion to the text.
 
 Defined cases. A null text stays null, an empty one empty. Repeated rows and mentions get the
@@ -38,6 +39,7 @@ from dataclasses import dataclass
 from functools import cache, reduce
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -407,15 +409,31 @@ def replaced(text: str, mapping: dict[tuple[str, str], str]) -> tuple[str, int]:
 
 # --- on DataFrames --------------------------------------------------------------------
 
+BATCH_ROWS, BATCH_BYTES = 256, 4 << 20  # rows and bytes of texts (one text at least) held as Python objects at once
+
+
+def _parts(batches, column="text"):
+    """Every batch in slices of few rows and little text, because each text is held several times."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        at = held = 0
+        for row, size in enumerate(sizes):
+            if row > at and (row - at == BATCH_ROWS or held + size > BATCH_BYTES):
+                yield batch.slice(at, row - at)
+                at, held = row, 0
+            held += size
+        if sizes:
+            yield batch.slice(at)
+
 
 def _entities(texts: DataFrame) -> DataFrame:
     """(text_key, kind, value): the distinct entities of every text."""
 
     def run(batches):
-        for batch in batches:
+        for part in _parts(batches):
             rows = [
                 (key, kind, value)
-                for key, text in zip(batch.column("text_key").to_pylist(), batch.column("text").to_pylist())
+                for key, text in zip(part.column("text_key").to_pylist(), part.column("text").to_pylist())
                 for kind, value in {(m[2], m[3]) for m in mentions(text)}
             ]
             columns = zip(*rows) if rows else ([], [], [])
@@ -426,12 +444,12 @@ def _entities(texts: DataFrame) -> DataFrame:
 
 def _drawn(pending: DataFrame, key: bytes, attempt: int) -> DataFrame:
     def run(batches):
-        for batch in batches:
+        for part in _parts(batches, "value"):
             new = [
                 surrogate(kind, value, key, attempt)
-                for kind, value in zip(batch.column("kind").to_pylist(), batch.column("value").to_pylist())
+                for kind, value in zip(part.column("kind").to_pylist(), part.column("value").to_pylist())
             ]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(new, pa.string())], ["kind", "value", "surrogate"])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(new, pa.string())], ["kind", "value", "surrogate"])
 
     return pending.select("kind", "value").mapInArrow(run, "kind string, value string, surrogate string")
 
@@ -479,14 +497,14 @@ def with_surrogates(docs: DataFrame, key: bytes) -> DataFrame:
     )
 
     def run(batches):
-        for batch in batches:
+        for part in _parts(batches):
             texts, counts = [], []
-            for text, pairs in zip(batch.column("text").to_pylist(), batch.column("mapping").to_pylist()):
+            for text, pairs in zip(part.column("text").to_pylist(), part.column("mapping").to_pylist()):
                 new, count = replaced(text, {(p["kind"], p["value"]): p["surrogate"] for p in pairs or ()})
                 texts.append(new)
                 counts.append(count)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(texts, pa.string()), pa.array(counts, pa.int64())], ["row", "text", "n_replaced"]
+                [part.column("row"), pa.array(texts, pa.string()), pa.array(counts, pa.int64())], ["row", "text", "n_replaced"]
             )
 
     joined = some.join(mapping, "text_key", "left").select("row", "text", "mapping")
