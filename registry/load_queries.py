@@ -13,7 +13,9 @@ from tillspark import constants as K
 from tillspark.operators import dedup, dimensions, joins, merge, quality, rollups, sketches
 from tillspark.plans import health, order_lines, reload, rolled, search
 from tillspark.plans import warehouse as warehouse_plan
-from tillspark.session import shared_folder, staged
+from tillspark.session import (
+    DROP_SHUFFLES, FILES_AT_ONCE, SMALL_READS, delete_path, input_bytes, settings, shared_folder, staged, staging
+)
 from tillspark.sinks import buckets
 from tillspark.sinks.versions import Change, TextIndex, VersionedTable
 from tillspark.sources import star_views as S
@@ -441,28 +443,48 @@ register("indexed_totals", ORACLE["filtered_totals"].replace("%12%", "%100%"))(
 # --- reload by file -----------------------------------------------------------------------
 
 
+# bytes of the lines' table from which on the feed is made in parts and comes in compressed files
+LARGE_FEED = 64_000_000
+
+
 def _reloaded(spark, sf):
     """The lake after a feed of files per region was loaded, and again after its files changed.
 
-    A large region is written by several tasks, a file each. At first every file lacks its
-    countries' orders of odd keys and holds prices one higher; then all files but those of region 0,
-    which are right from the start, are replaced by the whole feed.
+    A large region is written by several tasks, a file each; files of a large feed are compressed.
+    At first every file lacks its countries' orders of odd keys and holds prices one higher; then all
+    files but those of region 0, which are right from the start, are replaced by the whole feed.
     """
     folder = f"{shared_folder(spark)}/reload-{uuid.uuid4().hex}"
     feed = S.sales_feed(spark, sf)
     regions = S.table(spark, sf, "nation").select(F.concat(F.lit(" "), "n_name").alias("Country"), "n_regionkey")
-    lines = staged(feed.join(regions, "Country").select(*feed.columns, "n_regionkey"), "feed")
-    keys = F.regexp_extract("InvoiceNo", "([0-9]+)", 1).cast("bigint")
-    older = lines.where((F.col("n_regionkey") == 0) | (keys % 2 == 0)).withColumn(
-        "UnitPrice", F.when(F.col("n_regionkey") == 0, F.col("UnitPrice")).otherwise(F.col("UnitPrice") + 1)
-    )
-    for state, only in ((older, F.lit(True)), (lines, F.col("n_regionkey") > 0)):
-        (
-            state.where(only).hint("rebalance", "n_regionkey").write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic").partitionBy("n_regionkey")
-            .option("header", "true").option("escape", '"').csv(f"{folder}/feed")
-        )
+    large = input_bytes(S.table(spark, sf, "lineitem")) > LARGE_FEED
+
+    def deliver(state):
+        with settings(spark, FILES_AT_ONCE | SMALL_READS):
+            (
+                state.write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic").partitionBy("n_regionkey")
+                .option("header", "true").option("escape", '"')
+                .option("compression", "gzip" if large else "none").csv(f"{folder}/feed")
+            )
+
+    def load():
         reload.reload_feed(spark, f"{folder}/feed/*", f"{folder}/typed", f"{folder}/lake", S.SOURCE_SYSTEM)
+
+    with staging(spark):
+        with settings(spark, DROP_SHUFFLES):
+            named = feed.join(regions, "Country").select(*feed.columns, "n_regionkey")
+            lines = staged(named, "feed", parts=2 if large else 1, by="InvoiceNo")
+        keys = F.regexp_extract("InvoiceNo", "([0-9]+)", 1).cast("bigint")
+        older = lines.where((F.col("n_regionkey") == 0) | (keys % 2 == 0)).withColumn(
+            "UnitPrice", F.when(F.col("n_regionkey") == 0, F.col("UnitPrice")).otherwise(F.col("UnitPrice") + 1)
+        )
+        deliver(older)
+        load()
+        deliver(lines.where(F.col("n_regionkey") > 0))
+    load()
+    for name in ("feed", "typed"):  # the lake is what is asked for
+        delete_path(spark, f"{folder}/{name}")
     return read_lake(spark, f"{folder}/lake").drop("source_system", "ingestion_timestamp").withColumn(
         "invoice_date", F.col("invoice_date").cast("timestamp_ntz")
     )

@@ -1,5 +1,7 @@
+import time
 from datetime import datetime
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 
@@ -12,6 +14,7 @@ from tillspark.plans import job, reload
 from tillspark.plans.warehouse import load_warehouse, read_table
 from tillspark.sources.lake import read_lake
 from tillspark.schemas import FACT_SALES_COLUMNS, RAW_SALES
+from tillspark.session import shared_folder
 from tillspark.sinks.lake import WriteError, verify_lake, write_lake
 from tillspark.sources.feeds import read_raw_sales, sales_reader
 from tillspark.sources.files import SourceError
@@ -301,3 +304,88 @@ def test_a_region_of_the_registered_feed_is_written_by_several_tasks(spark, monk
     files = spark.read.format("binaryFile").load(f"{stopped.value}/*.csv").select("path").collect()
     regions = [r[0].split("n_regionkey=")[1][0] for r in files]
     assert all(regions.count(region) > 1 for region in "01234")
+
+
+def _shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in found.mkString("\n").split("\n") if "/shuffle_" in name}
+
+
+def _deliver(folder, **files):
+    header = "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
+    for name, lines in files.items():
+        (folder / f"{name}.csv").write_text(header + "\n".join(lines) + "\n")
+
+
+def test_a_reload_leaves_no_shuffle_files(spark, tmp_path):
+    (tmp_path / "feed").mkdir()
+    _deliver(tmp_path / "feed", a=[f"{n},a,x,1,2024-0{n % 3 + 1}-01,2.00,7,FR" for n in range(30)])
+    before = _shuffle_files(spark)
+    reload.reload_feed(spark, *[str(tmp_path / name) for name in ("feed", "typed", "lake")])
+    until = time.time() + 20  # they are deleted in the background
+    while (left := _shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_months_are_curated_a_few_at_a_time(spark, tmp_path, monkeypatch):
+    folder, typed, lake = tmp_path / "feed", str(tmp_path / "typed"), str(tmp_path / "lake")
+    folder.mkdir()
+    written = []
+    write = reload.VersionedTable.write
+
+    def counted(table, df, *args, **options):
+        folders, rows = write(table, df, *args, **options)
+        written.append((table.path, rows, options.get("spread", True)))
+        return folders, rows
+
+    monkeypatch.setattr(reload.VersionedTable, "write", counted)
+    monkeypatch.setattr(reload, "LINES_PER_CORE", 1, raising=False)
+    most = spark.sparkContext.defaultParallelism
+
+    def settled(months):
+        written.clear()
+        assert len(reload.reload_feed(spark, str(folder), typed, lake)["months"]) == months
+        whole = C.curate(read_raw_sales(spark, str(folder)).lines).drop("ingestion_timestamp")
+        kept = read_lake(spark, lake)
+        assert sorted(map(tuple, kept.select(*whole.columns).collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
+        assert all(not spread for path, _, spread in written if path == typed)
+        return [rows for path, rows, _ in written if path == lake]
+
+    # all months fit; none does, with every line four times in two files; one does not
+    twice = [f"{n},a,x,1,2024-0{m}-0{n % 9 + 1},{p}.00,,FR" for m in (1, 2, 3) for n in range(most) for p in (2, 3)]
+    _deliver(folder, a=[f"0,a,x,1,2024-0{m}-01,2.00,,FR" for m in (1, 2, 3)])
+    assert settled(3) == [3]
+    _deliver(folder, a=twice, b=[line.replace(",x,", ",w,") for line in twice])
+    rows = settled(3)
+    assert len(rows) > 6 and sum(rows) == 3 * most
+    assert read_lake(spark, lake).select("ingestion_timestamp").distinct().count() == 1
+    _deliver(folder, a=twice[: 2 * most], b=["1,a,x,1,2024-02-01,2.00,,FR"])
+    rows = settled(3)
+    assert len(rows) == 3 and sum(rows) == most + 1
+    _deliver(folder, a=[], b=[])
+    assert settled(2) == [0]
+
+
+def test_a_large_registered_feed_is_compressed_and_what_was_staged_is_deleted(spark, monkeypatch):
+    from registry import load_queries as L
+
+    shared = Path(shared_folder(spark))
+    before, feeds, load = set(shared.iterdir()), [], reload.reload_feed
+
+    def seen(spark, feed, typed, lake, source):
+        files = list(Path(lake).parent.glob("feed/*/part-*"))
+        regions = [f.parent.name for f in files]
+        feeds.append(({f.suffix for f in files}, set(regions), Path(lake).parent))
+        return load(spark, feed, typed, lake, source)
+
+    monkeypatch.setattr(L.reload, "reload_feed", seen)
+    plain = L._reloaded(spark, "/root/testdata/sf0.001")
+    monkeypatch.setattr(L, "LARGE_FEED", 0, raising=False)
+    large = L._reloaded(spark, "/root/testdata/sf0.001")
+    regions = {f"n_regionkey={r}" for r in range(5)}
+    assert [f[:2] for f in feeds] == [({".csv"}, regions)] * 2 + [({".gz"}, regions)] * 2
+    assert sorted(map(str, plain.collect())) == sorted(map(str, large.collect())) and plain.count()
+    assert set(shared.iterdir()) - before == {f[2] for f in feeds}
+    assert all([p.name for p in f[2].iterdir()] == ["lake"] for f in feeds)

@@ -7,19 +7,23 @@ lines. A duplicate that lost against a retracted line comes back that way, too.
 
 Two versioned tables, each bringing the next up to date: a run cut short between them is
 finished by the next one.
+
+Disk: lines are typed without a shuffle, and months are curated a few at a time (a large one by parts of
+its keys), whose shuffles are gone before the next begin. They grow with the cores, not with the feed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillspark import constants as K
 from tillspark.operators.dedup import first_per_key
 from tillspark.plans.curate import derived_sales, is_usable, typed_sales
 from tillspark.schemas import CORRUPT_RECORD
+from tillspark.session import DROP_SHUFFLES, SMALL_READS, settings
 from tillspark.sinks.versions import Change, Version, VersionedTable, partition_of
 from tillspark.sources.feeds import header_checked, sales_reader
 from tillspark.sources.files import file_checksums
@@ -27,6 +31,8 @@ from tillspark.sources.files import file_checksums
 FILE = "source_file"
 # of a file's path: a folder name that needs no escapes
 FILE_ID = "source_id"
+# lines that are curated at a time
+LINES_PER_CORE = 1_000_000
 
 
 def _months(typed: DataFrame) -> DataFrame:
@@ -34,6 +40,40 @@ def _months(typed: DataFrame) -> DataFrame:
     return typed.select(F.year(day).alias(K.SALES_PARTITIONS[0]), F.month(day).alias(K.SALES_PARTITIONS[1]))
 
 
+def _lines_by_month(typed: DataFrame) -> dict[tuple[int, int], int]:
+    return {(year, month): n for year, month, n in _months(typed).groupBy(*K.SALES_PARTITIONS).count().collect()}
+
+
+def _within(months: Sequence[tuple[int, int]]) -> Column:
+    """Lines of these months, as plain ranges, which reach the Parquet reader."""
+    spans = F.lit(False)
+    for year, month in months:
+        start = F.make_timestamp(F.lit(year), F.lit(month), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+        spans |= (F.col("invoice_date") >= start) & (F.col("invoice_date") < F.add_months(start, 1).cast("timestamp"))
+    return spans
+
+
+def _batches(lines: dict[tuple[int, int], int], most: int) -> Iterator[tuple[list[tuple[int, int]], Column]]:
+    """The months in order, as many at a time as have ``most`` lines together, and a part of their keys.
+
+    A month of more lines comes in several parts. There is one batch at least.
+    """
+    batch: list[tuple[int, int]] = []
+    held = 0
+    for month in sorted(lines):
+        if batch and held + lines[month] > most:
+            yield batch, F.lit(True)
+            batch, held = [], 0
+        batch, held = [*batch, month], held + lines[month]
+        if held > most:
+            parts = -(-held // most)
+            for part in range(parts):
+                yield batch, F.pmod(F.xxhash64(*K.SALES_KEY), F.lit(parts)) == part
+            batch, held = [], 0
+    if batch or not lines:
+        yield batch, F.lit(True)
+
+
 def _typed_files(spark: SparkSession, paths: Sequence[str], multi_line: bool) -> DataFrame:
     """Typed lines of the given files with their file; malformed ones keep their text."""
     parsed = sales_reader(spark.read, multi_line).csv(list(paths))
@@ -59,8 +99,9 @@ def reload_files(spark: SparkSession, feed: str, typed: str, multi_line: bool =
         folders, schema = [], base.schema
         if load:
             rows = _typed_files(spark, load, multi_line)
-            with header_checked(feed):
-                folders, _ = table.write(rows, cluster=["invoice_date"])
+            # a task sorts what it reads
+            with header_checked(feed), settings(spark, SMALL_READS):
+                folders, _ = table.write(rows, cluster=["invoice_date"], spread=False, compression="zstd")
             schema = rows.schema
         gone = {f"{FILE_ID}={known[path][1]}" for path in (*load, *drop) if path in known}
         return Change(folders, base.in_partitions(gone), schema, {"files": {p: list(s) for p, s in now.items()}})
@@ -81,17 +122,21 @@ def refresh_lake(spark: SparkSession, typed: str, lake: str, source_system: str
         changed = sorted({f for step in steps for f in (*step.added, *step.removed)})
         if not changed:
             return None
-        lines = source.read(newest, changed).where(F.col(CORRUPT_RECORD).isNull() & is_usable())
-        months = [tuple(row) for row in _months(lines).distinct().collect()]
+
+        usable = F.col(CORRUPT_RECORD).isNull() & is_usable()
+        stored = source.read(newest).where(usable)
+        months = sorted(_lines_by_month(source.read(newest, changed).where(usable)))
         refreshed[:] = sorted(f"{K.SALES_PARTITIONS[0]}={year}/{K.SALES_PARTITIONS[1]}={month}" for year, month in months)
-        spans = F.lit(False)
-        for year, month in months:  # plain ranges, which reach the Parquet reader
-            start = F.make_timestamp(F.lit(year), F.lit(month), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
-            spans |= (F.col("invoice_date") >= start) & (F.col("invoice_date") < F.add_months(start, 1).cast("timestamp"))
-        usable = source.read(newest).where(F.col(CORRUPT_RECORD).isNull() & is_usable() & spans)
-        usable = usable.drop("_raw_date", CORRUPT_RECORD, FILE, FILE_ID)
-        curated = first_per_key(derived_sales(usable, source_system, F.current_timestamp()), K.SALES_KEY)
-        folders, _ = target.write(curated)
+        now = _lines_by_month(stored.where(_within(months)))
+        # one time for all batches
+        stamp = F.timestamp_micros(F.lit(spark.range(1).select(F.unix_micros(F.current_timestamp())).first()[0]))
+        folders: list[str] = []
+        most = LINES_PER_CORE * spark.sparkContext.defaultParallelism
+        for batch, keys in _batches({m: now.get(m, 0) for m in months}, most):
+            lines = stored.where(_within(batch) & keys).drop("_raw_date", CORRUPT_RECORD, FILE, FILE_ID)
+            # what is derived follows from the key and the columns that come first in the order of duplicates
+            curated = derived_sales(first_per_key(lines, K.SALES_KEY), source_system, stamp)
+            folders += target.write(curated)[0]
         touched = set(refreshed) | {partition_of(f) for f in folders}
         return Change(folders, base.in_partitions(touched), curated.schema, {"typed_version": newest.number})
 
@@ -107,5 +152,6 @@ def reload_feed(
     The folders of replaced versions stay until ``vacuum``, which must not run before the lake
     has seen them.
     """
-    done = reload_files(spark, feed, typed, multi_line)
-    return {**done, "months": refresh_lake(spark, typed, lake, source_system)}
+    with settings(spark, DROP_SHUFFLES):
+        done = reload_files(spark, feed, typed, multi_line)
+        return {**done, "months": refresh_lake(spark, typed, lake, source_system)}

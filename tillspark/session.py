@@ -14,6 +14,7 @@ from pathlib import Path
 
 from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 PACKAGE = Path(__file__).resolve().parent
 
@@ -138,19 +139,48 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 BYTES_PER_TASK = 16_000_000
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files that ``df`` is made of."""
+    total = 0
+    for path in df.inputFiles():
+        place, system = _file_system(df.sparkSession, path)
+        total += system.getFileStatus(place).getLen()
+    return total
+
+
 def dealt_by(df: DataFrame, *keys: str) -> DataFrame:
     """Rows with equal keys in one partition; one for each ``BYTES_PER_TASK`` of the files that ``df`` is made of.
 
     There are at least as many as the session's shuffles have. For aggregates whose groups are about as
     many as their rows: a session's number of partitions does not grow with its tables.
     """
-    spark = df.sparkSession
-    total = 0
-    for path in df.inputFiles():
-        place, system = _file_system(spark, path)
-        total += system.getFileStatus(place).getLen()
-    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(max(usual, -(-total // BYTES_PER_TASK)), *keys)
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(usual, -(-input_bytes(df) // BYTES_PER_TASK)), *keys)
+
+
+# the shuffle files of a query go when it ends; else they stay until the driver happens to collect its
+# garbage, so that those of all steps add up. Not for a DataFrame that is run twice: it shuffles twice.
+DROP_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+# a scan's task reads so much, whatever the session's own size is
+SMALL_READS = {"spark.sql.files.maxPartitionBytes": str(BYTES_PER_TASK)}
+# a task keeps a file open for each of so many partitions and does not have to sort its rows by them
+FILES_AT_ONCE = {"spark.sql.maxConcurrentOutputFileWriters": "32"}
+
+
+@contextlib.contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Settings of the session that hold inside the block."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 # of the running thread: a stream's batch and a job in the same driver do not see each other's
@@ -174,14 +204,17 @@ def staging(spark: SparkSession):
             delete_path(spark, path)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, parts: int = 1, by: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and return a reader over the copy.
 
     Later branches then read columnar, pruned files rather than recompute the input,
-    and a lost executor costs a re-read, not the whole lineage.
+    and a lost executor costs a re-read, not the whole lineage. With ``parts`` the rows are written
+    in so many turns, dealt out by a hash of column ``by``, where all at once would shuffle too much.
     """
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     if scopes := _open_scopes.get():
         scopes[-1].append(path)
-    df.write.option("compression", "zstd").parquet(path)
+    for part in range(parts):
+        rows = df if parts == 1 else df.where(F.pmod(F.xxhash64(by), F.lit(parts)) == part)
+        rows.write.mode("append").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -191,17 +191,20 @@ class VersionedTable:
         return newest, added
 
     def write(
-        self, df: DataFrame, cluster: Sequence[str] = (), sought: Sequence[str] = (), **options: object
+        self, df: DataFrame, cluster: Sequence[str] = (), sought: Sequence[str] = (), spread: bool = True, **options: object
     ) -> tuple[list[str], int]:
         """Write rows as new folders that no version lists yet; returns them and the rows written.
 
         Rows of a partition meet in few files and a busy partition is split over tasks. With
-        ``cluster`` the files of a partition hold ranges of these columns, in order. Files carry
+        ``cluster`` the files of a partition hold ranges of these columns, in order. Without ``spread``
+        no row is shuffled: each task writes its own rows, in order of ``cluster``. Files carry
         Parquet's own Bloom filters for the columns in ``sought``, by which a search for one value
         skips row groups. Other ``options`` go to the Parquet writer.
         """
         commit, written = f"commit=c-{uuid.uuid4().hex}", Observation()
-        if cluster:
+        if not spread:
+            laid_out = df
+        elif cluster:
             laid_out = df.repartitionByRange(*self.partitions, *cluster)
         else:
             laid_out = df.hint("rebalance", *self.partitions) if self.partitions else df
